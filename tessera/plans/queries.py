@@ -186,7 +186,8 @@ def q_flat_map_range(spark, sf):
 def q_partition_concat(spark, sf):
     od = load_table(spark, sf, "orders", ["o_orderkey"])
     joined = P.partition_concat(od, "o_orderkey", ",")
-    return joined.select(F.explode(F.split("joined", ",")).cast("bigint").alias("o_orderkey"))
+    values = joined.select(F.explode(F.split("joined", ",")).alias("v"))
+    return values.select(F.col("v").cast("bigint").alias("o_orderkey"))
 
 
 @query("partition_rows")

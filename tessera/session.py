@@ -23,6 +23,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # No broadcast from compile-time estimates (they are wrong after explode
+    # and aggregates and would broadcast tables that grow with the data);
+    # AQE broadcasts a join side only when its measured shuffle output is
+    # under the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -31,12 +37,12 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tessera") -> SparkSession:
+                app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
