@@ -54,15 +54,36 @@ def _keys(df: DataFrame) -> list[str]:
     return [c for c in ("side", "id") if c in df.columns]
 
 
+def _materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
+    """Compute ``cols`` once per row behind a one-element ``inline``
+    generator, so later lambdas that read them many times read a value
+    rather than re-evaluating the expression."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
+
+
+def term_counts(tokens: DataFrame) -> DataFrame:
+    """(…, id, doc_len, token, n): one row per distinct token of a record,
+    counted inside the row (sort, find where runs start, take run lengths),
+    so counting needs no shuffle."""
+    keys = _keys(tokens)
+    sorted_ = _materialize(tokens, keys, s=F.array_sort("tokens"))
+    s, n = F.col("s"), F.size("s")
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
+                                    lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+    with_starts = _materialize(sorted_, keys + ["s"], starts=starts)
+    st_col = F.col("starts")
+    runs = F.transform(st_col, lambda st, j: F.struct(
+        F.get(s, st).alias("token"),
+        (F.coalesce(F.get(st_col, j + 1), n) - st).cast("bigint").alias("n")))
+    return with_starts.select(*keys, n.alias("doc_len"), F.inline_outer(runs)) \
+        .where(F.col("token").isNotNull())
+
+
 def term_frequency(tokens: DataFrame) -> DataFrame:
     """(…, id, token, tf) with tf = count of the token ÷ tokens in the
-    record.  The record length rides along as a grouping key."""
-    keys = _keys(tokens)
-    exploded = tokens.select(*keys, F.size("tokens").alias("doc_len"),
-                             F.explode("tokens").alias("token"))
-    return (exploded.groupBy(*keys, "doc_len", "token")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(*keys, "token", (F.col("n") / F.col("doc_len")).alias("tf")))
+    record."""
+    return term_counts(tokens).select(*_keys(tokens), "token",
+                                      (F.col("n") / F.col("doc_len")).alias("tf"))
 
 
 def idf_weights(tokens: DataFrame) -> DataFrame:

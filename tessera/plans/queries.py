@@ -27,7 +27,7 @@ from tessera.operators import resolution as ER
 from tessera.operators import text as E
 from tessera.plans import params as K
 from tessera.sources import textfiles
-from tessera.sources.tables import load_table
+from tessera.sources.tables import load_table, spread
 from tessera.sources.views import (
     clf_lines_from, gold_lines, gold_pairs, product_lines, rating_lines, ratings,
     title_lines, titles,
@@ -58,8 +58,8 @@ def logs(spark, sf):
 
 
 def bench_docs(spark, sf):
-    return (load_table(spark, sf, "benchmark", ["item_id", "text"]),
-            load_table(spark, sf, "documents", ["doc_id", "text"]))
+    return (spread(load_table(spark, sf, "benchmark", ["item_id", "text"])),
+            spread(load_table(spark, sf, "documents", ["doc_id", "text"])))
 
 
 def corpus_tokens(spark, sf):
@@ -80,7 +80,7 @@ def gold(spark, sf):
 
 
 def doc_tokens_of(spark, sf, stopwords=True):
-    d = load_table(spark, sf, "documents", ["doc_id", "text"]).withColumnRenamed("doc_id", "id")
+    d = spread(load_table(spark, sf, "documents", ["doc_id", "text"])).withColumnRenamed("doc_id", "id")
     return E.doc_tokens(d, stopwords=stopwords)
 
 

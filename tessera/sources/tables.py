@@ -29,3 +29,14 @@ def rows_table(spark: SparkSession, rows: Iterable, schema) -> DataFrame:
     """A small table from local rows with a fixed schema (nothing inferred).
     Only for small, bounded inputs such as parameters and fixtures."""
     return spark.createDataFrame(list(rows), schema=schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer input splits than the cluster has cores
+    (a small or unsplittable file) before CPU-heavy per-row work such as
+    tokenizing or parsing.  A large input already has more splits than
+    cores, and is returned untouched: no extra shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import load_table
+from tessera.sources.tables import load_table, spread
 
 # Fixed values of the log rule above.
 LOG_ZONE = "-0400"
@@ -70,8 +70,8 @@ def clf_lines(events: DataFrame) -> DataFrame:
 
 
 def clf_lines_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clf_lines(load_table(spark, sf_dir, "events",
-                                ["event_id", "ts", "user_id", "event_type", "value"]))
+    return clf_lines(spread(load_table(spark, sf_dir, "events",
+                                       ["event_id", "ts", "user_id", "event_type", "value"])))
 
 
 # Product catalogue lines (S6): header plus ``"id","title","description",
@@ -108,7 +108,7 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     text contains the whole benchmark text."""
     from tessera.operators.resolution import containment_pairs
     left = load_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    right = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    right = spread(load_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return containment_pairs(left, "item_id", right, "doc_id")
 
 
