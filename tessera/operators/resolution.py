@@ -1,15 +1,16 @@
 """Entity resolution against a gold mapping (E14-E17) and the containment
 join that re-aims the gold mapping on the given tables.
 
-Threshold sweep (E16): instead of one job per threshold, one aggregate bins
-the scores and a 101-row table carries the counts.  The suffix/prefix sums
-run over that bin table, whose size is fixed (bins 0..100), so the window
-without partitioning is bounded by construction.
+Threshold sweep (E16): instead of one job per threshold, scores and gold
+pairs are labelled by one full outer join, and one aggregate reduces them to
+at most 2 x 101 (kind, bucket) counts, gathered into a single row whose size
+is fixed by construction.  Suffix and prefix sums are array expressions over
+that row.  The scores are read once, so they are computed once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NTHRESHOLDS = 100
@@ -70,17 +71,27 @@ def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id:
     return out
 
 
+def label_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
+    """Scored pairs and gold pairs in one table (full outer join):
+    (left_id, right_id, cosine or NULL when never scored, scored, is_gold).
+    Everything downstream reads this table once."""
+    keys = ["left_id", "right_id"]
+    s = sims.select(*keys, "cosine", F.lit(True).alias("scored"))
+    g = gold.select(*keys, F.lit(True).alias("is_gold"))
+    return (s.join(g, keys, "full")
+            .select(*keys, "cosine", F.coalesce("scored", F.lit(False)).alias("scored"),
+                    F.coalesce("is_gold", F.lit(False)).alias("is_gold")))
+
+
 def gold_evaluation(sims: DataFrame, gold: DataFrame) -> DataFrame:
     """Number of scored gold pairs, mean score of those, and mean score
-    of scored pairs that are not gold (J2, J4, A15)."""
-    keys = ["left_id", "right_id"]
-    dups = sims.join(gold.select(*keys), keys)
-    non = sims.join(gold.select(*keys), keys, "left_anti")
-    a = dups.agg(F.count(F.lit(1)).alias("true_dups"), F.avg("cosine").alias("avg_sim_dups"))
-    b = non.agg(F.avg("cosine").alias("avg_sim_non_dups"))
-    k = F.lit(1)
-    return (a.withColumn("_k", k).join(F.broadcast(b.withColumn("_k", k)), "_k")
-            .drop("_k"))
+    of scored pairs that are not gold (J2, J4, A15) in one aggregate."""
+    j = label_pairs(sims, gold)
+    dup = F.col("scored") & F.col("is_gold")
+    non = F.col("scored") & ~F.col("is_gold")
+    return j.agg(F.count_if(dup).alias("true_dups"),
+                 F.avg(F.when(dup, F.col("cosine"))).alias("avg_sim_dups"),
+                 F.avg(F.when(non, F.col("cosine"))).alias("avg_sim_non_dups"))
 
 
 def gold_scores(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -96,44 +107,53 @@ def score_bin(score) -> F.Column:
     return F.least(F.floor(score * NTHRESHOLDS), F.lit(NTHRESHOLDS)).cast("int")
 
 
+def thresholds_below_or_at(score) -> F.Column:
+    """k(s): how many thresholds t_n = n/100 (n = 0..99) satisfy t_n <= s,
+    compared exactly as doubles.  Then s < t_n exactly when k(s) <= n."""
+    return F.size(F.filter(F.sequence(F.lit(0), F.lit(NTHRESHOLDS - 1)),
+                           lambda n: n / F.lit(float(NTHRESHOLDS)) <= score))
+
+
+def _sweep_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
+    """One row holding at most 2 × 101 (kind, bucket, n) counts:
+    kind 'f' = scored non-gold pairs per score bin (possible false
+    positives; gold pairs that were scored are left out, unscored ones never
+    entered), kind 'g' = gold pairs per k(score), unscored gold scoring 0.
+    The row is bounded by construction, whatever the data size."""
+    j = label_pairs(sims, gold)
+    kind = F.when(F.col("is_gold"), F.lit("g")).otherwise(F.lit("f"))
+    bucket = (F.when(F.col("is_gold"),
+                     thresholds_below_or_at(F.coalesce("cosine", F.lit(0.0))))
+              .otherwise(score_bin(F.col("cosine"))))
+    per = j.groupBy(kind.alias("kind"), bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.collect_list(F.struct("kind", "b", "n")).alias("c"))
+
+
+def _sum_where(pred) -> F.Column:
+    return F.aggregate(F.filter("c", pred), F.lit(0).cast("bigint"),
+                       lambda acc, x: acc + x["n"])
+
+
 def similarity_bins(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """Per bin, scored pairs minus scored gold pairs (possible false
-    positives); all 101 bins present."""
-    keys = ["left_id", "right_id"]
-    scored_gold = sims.join(gold.select(*keys), keys)
-    signed = (sims.select(score_bin(F.col("cosine")).alias("bin"), F.lit(1).alias("d"))
-              .unionByName(scored_gold.select(score_bin(F.col("cosine")).alias("bin"),
-                                              F.lit(-1).alias("d"))))
-    counts = signed.groupBy("bin").agg(F.sum("d").cast("bigint").alias("fp"))
-    spark = sims.sparkSession
-    return (spark.range(BINS).select(F.col("id").cast("int").alias("bin"))
-            .join(counts, "bin", "left")
-            .select("bin", F.coalesce("fp", F.lit(0)).cast("bigint").alias("fp")))
+    """Per bin 0..100, scored pairs minus scored gold pairs."""
+    one = _sweep_counts(sims, gold)
+    return (one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS))).alias("bin"), "c")
+            .select("bin", _sum_where(lambda x: (x["kind"] == "f") & (x["b"] == F.col("bin")))
+                    .alias("fp")))
 
 
 def threshold_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
     """Per threshold t = n/100 (n = 0..99): false positives (binned
-    scores, bins ≥ n), false negatives (gold scores < t, exact) and true
-    positives (gold pairs − false negatives)."""
-    spark = sims.sparkSession
-    bins = similarity_bins(sims, gold)
-    suffix = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
-    fp = bins.select(F.col("bin").alias("n"), F.sum("fp").over(suffix).alias("fp"))
-    gs = gold_scores(sims, gold)
-    # k(s) = how many thresholds are <= s; then s < t_n exactly when k(s) <= n.
-    k = F.size(F.filter(F.sequence(F.lit(0), F.lit(NTHRESHOLDS - 1)),
-                        lambda n: n / F.lit(float(NTHRESHOLDS)) <= F.col("cosine")))
-    kcount = gs.groupBy(k.alias("n")).agg(F.count(F.lit(1)).alias("c"))
-    prefix = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    total = gs.agg(F.count(F.lit(1)).alias("n_gold")).withColumn("_k", F.lit(1))
-    fn = (spark.range(BINS).select(F.col("id").cast("int").alias("n"))
-          .join(kcount, "n", "left")
-          .select("n", F.sum(F.coalesce("c", F.lit(0))).over(prefix).cast("bigint").alias("fn")))
-    return (fp.join(fn, "n").where(F.col("n") < NTHRESHOLDS)
-            .withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-            .select((F.col("n") / F.lit(float(NTHRESHOLDS))).alias("threshold"),
-                    F.col("fp").cast("bigint").alias("fp"), "fn",
-                    (F.col("n_gold") - F.col("fn")).alias("tp")))
+    scores in bins >= n), false negatives (gold scores < t, exact) and true
+    positives (gold pairs - false negatives)."""
+    one = _sweep_counts(sims, gold)
+    n = F.col("n")
+    per_t = one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS - 1))).alias("n"), "c")
+    fp = _sum_where(lambda x: (x["kind"] == "f") & (x["b"] >= n))
+    fn = _sum_where(lambda x: (x["kind"] == "g") & (x["b"] <= n))
+    n_gold = _sum_where(lambda x: x["kind"] == "g")
+    return per_t.select((n / F.lit(float(NTHRESHOLDS))).alias("threshold"), fp.alias("fp"),
+                        fn.alias("fn"), (n_gold - fn).alias("tp"))
 
 
 def threshold_prf(counts: DataFrame) -> DataFrame:

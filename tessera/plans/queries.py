@@ -27,6 +27,7 @@ from tessera.operators import resolution as ER
 from tessera.operators import text as E
 from tessera.plans import params as K
 from tessera.sources import textfiles
+from tessera.session import reliable_checkpoint
 from tessera.sources.tables import load_table, spread
 from tessera.sources.views import (
     clf_lines_from, gold_lines, gold_pairs, product_lines, rating_lines, ratings,
@@ -613,8 +614,14 @@ def q_best_items(spark, sf):
     return out.select(r9("avg_rating").alias("avg_rating"), "title", "n_ratings", "item")
 
 
+def _ratings_fixed(spark, sf):
+    """Ratings written once to the shared checkpoint folder: every ALS fit,
+    split and evaluation reads the same rows, and lineage is cut."""
+    return reliable_checkpoint(ratings(spark, sf))
+
+
 def _splits(spark, sf):
-    return R.split_ratings(ratings(spark, sf))
+    return R.split_ratings(_ratings_fixed(spark, sf))
 
 
 @query("als_predict", rows_only=True)
@@ -648,7 +655,7 @@ def q_mean_baseline_rmse(spark, sf):
 
 
 def _with_new_user(spark, sf):
-    rt = ratings(spark, sf)
+    rt = _ratings_fixed(spark, sf)
     train, _, test = R.split_ratings(rt)
     mine = R.new_user_ratings(rt, new_user_picks(spark))
     model = R.train_als(train.unionByName(mine), K.ALS_RANK)

@@ -74,3 +74,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` into the shared checkpoint folder and cut its
+    lineage (a lost executor then re-reads files instead of recomputing the
+    whole plan).  Never ``localCheckpoint``: that lives on executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
