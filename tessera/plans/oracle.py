@@ -124,6 +124,11 @@ def _top(select_from: str, order: str, n: int) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     # S
+    "range_source": """SELECT count(*) AS n, sum(range)::BIGINT AS total,
+        sum(CASE WHEN range % 7 = 0 THEN range END)::BIGINT AS total_sevens
+        FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders))""",
+    "stopword_table_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens
+        FROM ({DOCS_STOP})""",
     "text_scan": _with(LINES) + "SELECT value FROM lines",
     "gzip_scan": _with(LINES) + "SELECT value FROM lines",
     "clf_parse": _with(LOGS) + "SELECT * FROM logs",

@@ -28,7 +28,7 @@ from tessera.operators import text as E
 from tessera.plans import params as K
 from tessera.sources import textfiles
 from tessera.session import reliable_checkpoint
-from tessera.sources.tables import load_table, spread
+from tessera.sources.tables import load_table, range_table, spread
 from tessera.sources.views import (
     clf_lines_from, gold_lines, gold_pairs, product_lines, rating_lines, ratings,
     title_lines, titles,
@@ -87,6 +87,35 @@ def doc_tokens_of(spark, sf, stopwords=True):
 
 # ---------------------------------------------------------------- S: sources
 
+@query("range_source")
+def q_range_source(spark, sf):
+    """A generated range 0..max(o_orderkey) in a fixed number of
+    partitions, summed whole and over multiples of 7.  The range is made on
+    the executors; only its bound (one scalar) comes from the data."""
+    top = load_table(spark, sf, "orders", ["o_orderkey"]).agg(F.max("o_orderkey")).first()[0]
+    n_parts = spark.sparkContext.defaultParallelism
+    r = range_table(spark, 0, int(top) + 1, 1, n_parts)
+    return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"),
+                 F.sum(F.when(F.col("id") % 7 == 0, F.col("id"))).alias("total_sevens"))
+
+
+@query("stopword_table_remove")
+def q_stopword_table_remove(spark, sf):
+    """S10/F2 for a word list kept as a file: the list is written to the
+    shared folder, read back as a distinct word set, and anti-joined with the
+    exploded tokens (broadcast only after its row count is checked)."""
+    words = spark.createDataFrame([(w,) for w in ftext.STOPWORDS], "value string")
+    path = textfiles.write_lines(spark, words, "stopwords")
+    stop = textfiles.read_word_set(spark, path)
+    t = doc_tokens_of(spark, sf, stopwords=False)
+    kept = ftext.remove_stopwords_table(t.select("id", F.explode("tokens").alias("token")),
+                                        stop, "token")
+    per_doc = kept.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return (t.select("id").join(per_doc, "id", "left")
+            .select(F.col("id").alias("doc_id"),
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n_tokens")))
+
+
 @query("text_scan")
 def q_text_scan(spark, sf):
     path = textfiles.write_lines(spark, clf_lines_from(spark, sf), "text-scan")
