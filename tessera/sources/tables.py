@@ -36,7 +36,9 @@ def spread(df: DataFrame) -> DataFrame:
     (a small or unsplittable file) before CPU-heavy per-row work such as
     tokenizing or parsing.  A large input already has more splits than
     cores, and is returned untouched: no extra shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(cores) if splits < cores else df
