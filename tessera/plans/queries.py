@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as ftext
-from tessera.functions.clf import parse_clf, parsed_logs
 from tessera.functions.lines import (
     parse_gold_lines, parse_product_lines, parse_rating_lines, parse_title_lines,
 )
