@@ -46,14 +46,29 @@ def log_response_code(event_id: Column, event_type: Column) -> Column:
             .otherwise(F.lit(200)))
 
 
+def _two(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def clf_time_text(ts: Column, month_override: Column | None = None) -> Column:
+    """``dd/MMM/yyyy:HH:mm:ss`` built from the TIMESTAMP_NTZ fields, so no
+    session time zone is involved."""
+    from tessera.functions.clf import MONTHS
+    month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts))
+    if month_override is not None:
+        month = F.coalesce(month_override, month)
+    return F.concat(_two(F.dayofmonth(ts)), F.lit("/"), month, F.lit("/"),
+                    F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit(":"), _two(F.hour(ts)),
+                    F.lit(":"), _two(F.minute(ts)), F.lit(":"), _two(F.second(ts)))
+
+
 def clf_lines(events: DataFrame) -> DataFrame:
     """``events`` → one Common Log Format line per row (``value STRING``)."""
     eid, et = F.col("event_id"), F.col("event_type")
     code = log_response_code(eid, et)
     host = F.concat(F.lit("host"), F.col("user_id").cast("string"), F.lit(LOG_HOST_SUFFIX))
     phase = eid % MALFORMED_PERIOD
-    when_text = (F.when(phase == BAD_MONTH_ID, F.date_format("ts", "dd/'Foo'/yyyy:HH:mm:ss"))
-                 .otherwise(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")))
+    when_text = clf_time_text(F.col("ts"), F.when(phase == BAD_MONTH_ID, F.lit("Foo")))
     method = F.when(et.isin("signup", "purchase"), F.lit("POST")).otherwise(F.lit("GET"))
     endpoint = F.concat(F.lit("/"), et, F.lit("/"), (eid % ENDPOINT_MODULUS).cast("string"),
                         F.lit(".html"))
