@@ -129,6 +129,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders))""",
     "stopword_table_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens
         FROM ({DOCS_STOP})""",
+    "product_read_report": """SELECT 'header' AS parse_status, 1::BIGINT AS n_lines
+        UNION ALL SELECT 'parsed', count(*) FROM part""",
+    "gold_read_report": _with(TEXT) + """SELECT 'header' AS parse_status, 1::BIGINT AS n_lines
+        UNION ALL SELECT 'parsed', count(*) FROM gold""",
     "text_scan": _with(LINES) + "SELECT value FROM lines",
     "gzip_scan": _with(LINES) + "SELECT value FROM lines",
     "clf_parse": _with(LOGS) + "SELECT * FROM logs",

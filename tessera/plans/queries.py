@@ -145,6 +145,24 @@ def q_product_parse(spark, sf):
     return parsed.where(F.col("parse_status") == "parsed").select("id", "product")
 
 
+def _status_counts(parsed):
+    return parsed.groupBy("parse_status").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query("product_read_report")
+def q_product_read_report(spark, sf):
+    """S5 for product lines: lines per parse status (header, parsed, failed)."""
+    part = load_table(spark, sf, "part", ["p_partkey", "p_name", "p_type", "p_brand",
+                                          "p_retailprice"])
+    return _status_counts(parse_product_lines(product_lines(spark, part)))
+
+
+@query("gold_read_report")
+def q_gold_read_report(spark, sf):
+    """S5 for gold lines."""
+    return _status_counts(parse_gold_lines(gold_lines(spark, gold(spark, sf))))
+
+
 @query("gold_pairs_parse")
 def q_gold_pairs_parse(spark, sf):
     parsed = parse_gold_lines(gold_lines(spark, gold(spark, sf)))
