@@ -155,18 +155,23 @@ def sample_rows(df: DataFrame, n: int, with_replacement: bool, seed: int,
 
 def number_rows(df: DataFrame, order_key: str) -> DataFrame:
     """Dense row numbers 1..N in ``order_key`` order without moving all rows
-    into one partition: sort, count rows per partition (a small table, one
-    row per partition), prefix-sum those counts, add the offset."""
-    ordered = df.repartitionByRange(order_key).sortWithinPartitions(order_key)
-    with_pid = ordered.withColumn("_pid", F.spark_partition_id())
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order_key))
-    with_local = with_pid.withColumn("_local", local)
-    sizes = with_pid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
-    offs = sizes.select("_pid", (F.sum("_size").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    return (with_local.join(F.broadcast(offs), "_pid")
-            .select(*df.columns, (F.coalesce("_off", F.lit(0)) + F.col("_local"))
-                    .alias("_rn")).drop("_pid"))
+    into one partition: range-partition and sort, take each row's position
+    inside its partition, write that once to the shared checkpoint folder
+    (range bounds come from sampling, so the layout must be fixed before it
+    is read twice), then add per-partition offsets computed from a table
+    with one row per partition."""
+    from tessera.session import reliable_checkpoint
+    ordered = (df.repartitionByRange(order_key).sortWithinPartitions(order_key)
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_local", F.monotonically_increasing_id()
+                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    fixed = reliable_checkpoint(ordered)
+    sizes = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
+    offs = sizes.select("_pid", F.sum("_size").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    return (fixed.join(F.broadcast(offs), "_pid")
+            .select(*df.columns,
+                    (F.coalesce("_off", F.lit(0)) + F.col("_local") + 1).alias("_rn")))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
