@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 PRODUCT_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
 GOLD_PATTERN = r"^(.+),(.+)"
 PRODUCT_HEADER_ID = '"id"'
-GOLD_HEADER_ID = '"idAmazon"'
+GOLD_HEADER_ID = '"idLeft"'
 
 
 def _status(matched, is_header):

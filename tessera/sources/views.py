@@ -108,7 +108,7 @@ def product_lines(spark: SparkSession, part: DataFrame) -> DataFrame:
 
 
 # Gold mapping lines (S7): header plus ``"left","right"``.
-GOLD_HEADER = '"idAmazon","idGoogle"'
+GOLD_HEADER = '"idLeft","idRight"'
 
 
 def gold_lines(spark: SparkSession, pairs: DataFrame) -> DataFrame:
