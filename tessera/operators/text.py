@@ -5,8 +5,9 @@ Everything is one long table keyed by (side, id, token) rather than per-record
 dictionaries, so the work is spread by Spark's shuffles instead of being
 collected and broadcast from the driver:
 
-* ``term_frequency``  explode + groupBy(side, id, token)   (partial aggregate)
-* ``idf_weights``     distinct (doc, token) per row, groupBy(token)
+* ``term_counts``     sort each record's tokens and count runs inside the row
+                      (no shuffle); TF = count / record length
+* ``idf_weights``     distinct tokens per record, partial count per token
 * ``tfidf``           postings joined with IDF on token
 * ``unit_weights``    weight / norm, the norm a window over one document
 * ``pair_scores``     postings joined on (token, salt); sum of products per pair
