@@ -157,8 +157,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)""",
     "map_nested": """SELECT p_partkey, word, word || '|' || word || 's' AS forms
         FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)""",
-    "flat_map_range": """SELECT l_orderkey, l_linenumber, unnest(range(1, l_linenumber)) AS k
-        FROM lineitem WHERE l_linenumber > 1""",
+    "flat_map_range": """SELECT l_orderkey, l_linenumber, k::INTEGER AS k FROM (
+        SELECT l_orderkey, l_linenumber, unnest(range(1, l_linenumber)) AS k
+        FROM lineitem WHERE l_linenumber > 1)""",
     "partition_concat": "SELECT o_orderkey FROM orders",
     "partition_rows": "SELECT o_orderkey FROM orders",
     "map_values": "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders",
