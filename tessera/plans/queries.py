@@ -93,7 +93,7 @@ def q_range_source(spark, sf):
     the executors; only its bound (one scalar) comes from the data."""
     top = load_table(spark, sf, "orders", ["o_orderkey"]).agg(F.max("o_orderkey")).first()[0]
     n_parts = spark.sparkContext.defaultParallelism
-    r = range_table(spark, 0, int(top) + 1, 1, n_parts)
+    r = range_table(spark, 0, 0 if top is None else int(top) + 1, 1, n_parts)
     return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"),
                  F.sum(F.when(F.col("id") % 7 == 0, F.col("id"))).alias("total_sevens"))
 
