@@ -152,7 +152,7 @@ ORACLE_SQL: dict[str, str] = {
     "map_expr": """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS revenue
         FROM lineitem""",
     "filter_chain": """SELECT l_orderkey, l_linenumber FROM lineitem
-        WHERE l_quantity > 10 AND l_discount < 0.05 AND l_linenumber % 2 = 1""",
+        WHERE l_quantity > 10 AND l_discount < 0.05 AND l_quantity % 2 = 1""",
     "flat_map_rows": """SELECT p_partkey, unnest([word, word || 's']) AS word
         FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)""",
     "map_nested": """SELECT p_partkey, word, word || '|' || word || 's' AS forms

@@ -204,7 +204,7 @@ def q_map_expr(spark, sf):
 def q_filter_chain(spark, sf):
     li = lineitem(spark, sf, "l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     return (li.where(F.col("l_quantity") > 10).where(F.col("l_discount") < 0.05)
-            .where(F.col("l_linenumber") % 2 == 1).select("l_orderkey", "l_linenumber"))
+            .where(F.col("l_quantity") % 2 == 1).select("l_orderkey", "l_linenumber"))
 
 
 def part_words(spark, sf):
