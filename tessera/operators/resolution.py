@@ -22,18 +22,28 @@ def _raw_split(text_col: str):
 
 
 def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
-                      text_col: str = "text", chunk_rows: int = 10_000) -> DataFrame:
+                      text_col: str = "text", chunk_rows: int = 10_000,
+                      max_broadcast_rows: int = 200_000) -> DataFrame:
     """(left_id, right_id) where right text contains the whole left text.
 
     Candidates come from an equi-join on one *interior* token of the left
     text: a run of word characters bounded by non-word characters inside the
     left text.  If the right text contains the left text, it contains that
     run as a whole token, so no true pair is missed.  Per left record the
-    interior token with the fewest right documents is used.  Left records
-    without an interior token (one or two word runs) are checked against all
-    right records by a nested-loop join in hash chunks of about
-    ``chunk_rows`` rows, each chunk broadcast: exact, and each broadcast is
-    bounded."""
+    interior token with the fewest right documents is used.
+
+    The chosen anchors (one row per left record) are written once to the
+    shared checkpoint folder; their document frequencies then give the exact
+    number of candidate pairs before any candidate is built.  When anchors
+    and candidates are within ``max_broadcast_rows`` they are broadcast and
+    the right table is only streamed (its text is never shuffled);
+    otherwise both joins are shuffle joins.
+
+    Left records without an interior token (one or two word runs) are
+    checked against all right records by nested-loop joins in hash chunks of
+    about ``chunk_rows`` rows, each chunk broadcast: exact, and each
+    broadcast is bounded."""
+    from tessera.session import reliable_checkpoint
     lt = left.select(F.col(left_id).alias("left_id"), F.col(text_col).alias("ltext"))
     rt = right.select(F.col(right_id).alias("right_id"), F.col(text_col).alias("rtext"))
     parts = _raw_split("ltext")
@@ -44,19 +54,27 @@ def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id:
         F.filter(_raw_split("rtext"), lambda t: t != ""))).alias("token"))
     doc_freq = posting.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     anchored = lt.where(F.size("interior") > 0)
-    anchors = (anchored.select("left_id", F.explode(F.array_distinct("interior")).alias("token"))
-               .join(doc_freq, "token", "left")
-               .groupBy("left_id")
-               # a token no right document has → that left record matches nothing
-               .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))
-                    .alias("best"))
-               .where(F.col("best.df") > 0)
-               .select("left_id", F.col("best.token").alias("token")))
-    cand = anchors.join(posting, "token").select("left_id", "right_id")
-    matched = (cand.join(anchored.select("left_id", "ltext"), "left_id")
-               .join(rt, "right_id")
-               .where(F.instr("rtext", F.col("ltext")) > 0)
-               .select("left_id", "right_id"))
+    anchors = reliable_checkpoint(
+        anchored.select("left_id", "ltext", F.explode(F.array_distinct("interior")).alias("token"))
+        .join(doc_freq, "token", "left")
+        .groupBy("left_id", "ltext")
+        # a token no right document has → that left record matches nothing
+        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token")).alias("best"))
+        .where(F.col("best.df") > 0)
+        .select("left_id", "ltext", F.col("best.token").alias("token"),
+                F.col("best.df").alias("df")))
+    sizes = anchors.agg(F.count(F.lit(1)).alias("n"), F.sum("df").alias("pairs")).first()
+    n_anchors, n_pairs = sizes["n"], sizes["pairs"] or 0
+    small = n_anchors <= max_broadcast_rows and n_pairs <= max_broadcast_rows
+    a = anchors.select("left_id", "ltext", "token")
+    cand = posting.join(F.broadcast(a) if small else a, "token")
+    hit = F.instr("rtext", F.col("ltext")) > 0
+    if small:
+        matched = rt.join(F.broadcast(cand.select("left_id", "right_id", "ltext")),
+                          "right_id").where(hit)
+    else:
+        matched = cand.join(rt, "right_id").where(hit)
+    matched = matched.select("left_id", "right_id")
     loose = lt.where(F.size("interior") == 0).select("left_id", "ltext")
     n_loose = loose.count()
     if n_loose == 0:
@@ -65,9 +83,9 @@ def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id:
     out = matched
     for c in range(chunks):
         part = loose.where(F.pmod(F.xxhash64("left_id"), F.lit(chunks)) == c)
-        hit = (rt.join(F.broadcast(part), F.instr("rtext", F.col("ltext")) > 0)
-               .select("left_id", "right_id"))
-        out = out.unionByName(hit)
+        found = (rt.join(F.broadcast(part), F.instr("rtext", F.col("ltext")) > 0)
+                 .select("left_id", "right_id"))
+        out = out.unionByName(found)
     return out
 
 

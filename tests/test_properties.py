@@ -61,12 +61,13 @@ def test_containment_pairs_brute_force(spark):
     right = spark.createDataFrame(
         [(10, "The quick brown fox jumps"), (11, "a fox!"), (12, "brown fox"), (13, "nothing")],
         "doc_id long, text string")
-    got = sorted(tuple(r) for r in containment_pairs(left, "item_id", right, "doc_id",
-                                                     chunk_rows=2).collect())
     lrows, rrows = left.collect(), right.collect()
     want = sorted((a["item_id"], b["doc_id"]) for a in lrows for b in rrows
                   if a["text"] in b["text"])
-    assert got == want
+    for bound in (200_000, 0):          # broadcast path and shuffle-join path
+        got = sorted(tuple(r) for r in containment_pairs(
+            left, "item_id", right, "doc_id", chunk_rows=2, max_broadcast_rows=bound).collect())
+        assert got == want
 
 
 def test_gold_pairs_match_brute_force(spark):
