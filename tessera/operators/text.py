@@ -8,7 +8,8 @@ collected and broadcast from the driver:
 * ``term_counts``     sort each record's tokens and count runs inside the row
                       (no shuffle); TF = count / record length
 * ``idf_weights``     distinct tokens per record, partial count per token
-* ``tfidf``           postings joined with IDF on token
+* ``tfidf``           postings joined with IDF on token (IDF checkpointed,
+                      counted, broadcast only under a bound)
 * ``unit_weights``    weight / norm, the norm a window over one document
 * ``pair_scores``     postings joined on (token, salt); sum of products per pair
 
@@ -116,13 +117,23 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
             .groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def tfidf(tokens: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+def tfidf(tokens: DataFrame, idf: DataFrame | None = None,
+          max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """(…, id, token, w = tf * idf, n_docs).  ``idf`` defaults to the IDF
     of ``tokens`` itself; a token outside the IDF table is dropped by the
-    inner join."""
-    idf = idf if idf is not None else idf_weights(tokens)
+    inner join.
+
+    The IDF table (one row per distinct token) is written once to the shared
+    checkpoint folder and counted.  Under ``max_broadcast_rows`` it is
+    broadcast and the postings are joined where they are, with no shuffle by
+    token.  A larger vocabulary is a shuffle join, where AQE splits a hot
+    token's partition."""
+    from tessera.session import reliable_checkpoint
+    if idf is None:
+        idf = reliable_checkpoint(idf_weights(tokens))
+    lookup = F.broadcast(idf) if idf.count() <= max_broadcast_rows else idf
     tf = term_frequency(tokens)
-    return (tf.join(idf, "token")
+    return (tf.join(lookup, "token")
             .select(*_keys(tokens), "token", (F.col("tf") * F.col("idf")).alias("w"),
                     "n_docs"))
 
