@@ -14,7 +14,9 @@ collected and broadcast from the driver:
 * ``pair_scores``     postings joined on (token, salt); sum of products per pair
 
 A token present in a large share of documents makes the posting join skewed.
-``pair_scores`` splits such tokens: the right side's postings of a hot token are
+When the left postings are few (counted after a checkpoint) they are
+broadcast and the right postings are streamed, so there is no skew.  Otherwise
+``pair_scores`` splits hot tokens: the right side's postings of a hot token are
 spread over ``buckets`` salts by document id and the (smaller) left side's
 postings are replicated to every salt, so no single task holds the whole list.
 """
@@ -168,33 +170,48 @@ def _salted(left: DataFrame, right: DataFrame, hot_docs: int, max_salt: int):
     return l, r
 
 
+def _posting_join(weights: DataFrame, value: str | None, hot_docs: int, max_salt: int,
+                  max_broadcast_rows: int) -> DataFrame:
+    """Left postings joined with right postings on token: (left_id,
+    right_id, token[, a, b]).
+
+    The left postings are written once to the shared checkpoint folder and
+    counted.  Under ``max_broadcast_rows`` they are broadcast and the right
+    postings are streamed where they are: no shuffle, and a hot token's right
+    postings stay spread over all partitions.  Otherwise both sides are
+    salted for hot tokens and shuffle-joined on (token, salt)."""
+    from tessera.session import reliable_checkpoint
+    vals = [value] if value else []
+    cols = ["id", "token", "n_docs"] + vals
+    left = reliable_checkpoint(weights.where(F.col("side") == LEFT).select(*cols))
+    right = weights.where(F.col("side") == RIGHT).select(*cols)
+    lv = [F.col(value).alias("a")] if value else []
+    rv = [F.col(value).alias("b")] if value else []
+    if left.count() <= max_broadcast_rows:
+        l = left.select(F.col("id").alias("left_id"), "token", *lv)
+        r = right.select(F.col("id").alias("right_id"), "token", *rv)
+        return r.join(F.broadcast(l), "token")
+    l, r = _salted(left, right, hot_docs, max_salt)
+    return (l.select(F.col("id").alias("left_id"), "token", "salt", *lv)
+            .join(r.select(F.col("id").alias("right_id"), "token", "salt", *rv),
+                  ["token", "salt"]))
+
+
 def pair_scores(weights: DataFrame, value: str = "u", hot_docs: int = 100_000,
-                max_salt: int = 512) -> DataFrame:
+                max_salt: int = 512, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """(left_id, right_id, score = Σ left.value × right.value) over
     the tokens each left/right pair shares; only pairs sharing a token.
     ``weights`` needs side, id, token, n_docs and ``value``."""
-    cols = ["id", "token", "n_docs", value]
-    left = weights.where(F.col("side") == LEFT).select(*cols)
-    right = weights.where(F.col("side") == RIGHT).select(*cols)
-    l, r = _salted(left, right, hot_docs, max_salt)
-    joined = (l.select(F.col("id").alias("left_id"), "token", "salt", F.col(value).alias("a"))
-              .join(r.select(F.col("id").alias("right_id"), "token", "salt",
-                             F.col(value).alias("b")), ["token", "salt"]))
+    joined = _posting_join(weights, value, hot_docs, max_salt, max_broadcast_rows)
     return (joined.groupBy("left_id", "right_id")
             .agg(F.sum(F.col("a") * F.col("b")).alias("score")))
 
 
-def shared_tokens(weights: DataFrame, hot_docs: int = 100_000, max_salt: int = 512
-                  ) -> DataFrame:
+def shared_tokens(weights: DataFrame, hot_docs: int = 100_000, max_salt: int = 512,
+                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Per left/right pair, the tokens they share (sorted, blank-
     joined) and how many.  One pair's list is bounded by the shorter record."""
-    cols = ["id", "token", "n_docs"]
-    left = weights.where(F.col("side") == LEFT).select(*cols)
-    right = weights.where(F.col("side") == RIGHT).select(*cols)
-    l, r = _salted(left, right, hot_docs, max_salt)
-    joined = (l.select(F.col("id").alias("left_id"), "token", "salt")
-              .join(r.select(F.col("id").alias("right_id"), "token", "salt"),
-                    ["token", "salt"]))
+    joined = _posting_join(weights, None, hot_docs, max_salt, max_broadcast_rows)
     return (joined.groupBy("left_id", "right_id")
             .agg(F.count(F.lit(1)).alias("n_shared"),
                  F.array_join(F.sort_array(F.collect_list("token")), " ")

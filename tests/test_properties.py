@@ -48,9 +48,10 @@ def test_salted_pair_join_matches_unsalted(spark):
     b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
     d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
     w = E.text_weights(b, "item_id", d, "doc_id")
-    plain = _pairs(E.pair_scores(w, "w"))
-    salted = _pairs(E.pair_scores(w, "w", hot_docs=3, max_salt=16))
-    assert plain == salted and len(plain) > 0
+    plain = _pairs(E.pair_scores(w, "w"))                              # broadcast path
+    shuffled = _pairs(E.pair_scores(w, "w", max_broadcast_rows=0))     # shuffle join
+    salted = _pairs(E.pair_scores(w, "w", hot_docs=3, max_salt=16, max_broadcast_rows=0))
+    assert plain == shuffled == salted and len(plain) > 0
 
 
 def test_containment_pairs_brute_force(spark):
