@@ -101,10 +101,32 @@ def label_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
                     F.coalesce("is_gold", F.lit(False)).alias("is_gold")))
 
 
-def gold_evaluation(sims: DataFrame, gold: DataFrame) -> DataFrame:
+def _labelled(sims: DataFrame, gold: DataFrame, max_broadcast_rows: int):
+    """(labelled pairs, number of gold pairs or None).
+
+    The gold pairs are written once to the shared checkpoint folder and
+    counted.  Under ``max_broadcast_rows`` they are broadcast against the
+    streamed scores (no shuffle of the scores), and only scored pairs are
+    labelled; unscored gold pairs are then known by count alone (score 0).
+    Otherwise a full outer join labels both, and the count is not needed."""
+    from tessera.session import reliable_checkpoint
+    keys = ["left_id", "right_id"]
+    g = reliable_checkpoint(gold.select(*keys))
+    n_gold = g.count()
+    if n_gold > max_broadcast_rows:
+        return label_pairs(sims, g), None
+    flagged = F.broadcast(g.withColumn("is_gold", F.lit(True)))
+    lab = (sims.select(*keys, "cosine").join(flagged, keys, "left")
+           .select(*keys, "cosine", F.lit(True).alias("scored"),
+                   F.coalesce("is_gold", F.lit(False)).alias("is_gold")))
+    return lab, n_gold
+
+
+def gold_evaluation(sims: DataFrame, gold: DataFrame,
+                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Number of scored gold pairs, mean score of those, and mean score
     of scored pairs that are not gold (J2, J4, A15) in one aggregate."""
-    j = label_pairs(sims, gold)
+    j, _ = _labelled(sims, gold, max_broadcast_rows)
     dup = F.col("scored") & F.col("is_gold")
     non = F.col("scored") & ~F.col("is_gold")
     return j.agg(F.count_if(dup).alias("true_dups"),
@@ -132,19 +154,30 @@ def thresholds_below_or_at(score) -> F.Column:
                            lambda n: n / F.lit(float(NTHRESHOLDS)) <= score))
 
 
-def _sweep_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
+def _sweep_counts(sims: DataFrame, gold: DataFrame,
+                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row holding at most 2 × 101 (kind, bucket, n) counts:
     kind 'f' = scored non-gold pairs per score bin (possible false
     positives; gold pairs that were scored are left out, unscored ones never
     entered), kind 'g' = gold pairs per k(score), unscored gold scoring 0.
     The row is bounded by construction, whatever the data size."""
-    j = label_pairs(sims, gold)
+    j, n_gold = _labelled(sims, gold, max_broadcast_rows)
     kind = F.when(F.col("is_gold"), F.lit("g")).otherwise(F.lit("f"))
     bucket = (F.when(F.col("is_gold"),
                      thresholds_below_or_at(F.coalesce("cosine", F.lit(0.0))))
               .otherwise(score_bin(F.col("cosine"))))
     per = j.groupBy(kind.alias("kind"), bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return per.agg(F.collect_list(F.struct("kind", "b", "n")).alias("c"))
+    one = per.agg(F.collect_list(F.struct("kind", "b", "n")).alias("c"))
+    if n_gold is None:
+        return one
+    # gold pairs never scored: score 0, known by count (exact gold count
+    # minus the scored gold pairs in this row)
+    scored_gold = F.aggregate(F.filter("c", lambda x: x["kind"] == "g"),
+                              F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
+    unscored = F.struct(F.lit("g").alias("kind"),
+                        thresholds_below_or_at(F.lit(0.0)).alias("b"),
+                        (F.lit(n_gold).cast("bigint") - scored_gold).alias("n"))
+    return one.select(F.concat("c", F.array(unscored)).alias("c"))
 
 
 def _sum_where(pred) -> F.Column:
@@ -152,19 +185,21 @@ def _sum_where(pred) -> F.Column:
                        lambda acc, x: acc + x["n"])
 
 
-def similarity_bins(sims: DataFrame, gold: DataFrame) -> DataFrame:
+def similarity_bins(sims: DataFrame, gold: DataFrame,
+                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Per bin 0..100, scored pairs minus scored gold pairs."""
-    one = _sweep_counts(sims, gold)
+    one = _sweep_counts(sims, gold, max_broadcast_rows)
     return (one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS))).alias("bin"), "c")
             .select("bin", _sum_where(lambda x: (x["kind"] == "f") & (x["b"] == F.col("bin")))
                     .alias("fp")))
 
 
-def threshold_counts(sims: DataFrame, gold: DataFrame) -> DataFrame:
+def threshold_counts(sims: DataFrame, gold: DataFrame,
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Per threshold t = n/100 (n = 0..99): false positives (binned
     scores in bins >= n), false negatives (gold scores < t, exact) and true
     positives (gold pairs - false negatives)."""
-    one = _sweep_counts(sims, gold)
+    one = _sweep_counts(sims, gold, max_broadcast_rows)
     n = F.col("n")
     per_t = one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS - 1))).alias("n"), "c")
     fp = _sum_where(lambda x: (x["kind"] == "f") & (x["b"] >= n))
