@@ -59,7 +59,9 @@ def remove_stopwords_table(token_rows: DataFrame, stopword_table: DataFrame,
     """Stopword removal for a word list too large for a literal: exploded
     token rows anti-joined with the list.  The list is broadcast only after
     its row count is checked against ``max_broadcast_rows``."""
-    words = stopword_table.select(F.col(stopword_table.columns[0]).alias(token_col))
+    from tessera.session import reliable_checkpoint
+    words = reliable_checkpoint(
+        stopword_table.select(F.col(stopword_table.columns[0]).alias(token_col)))
     if words.count() <= max_broadcast_rows:
         words = F.broadcast(words)
     return token_rows.join(words, token_col, "left_anti")

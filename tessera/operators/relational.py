@@ -185,7 +185,11 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 def join_checked_broadcast(big: DataFrame, small: DataFrame, on, how: str = "inner",
                            max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast the small side only after counting it; above the bound
-    the join is left to the planner (sort-merge, or AQE's own broadcast)."""
+    the join is left to the planner (sort-merge, or AQE's own broadcast).
+    The small side is checkpointed first, so the count and the join read the
+    same rows."""
+    from tessera.session import reliable_checkpoint
+    small = reliable_checkpoint(small)
     if small.count() <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
