@@ -122,22 +122,43 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
 def tfidf(tokens: DataFrame, idf: DataFrame | None = None,
           max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """(…, id, token, w = tf * idf, n_docs).  ``idf`` defaults to the IDF
-    of ``tokens`` itself; a token outside the IDF table is dropped by the
-    inner join.
+    of ``tokens`` itself; a token outside the IDF table is dropped.
 
     The IDF table (one row per distinct token) is written once to the shared
     checkpoint folder and counted.  Under ``max_broadcast_rows`` it is
-    broadcast and the postings are joined where they are, with no shuffle by
-    token.  A larger vocabulary is a shuffle join, where AQE splits a hot
-    token's partition."""
+    broadcast and the postings are joined where they are, with no shuffle.
+
+    A larger vocabulary is split by document frequency.  With P postings in
+    all (the sum of ``n_docs``) and h = ceil(P / max_broadcast_rows), fewer
+    than ``max_broadcast_rows`` tokens can have more than h postings, so
+    those hot tokens are broadcast (a proven bound).  Every other token has at
+    most h postings, so the shuffle join on them cannot be skewed.  Hot rows
+    are sent to that shuffle under a unique key that matches nothing, so they
+    spread evenly too: one pass, exact."""
     from tessera.session import reliable_checkpoint
     if idf is None:
         idf = reliable_checkpoint(idf_weights(tokens))
-    lookup = F.broadcast(idf) if idf.count() <= max_broadcast_rows else idf
     tf = term_frequency(tokens)
-    return (tf.join(lookup, "token")
-            .select(*_keys(tokens), "token", (F.col("tf") * F.col("idf")).alias("w"),
-                    "n_docs"))
+    keys = _keys(tokens)
+    if idf.count() <= max_broadcast_rows:
+        return (tf.join(F.broadcast(idf), "token")
+                .select(*keys, "token", (F.col("tf") * F.col("idf")).alias("w"), "n_docs"))
+    total = idf.agg(F.sum("n_docs")).first()[0]
+    h = -(-total // max_broadcast_rows)
+    hot = idf.where(F.col("n_docs") > h).select(
+        "token", F.col("n_docs").alias("_hn"), F.col("idf").alias("_hidf"))
+    cold = idf.where(F.col("n_docs") <= h).select(
+        F.col("token").alias("_key"), F.col("n_docs").alias("_cn"), F.col("idf").alias("_cidf"))
+    # tokens are runs of word characters, so a key starting with \u0000 matches none
+    spread_key = F.concat(F.lit("\u0000"), *[F.col(k).cast("string") for k in keys], F.col("token"))
+    labelled = (tf.join(F.broadcast(hot), "token", "left")
+                .withColumn("_key", F.when(F.col("_hidf").isNull(), F.col("token"))
+                            .otherwise(spread_key)))
+    joined = labelled.join(cold, "_key", "left")
+    idf_v = F.coalesce("_hidf", "_cidf")
+    return (joined.where(idf_v.isNotNull())
+            .select(*keys, "token", (F.col("tf") * idf_v).alias("w"),
+                    F.coalesce("_hn", "_cn").alias("n_docs")))
 
 
 def vector_norms(weights: DataFrame) -> DataFrame:

@@ -78,3 +78,16 @@ def test_gold_pairs_match_brute_force(spark):
     want = sorted((x["item_id"], y["doc_id"]) for x in b for y in d if x["text"] in y["text"])
     got = sorted(tuple(r) for r in gold_pairs(spark, SF_SMALL).collect())
     assert got == want
+
+
+def test_tfidf_split_join_matches_broadcast(spark):
+    b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
+    d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
+    toks = E.doc_tokens(E.corpus(b, "item_id", d, "doc_id"))
+
+    def rows(df):
+        return sorted((r["side"], r["id"], r["token"], round(r["w"], 9), r["n_docs"])
+                      for r in df.collect())
+    small = rows(E.tfidf(toks))                             # IDF broadcast whole
+    split = rows(E.tfidf(toks, max_broadcast_rows=50))     # hot tokens broadcast, rest shuffled
+    assert small == split and len(small) > 0
