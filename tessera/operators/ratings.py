@@ -80,14 +80,21 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs.select("user", "item"))
 
 
-def rank_search(train: DataFrame, validation: DataFrame, ranks=ALS_RANKS
-                ) -> tuple[DataFrame, dict[int, ALSModel]]:
-    """One model per rank and its validation RMSE, as (rank, rmse)."""
-    rows, models = None, {}
+def rank_search(train: DataFrame, validation: DataFrame, ranks=ALS_RANKS,
+                parallelism: int | None = None) -> tuple[DataFrame, dict[int, ALSModel]]:
+    """One model per rank and its validation RMSE, as (rank, rmse).
+
+    The fits are independent Spark jobs, so they are submitted from up to
+    ``parallelism`` driver threads at once (as Spark ML's tuning classes do);
+    each fit is still seeded and distributed."""
+    from concurrent.futures import ThreadPoolExecutor
+    ranks = list(ranks)
+    with ThreadPoolExecutor(max_workers=parallelism or len(ranks)) as pool:
+        models = dict(zip(ranks, pool.map(lambda r: train_als(train, r), ranks)))
+    rows = None
     for r in ranks:
-        m = train_als(train, r)
-        models[r] = m
-        e = rmse(predict(m, validation), validation).select(F.lit(r).alias("rank"), "rmse")
+        e = rmse(predict(models[r], validation), validation).select(
+            F.lit(r).alias("rank"), "rmse")
         rows = e if rows is None else rows.unionByName(e)
     return rows, models
 
