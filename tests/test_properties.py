@@ -91,3 +91,28 @@ def test_tfidf_split_join_matches_broadcast(spark):
     small = rows(E.tfidf(toks))                             # IDF broadcast whole
     split = rows(E.tfidf(toks, max_broadcast_rows=50))     # hot tokens broadcast, rest shuffled
     assert small == split and len(small) > 0
+
+
+def test_gold_paths_agree_on_data(spark):
+    from tessera.operators import resolution as ER
+    from tessera.sources.views import gold_pairs
+    b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
+    d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
+    sims = E.cosine_inverted(E.text_weights(b, "item_id", d, "doc_id"))
+    gold = gold_pairs(spark, SF_SMALL)
+    for fn in (ER.gold_evaluation, ER.threshold_counts):
+        a = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                   for r in fn(sims, gold).collect())
+        z = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                   for r in fn(sims, gold, 0).collect())
+        assert a == z and len(a) > 0
+
+
+def test_checked_broadcast_paths_agree(spark):
+    od = load_table(spark, SF_SMALL, "orders", ["o_orderkey", "o_custkey"])
+    li = load_table(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_partkey"])
+    key = li.l_orderkey == od.o_orderkey
+    a = P.join_checked_broadcast(li, od, key, max_rows=10**9)
+    z = P.join_checked_broadcast(li, od, key, max_rows=0)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(a) == rows(z) and len(rows(a)) == li.count()
