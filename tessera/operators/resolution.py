@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NTHRESHOLDS = 100
-BINS = NTHRESHOLDS + 1
 
 
 def _raw_split(text_col: str):

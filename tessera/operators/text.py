@@ -274,7 +274,3 @@ def longest_record(tokens: DataFrame) -> DataFrame:
     """The record with the most tokens; ties by id."""
     return (tokens.select(*_keys(tokens), F.size("tokens").cast("bigint").alias("n_tokens"))
             .orderBy(F.desc("n_tokens"), *_keys(tokens)).limit(1))
-
-
-def round_col(c: Column | str, digits: int = 9) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)

@@ -139,6 +139,9 @@ ORACLE_SQL: dict[str, str] = {
     "clf_read_report": _with(EV) + """
         SELECT CASE WHEN event_id % 500 IN (249, 499) THEN 'failed' ELSE 'parsed' END
                AS parse_status, count(*) AS n_lines FROM ev GROUP BY 1""",
+    "clf_failed_lines": _with(LINES.replace(
+        "SELECT CASE WHEN event_id % 500 = 499", "SELECT event_id, CASE WHEN event_id % 500 = 499"))
+        + "SELECT value FROM lines WHERE event_id % 500 IN (249, 499)",
     "product_parse": """SELECT CAST(p_partkey AS VARCHAR) AS id,
         p_name || ' "' || p_type || '" "' || p_brand || '"' AS product FROM part""",
     "gold_pairs_parse": _with(TEXT) + """SELECT CAST(left_id AS VARCHAR) AS left_id,

@@ -137,6 +137,12 @@ def q_clf_read_report(spark, sf):
     return L.read_report(clf_lines_from(spark, sf))
 
 
+@query("clf_failed_lines")
+def q_clf_failed_lines(spark, sf):
+    """The quarantined raw lines (all of them, not a sample)."""
+    return L.failed_lines(clf_lines_from(spark, sf)).select(F.col("line").alias("value"))
+
+
 @query("product_parse")
 def q_product_parse(spark, sf):
     part = load_table(spark, sf, "part", ["p_partkey", "p_name", "p_type", "p_brand",
