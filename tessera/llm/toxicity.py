@@ -1,13 +1,14 @@
 """Toxicity by multiple-instance learning.
 
 Method.  A document is a bag of sentences.  A sentence has probability
-``p = sigmoid(bias + sum of the weights of its words)``; a document is toxic if
+``p = sigmoid(bias + sum of the weights of its distinct terms)``, a term being a
+word or the start of one (so that a stem counts under any ending); a document is toxic if
 any sentence is: ``P = 1 - prod(1 - p)`` (noisy-or).  Only document labels are
 given; the gradient of the document's loss is shared among its sentences, so the
 sentences that explain the label get the weight.  Training uses a bounded,
 stratified sample of labelled rows (``per_class`` of each class, the one
 documented bound here); rows are re-weighted to the classes' true shares.  The
-model is a table of at most ``FEATURES`` words.  Every sentence of every whole
+model is a table of at most ``FEATURES`` terms.  Every sentence of every whole
 text is scored, and sentences above ``threshold`` are returned with their code
 point spans.
 
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import fold, labelled_sample
 
-PER_CLASS, FEATURES, ROUNDS = 3000, 1024, 300
+PER_CLASS, FEATURES, ROUNDS = 2500, 1024, 400
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
+STARTS = (4, 5, 6, 7)  # lengths of word starts that are terms
 
 
 def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
@@ -45,9 +47,15 @@ def sentences(text: str | None) -> list[tuple[int, int, list[str]]]:
     return out
 
 
+def terms(word: str) -> list[str]:
+    """A word as a term, and its starts, marked by a hyphen."""
+    return [word, *[word[:k] + "-" for k in STARTS if k < len(word)]]
+
+
 def _bag_batches(batches):
     for batch in batches:
-        bags = [[sorted(set(words)) for _, _, words in sentences(t.as_py())] for t in batch.column(2)]
+        bags = [[sorted({x for w in set(words) for x in terms(w)}) for _, _, words in sentences(t.as_py())]
+                for t in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(bags, pa.list_(pa.list_(pa.string())))],
             ["doc_id", "y", "bag"])
@@ -112,19 +120,35 @@ def _train(rows, n_features: int, shares: dict, rounds: int) -> tuple[np.ndarray
         # d loss / d z of a sentence: p for clean bags, -p * (1-P)/P for toxic ones
         g_doc = cost * np.where(y == 1, -np.exp(log_clean) / np.maximum(toxic, 1e-9), 1.0)
         g_z = g_doc[doc] * times * p
-        g = np.append(np.bincount(feat, g_z[at], n_features), g_z.sum()) + 2e-5 * np.append(theta[:-1], 0)
+        g = np.append(np.bincount(feat, g_z[at], n_features), g_z.sum()) + 2e-6 * np.append(theta[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta - 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def judge(text: str | None, model: dict, threshold: float = THRESHOLD):
+class _Known(dict):
+    """The terms of a word that have a weight, looked up once for each word;
+    forgets all when it has grown to ``most`` words."""
+
+    def __init__(self, weights: dict, most: int = 200_000):
+        super().__init__()
+        self.weights, self.most = weights, most
+
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = got = tuple(x for x in terms(word) if x in self.weights)
+        return got
+
+
+def judge(text: str | None, model: dict, threshold: float = THRESHOLD, known: _Known | None = None):
     """(score, offending sentences as (start, end, probability)) of a whole text."""
     if model["weights"] is None:
         return model["prior"], []
+    known = (_Known(model["weights"]) if known is None else known).__getitem__
     get, bias, clean, found = model["weights"].get, model["bias"], 0.0, []
     for start, end, words in sentences(text):
-        z = bias + sum(get(w, 0.0) for w in set(words))
+        z = bias + sum(get(x, 0.0) for x in {x for w in words for x in known(w)})
         clean -= z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
         p = 1 / (1 + math.exp(-z)) if z > -30 else 0.0
         if p >= threshold:
@@ -141,8 +165,9 @@ def score(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text: str = "
 
     def run(batches):
         m = shared.value
+        known = _Known(m["weights"] or {})
         for batch in batches:
-            got = [judge(t.as_py(), m, threshold) for t in batch.column(1)]
+            got = [judge(t.as_py(), m, threshold, known) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([min(max(s, 0.0), 1.0) for s, _ in got], pa.float64()),
                  pa.array([[{"start": a, "end": b, "probability": p} for a, b, p in f] for _, f in got], spans)],
