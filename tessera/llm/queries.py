@@ -4,8 +4,9 @@ its production parameters, to the whole of its table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import quality, toxicity
+from tessera.llm import quality, simhash, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict = {}
@@ -27,3 +28,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.cluster(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
