@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality, simhash, toxicity
+from tessera.llm import decontaminate, quality, simhash, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict = {}
@@ -34,3 +34,42 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.cluster(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE_SQL["op2_decontamination"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+wins AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, list_slice(w, s, s + least(len(w), 10) - 1) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM wins),
+parts AS (
+  SELECT r, n, s, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, sizes WHERE len(w) >= n)),
+hits AS (SELECT p.r, p.s, p.n, x.item FROM parts p JOIN wins x ON p.n = x.n AND p.win = x.win),
+places AS (SELECT r, count(DISTINCT q) AS n_hit
+           FROM (SELECT r, unnest(range(s, s + n)) AS q FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(f.ids, '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p USING (r) LEFT JOIN found f USING (r)
+"""
