@@ -107,3 +107,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def vocabulary_path(name: str) -> str:
+    """Where a public tokenizer file lies on the machine that runs this."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, quality, simhash, toxicity
-from tessera.llm.common import table
+from tessera.llm import decontaminate, packing, quality, secretscan, simhash, tokenfiles, toxicity
+from tessera.llm.common import table, vocabulary_path
+from tessera.session import shared_dir
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -73,3 +74,30 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_hit, 0)
        coalesce(p.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN places p USING (r) LEFT JOIN found f USING (r)
 """
+
+
+@_query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+def _joined_spans(spans: str):
+    return F.concat_ws(",", F.expr(f"transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end))"))
+
+
+@_query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ledger = table(spark, sf_dir, "documents"), shared_dir(spark, "secret-ledger")
+    secretscan.scan(docs, ledger)
+    found = secretscan.findings(docs, ledger)
+    base = found.withColumn("base", F.expr("filter(spans, s -> s.kind in ('assign', 'access', 'hex'))"))
+    count = lambda kind: F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
+    return base.select(F.col("id").alias("doc_id"), count("assign"), count("access"), count("hex"),
+                       F.sha2(_joined_spans("base"), 256).alias("base_sha256"), _joined_spans("spans").alias("spans"))
+
+
+@_query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    tokenfiles.write(table(spark, sf_dir, "documents"), path, vocabulary_path("word_bpe_49k.json"))
+    return tokenfiles.checksums(tokenfiles.read(spark, path))
