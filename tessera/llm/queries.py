@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, packing, quality, secretscan, simhash, tokenfiles, toxicity
+from tessera.llm import decontaminate, packing, quality, secretscan, simhash, tokenfiles, toxicity, vectors
 from tessera.llm.common import table, vocabulary_path
 from tessera.session import shared_dir
 
@@ -101,3 +101,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     tokenfiles.write(table(spark, sf_dir, "documents"), path, vocabulary_path("word_bpe_49k.json"))
     return tokenfiles.checksums(tokenfiles.read(spark, path))
+
+
+@_query
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.cluster(table(spark, sf_dir, "embeddings"))
