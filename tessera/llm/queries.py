@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, packing, quality, secretscan, simhash, tokenfiles, toxicity, vectors
+from tessera.llm import decontaminate, lmscore, packing, quality, secretscan, simhash, tokencount, tokenfiles, toxicity, vectors
 from tessera.llm.common import table, vocabulary_path
 from tessera.session import shared_dir
 
@@ -106,3 +106,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"))
+
+
+@_query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return lmscore.score_documents(table(spark, sf_dir, "documents"), good)
