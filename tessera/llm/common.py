@@ -113,3 +113,12 @@ def vocabulary_path(name: str) -> str:
     """Where a public tokenizer file lies on the machine that runs this."""
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+def small_side(df: DataFrame, limit_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` checkpointed, and marked for broadcast if its measured rows fit in
+    ``limit_bytes``; a larger one is left to a shuffle join."""
+    df = checkpointed(df)
+    rows = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    size = df.agg(F.sum(2 * rows + 64).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if size <= limit_bytes else df

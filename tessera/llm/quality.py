@@ -138,7 +138,7 @@ def score(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text: str = "
           folds: int = FOLDS, held_out: int = HELD_OUT, threshold: float = THRESHOLD,
           keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, plus the columns named
-    in ``keep`` as they came."""
+    in ``keep``, as ``kept_`` and the name."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -164,4 +164,4 @@ def score(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text: str = "
     return out.select(
         F.col("_id").alias("doc_id"), F.coalesce(fold("_id", folds) == held_out, F.lit(False)).alias("held_out"),
         F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"),
-        *[F.col(f"_keep{i}").alias(f"doc_{c}") for i, c in enumerate(keep)])
+        *[F.col(f"_keep{i}").alias(f"kept_{c}") for i, c in enumerate(keep)])

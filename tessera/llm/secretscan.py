@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from tessera.llm.common import small_side
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -122,10 +124,13 @@ def scan(versions: DataFrame, ledger: str, *, id_col: str = "doc_id", text: str
 
 
 def findings(versions: DataFrame, ledger: str, *, id_col: str = "doc_id", text: str = "text",
-             rules: tuple[Rule, ...] = RULES, keep_text: bool = False) -> DataFrame:
-    """(id, spans[, text]) of every row of ``versions``: what the ledger knows of
-    its blob under ``rules``, by start, then in the order of the rules."""
-    rows = addressed(versions, id_col, text)
+             rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, spans, kept_...) of every row of ``versions``: what the ledger knows of
+    its blob under ``rules``, by start, then in the order of the rules; and the
+    columns named in ``keep``, as ``kept_`` and the name."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = versions.select(F.col(id_col).alias("id"), F.unhex(F.sha2(body, 256)).alias("blob"),
+                           *[F.col(c).alias(f"kept_{c}") for c in keep])
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
     names = F.array(*[F.lit(r.name) for r in rules])
     kinds = F.array(*[F.lit(r.kind) for r in rules])
@@ -136,8 +141,8 @@ def findings(versions: DataFrame, ledger: str, *, id_col: str = "doc_id", text:
                 F.struct("s.start", order[F.col("s.kind")].alias("place"), "s.end", "s.kind"))).alias("hits")))
     spans = F.transform(F.coalesce("hits", F.array().cast(hits.schema["hits"].dataType)),
                         lambda h: F.struct(h["kind"].alias("kind"), h["start"].alias("start"), h["end"].alias("end")))
-    joined = rows.select("id", "blob", *["text"] * keep_text).join(hits, "blob", "left")
-    return joined.select("id", spans.alias("spans"), *["text"] * keep_text)
+    joined = rows.join(small_side(hits), "blob", "left")
+    return joined.select("id", spans.alias("spans"), *[c for c in rows.columns if c not in ("id", "blob")])
 
 
 def redact(text: F.Column, spans: F.Column, mark: str = "[secret]") -> F.Column:
