@@ -169,38 +169,46 @@ def _pairs_below(below: dict, here: dict, a: np.ndarray, b: np.ndarray):
 
 
 def near_links(group: np.ndarray, fp: np.ndarray, distance: int = DISTANCE,
-               block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+               block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Indices (i, j) that link what lies within ``distance`` in the same group:
     at least one path of links between any two entries that near pairs join."""
-    levels, found = _tree(group, fp), []
+    levels, found, size = _tree(group, fp), [], 0
     top = len(levels) - 1
     roots = np.arange(len(levels[top]["group"]))
-    stack = [(top, roots, roots)]
+    stack, step = [(top, roots, roots)], max(1, block // FANOUT ** 2)
     while stack:
         k, a, b = stack.pop()
+        if len(a) > step:  # what waits is kept as node pairs, not as their children
+            stack.append((k, a[step:], b[step:]))
+            a, b = a[:step], b[:step]
         node = levels[k]
         both = node["fixed"][a] & node["fixed"][b]
         differ = np.bitwise_count((node["set"][a] ^ node["set"][b]) & both)
         open_ = differ + np.bitwise_count(~both)  # no pair below differs in more bits
         whole = open_ <= distance
         if whole.any():
-            wa, wb = a[whole], b[whole]
-            found.append((node["leaf"][wa], node["leaf"][wb]))
-            for w in (np.unique(np.r_[wa, wb]),):  # and all entries below hang together
-                size = node["leaves"][w]
-                first = np.repeat(node["leaf"][w], size)
-                found.append((first, first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)))
+            new = _whole(node, a[whole], b[whole])
+            found, size = [*found, new], size + len(new[0])
+            if size > block:  # what was found becomes one link for each entry at most
+                found = [_forest(len(fp), found)]
+                size = 0
         more = ~whole & (differ <= distance)
         if k and more.any():
-            a, b = a[more], b[more]
-            step = max(1, block // FANOUT ** 2)
-            for at in range(0, len(a), step):
-                stack.append((k - 1, *_pairs_below(levels[k - 1], node, a[at:at + step], b[at:at + step])))
-        if len(found) > 64:
-            found = [_forest(len(fp), found)]
+            stack.append((k - 1, *_pairs_below(levels[k - 1], node, a[more], b[more])))
     return _forest(len(fp), found)
 
 
+def _whole(node: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all entries below each node pair whose pairs are all near:
+    the nodes' first entries, and every entry with the first of its node."""
+    w = np.unique(np.r_[a, b])
+    size = node["leaves"][w]
+    first = np.repeat(node["leaf"][w], size)
+    each = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    x, y = np.r_[node["leaf"][a], first], np.r_[node["leaf"][b], each]
+    return x[x != y], y[x != y]
+
+
 def _forest(n: int, found: list) -> tuple[np.ndarray, np.ndarray]:
     """One link from each entry to the first of its component."""
     if not found:
