@@ -36,11 +36,6 @@ def row_key(*cols: str) -> list[Column]:
     return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit("second"), *cols).alias("k2")]
 
 
-def lower_ascii(col) -> Column:
-    """Lower-case A-Z only; every other character stays."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def fold(doc_id, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string")) % n if isinstance(doc_id, str) \

