@@ -35,7 +35,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cols = [F.col(c).alias(f"kept_{c}") for c in docs.columns]
-    rows = docs.select(*row_key(*docs.columns), *cols)
+    rows = docs.select(*row_key("doc_id", "text"), *cols)
     # a row is named by its id, nulls last, and its content
     name = F.struct(F.col("kept_doc_id").isNull().alias("none"), F.col("kept_doc_id").alias("doc_id"), "k1", "k2")
     found = simhash.cluster(rows.select(name.alias("name"), "kept_text"), id_col="name", text="kept_text")
@@ -44,7 +44,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     chosen = materialize(chosen, "chosen")
     stays = rows.join(chosen.where("copies = 1"), ["k1", "k2"], "leftsemi")
     again = small_side(chosen.where("copies > 1").select("k1", "k2"))
-    if not again.isEmpty():  # rows that are equal in every column: one of each
+    if not again.isEmpty():  # rows that are equal in id and text: one of each
         kept = [f"kept_{c}" for c in docs.columns]
         once = rows.join(again, ["k1", "k2"], "leftsemi").groupBy("k1", "k2").agg(
             F.first(F.struct(*kept)).alias("row"))
