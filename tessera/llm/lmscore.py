@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_side
+
 WORD_BITS, PAIR_BITS, SHARE, ADD = 18, 20, 0.6, 0.1
 BATCH_BYTES = 8 << 20
 CELLS = (1 << WORD_BITS) + (1 << PAIR_BITS)
@@ -80,10 +82,12 @@ def _count(batches):
 
 
 def marked(docs: DataFrame, targets: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc_id, text, target): ``targets`` holds the ids of the target documents."""
+    """(doc_id, text, target): ``targets`` holds the ids of the target documents.
+    While their measured size is small they are broadcast and texts stay where they
+    are; beyond that it is a shuffle join."""
     ids = targets.select(F.col(targets.columns[0]).alias("doc_id")).where("doc_id is not null").distinct()
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-            .join(ids.withColumn("target", F.lit(True)), "doc_id", "left"))
+            .join(small_side(ids.withColumn("target", F.lit(True))), "doc_id", "left"))
 
 
 def fit(rows: DataFrame) -> dict:
