@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import small_side
 from tessera.llm.tokens import WordEncoder
 
 END = 2
@@ -80,7 +81,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     totals = rows.groupBy("part").agg(F.max(F.col("begin") + F.col("n_tokens")).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(base, "part").select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids")
+    return rows.join(small_side(base), "part").select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids")
 
 
 def documents(spark: SparkSession, path: str, low: int, high: int) -> DataFrame:
