@@ -2,9 +2,9 @@
 
 The tokenizers here never merge across white space, so a text's ids are those of
 its words one after another.  Words are cut and numbered by Arrow, each distinct
-word of a batch is looked up once in a cache that lives as long as the Python
-worker, and the ids are put together by array gathers.  A word of Latin letters
-with or without punctuation behind is handed to the file's BPE model directly; any
+word of a batch is looked up once in a bounded cache that lives as long as the Python
+worker, and the ids are put together by array gathers.  A run of Latin letters
+is handed to the file's BPE model directly, and so is punctuation behind it; any
 other word, and any text whose white space is not a single space or line break
 between words, goes through the whole tokenizer.  The ids are those of encoding
 the text whole (``tests/llm`` compares them).
@@ -12,15 +12,15 @@ the text whole (``tests/llm`` compares them).
 
 from __future__ import annotations
 
-import re
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS, BATCH_BYTES = 400_000, 12 << 20
+CACHE_PARTS, BATCH_BYTES = 250_000, 8 << 20
 
 
 def worker_memory() -> dict:
@@ -35,7 +35,7 @@ class WordEncoder:
     otherwise white space is dropped and letters are lower-cased by the file's own
     normalizer."""
 
-    PLAIN = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@|~-]*)")
+    BEHIND = "!#$%&()*+,./:;<=>?@|~-"  # ASCII that ends a run of letters
 
     def __init__(self, path: str, space_joins: bool):
         import os
@@ -43,7 +43,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.space_joins, self.words, self.parts = space_joins, {}, {}
+        self.space_joins, self.new, self.old = space_joins, {}, {}
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         shift = iter(range(256, 512))  # how byte-level BPE writes the other bytes
         self.byte = [chr(b) if b in printable else chr(next(shift)) for b in range(256)]
@@ -56,68 +56,111 @@ class WordEncoder:
         return memory[path, space_joins]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _part(self, part: str) -> bytes:
-        """Ids of one run of letters (with the space before it) or of punctuation."""
-        got = self.parts.get(part)
-        if got is None:
-            text = part if part.isascii() and part[:1] != " " else "".join([self.byte[b] for b in part.encode()])
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(text)], "<u4").tobytes()
-            self.parts[part] = got
-        return got
-
-    def word(self, word: str) -> bytes:
-        """Ids of a word; it begins with a space where one belongs to it."""
-        got = self.words.get(word)
-        if got is not None:
-            return got
-        if len(self.words) + len(self.parts) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-        lead = " " if word[:1] == " " else ""
-        plain = self.PLAIN.fullmatch(word, len(lead))
-        if plain:
-            letters, behind = plain.groups()
-            got = self._part(lead + letters if self.space_joins else letters.lower())
-            if behind:
-                got += self._part(behind)
-        else:
-            got = self._whole(word)
-        self.words[word] = got
-        return got
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _model(self, run: str) -> bytes:
+        """Ids of one run of Latin letters, perhaps with a space before it, or of
+        ASCII punctuation: one piece for the BPE model."""
+        if not run.isascii() or run[:1] == " ":
+            run = "".join([self.byte[b] for b in run.encode()])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(run)]).tobytes()
+
+    def _keep(self, key: str, ids: bytes) -> bytes:
+        """Remember; of two generations the older is forgotten."""
+        if len(self.new) >= CACHE_PARTS:
+            self.old, self.new = self.new, {}
+        self.new[key] = ids
+        return ids
+
+    def _core(self, word: str, lead: str) -> bytes:
+        """Ids of a word that ``new`` does not hold; ``lead`` is the space that
+        belongs to it, if any."""
+        key = word if lead or not self.space_joins else "\0" + word
+        ids = self.new.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is None:
+                if self._plain(word):
+                    ids = self._model(lead + word if self.space_joins else word.lower())
+                else:
+                    ids = self._odd(word, lead)
+            self._keep(key, ids)
+        return ids
+
+    @staticmethod
+    def _plain(word: str) -> bool:
+        """A run of Latin letters."""
+        return word.isalpha() and max(word) <= "ÿ"
+
+    def _odd(self, word: str, lead: str) -> bytes:
+        if self.space_joins and "\n" in word:  # a single line break is a piece of its own
+            lines = word.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                return self._core("\n", "").join([self._word(lines[0], lead), *[self._word(x, "") for x in lines[1:]]])
+        return self._whole(lead + word)
+
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a word: a run of letters and what is behind it, or an odd word."""
+        core = word.rstrip(self.BEHIND)
+        if len(core) == len(word) or not self._plain(core):
+            return self._core(word, lead)
+        return self._core(core, lead) + self._core(word[len(core):], "")
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """Ids of distinct words, each with the space that belongs to it.  Of words
+        that differ in the punctuation behind them the letters are looked up once."""
+        lead = " " if self.space_joins else ""
+        if not self.space_joins:
+            words = pc.ascii_lower(words)  # the normalizer would
+        cores = pc.utf8_rtrim(words, self.BEHIND)
+        once = cores.dictionary_encode()
+        names, get, core = once.dictionary.to_pylist(), self.new.get, self._core
+        known = [got if (got := get(w)) is not None else core(w, lead) if w else b"" for w in names]
+        place = np.asarray(once.indices)
+        ids = [known[j] for j in place.tolist()]
+        more = np.flatnonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(cores)).to_numpy(zero_copy_only=False))
+        plain, behind = [self._plain(w) for w in names], {}
+        for i, j, w in zip(more.tolist(), place[more].tolist(), words.take(pa.array(more)).to_pylist()):
+            if plain[j]:
+                end = w[len(names[j]):]
+                ids[i] += behind[end] if end in behind else behind.setdefault(end, core(end, ""))
+            else:
+                ids[i] = core(w, lead)
+        return ids
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut = pc.split_pattern(texts, " ") if self.space_joins else pc.ascii_split_whitespace(texts)
         at = np.asarray(cut.offsets).astype(np.int64)
         at, flat = at - at[0], cut.flatten().dictionary_encode()
-        names, place = flat.dictionary.to_pylist(), np.asarray(flat.indices)
-        get = self.word
+        place = np.asarray(flat.indices)
+        ids = self._words(flat.dictionary)
         if self.space_joins:
-            odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in names], bool)
-            ids = [b"" if o else get(" " + w) for w, o in zip(names, odd)]
+            odd = pc.or_(pc.equal(flat.dictionary, ""), pc.not_equal(flat.dictionary, pc.utf8_trim_whitespace(
+                flat.dictionary))).to_numpy(zero_copy_only=False)
             full = at[1:] > at[:-1]
             strange = np.zeros(len(texts), bool)
             if odd.any():
                 strange[full] = np.logical_or.reduceat(odd[place], at[:-1][full])
-            first = len(ids) + np.arange(len(texts))
-            for i, (w, s, f) in enumerate(zip(at[:-1], strange, full)):
-                ids.append(self._whole(texts[i].as_py()) if s else get(names[place[w]]) if f else b"")
+            heads = at[:-1][full]
+            first = len(ids) + np.arange(len(heads))
+            begin = flat.dictionary.take(pa.array(place[heads])).to_pylist()
+            for i, w in zip(np.flatnonzero(full).tolist(), begin):
+                ids.append(self._whole(texts[i].as_py()) if strange[i] else self._word(w, ""))
             place = place.copy()
-            place[at[:-1][full]] = first[full]
+            place[heads] = first
             if strange.any():  # all of such a text stands at its first word
                 none = np.repeat(strange, np.diff(at))
-                none[at[:-1][full]] = False
+                none[heads] = False
                 ids.append(b"")
                 place[none] = len(ids) - 1
-        else:
-            ids = [get(w) if w else b"" for w in names]
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         pool = np.frombuffer(b"".join(ids), "<u4")
         start = np.cumsum(size) - size
         n = size[place]
         end = np.cumsum(n)
-        out = pool[np.arange(end[-1] if len(end) else 0) - np.repeat(end - n - start[place], n)]
+        kind = np.int32 if max(len(pool), int(end[-1]) if len(end) else 0) < 2 ** 31 else np.int64
+        out = pool[np.arange(end[-1] if len(end) else 0, dtype=kind)
+                   - np.repeat((end - n - start[place]).astype(kind), n)]
         return out, np.diff(np.r_[0, end][at])
 
     def encode(self, texts: pa.Array):
