@@ -27,13 +27,14 @@ CLF_FIELDS = ("host", "client_identd", "user_id", "date_time", "method", "endpoi
 
 
 def clf_time(text: Column) -> Column:
-    """``dd/MMM/yyyy:HH:mm:ss zone`` → TIMESTAMP_NTZ (NULL when impossible)."""
+    """``dd/MMM/yyyy:HH:mm:ss zone`` → TIMESTAMP_NTZ (NULL when impossible, a
+    second of 60 included, which the function itself would carry over)."""
     month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.substring(text, 4, 3))
     return F.try_make_timestamp_ntz(
         F.substring(text, 8, 4).try_cast("int"), month.cast("int"),
         F.substring(text, 1, 2).try_cast("int"), F.substring(text, 13, 2).try_cast("int"),
         F.substring(text, 16, 2).try_cast("int"),
-        F.substring(text, 19, 2).try_cast("decimal(8,6)"))
+        F.when(F.substring(text, 19, 2) < "60", F.substring(text, 19, 2)).try_cast("decimal(8,6)"))
 
 
 def _groups(v: Column) -> Column:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The product-line and gold-line patterns and the header ids.
+# The product-line and gold-line patterns and the header ids.  An
+# input whose gold header has another first field names it by ``header_id``.
 PRODUCT_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
 GOLD_PATTERN = r"^(.+),(.+)"
 PRODUCT_HEADER_ID = '"id"'
-GOLD_HEADER_ID = '"idLeft"'
+GOLD_HEADER_ID = '"idAmazon"'
 
 
 def _status(matched, is_header):
@@ -29,30 +30,46 @@ def parse_product_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         _status(matched, g(1) == PRODUCT_HEADER_ID).alias("parse_status"))
 
 
-def parse_gold_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``(left_id, right_id, parse_status)`` with quotes removed."""
+def parse_gold_lines(lines: DataFrame, col: str = "value",
+                     header_id: str = GOLD_HEADER_ID) -> DataFrame:
+    """``(left_id, right_id, parse_status)`` with quotes removed; a line whose
+    first field is ``header_id`` is the header."""
     v = F.col(col)
     g = lambda i: F.regexp_extract(v, GOLD_PATTERN, i)
     matched = v.rlike(GOLD_PATTERN)
     return lines.select(
         F.when(matched, F.replace(g(1), F.lit('"'), F.lit(""))).alias("left_id"),
         F.when(matched, F.replace(g(2), F.lit('"'), F.lit(""))).alias("right_id"),
-        _status(matched, g(1) == GOLD_HEADER_ID).alias("parse_status"))
+        _status(matched, g(1) == F.lit(header_id)).alias("parse_status"))
 
 
 def parse_rating_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``user::item::rating::timestamp`` → (user INT, item INT, rating DOUBLE);
-    the timestamp is dropped.  Unparseable rows are filtered out."""
+    """``user::item::rating::timestamp`` → (user BIGINT, item BIGINT, rating
+    DOUBLE, parse_status); the timestamp is dropped.  Every line gives a row: one
+    whose fields are missing or no numbers is ``failed`` and keeps its text in
+    ``line``."""
     f = F.split(F.col(col), "::")
-    out = lines.select(f.getItem(0).try_cast("int").alias("user"),
-                       f.getItem(1).try_cast("int").alias("item"),
-                       f.getItem(2).try_cast("double").alias("rating"))
-    return out.dropna()
+    user, item = F.get(f, F.lit(0)).try_cast("bigint"), F.get(f, F.lit(1)).try_cast("bigint")
+    rating = F.get(f, F.lit(2)).try_cast("double")
+    good = user.isNotNull() & item.isNotNull() & rating.isNotNull() & ~F.isnan(rating)
+    return _with_status(lines, col, good, user=user, item=item, rating=rating)
 
 
 def parse_title_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``item::title::genres`` → (item INT, title STRING); genres dropped."""
+    """``item::title::genres`` → (item BIGINT, title STRING, parse_status); genres
+    are dropped.  As ratings, no line is lost."""
     f = F.split(F.col(col), "::")
-    out = lines.select(f.getItem(0).try_cast("int").alias("item"),
-                       f.getItem(1).alias("title"))
-    return out.where(F.col("item").isNotNull() & F.col("title").isNotNull())
+    item, title = F.get(f, F.lit(0)).try_cast("bigint"), F.get(f, F.lit(1))
+    return _with_status(lines, col, item.isNotNull() & title.isNotNull(), item=item, title=title)
+
+
+def _with_status(lines: DataFrame, col: str, good, **fields) -> DataFrame:
+    good = F.coalesce(good, F.lit(False))
+    return lines.select(*[F.when(good, v).alias(k) for k, v in fields.items()],
+                        F.when(good, F.lit("parsed")).otherwise(F.lit("failed")).alias("parse_status"),
+                        F.when(~good, F.col(col)).alias("line"))
+
+
+def parsed_only(rows: DataFrame) -> DataFrame:
+    """The parsed rows, without status and text."""
+    return rows.where(F.col("parse_status") == "parsed").drop("parse_status", "line")

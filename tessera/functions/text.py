@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import broadcast_if_small
+
 SPLIT_PATTERN = r"\W+"
 
 # Spark ML's default English stopword list
@@ -54,14 +56,10 @@ def tokenize(text: Column, stopwords=STOPWORDS) -> Column:
 
 
 def remove_stopwords_table(token_rows: DataFrame, stopword_table: DataFrame,
-                           token_col: str = "token", max_broadcast_rows: int = 1_000_000
+                           token_col: str = "token", max_bytes: int | None = None
                            ) -> DataFrame:
     """Stopword removal for a word list too large for a literal: exploded
-    token rows anti-joined with the list.  The list is broadcast only after
-    its row count is checked against ``max_broadcast_rows``."""
-    from tessera.session import reliable_checkpoint
-    words = reliable_checkpoint(
-        stopword_table.select(F.col(stopword_table.columns[0]).alias(token_col)))
-    if words.count() <= max_broadcast_rows:
-        words = F.broadcast(words)
-    return token_rows.join(words, token_col, "left_anti")
+    token rows anti-joined with the list, which is broadcast only within a
+    measured size."""
+    words = stopword_table.select(F.col(stopword_table.columns[0]).alias(token_col))
+    return token_rows.join(broadcast_if_small(words, max_bytes), token_col, "left_anti")

@@ -108,7 +108,7 @@ def product_lines(spark: SparkSession, part: DataFrame) -> DataFrame:
 
 
 # Gold mapping lines (S7): header plus ``"left","right"``.
-GOLD_HEADER = '"idLeft","idRight"'
+GOLD_HEADER = '"idAmazon","idRight"'
 
 
 def gold_lines(spark: SparkSession, pairs: DataFrame) -> DataFrame:
@@ -132,14 +132,14 @@ def _rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
     od = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .select(F.col("o_custkey").cast("int").alias("user"),
-                    F.col("l_partkey").cast("int").alias("item"),
+            .select(F.col("o_custkey").alias("user"),
+                    F.col("l_partkey").alias("item"),
                     (F.lit(1.0) + (F.col("l_quantity") - 1) % 5).alias("rating"),
                     "o_orderdate"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user INT, item INT, rating DOUBLE): one row per (customer, part), the
+    """(user BIGINT, item BIGINT, rating DOUBLE): one row per (customer, part), the
     mean of ``1 + (l_quantity - 1) % 5`` over that customer's order lines."""
     return (_rating_rows(spark, sf_dir).groupBy("user", "item")
             .agg(F.avg("rating").alias("rating")))
@@ -156,9 +156,9 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item INT, title STRING) from ``part``."""
+    """(item BIGINT, title STRING) from ``part``."""
     return load_table(spark, sf_dir, "part", ["p_partkey", "p_name"]).select(
-        F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
+        F.col("p_partkey").alias("item"), F.col("p_name").alias("title"))
 
 
 def title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
