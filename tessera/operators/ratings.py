@@ -2,8 +2,8 @@
 
 Statistics are grouped aggregates (partial aggregation before the shuffle).
 ALS is Spark ML's distributed block solver; predictions come from
-``ALSModel.transform`` with cold-start rows dropped.  Ids must fit in 32 bits
-(an ALS requirement).  Titles are joined without a broadcast hint: the title
+``ALSModel.transform`` with cold-start rows dropped.  Ids are 64-bit; those ALS
+cannot take are numbered densely in front of it.  Titles are joined without a broadcast hint: the title
 table grows with the catalogue, so AQE decides from its measured size.
 """
 
@@ -54,8 +54,29 @@ def sort_total_order(stats: DataFrame, ascending: bool = False) -> DataFrame:
 
 def split_ratings(ratings: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
                   seed: int = SPLIT_SEED) -> list[DataFrame]:
-    """Weighted random split (train, validation, test)."""
-    return ratings.randomSplit(list(weights), seed)
+    """Weighted split (train, validation, test).
+
+    A row's place is the md5 of seed, user and item, read as a number in [0, 1):
+    the same rows on every run, layout and engine, in one narrow pass."""
+    place = split_place(seed)
+    ends, total, out, low = [], float(sum(weights)), [], 0
+    for w in weights:
+        ends.append(round((sum(weights[:len(ends)]) + w) / total * 2 ** 32))
+    for high in ends:
+        out.append(ratings.where((place >= low) & (place < high)))
+        low = high
+    return out
+
+
+def split_place(seed: int):
+    """The first 32 bits of md5('seed:user:item')."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user").cast("string"), F.col("item").cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def rmse_of(rows: DataFrame, pred_col: str = "prediction", actual_col: str = "rating") -> DataFrame:
+    """R5 where one row holds both numbers: no join."""
+    return rows.agg(F.sqrt(F.avg(F.pow(F.col(pred_col) - F.col(actual_col), 2))).alias("rmse"))
 
 
 def rmse(predicted: DataFrame, actual: DataFrame, pred_col: str = "prediction",
@@ -63,25 +84,65 @@ def rmse(predicted: DataFrame, actual: DataFrame, pred_col: str = "prediction",
     """sqrt(mean((p − r)²)) over (user, item) pairs present in both."""
     p = predicted.select("user", "item", F.col(pred_col).alias("_p"))
     a = actual.select("user", "item", F.col(actual_col).alias("_a"))
-    return (p.join(a, ["user", "item"])
-            .agg(F.sqrt(F.avg(F.pow(F.col("_p") - F.col("_a"), 2))).alias("rmse")))
+    return rmse_of(p.join(a, ["user", "item"]), "_p", "_a")
+
+
+INT_MAX = 2 ** 31 - 1
+
+
+class Recommender:
+    """A fitted ALS model for 64-bit ids.  ALS itself wants 32-bit numbers: ids
+    beyond them are numbered densely, by one small table for users and one for
+    items; ids within them are used as they are."""
+
+    def __init__(self, model: ALSModel, users: DataFrame | None, items: DataFrame | None):
+        self.model, self.users, self.items = model, users, items
+
+
+def _numbered(ratings: DataFrame, col: str) -> DataFrame | None:
+    """(id, number) of a column, or None where its ids are 32-bit numbers."""
+    from tessera.operators.relational import number_rows
+    from tessera.session import reliable_checkpoint
+    span = ratings.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if span["lo"] is None or -INT_MAX <= span["lo"] and span["hi"] <= INT_MAX:
+        return None
+    numbered = number_rows(ratings.select(F.col(col).alias("id")).distinct(), "id")
+    return reliable_checkpoint(numbered.select("id", F.col("_rn").cast("int").alias("number")))
+
+
+def _as_numbers(rows: DataFrame, users: DataFrame | None, items: DataFrame | None) -> DataFrame:
+    for col, table in (("user", users), ("item", items)):
+        if table is None:
+            rows = rows.withColumn(f"als_{col}", F.col(col).cast("int"))
+        else:
+            rows = rows.join(table.select(F.col("id").alias(col), F.col("number").alias(f"als_{col}")), col)
+    return rows
+
+
+def als_blocks(spark, n: int, rows_per_block: int = 500_000) -> int:
+    """Blocks of the factor tables: enough for every core, and for the ratings."""
+    return max(10, spark.sparkContext.defaultParallelism, -(-n // rows_per_block))
 
 
 def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
-              reg: float = ALS_REG, seed: int = ALS_SEED) -> ALSModel:
+              reg: float = ALS_REG, seed: int = ALS_SEED) -> Recommender:
     """Fit an explicit-feedback ALS model."""
-    als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user",
-              itemCol="item", ratingCol="rating", coldStartStrategy="drop")
-    return als.fit(train)
+    users, items = _numbered(train, "user"), _numbered(train, "item")
+    blocks = als_blocks(train.sparkSession, train.count())
+    als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="als_user",
+              itemCol="als_item", ratingCol="rating", coldStartStrategy="drop",
+              numUserBlocks=blocks, numItemBlocks=blocks)
+    return Recommender(als.fit(_as_numbers(train, users, items)), users, items)
 
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Predictions for (user, item) pairs; cold-start pairs dropped."""
-    return model.transform(pairs.select("user", "item"))
+def predict(model: Recommender, pairs: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` with a prediction; cold-start pairs dropped."""
+    rows = _as_numbers(pairs, model.users, model.items)
+    return model.model.transform(rows).drop("als_user", "als_item")
 
 
 def rank_search(train: DataFrame, validation: DataFrame, ranks=ALS_RANKS,
-                parallelism: int | None = None) -> tuple[DataFrame, dict[int, ALSModel]]:
+                parallelism: int | None = None) -> tuple[DataFrame, dict[int, Recommender]]:
     """One model per rank and its validation RMSE, as (rank, rmse).
 
     The fits are independent Spark jobs, so they are submitted from up to
@@ -93,7 +154,7 @@ def rank_search(train: DataFrame, validation: DataFrame, ranks=ALS_RANKS,
         models = dict(zip(ranks, pool.map(lambda r: train_als(train, r), ranks)))
     rows = None
     for r in ranks:
-        e = rmse(predict(models[r], validation), validation).select(
+        e = rmse_of(predict(models[r], validation)).select(
             F.lit(r).alias("rank"), "rmse")
         rows = e if rows is None else rows.unionByName(e)
     return rows, models
@@ -103,27 +164,35 @@ def mean_baseline_rmse(train: DataFrame, test: DataFrame) -> DataFrame:
     """RMSE of predicting the training mean for every test pair; the
     mean is a one-row aggregate joined as a broadcast."""
     mean = train.agg(F.avg("rating").alias("train_mean")).withColumn("_k", F.lit(1))
-    pred = (test.withColumn("_k", F.lit(1)).join(F.broadcast(mean), "_k")
-            .select("user", "item", F.col("train_mean").alias("prediction")))
-    return (rmse(pred, test).withColumn("_k", F.lit(1)).join(F.broadcast(mean), "_k")
-            .select("train_mean", "rmse"))
+    return (test.withColumn("_k", F.lit(1)).join(F.broadcast(mean), "_k")
+            .agg(F.max("train_mean").alias("train_mean"),
+                 F.sqrt(F.avg(F.pow(F.col("train_mean") - F.col("rating"), 2))).alias("rmse")))
 
 
-NEW_USER_SCHEMA = T.StructType([T.StructField("item", T.IntegerType(), False),
+NEW_USER_SCHEMA = T.StructType([T.StructField("item", T.LongType(), False),
                                 T.StructField("rating", T.DoubleType(), False)])
 
 
 def new_user_ratings(ratings: DataFrame, picks: DataFrame) -> DataFrame:
     """The picked (item, rating) rows under a fresh user id, one above
     the largest id in ``ratings`` (a one-row aggregate, broadcast)."""
-    uid = ratings.agg((F.max("user") + 1).cast("int").alias("user")).withColumn("_k", F.lit(1))
+    uid = ratings.agg((F.max("user") + 1).alias("user")).withColumn("_k", F.lit(1))
     return (picks.withColumn("_k", F.lit(1)).join(F.broadcast(uid), "_k")
-            .select("user", F.col("item").cast("int").alias("item"),
+            .select("user", F.col("item").cast("bigint").alias("item"),
                     F.col("rating").cast("double").alias("rating")))
 
 
+def unrated_pairs(users: DataFrame, items: DataFrame, ratings: DataFrame) -> DataFrame:
+    """J5 on stored ratings: (user, item) of every item that each of ``users`` (a
+    few, such as those to recommend to now) has not rated: each user's missing
+    items by one left anti join on (user, item)."""
+    asked = F.broadcast(users.select("user").distinct())
+    return (items.select("item").distinct().join(asked, F.lit(True))
+            .join(ratings.select("user", "item"), ["user", "item"], "left_anti"))
+
+
 def unrated_items(items: DataFrame, user_ratings: DataFrame) -> DataFrame:
-    """Items the user has not rated (left anti join)."""
+    """J5 for one user: items the user has not rated (left anti join)."""
     return items.select("item").distinct().join(user_ratings.select("item"), "item",
                                                 "left_anti")
 

@@ -55,3 +55,21 @@ def test_split_sizes_add_up(spark):
     rows = {r["split"]: r["n"] for r in se.queries()["split_train_test"](spark, SF_SMALL).collect()}
     assert sum(rows.values()) == ratings(spark, SF_SMALL).count()
     assert rows["train"] > rows["validation"] > 0 and rows["test"] > 0
+
+
+def test_ids_beyond_32_bits(spark):
+    rt = ratings(spark, SF_SMALL).cache()
+    big = rt.select((F.col("user") + 3_000_000_000).alias("user"), (F.col("item") * -4_000_000_000).alias("item"), "rating")
+    got = R.predict(R.train_als(big, 4, iterations=1), big)
+    assert got.count() == rt.count() and set(got.columns) == {"user", "item", "rating", "prediction"}
+    unknown = spark.createDataFrame([(1, 1)], "user long, item long")
+    assert R.predict(R.train_als(big, 4, iterations=1), unknown).count() == 0
+
+
+def test_unrated_pairs_brute_force(spark):
+    rt = ratings(spark, SF_SMALL).limit(300).cache()
+    items, users = rt.select("item").distinct(), rt.select("user").distinct().orderBy("user").limit(3)
+    rated = {(r["user"], r["item"]) for r in rt.collect()}
+    want = {(u["user"], i["item"]) for u in users.collect() for i in items.collect()} - rated
+    got = [(r["user"], r["item"]) for r in R.unrated_pairs(users, items, rt).collect()]
+    assert len(got) == len(want) and set(got) == want
