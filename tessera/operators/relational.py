@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import broadcast_if_small
+
 # --- projections, filters, flattening ------------------------------------
 
 
@@ -37,27 +39,26 @@ def flat_map_range(df: DataFrame, col: str, out: str = "k") -> DataFrame:
 
 
 def partition_concat(df: DataFrame, col: str, sep: str = ",") -> DataFrame:
-    """One joined string per partition, built batch by batch with
-    Arrow inside the task (the partition is already one task's input)."""
+    """Joined strings of a partition's values, one for each Arrow batch, so
+    memory is bounded by a batch; NULL values are left out."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    def join_partition(batches):
-        pieces = []
+    def join_batches(batches):
         for b in batches:
-            arr = pc.cast(b.column(0), pa.string())
-            pieces.append(sep.join(v for v in arr.to_pylist() if v is not None))
-        if pieces:
-            text = sep.join(p for p in pieces if p)
-            yield pa.RecordBatch.from_arrays([pa.array([text])], ["joined"])
+            values = pc.drop_null(pc.cast(b.column(0), pa.string()))
+            if len(values):
+                lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([pc.binary_join(lists, sep)], ["joined"])
 
-    return df.select(F.col(col)).mapInArrow(join_partition, "joined string")
+    return df.select(F.col(col)).mapInArrow(join_batches, "joined string")
 
 
-def partition_rows(df: DataFrame, col: str) -> DataFrame:
-    """(partition index, value) rows: the flattened form of a
-    per-partition function that is given its partition index."""
-    return df.select(F.spark_partition_id().alias("partition"), F.col(col))
+def partition_summary(df: DataFrame, col: str) -> DataFrame:
+    """(partition, n, total) of every partition: a function of the partition's
+    rows that is given its index."""
+    return (df.select(F.spark_partition_id().alias("partition"), F.col(col).alias("v"))
+            .groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")))
 
 
 def map_values(df: DataFrame, key: str, value: str, f) -> DataFrame:
@@ -133,24 +134,27 @@ def largest_n(df: DataFrame, n: int, *keys: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, with_replacement: bool, seed: int,
-                order_key: str) -> DataFrame:
-    """Exactly n rows (or all rows, if fewer, without replacement).
-
-    Without replacement: the n rows with the smallest seeded random key (a
-    bounded top-k, no full sort).  With replacement: n draws of a row
-    number in [1, count], each draw joined back to the numbered rows; the
-    numbering is a range-partitioned sort by ``order_key`` plus per-partition
-    offsets, not a single-partition window."""
+                key: str) -> DataFrame:
+    """N rows (all, if fewer and without replacement), named by ``key`` and the
+    same on every run: rows are taken in order of md5('seed:key').
+
+    Without replacement these are the n first: a bounded top-n.  With replacement,
+    draw i of n repeats an earlier draw with probability (distinct so far) / N,
+    which is how n draws from N rows repeat; the others take the next row of that
+    same order.  So n rows and a count are all that leaves the table."""
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    first = df.withColumn("_r", order).orderBy("_r", key).limit(n)
     if not with_replacement:
-        return (df.withColumn("_r", F.rand(seed)).orderBy("_r", order_key).limit(n)
-                .drop("_r"))
-    numbered = number_rows(df, order_key)
+        return first.drop("_r")
+    import random
+    total, rng, picks = df.count(), random.Random(seed), []
+    for _ in range(n if total else 0):
+        fresh = len(set(picks))
+        picks.append(rng.randrange(fresh) if rng.randrange(total) < fresh else fresh)
     spark = df.sparkSession
-    total = numbered.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    draws = (spark.range(n).withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-             .select("id", (F.floor(F.rand(seed) * F.col("_n")) + 1).cast("bigint")
-                     .alias("_rn")))
-    return draws.join(numbered, "_rn").drop("_rn", "id")
+    draws = spark.createDataFrame([(p,) for p in picks], "_place int")
+    place = F.row_number().over(Window.orderBy("_r", key)) - 1   # over n rows
+    return draws.join(first.withColumn("_place", place), "_place").drop("_place", "_r")
 
 
 def number_rows(df: DataFrame, order_key: str) -> DataFrame:
@@ -174,29 +178,11 @@ def number_rows(df: DataFrame, order_key: str) -> DataFrame:
                     (F.coalesce("_off", F.lit(0)) + F.col("_local") + 1).alias("_rn")))
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """O9."""
-    return df.randomSplit(list(weights), seed)
-
-
 # --- joins ---------------------------------------------------------------
 
 
 def join_checked_broadcast(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                           max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast the small side only after counting it; above the bound
-    the join is left to the planner (sort-merge, or AQE's own broadcast).
-    The small side is checkpointed first, so the count and the join read the
-    same rows."""
-    from tessera.session import reliable_checkpoint
-    small = reliable_checkpoint(small)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
-
-def left_join_default(left: DataFrame, right: DataFrame, on, value: str,
-                      default: Column | float = 0.0) -> DataFrame:
-    """Left outer join with a default for unmatched rows."""
-    d = default if isinstance(default, Column) else F.lit(default)
-    return left.join(right, on, "left").withColumn(value, F.coalesce(F.col(value), d))
+                           max_bytes: int | None = None) -> DataFrame:
+    """Broadcast the small side only within a measured size; above it the
+    join is left to the planner (sort-merge with skew splitting)."""
+    return big.join(broadcast_if_small(small, max_bytes), on, how)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import broadcast_if_small, fits_broadcast, reliable_checkpoint
+
 NTHRESHOLDS = 100
 
 
@@ -21,71 +23,65 @@ def _raw_split(text_col: str):
 
 
 def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
-                      text_col: str = "text", chunk_rows: int = 10_000,
-                      max_broadcast_rows: int = 200_000) -> DataFrame:
+                      text_col: str = "text", max_bytes: int | None = None) -> DataFrame:
     """(left_id, right_id) where right text contains the whole left text.
 
-    Candidates come from an equi-join on one *interior* token of the left
-    text: a run of word characters bounded by non-word characters inside the
-    left text.  If the right text contains the left text, it contains that
-    run as a whole token, so no true pair is missed.  Per left record the
-    interior token with the fewest right documents is used.
-
-    The chosen anchors (one row per left record) are written once to the
-    shared checkpoint folder; their document frequencies then give the exact
-    number of candidate pairs before any candidate is built.  When anchors
-    and candidates are within ``max_broadcast_rows`` they are broadcast and
-    the right table is only streamed (its text is never shuffled);
-    otherwise both joins are shuffle joins.
-
-    Left records without an interior token (one or two word runs) are
-    checked against all right records by nested-loop joins in hash chunks of
-    about ``chunk_rows`` rows, each chunk broadcast: exact, and each
-    broadcast is bounded."""
-    from tessera.session import reliable_checkpoint
-    lt = left.select(F.col(left_id).alias("left_id"), F.col(text_col).alias("ltext"))
-    rt = right.select(F.col(right_id).alias("right_id"), F.col(text_col).alias("rtext"))
+    Candidates come from an equi-join on one key that the right text must hold:
+
+    * an *interior* token of the left text, a run of word characters between
+      non-word characters inside it: the right text has that run as a whole token;
+    * for a left text without one, one of its runs of three characters (of all its
+      characters, if it has one or two).
+
+    Of each left record's keys the one with the fewest right documents is used; a
+    key that no document has ends the search for that record.  Candidates are ids
+    only; texts are joined once at the end and compared with ``instr``, so the
+    answer is exact.  A side is broadcast where its measured bytes allow; otherwise
+    it is a shuffle join, whose skewed partitions Spark splits.  An empty left text
+    is in every right text: these pairs are dealt over ``_SALTS`` keys."""
+    lt = left.select(F.col(left_id).alias("left_id"), F.col(text_col).alias("ltext")).where("ltext is not null")
+    rt = right.select(F.col(right_id).alias("right_id"), F.col(text_col).alias("rtext")).where("rtext is not null")
     parts = _raw_split("ltext")
-    lt = lt.withColumn("interior",
-                       F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))),
-                                lambda t: t != ""))
-    posting = rt.select("right_id", F.explode(F.array_distinct(
-        F.filter(_raw_split("rtext"), lambda t: t != ""))).alias("token"))
-    doc_freq = posting.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    anchored = lt.where(F.size("interior") > 0)
-    anchors = reliable_checkpoint(
-        anchored.select("left_id", "ltext", F.explode(F.array_distinct("interior")).alias("token"))
-        .join(doc_freq, "token", "left")
-        .groupBy("left_id", "ltext")
-        # a token no right document has → that left record matches nothing
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token")).alias("best"))
-        .where(F.col("best.df") > 0)
-        .select("left_id", "ltext", F.col("best.token").alias("token"),
-                F.col("best.df").alias("df")))
-    sizes = anchors.agg(F.count(F.lit(1)).alias("n"), F.sum("df").alias("pairs")).first()
-    n_anchors, n_pairs = sizes["n"], sizes["pairs"] or 0
-    small = n_anchors <= max_broadcast_rows and n_pairs <= max_broadcast_rows
-    a = anchors.select("left_id", "ltext", "token")
-    cand = posting.join(F.broadcast(a) if small else a, "token")
-    hit = F.instr("rtext", F.col("ltext")) > 0
-    if small:
-        matched = rt.join(F.broadcast(cand.select("left_id", "right_id", "ltext")),
-                          "right_id").where(hit)
-    else:
-        matched = cand.join(rt, "right_id").where(hit)
-    matched = matched.select("left_id", "right_id")
-    loose = lt.where(F.size("interior") == 0).select("left_id", "ltext")
-    n_loose = loose.count()
-    if n_loose == 0:
-        return matched
-    chunks = max(1, -(-n_loose // chunk_rows))
-    out = matched
-    for c in range(chunks):
-        part = loose.where(F.pmod(F.xxhash64("left_id"), F.lit(chunks)) == c)
-        found = (rt.join(F.broadcast(part), F.instr("rtext", F.col("ltext")) > 0)
-                 .select("left_id", "right_id"))
-        out = out.unionByName(found)
-    return out
+    interior = F.array_distinct(F.filter(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda t: t != ""))
+    lt = reliable_checkpoint(lt.withColumn("keys", interior))
+    tokens = F.array_distinct(F.filter(_raw_split("rtext"), lambda t: t != ""))
+    found = _candidates(lt.where(F.size("keys") > 0), rt, tokens, max_bytes)
+    loose = lt.where((F.size("keys") == 0) & (F.length("ltext") > 0))
+    for k in [r["k"] for r in loose.select(F.least(F.length("ltext"), F.lit(3)).alias("k")).distinct().collect()]:
+        some = loose.where(F.least(F.length("ltext"), F.lit(3)) == k).withColumn("keys", _grams("ltext", k))
+        found = found.unionByName(_candidates(some, rt, _grams("rtext", k), max_bytes))
+    texts = broadcast_if_small(lt.select("left_id", "ltext"), max_bytes)
+    with_right = rt.join(broadcast_if_small(found, max_bytes), "right_id")
+    pairs = with_right.join(texts, "left_id").where(F.instr("rtext", F.col("ltext")) > 0).select("left_id", "right_id")
+    empty = lt.where(F.length("ltext") == 0).select(
+        "left_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    if empty.isEmpty():
+        return pairs
+    dealt = rt.select("right_id", F.pmod(F.xxhash64("right_id"), F.lit(_SALTS)).cast("int").alias("salt"))
+    return pairs.unionByName(dealt.join(empty, "salt").select("left_id", "right_id"))
+
+
+_SALTS = 256
+
+
+def _grams(text_col: str, k: int):
+    """The distinct runs of ``k`` characters of a text."""
+    t = F.col(text_col)
+    starts = F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1)))
+    return F.when(F.length(t) >= k, F.array_distinct(F.transform(starts, lambda i: F.substring(t, i, F.lit(k))))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def _candidates(lt: DataFrame, rt: DataFrame, right_keys, max_bytes: int) -> DataFrame:
+    """(left_id, right_id) where the right record holds the left record's rarest key."""
+    wanted = broadcast_if_small(lt.select(F.explode("keys").alias("key")).distinct(), max_bytes)
+    posting = reliable_checkpoint(rt.select("right_id", F.explode(right_keys).alias("key")).join(wanted, "key"))
+    doc_freq = posting.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    rarest = (lt.select("left_id", F.explode("keys").alias("key")).join(doc_freq, "key", "left")
+              .groupBy("left_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key")).alias("best"))
+              .where(F.col("best.df") > 0).select("left_id", F.col("best.key").alias("key")))
+    return posting.join(broadcast_if_small(rarest, max_bytes), "key").select("left_id", "right_id")
 
 
 def label_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -100,37 +96,33 @@ def label_pairs(sims: DataFrame, gold: DataFrame) -> DataFrame:
                     F.coalesce("is_gold", F.lit(False)).alias("is_gold")))
 
 
-def _labelled(sims: DataFrame, gold: DataFrame, max_broadcast_rows: int):
+def _labelled(sims: DataFrame, gold: DataFrame, max_bytes: int):
     """(labelled pairs, number of gold pairs or None).
 
-    The gold pairs are written once to the shared checkpoint folder and
-    counted.  Under ``max_broadcast_rows`` they are broadcast against the
-    streamed scores (no shuffle of the scores), and only scored pairs are
-    labelled; unscored gold pairs are then known by count alone (score 0).
-    Otherwise a full outer join labels both, and the count is not needed."""
-    from tessera.session import reliable_checkpoint
+    The gold pairs are written once to the shared folder and measured.  Within
+    ``max_bytes`` they are broadcast against the streamed scores (no shuffle of the
+    scores), and only scored pairs are labelled; unscored gold pairs are then known
+    by count alone (score 0).  Otherwise a full outer join labels both, and the
+    count is not needed."""
     keys = ["left_id", "right_id"]
     g = reliable_checkpoint(gold.select(*keys))
-    n_gold = g.count()
-    if n_gold > max_broadcast_rows:
+    if not fits_broadcast(g, max_bytes):
         return label_pairs(sims, g), None
     flagged = F.broadcast(g.withColumn("is_gold", F.lit(True)))
     lab = (sims.select(*keys, "cosine").join(flagged, keys, "left")
            .select(*keys, "cosine", F.lit(True).alias("scored"),
                    F.coalesce("is_gold", F.lit(False)).alias("is_gold")))
-    return lab, n_gold
+    return lab, g.count()
 
 
-def gold_evaluation(sims: DataFrame, gold: DataFrame,
-                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Number of scored gold pairs, mean score of those, and mean score
-    of scored pairs that are not gold (J2, J4, A15) in one aggregate."""
-    j, _ = _labelled(sims, gold, max_broadcast_rows)
-    dup = F.col("scored") & F.col("is_gold")
-    non = F.col("scored") & ~F.col("is_gold")
-    return j.agg(F.count_if(dup).alias("true_dups"),
-                 F.avg(F.when(dup, F.col("cosine"))).alias("avg_sim_dups"),
-                 F.avg(F.when(non, F.col("cosine"))).alias("avg_sim_non_dups"))
+def gold_cosines(unit: DataFrame, gold: DataFrame) -> DataFrame:
+    """(left_id, right_id, cosine) of the gold pairs that share a token, from
+    gold ⋈ left postings ⋈ right postings: no other pair is scored."""
+    side = lambda s, key, v: unit.where(F.col("side") == s).select(
+        F.col("id").alias(key), "token", F.col("u").alias(v))
+    return (gold.select("left_id", "right_id").join(side("L", "left_id", "a"), "left_id")
+            .join(side("R", "right_id", "b"), ["right_id", "token"])
+            .groupBy("left_id", "right_id").agg(F.sum(F.col("a") * F.col("b")).alias("cosine")))
 
 
 def gold_scores(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -140,6 +132,27 @@ def gold_scores(sims: DataFrame, gold: DataFrame) -> DataFrame:
             .select(*keys, F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 
 
+def gold_evaluation(unit: DataFrame, gold: DataFrame, n_left: DataFrame, n_right: DataFrame) -> DataFrame:
+    """The number of gold pairs, their mean cosine, and the mean cosine of all
+    other left × right pairs, zeros included.
+
+    No pair is formed for the last one: the cosines of the whole product sum to
+    Σ_token (Σ_left u)(Σ_right u), so it is that sum less the gold pairs' over
+    |left|·|right| − |gold|.  ``n_left`` and ``n_right`` are one-row counts ``n``."""
+    k = F.lit(1).alias("_k")
+    per_token = unit.groupBy("token").agg(F.sum(F.when(F.col("side") == "L", F.col("u"))).alias("l"),
+                                          F.sum(F.when(F.col("side") == "R", F.col("u"))).alias("r"))
+    total = per_token.agg(F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0.0)).alias("total")).select("*", k)
+    own = gold_scores(gold_cosines(unit, gold), gold).agg(
+        F.count(F.lit(1)).alias("true_dups"), F.coalesce(F.sum("cosine"), F.lit(0.0)).alias("own")).select("*", k)
+    one = own
+    for part in (total, n_left.select(F.col("n").alias("nl"), k), n_right.select(F.col("n").alias("nr"), k)):
+        one = one.join(F.broadcast(part), "_k")
+    others = F.col("nl").cast("double") * F.col("nr") - F.col("true_dups")
+    return one.select("true_dups", F.try_divide(F.col("own"), F.col("true_dups")).alias("avg_sim_dups"),
+                      F.try_divide(F.col("total") - F.col("own"), others).alias("avg_sim_non_dups"))
+
+
 def score_bin(score) -> F.Column:
     """``int(score * 100)``; scores are non-negative so truncation is
     floor; a score above 1 by rounding is kept in the last bin."""
@@ -154,13 +167,13 @@ def thresholds_below_or_at(score) -> F.Column:
 
 
 def _sweep_counts(sims: DataFrame, gold: DataFrame,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  max_bytes: int | None = None) -> DataFrame:
     """One row holding at most 2 × 101 (kind, bucket, n) counts:
     kind 'f' = scored non-gold pairs per score bin (possible false
     positives; gold pairs that were scored are left out, unscored ones never
     entered), kind 'g' = gold pairs per k(score), unscored gold scoring 0.
     The row is bounded by construction, whatever the data size."""
-    j, n_gold = _labelled(sims, gold, max_broadcast_rows)
+    j, n_gold = _labelled(sims, gold, max_bytes)
     kind = F.when(F.col("is_gold"), F.lit("g")).otherwise(F.lit("f"))
     bucket = (F.when(F.col("is_gold"),
                      thresholds_below_or_at(F.coalesce("cosine", F.lit(0.0))))
@@ -184,23 +197,30 @@ def _sum_where(pred) -> F.Column:
                        lambda acc, x: acc + x["n"])
 
 
-def similarity_bins(sims: DataFrame, gold: DataFrame,
-                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Per bin 0..100, scored pairs minus scored gold pairs."""
-    one = _sweep_counts(sims, gold, max_broadcast_rows)
-    return (one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS))).alias("bin"), "c")
+def first_threshold(min_similarity: float) -> int:
+    """The first n with n / 100 at or above the similarity that pairs were joined
+    at: below it, pairs are missing by design and nothing is reported."""
+    return next(n for n in range(NTHRESHOLDS + 1) if n / NTHRESHOLDS >= min_similarity)
+
+
+def similarity_bins(sims: DataFrame, gold: DataFrame, min_similarity: float = 0.0,
+                    max_bytes: int | None = None) -> DataFrame:
+    """Per bin from ``min_similarity`` to 100, scored pairs minus scored gold pairs."""
+    one = _sweep_counts(sims, gold, max_bytes)
+    return (one.select(F.explode(F.sequence(F.lit(first_threshold(min_similarity)), F.lit(NTHRESHOLDS))).alias("bin"), "c")
             .select("bin", _sum_where(lambda x: (x["kind"] == "f") & (x["b"] == F.col("bin")))
                     .alias("fp")))
 
 
-def threshold_counts(sims: DataFrame, gold: DataFrame,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Per threshold t = n/100 (n = 0..99): false positives (binned
-    scores in bins >= n), false negatives (gold scores < t, exact) and true
-    positives (gold pairs - false negatives)."""
-    one = _sweep_counts(sims, gold, max_broadcast_rows)
+def threshold_counts(sims: DataFrame, gold: DataFrame, min_similarity: float = 0.0,
+                     max_bytes: int | None = None) -> DataFrame:
+    """Per threshold t = n/100 (up to 99, from the ``min_similarity`` that
+    ``sims`` were joined at): false positives (binned scores in bins >= n), false
+    negatives (gold scores < t, exact) and true positives (gold pairs - false
+    negatives)."""
+    one = _sweep_counts(sims, gold, max_bytes)
     n = F.col("n")
-    per_t = one.select(F.explode(F.sequence(F.lit(0), F.lit(NTHRESHOLDS - 1))).alias("n"), "c")
+    per_t = one.select(F.explode(F.sequence(F.lit(first_threshold(min_similarity)), F.lit(NTHRESHOLDS - 1))).alias("n"), "c")
     fp = _sum_where(lambda x: (x["kind"] == "f") & (x["b"] >= n))
     fn = _sum_where(lambda x: (x["kind"] == "g") & (x["b"] <= n))
     n_gold = _sum_where(lambda x: x["kind"] == "g")

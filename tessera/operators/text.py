@@ -11,14 +11,11 @@ collected and broadcast from the driver:
 * ``tfidf``           postings joined with IDF on token (IDF checkpointed,
                       counted, broadcast only under a bound)
 * ``unit_weights``    weight / norm, the norm a window over one document
-* ``pair_scores``     postings joined on (token, salt); sum of products per pair
-
-A token present in a large share of documents makes the posting join skewed.
-When the left postings are few (counted after a checkpoint) they are
-broadcast and the right postings are streamed, so there is no skew.  Otherwise
-``pair_scores`` splits hot tokens: the right side's postings of a hot token are
-spread over ``buckets`` salts by document id and the (smaller) left side's
-postings are replicated to every salt, so no single task holds the whole list.
+* ``cosine_inverted`` exact similarity join at a threshold, on rare-token prefixes
+* ``pair_products``   the products of given pairs only
+
+Frequent tokens carry little weight, so they fall out of the prefixes: the join
+needs no salting, and nothing grows with the product of both tables.
 """
 
 from __future__ import annotations
@@ -27,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize, tokenize
+from tessera.session import broadcast_if_small, broadcast_limit, fits_broadcast, reliable_checkpoint
 
 LEFT, RIGHT = "L", "R"
 
@@ -120,38 +118,36 @@ def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
 
 
 def tfidf(tokens: DataFrame, idf: DataFrame | None = None,
-          max_broadcast_rows: int = 1_000_000) -> DataFrame:
+          max_bytes: int | None = None) -> DataFrame:
     """(…, id, token, w = tf * idf, n_docs).  ``idf`` defaults to the IDF
     of ``tokens`` itself; a token outside the IDF table is dropped.
 
     The IDF table (one row per distinct token) is written once to the shared
-    checkpoint folder and counted.  Under ``max_broadcast_rows`` it is
-    broadcast and the postings are joined where they are, with no shuffle.
-
-    A larger vocabulary is split by document frequency.  With P postings in
-    all (the sum of ``n_docs``) and h = ceil(P / max_broadcast_rows), fewer
-    than ``max_broadcast_rows`` tokens can have more than h postings, so
-    those hot tokens are broadcast (a proven bound).  Every other token has at
-    most h postings, so the shuffle join on them cannot be skewed.  Hot rows
-    are sent to that shuffle under a unique key that matches nothing, so they
-    spread evenly too: one pass, exact."""
-    from tessera.session import reliable_checkpoint
+    folder and measured.  Within ``max_bytes`` it is broadcast and the postings are
+    joined where they are, with no shuffle.
+
+    A larger vocabulary is split by document frequency.  With P postings in all
+    (the sum of ``n_docs``), R rows that fit and h = ceil(P / R), fewer than R
+    tokens can have more than h postings; those hot tokens are broadcast (measured
+    again).  Every other token has at most h postings, so the shuffle join on them
+    cannot be skewed.  Hot rows are sent to that shuffle under a unique key that
+    matches nothing, so they spread evenly too: one pass, exact."""
     if idf is None:
         idf = reliable_checkpoint(idf_weights(tokens))
     tf = term_frequency(tokens)
     keys = _keys(tokens)
-    if idf.count() <= max_broadcast_rows:
+    if fits_broadcast(idf, max_bytes):
         return (tf.join(F.broadcast(idf), "token")
                 .select(*keys, "token", (F.col("tf") * F.col("idf")).alias("w"), "n_docs"))
     total = idf.agg(F.sum("n_docs")).first()[0]
-    h = -(-total // max_broadcast_rows)
+    h = -(-total // max(1, broadcast_limit(idf, max_bytes) // 128))
     hot = idf.where(F.col("n_docs") > h).select(
         "token", F.col("n_docs").alias("_hn"), F.col("idf").alias("_hidf"))
     cold = idf.where(F.col("n_docs") <= h).select(
         F.col("token").alias("_key"), F.col("n_docs").alias("_cn"), F.col("idf").alias("_cidf"))
     # tokens are runs of word characters, so a key starting with \u0000 matches none
     spread_key = F.concat(F.lit("\u0000"), *[F.col(k).cast("string") for k in keys], F.col("token"))
-    labelled = (tf.join(F.broadcast(hot), "token", "left")
+    labelled = (tf.join(broadcast_if_small(hot, max_bytes), "token", "left")
                 .withColumn("_key", F.when(F.col("_hidf").isNull(), F.col("token"))
                             .otherwise(spread_key)))
     joined = labelled.join(cold, "_key", "left")
@@ -180,69 +176,40 @@ def inverted_index(weights: DataFrame) -> DataFrame:
     return weights.select("token", *_keys(weights))
 
 
-def _salted(left: DataFrame, right: DataFrame, hot_docs: int, max_salt: int):
-    """Add a salt column: right rows get ``id mod buckets``; left rows are
-    replicated to every bucket of their token.  ``buckets`` grows with the
-    token's document count (``n_docs``), one bucket per ``hot_docs`` docs."""
-    buckets = F.least(F.lit(max_salt),
-                      F.lit(1) + F.floor(F.col("n_docs") / F.lit(hot_docs))).cast("int")
-    r = right.withColumn("salt", F.pmod(F.xxhash64("id"), buckets).cast("int"))
-    l = left.withColumn("salt", F.explode(F.sequence(F.lit(0), buckets - 1)))
-    return l, r
-
-
-def _posting_join(weights: DataFrame, value: str | None, hot_docs: int, max_salt: int,
-                  max_broadcast_rows: int) -> DataFrame:
-    """Left postings joined with right postings on token: (left_id,
-    right_id, token[, a, b]).
-
-    The left postings are written once to the shared checkpoint folder and
-    counted.  Under ``max_broadcast_rows`` they are broadcast and the right
-    postings are streamed where they are: no shuffle, and a hot token's right
-    postings stay spread over all partitions.  Otherwise both sides are
-    salted for hot tokens and shuffle-joined on (token, salt)."""
-    from tessera.session import reliable_checkpoint
-    vals = [value] if value else []
-    cols = ["id", "token", "n_docs"] + vals
-    left = reliable_checkpoint(weights.where(F.col("side") == LEFT).select(*cols))
-    right = weights.where(F.col("side") == RIGHT).select(*cols)
-    lv = [F.col(value).alias("a")] if value else []
-    rv = [F.col(value).alias("b")] if value else []
-    if left.count() <= max_broadcast_rows:
-        l = left.select(F.col("id").alias("left_id"), "token", *lv)
-        r = right.select(F.col("id").alias("right_id"), "token", *rv)
-        return r.join(F.broadcast(l), "token")
-    l, r = _salted(left, right, hot_docs, max_salt)
-    return (l.select(F.col("id").alias("left_id"), "token", "salt", *lv)
-            .join(r.select(F.col("id").alias("right_id"), "token", "salt", *rv),
-                  ["token", "salt"]))
-
-
-def pair_scores(weights: DataFrame, value: str = "u", hot_docs: int = 100_000,
-                max_salt: int = 512, max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """(left_id, right_id, score = Σ left.value × right.value) over
-    the tokens each left/right pair shares; only pairs sharing a token.
-    ``weights`` needs side, id, token, n_docs and ``value``."""
-    joined = _posting_join(weights, value, hot_docs, max_salt, max_broadcast_rows)
-    return (joined.groupBy("left_id", "right_id")
-            .agg(F.sum(F.col("a") * F.col("b")).alias("score")))
-
-
-def shared_tokens(weights: DataFrame, hot_docs: int = 100_000, max_salt: int = 512,
-                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Per left/right pair, the tokens they share (sorted, blank-
-    joined) and how many.  One pair's list is bounded by the shorter record."""
-    joined = _posting_join(weights, None, hot_docs, max_salt, max_broadcast_rows)
-    return (joined.groupBy("left_id", "right_id")
-            .agg(F.count(F.lit(1)).alias("n_shared"),
-                 F.array_join(F.sort_array(F.collect_list("token")), " ")
-                 .alias("shared_tokens")))
-
-
-def cosine_inverted(weights: DataFrame, **salt) -> DataFrame:
-    """Cosine similarity of every left/right pair that shares a token."""
-    return (pair_scores(unit_weights(weights), "u", **salt)
-            .withColumnRenamed("score", "cosine"))
+def cosine_inverted(weights: DataFrame, min_similarity: float) -> DataFrame:
+    """Every left/right pair with cosine of ``min_similarity`` or more, exact.
+
+    Tokens are ordered from rare to frequent.  Of a record only the prefix is
+    indexed: its tokens up to where what remains has a norm below the threshold.
+    If the first token that two records share lay behind either prefix, their
+    product would be at most that remainder's norm (Cauchy–Schwarz), so every pair
+    sought shares a prefix token.  Candidates from prefix ⋈ prefix are then scored
+    over all their tokens.  Frequent tokens carry little weight and fall out of the
+    prefixes, so the join neither is skewed by them nor grows with left × right."""
+    unit = reliable_checkpoint(unit_weights(weights).where("u is not null"))
+    rest = (Window.partitionBy(*_keys(unit)).orderBy(F.desc("n_docs"), F.desc("token"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    prefix = unit.withColumn("rest", F.sqrt(F.sum(F.col("u") * F.col("u")).over(rest))) \
+        .where(F.col("rest") >= min_similarity - 1e-9)
+    side = lambda df, s, key, *v: df.where(F.col("side") == s).select(F.col("id").alias(key), "token", *v)
+    found = side(prefix, LEFT, "left_id").join(side(prefix, RIGHT, "right_id"), "token") \
+        .select("left_id", "right_id").distinct()
+    scored = (found.join(side(unit, LEFT, "left_id", F.col("u").alias("a")), "left_id")
+              .join(side(unit, RIGHT, "right_id", F.col("u").alias("b")), ["right_id", "token"])
+              .groupBy("left_id", "right_id").agg(F.sum(F.col("a") * F.col("b")).alias("cosine")))
+    return scored.where(F.col("cosine") >= min_similarity)
+
+
+def pair_products(weights: DataFrame, pairs: DataFrame, value: str = "w") -> DataFrame:
+    """E7/J8/E12 for given pairs: (left_id, right_id, dot, n_shared,
+    shared_tokens) over the tokens that each pair shares."""
+    side = lambda s, key, v: weights.where(F.col("side") == s).select(
+        F.col("id").alias(key), "token", F.col(value).alias(v))
+    return (pairs.select("left_id", "right_id").join(side(LEFT, "left_id", "a"), "left_id")
+            .join(side(RIGHT, "right_id", "b"), ["right_id", "token"])
+            .groupBy("left_id", "right_id").agg(
+                F.sum(F.col("a") * F.col("b")).alias("dot"), F.count(F.lit(1)).alias("n_shared"),
+                F.array_join(F.sort_array(F.collect_list("token")), " ").alias("shared_tokens")))
 
 
 def text_weights(left: DataFrame, left_id: str, right: DataFrame, right_id: str

@@ -3,14 +3,13 @@
 Cluster jobs must never write to a machine-local temporary folder: executors
 can be lost and another machine must be able to read what was written.  Every
 file this library writes goes under ``spark.checkpoint.dir`` (the shared folder
-the cluster names), which is read from the session.  Only when it is unset,
-as in local tests, do we pick one ourselves.
+the cluster names), which is read from the session.  Only when it is unset and
+the master is one machine, as in tests, it is a folder below the warehouse.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,6 +30,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go with the last reference to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -63,8 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder every "
                                "executor can reach (HDFS, object store)")
-        # Local runs and tests only: one machine, so a local folder is shared.
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        # One machine: the warehouse folder is where its tables lie already.
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -85,3 +86,40 @@ def reliable_checkpoint(df):
     whole plan).  Never ``localCheckpoint``: that lives on executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def measured_bytes(df) -> int:
+    """Bytes of ``df``'s rows, counted in one aggregate: 16 for each value and row,
+    and what strings and arrays of strings hold."""
+    from pyspark.sql import functions as F
+    size = F.lit(16 * (len(df.columns) + 1)).cast("bigint")
+    for c, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+        elif kind not in ("bigint", "int", "double", "float", "boolean", "smallint", "tinyint", "date"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0))
+    return df.agg(F.sum(size).alias("b")).first()["b"] or 0
+
+
+def broadcast_limit(df, max_bytes: int | None = None) -> int:
+    """``max_bytes``, or else the session's ``tessera.broadcast.maxBytes``."""
+    if max_bytes is not None:
+        return max_bytes
+    return int(df.sparkSession.conf.get("tessera.broadcast.maxBytes", str(MAX_BROADCAST_BYTES)))
+
+
+def fits_broadcast(df, max_bytes: int | None = None) -> bool:
+    """Whether the measured bytes of ``df`` (stored, as it is read again) are few."""
+    return measured_bytes(df) <= broadcast_limit(df, max_bytes)
+
+
+def broadcast_if_small(df, max_bytes: int | None = None):
+    """The one rule for broadcasts: ``df`` is written to the shared folder, its
+    bytes are counted, and only within the limit is it marked for broadcast;
+    otherwise the join stays a shuffle join."""
+    from pyspark.sql import functions as F
+    df = reliable_checkpoint(df)
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

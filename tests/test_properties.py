@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import ratings as R
 from tessera.operators import relational as P
+from tessera.operators import resolution as ER
 from tessera.operators import text as E
 from tessera.operators.resolution import containment_pairs
 from tessera.sources.tables import load_table
@@ -13,14 +14,14 @@ from conftest import SF_SMALL
 
 
 def test_split_disjoint_and_complete(spark):
-    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    df = spark.range(0, 5000).selectExpr("id as k", "id % 70 as user", "id as item")
     parts = R.split_ratings(df)
     sizes = [p.count() for p in parts]
     assert sum(sizes) == 5000
     ids = [set(r["k"] for r in p.collect()) for p in parts]
     assert not (ids[0] & ids[1]) and not (ids[0] & ids[2]) and not (ids[1] & ids[2])
-    again = [p.count() for p in R.split_ratings(df)]
-    assert again == sizes
+    again = [p.count() for p in R.split_ratings(df.repartition(7))]
+    assert again == sizes and abs(sizes[0] - 3000) < 150 and abs(sizes[1] - 1000) < 120
 
 
 def test_sample_exact_size_and_seeded(spark):
@@ -40,23 +41,50 @@ def test_number_rows_dense(spark):
     assert got == list(range(1, 3001))
 
 
-def _pairs(df):
-    return sorted((r["left_id"], r["right_id"], round(r["score"], 9)) for r in df.collect())
+def _unit_vectors(w):
+    vec = {}
+    for r in E.unit_weights(w).collect():
+        vec.setdefault((r["side"], r["id"]), {})[r["token"]] = r["u"]
+    return vec
 
 
-def test_salted_pair_join_matches_unsalted(spark):
+def _dot(a, b):
+    return sum(u * b[t] for t, u in a.items() if t in b)
+
+
+def test_similarity_join_is_exact(spark):
+    b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
+    d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
+    w = E.text_weights(b, "item_id", d, "doc_id")
+    vec = _unit_vectors(w)
+    left, right = ({i: v for (s, i), v in vec.items() if s == side} for side in "LR")
+    for t in (0.05, 0.3, 0.0):
+        got = {(r["left_id"], r["right_id"]): r["cosine"] for r in E.cosine_inverted(w, t).collect()}
+        want = {(i, j): c for i, a in left.items() for j, x in right.items()
+                if set(a) & set(x) and (c := _dot(a, x)) >= t}
+        assert {k for k in got} == {k for k in want if want[k] >= t}
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in got) and got
+
+
+def test_gold_evaluation_by_definition(spark):
     b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
     d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
     w = E.text_weights(b, "item_id", d, "doc_id")
-    plain = _pairs(E.pair_scores(w, "w"))                              # broadcast path
-    shuffled = _pairs(E.pair_scores(w, "w", max_broadcast_rows=0))     # shuffle join
-    salted = _pairs(E.pair_scores(w, "w", hot_docs=3, max_salt=16, max_broadcast_rows=0))
-    assert plain == shuffled == salted and len(plain) > 0
+    vec = _unit_vectors(w)
+    items, docs = ([r[0] for r in x.select(c).collect()] for x, c in ((b, "item_id"), (d, "doc_id")))
+    scores = {(i, j): _dot(vec.get(("L", i), {}), vec.get(("R", j), {})) for i in items for j in docs}
+    pairs = [(items[0], docs[0]), (items[1], docs[5]), (items[2], docs[9]), (items[3], docs[40])]
+    gold = spark.createDataFrame(pairs, "left_id long, right_id long")
+    n = [x.agg(F.count(F.lit(1)).alias("n")) for x in (b, d)]
+    row = ER.gold_evaluation(E.unit_weights(w), gold, *n).first()
+    own = [scores.pop(p) for p in pairs]
+    assert row["true_dups"] == 4 and abs(row["avg_sim_dups"] - sum(own) / 4) < 1e-12
+    assert abs(row["avg_sim_non_dups"] - sum(scores.values()) / len(scores)) < 1e-12
 
 
 def test_containment_pairs_brute_force(spark):
     left = spark.createDataFrame(
-        [(1, "quick brown fox"), (2, "fox"), (3, "n fox"), (4, "zzz qqq www"), (5, ".brown f"),
+        [(1, "quick brown fox"), (2, "fox"), (3, "n fox"), (4, "zzz qqq www"), (5, ".brown f"), (7, "ox"), (8, "a"), (9, "own fo"), (12, "!"),
          (6, "")],
         "item_id long, text string")
     right = spark.createDataFrame(
@@ -65,9 +93,10 @@ def test_containment_pairs_brute_force(spark):
     lrows, rrows = left.collect(), right.collect()
     want = sorted((a["item_id"], b["doc_id"]) for a in lrows for b in rrows
                   if a["text"] in b["text"])
-    for bound in (200_000, 0):          # broadcast path and shuffle-join path
-        got = sorted(tuple(r) for r in containment_pairs(
-            left, "item_id", right, "doc_id", chunk_rows=2, max_broadcast_rows=bound).collect())
+    for bound in (1 << 20, 0):          # broadcast path and shuffle-join path
+        found = containment_pairs(left, "item_id", right, "doc_id", max_bytes=bound)
+        assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in found.collect())
         assert got == want
 
 
@@ -89,22 +118,21 @@ def test_tfidf_split_join_matches_broadcast(spark):
         return sorted((r["side"], r["id"], r["token"], round(r["w"], 9), r["n_docs"])
                       for r in df.collect())
     small = rows(E.tfidf(toks))                             # IDF broadcast whole
-    split = rows(E.tfidf(toks, max_broadcast_rows=50))     # hot tokens broadcast, rest shuffled
+    split = rows(E.tfidf(toks, max_bytes=50 * 128))     # hot tokens broadcast, rest shuffled
     assert small == split and len(small) > 0
 
 
 def test_gold_paths_agree_on_data(spark):
-    from tessera.operators import resolution as ER
     from tessera.sources.views import gold_pairs
     b = load_table(spark, SF_SMALL, "benchmark", ["item_id", "text"])
     d = load_table(spark, SF_SMALL, "documents", ["doc_id", "text"])
-    sims = E.cosine_inverted(E.text_weights(b, "item_id", d, "doc_id"))
+    sims = E.cosine_inverted(E.text_weights(b, "item_id", d, "doc_id"), 0.02)
     gold = gold_pairs(spark, SF_SMALL)
-    for fn in (ER.gold_evaluation, ER.threshold_counts):
+    for fn in (ER.similarity_bins, ER.threshold_counts):
         a = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
                    for r in fn(sims, gold).collect())
         z = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-                   for r in fn(sims, gold, 0).collect())
+                   for r in fn(sims, gold, max_bytes=0).collect())
         assert a == z and len(a) > 0
 
 
@@ -112,7 +140,7 @@ def test_checked_broadcast_paths_agree(spark):
     od = load_table(spark, SF_SMALL, "orders", ["o_orderkey", "o_custkey"])
     li = load_table(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_partkey"])
     key = li.l_orderkey == od.o_orderkey
-    a = P.join_checked_broadcast(li, od, key, max_rows=10**9)
-    z = P.join_checked_broadcast(li, od, key, max_rows=0)
+    a = P.join_checked_broadcast(li, od, key, max_bytes=10**12)
+    z = P.join_checked_broadcast(li, od, key, max_bytes=0)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(a) == rows(z) and len(rows(a)) == li.count()
