@@ -8,7 +8,7 @@ as TakeOrderedAndProject (a bounded per-partition heap); ties break by key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.clf import parse_clf, parsed_logs
@@ -49,12 +49,11 @@ def response_code_counts(logs: DataFrame) -> DataFrame:
 
 
 def response_code_share(logs: DataFrame) -> DataFrame:
-    """Requests and share of all requests per code.  The one-row
-    total is joined on a constant key as a broadcast: its size is one row."""
-    counts = response_code_counts(logs).withColumn("_k", F.lit(1))
-    total = logs.agg(F.count(F.lit(1)).alias("total")).withColumn("_k", F.lit(1))
-    return (counts.join(F.broadcast(total), "_k")
-            .select("response_code", "n", (F.col("n") / F.col("total")).alias("share")))
+    """Requests and share of all requests per code.  The total is the sum
+    of the grouped counts (a handful of rows), so the log is parsed once."""
+    counts = response_code_counts(logs)
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select("response_code", "n", (F.col("n") / total).alias("share"))
 
 
 def frequent_hosts(logs: DataFrame, min_requests: int = 10) -> DataFrame:
@@ -115,8 +114,8 @@ def count_404(logs: DataFrame) -> DataFrame:
 
 
 def distinct_404_endpoints(logs: DataFrame, n: int = 40) -> DataFrame:
-    """Up to n distinct 404 endpoints (any n, as in the reference)."""
-    return not_found(logs).select("endpoint").distinct().limit(n)
+    """Up to n distinct 404 endpoints, the first by name."""
+    return not_found(logs).select("endpoint").distinct().orderBy("endpoint").limit(n)
 
 
 def top_404_endpoints(logs: DataFrame, n: int = 20) -> DataFrame:

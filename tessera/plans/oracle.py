@@ -9,6 +9,7 @@ Text oracles tokenize with DuckDB's own regex split (RE2, ASCII ``\\W``).
 from __future__ import annotations
 
 from tessera.functions.text import STOPWORDS
+from tessera.operators.ratings import SPLIT_SEED
 from tessera.plans import params as K
 
 
@@ -76,9 +77,13 @@ idf AS (SELECT token, count(*) AS n_docs, (SELECT n FROM nrec)::DOUBLE / count(*
 w AS (SELECT tf.side, tf.id, tf.token, tf.tf * idf.idf AS w FROM tf JOIN idf USING (token)),
 norms AS (SELECT side, id, sqrt(sum(w * w)) AS norm FROM w GROUP BY side, id),
 u AS (SELECT w.side, w.id, w.token, w.w / norms.norm AS u FROM w JOIN norms USING (side, id)),
-sims AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.u * b.u) AS cosine
-         FROM u a JOIN u b ON a.token = b.token
+pairs AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.u * b.u) AS cosine,
+                 sum(a.w * b.w) AS dot, count(*) AS n_shared,
+                 array_to_string(list_sort(list(a.token)), ' ') AS shared_tokens
+         FROM (SELECT u.*, w.w FROM u JOIN w USING (side, id, token)) a
+         JOIN (SELECT u.*, w.w FROM u JOIN w USING (side, id, token)) b ON a.token = b.token
          WHERE a.side = 'L' AND b.side = 'R' GROUP BY 1, 2),
+sims AS (SELECT left_id, right_id, cosine FROM pairs WHERE cosine >= {K.MIN_SIMILARITY}),
 gold AS (SELECT b.item_id AS left_id, d.doc_id AS right_id
          FROM benchmark b JOIN documents d ON contains(d.text, b.text))"""
 
@@ -87,13 +92,20 @@ DOCS_STOP = f"SELECT doc_id, {TOKENS} AS tokens FROM documents"
 
 # -- ratings -----------------------------------------------------------------
 RATINGS = """ratings AS (
-  SELECT o_custkey::INT AS "user", l_partkey::INT AS item,
+  SELECT o_custkey AS "user", l_partkey AS item,
          avg(1 + (l_quantity - 1) % 5) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
-titles AS (SELECT p_partkey::INT AS item, p_name AS title FROM part),
+titles AS (SELECT p_partkey AS item, p_name AS title FROM part),
 stats AS (SELECT item, count(*) AS n_ratings, avg(rating) AS avg_rating
           FROM ratings GROUP BY item)"""
 
+# -- the 6:2:2 split: the first 32 bits of md5('seed:user:item') ------------------
+PLACED = f"""placed AS (
+  SELECT *, CASE WHEN place < {round(0.6 * 2 ** 32)} THEN 'train'
+                 WHEN place < {round(0.8 * 2 ** 32)} THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, CAST('0x' || substr(md5('{SPLIT_SEED}:' || "user" || ':' || item), 1, 8) AS BIGINT) AS place
+        FROM ratings))"""
+
 # -- threshold sweep ---------------------------------------------------------
 SWEEP = f"""{TEXT},
 scored_gold AS (SELECT s.* FROM sims s JOIN gold USING (left_id, right_id)),
@@ -107,7 +119,7 @@ gs AS (SELECT g.left_id, g.right_id, coalesce(s.cosine, 0.0) AS cosine
 ngold AS (SELECT count(*) AS n_gold FROM gs),
 th AS (SELECT range::INT AS n FROM range(100)),
 counts AS (
-  SELECT th.n / 100.0::DOUBLE AS threshold,
+  SELECT th.n AS n, th.n / 100.0::DOUBLE AS threshold,
          (SELECT sum(fp) FROM bins WHERE bins.bin >= th.n)::BIGINT AS fp,
          (SELECT count(*) FROM gs WHERE gs.cosine < th.n / 100.0::DOUBLE)::BIGINT AS fn,
          (SELECT n_gold FROM ngold) AS n_gold
@@ -124,9 +136,10 @@ def _top(select_from: str, order: str, n: int) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     # S
-    "range_source": """SELECT count(*) AS n, sum(range)::BIGINT AS total,
-        sum(CASE WHEN range % 7 = 0 THEN range END)::BIGINT AS total_sevens
-        FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders))""",
+    "range_source": """SELECT count(*) AS n,
+        sum(CASE WHEN range % 7 = 0 THEN range END)::BIGINT AS total_sevens,
+        count(o_orderkey) AS n_orders, round(sum(o_totalprice), 9) AS price
+        FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders)) r LEFT JOIN orders ON range = o_orderkey""",
     "stopword_table_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens
         FROM ({DOCS_STOP})""",
     "product_read_report": """SELECT 'header' AS parse_status, 1::BIGINT AS n_lines
@@ -148,7 +161,10 @@ ORACLE_SQL: dict[str, str] = {
         CAST(right_id AS VARCHAR) AS right_id FROM gold""",
     "ratings_parse": _with(RATINGS) + """SELECT "user", item, round(rating, 9) AS rating
         FROM ratings""",
-    "titles_parse": "SELECT p_partkey::INT AS item, p_name AS title FROM part",
+    "ratings_read_report": _with(RATINGS) + """SELECT 'parsed' AS parse_status, count(*) AS n_lines
+        FROM ratings""",
+    "titles_read_report": "SELECT 'parsed' AS parse_status, count(*) AS n_lines FROM part",
+    "titles_parse": "SELECT p_partkey AS item, p_name AS title FROM part",
     "stopword_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens,
         array_to_string(tokens, ' ') AS tokens FROM ({DOCS_STOP})""",
     # P
@@ -164,7 +180,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, unnest(range(1, l_linenumber)) AS k
         FROM lineitem WHERE l_linenumber > 1)""",
     "partition_concat": "SELECT o_orderkey FROM orders",
-    "partition_rows": "SELECT o_orderkey FROM orders",
+    "partition_rows": """SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS total, 0::BIGINT AS repeated
+        FROM orders""",
     "map_values": "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders",
     "rekey_pairs": _with(TEXT) + "SELECT right_id AS doc_id, left_id AS item_id FROM gold",
     "pair_lookup": _with(TEXT) + f"""SELECT token, round(w, 9) AS w FROM w
@@ -173,20 +190,20 @@ ORACLE_SQL: dict[str, str] = {
     "join_inner": """SELECT l_orderkey, o_custkey, l_partkey, l_quantity
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "join_composite": _with(TEXT) + """SELECT left_id, right_id, round(cosine, 9) AS cosine
-        FROM sims JOIN gold USING (left_id, right_id)""",
+        FROM pairs JOIN gold USING (left_id, right_id)""",
     "join_left_default": _with(TEXT) + """SELECT left_id, right_id,
         round(coalesce(cosine, 0.0), 9) AS cosine
-        FROM gold LEFT JOIN sims USING (left_id, right_id)""",
+        FROM gold LEFT JOIN pairs USING (left_id, right_id)""",
     "join_anti": _with(TEXT) + """SELECT left_id, right_id, round(cosine, 9) AS cosine
         FROM sims ANTI JOIN gold USING (left_id, right_id)""",
-    "unrated_items": "SELECT DISTINCT p_partkey::INT AS item FROM part WHERE p_partkey NOT IN ("
-                     + ", ".join(str(i) for i, _ in K.NEW_USER_PICKS) + ")",
-    "join_broadcast": _with(TEXT) + """SELECT w.id AS item_id, w.token,
-        round(w.w / norms.norm, 9) AS unit_w
-        FROM w JOIN norms USING (side, id) WHERE side = 'L'""",
-    "shared_token_pairs": _with(TEXT) + """SELECT a.id AS left_id, b.id AS right_id,
-        count(*) AS n_shared FROM w a JOIN w b ON a.token = b.token
-        WHERE a.side = 'L' AND b.side = 'R' GROUP BY 1, 2""",
+    "unrated_items": _with(RATINGS) + f"""SELECT asked."user", t.item
+        FROM (SELECT "user", count(*) AS n FROM ratings GROUP BY 1 ORDER BY n DESC, "user"
+              LIMIT {K.USERS_ASKED}) asked CROSS JOIN (SELECT DISTINCT item FROM titles) t
+        WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r."user" = asked."user" AND r.item = t.item)""",
+    "join_broadcast": _with(TEXT) + """SELECT side, id, w.token, round(w.w / norms.norm, 9) AS unit_w
+        FROM w JOIN norms USING (side, id)""",
+    "shared_token_pairs": _with(TEXT) + """SELECT left_id, right_id, n_shared
+        FROM pairs JOIN sims USING (left_id, right_id)""",
     "join_chain": _with(RATINGS) + _top(
         """SELECT round(s.avg_rating, 9) AS prediction, t.title, s.n_ratings, s.item
            FROM stats s JOIN titles t USING (item)
@@ -222,8 +239,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT least(coalesce(floor((idf - lo) / nullif(hi - lo, 0) * {K.IDF_BINS}) + 1, 1),
                      {K.IDF_BINS})::BIGINT AS bin, count(*) AS n
         FROM idf, b GROUP BY 1""",
-    "similarity_bins": _with(SWEEP) + "SELECT bin, fp FROM bins",
+    "similarity_bins": _with(SWEEP) + f"SELECT bin, fp FROM bins WHERE bin / 100.0 >= {K.MIN_SIMILARITY}",
     # O
+    "take_any": f"""SELECT least(count(*), {K.SMALL_N}) AS n, least(count(*), {K.SMALL_N}) AS n_known
+        FROM events""",
+    "sample_without_replacement": f"""SELECT event_id, event_type FROM events
+        ORDER BY md5('{K.SAMPLE_SEED}:' || event_id), event_id LIMIT {K.SAMPLE_N}""",
+    "split_train_test": _with(RATINGS, PLACED) + """SELECT split, count(*) AS n FROM placed GROUP BY 1""",
     "smallest_n": _top("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem",
                        "l_extendedprice, l_orderkey, l_linenumber", K.SMALL_N),
     "top_n_by_count": _with(LOGS) + _top(
@@ -277,9 +299,8 @@ ORACLE_SQL: dict[str, str] = {
     "lowest_idf_tokens": _with(TEXT) + _top("SELECT token, round(idf, 9) AS idf FROM idf",
                                             "idf, token", K.LOWEST_IDF),
     "tfidf_weights": _with(TEXT) + "SELECT side, id, token, round(w, 9) AS w FROM w",
-    "sparse_dot": _with(TEXT) + """SELECT a.id AS left_id, b.id AS right_id,
-        round(sum(a.w * b.w), 9) AS dot FROM w a JOIN w b ON a.token = b.token
-        WHERE a.side = 'L' AND b.side = 'R' GROUP BY 1, 2""",
+    "sparse_dot": _with(TEXT) + """SELECT left_id, right_id, round(dot, 9) AS dot
+        FROM pairs JOIN gold USING (left_id, right_id)""",
     "vector_norms": _with(TEXT) + "SELECT side, id, round(norm, 9) AS norm FROM norms",
     "cosine_pair": _with(TEXT) + f"""SELECT round(
           (SELECT coalesce(sum(a.w * b.w), 0.0) FROM w a JOIN w b ON a.token = b.token
@@ -289,29 +310,41 @@ ORACLE_SQL: dict[str, str] = {
              * (SELECT norm FROM norms WHERE side = 'R' AND id = {K.COSINE_RIGHT})), 9)
         AS cosine""",
     "inverted_index": _with(TEXT) + "SELECT token, side, id FROM w",
-    "shared_tokens": _with(TEXT) + """SELECT a.id AS left_id, b.id AS right_id,
-        count(*) AS n_shared, array_to_string(list_sort(list(a.token)), ' ') AS shared_tokens
-        FROM w a JOIN w b ON a.token = b.token
-        WHERE a.side = 'L' AND b.side = 'R' GROUP BY 1, 2""",
+    "shared_tokens": _with(TEXT) + """SELECT left_id, right_id, n_shared, shared_tokens
+        FROM pairs JOIN gold USING (left_id, right_id)""",
     "cosine_inverted": _with(TEXT) + """SELECT left_id, right_id, round(cosine, 9) AS cosine
         FROM sims""",
-    "gold_evaluation": _with(TEXT) + """SELECT
-        (SELECT count(*) FROM sims JOIN gold USING (left_id, right_id)) AS true_dups,
-        round((SELECT avg(cosine) FROM sims JOIN gold USING (left_id, right_id)), 9)
+    "gold_evaluation": _with(TEXT) + """, product AS (
+          SELECT b.item_id AS left_id, d.doc_id AS right_id, coalesce(p.cosine, 0.0) AS cosine
+          FROM benchmark b CROSS JOIN documents d
+          LEFT JOIN pairs p ON p.left_id = b.item_id AND p.right_id = d.doc_id)
+        SELECT (SELECT count(*) FROM gold) AS true_dups,
+        round((SELECT avg(cosine) FROM product JOIN gold USING (left_id, right_id)), 9)
           AS avg_sim_dups,
-        round((SELECT avg(cosine) FROM sims ANTI JOIN gold USING (left_id, right_id)), 9)
+        round((SELECT avg(cosine) FROM product ANTI JOIN gold USING (left_id, right_id)), 9)
           AS avg_sim_non_dups""",
-    "threshold_counts": _with(SWEEP) + """SELECT threshold, fp, fn, n_gold - fn AS tp
-        FROM counts""",
+    "threshold_counts": _with(SWEEP) + f"""SELECT threshold, fp, fn, n_gold - fn AS tp
+        FROM counts WHERE threshold >= {K.MIN_SIMILARITY}""",
     "threshold_prf": _with(SWEEP) + """, c AS (
           SELECT threshold, fp::DOUBLE AS fp, fn::DOUBLE AS fn, (n_gold - fn)::DOUBLE AS tp
-          FROM counts),
+          FROM counts WHERE threshold >= """ + str(K.MIN_SIMILARITY) + """),
         p AS (SELECT threshold, CASE WHEN tp + fp = 0 THEN NULL ELSE tp / (tp + fp) END AS pr,
                      CASE WHEN tp + fn = 0 THEN NULL ELSE tp / (tp + fn) END AS re FROM c)
         SELECT threshold, round(pr, 9) AS precision, round(re, 9) AS recall,
                round(CASE WHEN re + pr = 0 THEN NULL ELSE 2 * re * pr / (re + pr) END, 9)
                AS f_measure FROM p""",
+    "distinct_404_endpoints": _with(LOGS) + f"""SELECT DISTINCT endpoint FROM logs
+        WHERE response_code = 404 ORDER BY endpoint LIMIT {K.DISTINCT_404_LIMIT}""",
     # R
+    "als_predicted_pairs": _with(RATINGS, PLACED) + """SELECT "user", item, round(rating, 9) AS rating
+        FROM placed WHERE split = 'validation'
+          AND "user" IN (SELECT "user" FROM placed WHERE split = 'train')
+          AND item IN (SELECT item FROM placed WHERE split = 'train')""",
+    "mean_baseline_rmse": _with(RATINGS, PLACED) + """, m AS (
+          SELECT avg(rating) AS train_mean FROM placed WHERE split = 'train')
+        SELECT round(any_value(train_mean), 9) AS train_mean,
+               round(sqrt(avg(pow(train_mean - rating, 2))), 9) AS rmse
+        FROM placed, m WHERE split = 'test'""",
     "item_rating_titles": _with(RATINGS) + """SELECT s.item, t.title, s.n_ratings,
         round(s.avg_rating, 9) AS avg_rating FROM stats s JOIN titles t USING (item)""",
     "best_items": _with(RATINGS) + _top(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as ftext
 from tessera.functions.lines import (
-    parse_gold_lines, parse_product_lines, parse_rating_lines, parse_title_lines,
+    parse_gold_lines, parse_product_lines, parse_rating_lines, parse_title_lines, parsed_only,
 )
 from tessera.operators import logs as L
 from tessera.operators import ratings as R
@@ -72,7 +72,11 @@ def weights(spark, sf):
 
 
 def sims(spark, sf):
-    return E.cosine_inverted(weights(spark, sf))
+    return E.cosine_inverted(weights(spark, sf), K.MIN_SIMILARITY)
+
+
+def unit(spark, sf):
+    return E.unit_weights(weights(spark, sf))
 
 
 def gold(spark, sf):
@@ -88,14 +92,17 @@ def doc_tokens_of(spark, sf, stopwords=True):
 
 @query("range_source")
 def q_range_source(spark, sf):
-    """A generated range 0..max(o_orderkey) in a fixed number of
-    partitions, summed whole and over multiples of 7.  The range is made on
-    the executors; only its bound (one scalar) comes from the data."""
-    top = load_table(spark, sf, "orders", ["o_orderkey"]).agg(F.max("o_orderkey")).first()[0]
+    """A generated range over the order keys, held against the table: rows of
+    the range, their sum over multiples of 7, and how many of them, and of the sum of
+    prices, are orders."""
+    od = load_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
+    top = od.agg(F.max("o_orderkey")).first()[0]
     n_parts = spark.sparkContext.defaultParallelism
     r = range_table(spark, 0, 0 if top is None else int(top) + 1, 1, n_parts)
-    return r.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"),
-                 F.sum(F.when(F.col("id") % 7 == 0, F.col("id"))).alias("total_sevens"))
+    both = r.join(od, r["id"] == od["o_orderkey"], "left")
+    return both.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(F.when(F.col("id") % 7 == 0, F.col("id"))).alias("total_sevens"),
+                    F.count("o_orderkey").alias("n_orders"), r9(F.sum("o_totalprice")).alias("price"))
 
 
 @query("stopword_table_remove")
@@ -177,13 +184,25 @@ def q_gold_pairs_parse(spark, sf):
 
 @query("ratings_parse")
 def q_ratings_parse(spark, sf):
-    return parse_rating_lines(rating_lines(spark, sf)).select("user", "item", r9("rating")
-                                                              .alias("rating"))
+    return parsed_only(parse_rating_lines(rating_lines(spark, sf))).select(
+        "user", "item", r9("rating").alias("rating"))
+
+
+@query("ratings_read_report")
+def q_ratings_read_report(spark, sf):
+    """S5 for rating lines: every line is parsed or failed, none is lost."""
+    return _status_counts(parse_rating_lines(rating_lines(spark, sf)))
 
 
 @query("titles_parse")
 def q_titles_parse(spark, sf):
-    return parse_title_lines(title_lines(spark, sf))
+    return parsed_only(parse_title_lines(title_lines(spark, sf)))
+
+
+@query("titles_read_report")
+def q_titles_read_report(spark, sf):
+    """S5 for title lines."""
+    return _status_counts(parse_title_lines(title_lines(spark, sf)))
 
 
 @query("stopword_remove")
@@ -246,7 +265,11 @@ def q_partition_concat(spark, sf):
 @query("partition_rows")
 def q_partition_rows(spark, sf):
     od = load_table(spark, sf, "orders", ["o_orderkey"])
-    return P.partition_rows(od, "o_orderkey").select("o_orderkey")
+    # by the partition index: the sums of partitions make up the table's, and no
+    # index occurs twice
+    p = P.partition_summary(od, "o_orderkey")
+    return p.agg(F.sum("n").alias("n"), F.sum("total").alias("total"),
+                 (F.count(F.lit(1)) - F.countDistinct("partition")).alias("repeated"))
 
 
 @query("map_values")
@@ -279,14 +302,14 @@ def q_join_inner(spark, sf):
 
 @query("join_composite")
 def q_join_composite(spark, sf):
-    s = sims(spark, sf)
-    return (s.join(gold(spark, sf), ["left_id", "right_id"])
-            .select("left_id", "right_id", r9("cosine").alias("cosine")))
+    s = ER.gold_cosines(unit(spark, sf), gold(spark, sf))
+    return s.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
 @query("join_left_default")
 def q_join_left_default(spark, sf):
-    g = ER.gold_scores(sims(spark, sf), gold(spark, sf))
+    pairs = reliable_checkpoint(gold(spark, sf))
+    g = ER.gold_scores(ER.gold_cosines(unit(spark, sf), pairs), pairs)
     return g.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
@@ -302,23 +325,24 @@ def new_user_picks(spark):
 
 @query("unrated_items")
 def q_unrated_items(spark, sf):
-    rt = ratings(spark, sf)
-    mine = R.new_user_ratings(rt, new_user_picks(spark))
-    return R.unrated_items(titles(spark, sf), mine)
+    """J5 on the stored ratings: what the most active users have not rated."""
+    rt = _ratings_fixed(spark, sf)
+    users = (rt.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "user").limit(K.USERS_ASKED))
+    return R.unrated_pairs(users, titles(spark, sf), rt)
 
 
 @query("join_broadcast")
 def q_join_broadcast(spark, sf):
-    w = weights(spark, sf).where(F.col("side") == E.LEFT)
+    w = weights(spark, sf)
     norms = E.vector_norms(w)
     out = P.join_checked_broadcast(w, norms, ["side", "id"])
-    return out.select(F.col("id").alias("item_id"), "token",
-                      r9(F.col("w") / F.col("norm")).alias("unit_w"))
+    return out.select("side", "id", "token", r9(F.col("w") / F.col("norm")).alias("unit_w"))
 
 
 @query("shared_token_pairs")
 def q_shared_token_pairs(spark, sf):
-    return E.shared_tokens(weights(spark, sf)).select("left_id", "right_id", "n_shared")
+    return E.pair_products(weights(spark, sf), sims(spark, sf)).select("left_id", "right_id", "n_shared")
 
 
 @query("join_chain")
@@ -421,14 +445,18 @@ def q_idf_histogram(spark, sf):
 
 @query("similarity_bins")
 def q_similarity_bins(spark, sf):
-    return ER.similarity_bins(sims(spark, sf), gold(spark, sf))
+    return ER.similarity_bins(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY)
 
 
 # ---------------------------------------------------------------- O: order
 
-@query("take_any", rows_only=True)
+@query("take_any")
 def q_take_any(spark, sf):
-    return P.take_any(logs(spark, sf), K.SMALL_N)
+    """Any n rows: how many there are, and how many of them are rows of the table."""
+    ev = load_table(spark, sf, "events", ["event_id"])
+    some = reliable_checkpoint(P.take_any(ev, K.SMALL_N))
+    return some.join(ev.withColumn("known", F.lit(1)), "event_id", "left").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("known").cast("bigint").alias("n_known"))
 
 
 @query("smallest_n")
@@ -473,7 +501,13 @@ def q_sample_rows(spark, sf):
     return P.sample_rows(ev, K.SAMPLE_N, True, K.SAMPLE_SEED, "event_id")
 
 
-@query("split_train_test", rows_only=True)
+@query("sample_without_replacement")
+def q_sample_without_replacement(spark, sf):
+    ev = load_table(spark, sf, "events", ["event_id", "event_type"])
+    return P.sample_rows(ev, K.SAMPLE_N, False, K.SAMPLE_SEED, "event_id")
+
+
+@query("split_train_test")
 def q_split_train_test(spark, sf):
     parts = R.split_ratings(ratings(spark, sf))
     out = None
@@ -517,8 +551,7 @@ def q_regex_lookbehind(spark, sf):
 def q_rmse(spark, sf):
     rt = ratings(spark, sf)
     means = R.item_rating_stats(rt).select("item", F.col("avg_rating").alias("prediction"))
-    pred = rt.select("user", "item").join(means, "item")
-    return R.rmse(pred, rt).select(r9("rmse").alias("rmse"))
+    return R.rmse_of(rt.join(means, "item")).select(r9("rmse").alias("rmse"))
 
 
 # ---------------------------------------------------------------- G: log reports
@@ -538,7 +571,7 @@ def q_count_404(spark, sf):
     return L.count_404(logs(spark, sf))
 
 
-@query("distinct_404_endpoints", rows_only=True)
+@query("distinct_404_endpoints")
 def q_distinct_404_endpoints(spark, sf):
     return L.distinct_404_endpoints(logs(spark, sf), K.DISTINCT_404_LIMIT)
 
@@ -600,8 +633,8 @@ def q_tfidf_weights(spark, sf):
 
 @query("sparse_dot")
 def q_sparse_dot(spark, sf):
-    d = E.pair_scores(weights(spark, sf), "w")
-    return d.select("left_id", "right_id", r9("score").alias("dot"))
+    d = E.pair_products(weights(spark, sf), gold(spark, sf))
+    return d.select("left_id", "right_id", r9("dot").alias("dot"))
 
 
 @query("vector_norms")
@@ -625,7 +658,8 @@ def q_inverted_index(spark, sf):
 
 @query("shared_tokens")
 def q_shared_tokens(spark, sf):
-    return E.shared_tokens(weights(spark, sf))
+    return E.pair_products(weights(spark, sf), gold(spark, sf)).select(
+        "left_id", "right_id", "n_shared", "shared_tokens")
 
 
 @query("cosine_inverted")
@@ -635,19 +669,21 @@ def q_cosine_inverted(spark, sf):
 
 @query("gold_evaluation")
 def q_gold_evaluation(spark, sf):
-    g = ER.gold_evaluation(sims(spark, sf), gold(spark, sf))
+    count = lambda t: load_table(spark, sf, t).agg(F.count(F.lit(1)).alias("n"))
+    g = ER.gold_evaluation(reliable_checkpoint(unit(spark, sf)), reliable_checkpoint(gold(spark, sf)),
+                           count("benchmark"), count("documents"))
     return g.select("true_dups", r9("avg_sim_dups").alias("avg_sim_dups"),
                     r9("avg_sim_non_dups").alias("avg_sim_non_dups"))
 
 
 @query("threshold_counts")
 def q_threshold_counts(spark, sf):
-    return ER.threshold_counts(sims(spark, sf), gold(spark, sf))
+    return ER.threshold_counts(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY)
 
 
 @query("threshold_prf")
 def q_threshold_prf(spark, sf):
-    p = ER.threshold_prf(ER.threshold_counts(sims(spark, sf), gold(spark, sf)))
+    p = ER.threshold_prf(ER.threshold_counts(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY))
     return p.select("threshold", r9("precision").alias("precision"),
                     r9("recall").alias("recall"), r9("f_measure").alias("f_measure"))
 
@@ -680,8 +716,16 @@ def _splits(spark, sf):
 def q_als_predict(spark, sf):
     train, val, _ = _splits(spark, sf)
     m = R.train_als(train, K.ALS_RANK)
-    return R.predict(m, val).join(val, ["user", "item"]).select(
-        "user", "item", "rating", "prediction")
+    return R.predict(m, val).select("user", "item", "rating", "prediction")
+
+
+@query("als_predicted_pairs")
+def q_als_predicted_pairs(spark, sf):
+    """R6/R7 as far as SQL knows them: the validation pairs that get a prediction,
+    those whose user and item were trained on."""
+    train, val, _ = _splits(spark, sf)
+    p = R.predict(R.train_als(train, K.ALS_RANK, iterations=1), val)
+    return p.where(F.col("prediction").isNotNull()).select("user", "item", r9("rating").alias("rating"))
 
 
 @query("als_rank_search", rows_only=True)
@@ -696,14 +740,14 @@ def q_als_test_rmse(spark, sf):
     train, val, test = _splits(spark, sf)
     rows, models = R.rank_search(train, val)
     best = rows.orderBy("rmse", "rank").first()["rank"]   # three rows
-    return R.rmse(R.predict(models[best], test), test).select(
+    return R.rmse_of(R.predict(models[best], test)).select(
         F.lit(best).alias("rank"), "rmse")
 
 
-@query("mean_baseline_rmse", rows_only=True)
+@query("mean_baseline_rmse")
 def q_mean_baseline_rmse(spark, sf):
     train, _, test = _splits(spark, sf)
-    return R.mean_baseline_rmse(train, test)
+    return R.mean_baseline_rmse(train, test).select(r9("train_mean").alias("train_mean"), r9("rmse").alias("rmse"))
 
 
 def _with_new_user(spark, sf):
@@ -717,7 +761,7 @@ def _with_new_user(spark, sf):
 @query("als_new_user", rows_only=True)
 def q_als_new_user(spark, sf):
     _, test, _, model = _with_new_user(spark, sf)
-    return R.rmse(R.predict(model, test), test)
+    return R.rmse_of(R.predict(model, test))
 
 
 @query("recommend_unrated", rows_only=True)
