@@ -19,10 +19,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gzip_lines(spark: SparkSession, path: str,
                     num_partitions: int | None = None) -> DataFrame:
-    """Read gzip text and spread it: one gzip file is one input split."""
+    """Read gzip text.  One gzip file is one input split, so fewer files than cores
+    (or than ``num_partitions``) are spread over them; more are left as they are."""
     df = spark.read.text(path)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
+    want = num_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if len(df.inputFiles()) < want else df
 
 
 def write_lines(spark: SparkSession, lines: DataFrame, purpose: str,
