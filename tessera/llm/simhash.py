@@ -190,12 +190,12 @@ def near_links(group: np.ndarray, fp: np.ndarray, distance: int = DISTANCE,
             new = _whole(node, a[whole], b[whole])
             found, size = [*found, new], size + len(new[0])
             if size > block:  # what was found becomes one link for each entry at most
-                found = [_forest(len(fp), found)]
+                found = [forest(len(fp), found)]
                 size = 0
         more = ~whole & (differ <= distance)
         if k and more.any():
             stack.append((k - 1, *_pairs_below(levels[k - 1], node, a[more], b[more])))
-    return _forest(len(fp), found)
+    return forest(len(fp), found)
 
 
 def _whole(node: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +209,7 @@ def _whole(node: dict, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.nda
     return x[x != y], y[x != y]
 
 
-def _forest(n: int, found: list) -> tuple[np.ndarray, np.ndarray]:
+def forest(n: int, found: list) -> tuple[np.ndarray, np.ndarray]:
     """One link from each entry to the first of its component."""
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)

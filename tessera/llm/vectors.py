@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed, connected_components, materialize
+from tessera.llm.simhash import forest
 
 COSINE, PASSES, WINDOW, BLOCK, SEED = 0.98, 12, 32, 512, 42
 
@@ -49,23 +50,33 @@ def planes(dims: int, passes: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dims]).standard_normal((passes, dims, 64)).astype(np.float32)
 
 
+def _kind(vectors: DataFrame, vector: str) -> str:
+    """The component type that vectors are kept in: float as it comes, else double."""
+    return "float" if vectors.schema[vector].dataType.elementType.simpleString() == "float" else "double"
+
+
+def _zeroless(vector, kind: str):
+    """-0.0 and 0.0 are one."""
+    return F.transform(vector, lambda x: x.cast(kind) + F.lit(0).cast(kind))
+
+
 def entries(vectors: DataFrame, id_col: str, vector: str, label: str) -> DataFrame:
     """(node, group, size, vec, first, copies): every distinct valid vector of a
     label once; ``node`` is a hash of label and vector."""
     v = F.col(vector)
     fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))) \
         & F.exists(v, lambda x: x != 0)
-    zeroless = F.transform(v, lambda x: x + F.lit(0).cast("float"))  # -0.0 and 0.0 are one
     return (vectors.where(v.isNotNull() & F.col(label).isNotNull() & fine)
             .select(F.col(id_col).alias("id"), F.col(label).cast("string").alias("group"),
-                    zeroless.cast("array<float>").alias("vec"))
+                    _zeroless(v, _kind(vectors, vector)).alias("vec"))
             .withColumn("node", F.xxhash64("group", "vec"))
             .groupBy("node", "group", "vec").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
             .withColumn("dims", F.size("vec")))
 
 
 def passes_links(nodes: DataFrame, cosine: float, passes: int, window: int, seed: int) -> DataFrame:
-    """(a, b): verified pairs that some pass's window holds."""
+    """(a, b): links that join what verified pairs of some pass's window join; of a
+    batch's pairs one link for each vector at most is sent on."""
     def keys(batches):
         for batch in batches:
             dims = np.asarray(batch.column(1))
@@ -80,7 +91,7 @@ def passes_links(nodes: DataFrame, cosine: float, passes: int, window: int, seed
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["group", "dims", "node", "vec", "keys"])
 
     keyed = nodes.select("group", "dims", "node", "vec").mapInArrow(
-        keys, "group string, dims int, node long, vec array<float>, keys array<long>")
+        keys, f"group string, dims int, node long, vec array<{_kind(nodes, 'vec')}>, keys array<long>")
     order = ["turn", "group", "dims", "key", "node"]
     rows = (keyed.select("group", "dims", "node", "vec", F.posexplode("keys").alias("turn", "key"))
             .withColumn("key", F.col("key").bitwiseXOR(F.lit(-(1 << 63))))  # signed order as unsigned
@@ -100,9 +111,9 @@ def passes_links(nodes: DataFrame, cosine: float, passes: int, window: int, seed
                 for d in range(1, min(window, b - a - 1) + 1):
                     at = max(0, new - a - d)  # pairs within ``rest`` were compared before
                     i = np.flatnonzero(np.einsum("ij,ij->i", x[at:-d], x[at + d:]) >= cosine) + at
-                    left.append(node[a + i]), right.append(node[a + i + d])
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                    left.append(a + i), right.append(a + i + d)
+            i, j = forest(len(node), list(zip(left, right)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
             rest = table.slice(max(0, table.num_rows - window))
 
     return rows.mapInArrow(compare, "a long, b long").distinct()
@@ -154,9 +165,9 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
     known = (nodes.join(linked, "node", "left")
              .select("node", F.coalesce("component_id", "first").alias("component_id"),
                      (F.coalesce("n_links", "copies") - 1).alias("n_links")))
-    zeroless = F.transform(F.col(vector), lambda x: x + F.lit(0).cast("float")).cast("array<float>")
     rows = vectors.select(F.col(id_col).alias("vec_id"),
-                          F.xxhash64(F.col(label).cast("string"), zeroless).alias("node"),
+                          F.xxhash64(F.col(label).cast("string"),
+                                     _zeroless(F.col(vector), _kind(vectors, vector))).alias("node"),
                           (F.col(label).isNotNull() & F.col(vector).isNotNull()).alias("may"))
     joined = rows.select("vec_id", F.when(F.col("may"), F.col("node")).alias("node")).join(known, "node", "left")
     component = F.coalesce("component_id", "vec_id")

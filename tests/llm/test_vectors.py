@@ -57,3 +57,10 @@ def test_awkward_vectors(spark):
 
 def test_no_vectors(spark):
     check(spark, [])
+
+
+def test_double_vectors_stay_double(spark):
+    rows = [(1, [1.0, 1e-9, 0.0], 1), (2, [1.0, 2e-9, 0.0], 1), (3, [0.0, 1.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.cluster(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
