@@ -138,7 +138,7 @@ ORACLE_SQL: dict[str, str] = {
     # S
     "range_source": """SELECT count(*) AS n,
         sum(CASE WHEN range % 7 = 0 THEN range END)::BIGINT AS total_sevens,
-        count(o_orderkey) AS n_orders, round(sum(o_totalprice), 9) AS price
+        count(o_orderkey) AS n_orders, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS cents
         FROM range(0, (SELECT max(o_orderkey) + 1 FROM orders)) r LEFT JOIN orders ON range = o_orderkey""",
     "stopword_table_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens
         FROM ({DOCS_STOP})""",

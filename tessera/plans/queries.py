@@ -93,8 +93,8 @@ def doc_tokens_of(spark, sf, stopwords=True):
 @query("range_source")
 def q_range_source(spark, sf):
     """A generated range over the order keys, held against the table: rows of
-    the range, their sum over multiples of 7, and how many of them, and of the sum of
-    prices, are orders."""
+    the range, their sum over multiples of 7, how many of them are orders, and the
+    cents of those."""
     od = load_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
     top = od.agg(F.max("o_orderkey")).first()[0]
     n_parts = spark.sparkContext.defaultParallelism
@@ -102,7 +102,7 @@ def q_range_source(spark, sf):
     both = r.join(od, r["id"] == od["o_orderkey"], "left")
     return both.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.when(F.col("id") % 7 == 0, F.col("id"))).alias("total_sevens"),
-                    F.count("o_orderkey").alias("n_orders"), r9(F.sum("o_totalprice")).alias("price"))
+                    F.count("o_orderkey").alias("n_orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
 
 
 @query("stopword_table_remove")
