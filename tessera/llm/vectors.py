@@ -1,23 +1,21 @@
-"""Embedding near-duplicates by sorted projection passes.
-
-Method.  Each pass orders the vectors of a label lexicographically by the signs of
-64 random projections (its own for each pass), joined to one number.  Vectors at a
-small angle share long prefixes, so they stand close in some passes.  The order is
-range-partitioned; within it every vector is compared with the ``window`` next ones
-by the exact cosine in double precision, and verified pairs of all passes are united
-to components.  An exact check follows inside the components: the cosines of all
-pairs of a component are computed block by block, so that ``n_links`` is complete for
-every component the passes found, and links that no window saw are counted too.
+"""Embedding near-duplicates by an exact comparison of blocks.
+
+Method.  The distinct vectors of a label are ordered by the signs of 64 random
+projections, joined to one number, so that vectors at a small angle tend to stand
+close.  The order is range-partitioned and cut into blocks of at most ``block``
+vectors, each with its mean direction and the largest angle to it.  Every two blocks
+of a label meet, unless the angle between their directions shows that no pair of
+theirs can reach ``cosine`` (angles obey the triangle inequality).  Where two blocks
+meet, the cosines of all pairs are computed in double precision; what is sent on is a
+count for each vector and links that join what the block pair's near pairs join.
+Components are found over these links.
 
 Scale.  Equal vectors are one row with a count, so a vector that a third of the rows
-share costs as much as any other.  A component of many different vectors is cut into
-blocks of ``block`` vectors and its block pairs are spread over tasks; a task holds
-two blocks, and what it sends is a count for each vector.  The number of its block
-pairs grows with the square of a component's size, as the number of its links does.
+share costs as much as any other.  Block pairs are spread over tasks; a task holds
+two blocks.  The number of block pairs grows with the square of a label's size, less
+those that the angles rule out: in data without clusters they rule out few.
 
-Recall.  A pair at cosine c agrees in one bit with probability 1 - acos(c) / pi;
-``passes`` and ``window`` are parameters, and ``tests/llm`` measures recall against
-brute force.  Precision is exact.
+Recall and precision are exact: every pair of a label is compared or ruled out.
 
 Defined results.  Vectors that are null, of length zero or hold null or non-finite
 components, and rows with a null label, link with nothing.  Vectors of different
@@ -35,7 +33,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import checkpointed, connected_components, materialize
 from tessera.llm.simhash import forest
 
-COSINE, PASSES, WINDOW, BLOCK, SEED = 0.98, 12, 32, 512, 42
+COSINE, BLOCK, SEED = 0.98, 4096, 42
+STRIP = 256  # rows of a block whose cosines are held at once
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -45,9 +44,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def planes(dims: int, passes: int, seed: int) -> np.ndarray:
-    """passes x dims x 64 normal numbers, the same on every machine."""
-    return np.random.default_rng([seed, dims]).standard_normal((passes, dims, 64)).astype(np.float32)
+def planes(dims: int, seed: int) -> np.ndarray:
+    """dims x 64 normal numbers, the same on every machine."""
+    return np.random.default_rng([seed, dims]).standard_normal((dims, 64)).astype(np.float32)
 
 
 def _kind(vectors: DataFrame, vector: str) -> str:
@@ -74,97 +73,134 @@ def entries(vectors: DataFrame, id_col: str, vector: str, label: str) -> DataFra
             .withColumn("dims", F.size("vec")))
 
 
-def passes_links(nodes: DataFrame, cosine: float, passes: int, window: int, seed: int) -> DataFrame:
-    """(a, b): links that join what verified pairs of some pass's window join; of a
-    batch's pairs one link for each vector at most is sent on."""
+def blocks(nodes: DataFrame, block: int, seed: int) -> DataFrame:
+    """(id, group, dims, nodes, copies, vecs, centre, reach): the vectors of each label
+    in blocks, named by their first node; ``reach`` is the largest angle to ``centre``."""
     def keys(batches):
         for batch in batches:
-            dims = np.asarray(batch.column(1))
-            out = np.empty((batch.num_rows, passes), np.int64)
+            dims, out = np.asarray(batch.column(1)), np.empty(batch.num_rows, np.int64)
             for d in np.unique(dims):
                 here = np.flatnonzero(dims == d)
                 x = _matrix(batch.column(3).take(pa.array(here))).astype(np.float32)
-                for p, plane in enumerate(planes(int(d), passes, seed)):
-                    bits = np.packbits(x @ plane > 0, axis=1)
-                    out[here, p] = bits.view(">u8").ravel().astype(np.uint64).view(np.int64)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), passes).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["group", "dims", "node", "vec", "keys"])
-
-    keyed = nodes.select("group", "dims", "node", "vec").mapInArrow(
-        keys, f"group string, dims int, node long, vec array<{_kind(nodes, 'vec')}>, keys array<long>")
-    order = ["turn", "group", "dims", "key", "node"]
-    rows = (keyed.select("group", "dims", "node", "vec", F.posexplode("keys").alias("turn", "key"))
-            .withColumn("key", F.col("key").bitwiseXOR(F.lit(-(1 << 63))))  # signed order as unsigned
-            .repartitionByRange(*order).sortWithinPartitions(*order).select("turn", "group", "dims", "node", "vec"))
-
-    def compare(batches):
-        rest = None  # the last ``window`` rows of the batch before
+                bits = np.packbits(x @ planes(int(d), seed) > 0, axis=1)
+                out[here] = bits.view(">u8").ravel().astype(np.uint64).view(np.int64) ^ np.int64(-(1 << 63))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)],
+                                             ["group", "dims", "node", "vec", "copies", "key"])
+
+    kind = _kind(nodes, "vec")
+    keyed = nodes.select("group", "dims", "node", "vec", "copies").mapInArrow(
+        keys, f"group string, dims int, node long, vec array<{kind}>, copies long, key long")
+    order = ["group", "dims", "key", "node"]
+    rows = (keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("group", "dims", "node", "vec", "copies"))
+    names = ["id", "group", "dims", "nodes", "copies", "vecs", "centre", "reach"]
+
+    def pack(part):
+        x = _matrix(part.column("vec"))
+        centre = x.mean(axis=0)
+        long = np.linalg.norm(centre)
+        centre = centre / long if long > 1e-9 else x[0]
+        reach = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        node, copies = (np.asarray(part.column(c)) for c in ("node", "copies"))
+        vecs = np.asarray(part.column("vec").flatten())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(node[0])]), part.column("group").slice(0, 1), part.column("dims").slice(0, 1),
+             *(pa.array([c.tobytes()], pa.binary()) for c in (node, copies, vecs)),
+             pa.array([centre.tolist()], pa.list_(pa.float64())), pa.array([reach])], names)
+
+    def cut(batches):
+        rest = None  # the last block of the batches before, which may go on
         for batch in batches:
             table = batch if rest is None else pa.concat_batches([rest, batch])
-            new = 0 if rest is None else rest.num_rows
-            turn, dims, node = (np.asarray(table.column(c)) for c in ("turn", "dims", "node"))
+            if not table.num_rows:
+                continue
+            dims = np.asarray(table.column("dims"))
             group = np.asarray(table.column("group").dictionary_encode().indices)
-            runs = np.flatnonzero(np.r_[True, (turn[1:] != turn[:-1]) | (group[1:] != group[:-1]) | (dims[1:] != dims[:-1])])
-            left, right = [], []
-            for a, b in zip(runs, np.r_[runs[1:], len(node)]):
-                x = _matrix(table.column("vec").slice(a, b - a))
-                for d in range(1, min(window, b - a - 1) + 1):
-                    at = max(0, new - a - d)  # pairs within ``rest`` were compared before
-                    i = np.flatnonzero(np.einsum("ij,ij->i", x[at:-d], x[at + d:]) >= cosine) + at
-                    left.append(a + i), right.append(a + i + d)
-            i, j = forest(len(node), list(zip(left, right)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
-            rest = table.slice(max(0, table.num_rows - window))
-
-    return rows.mapInArrow(compare, "a long, b long").distinct()
-
-
-def link_counts(members: DataFrame, cosine: float, block: int) -> DataFrame:
-    """(node, n_links): for each vector of ``members(component, node, vec, copies)``
-    the copies of others in its component at ``cosine`` or more, its own copies
-    included.  Components are cut into blocks by a hash; a pair of blocks meets in
-    one group of at most about two blocks."""
-    sized = members.join(members.groupBy("component").agg(
-        F.ceil(F.count("*") / block).cast("int").alias("blocks")), "component")
-    own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int")
-    sized = sized.withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = sized.select("component", "node", "vec", "copies", "own", other.alias("other"))
-    rows = rows.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                       "own", "node", "vec", "copies")
-
-    def count(key, table):
-        low, high = key[1].as_py(), key[2].as_py()
-        own = np.asarray(table.column("own").combine_chunks())
-        node, copies = (np.asarray(table.column(c).combine_chunks()) for c in ("node", "copies"))
-        x = _matrix(table.column("vec").combine_chunks())
-        a, b = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        near = x[a] @ x[b].T >= cosine
-        n = np.zeros(len(node), np.int64)
-        n[a] += near @ copies[b]
-        if low != high:
-            n[b] += copies[a] @ near
-        else:  # a vector meets itself, whatever its product rounds to
-            n[a] += np.where(near.diagonal(), 0, copies[a])
-        return pa.table({"node": node, "n": n})
-
-    return rows.groupBy("component", "low", "high").applyInArrow(count, "node long, n long") \
-        .groupBy("node").agg(F.sum("n").alias("n_links"))
+            runs = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (dims[1:] != dims[:-1])])
+            starts = np.concatenate([np.arange(a, b, block) for a, b in zip(runs, np.r_[runs[1:], len(dims)])])
+            for a, b in zip(starts, starts[1:]):
+                yield pack(table.slice(a, b - a))
+            rest = table.slice(starts[-1])
+        if rest is not None:
+            yield pack(rest)
+
+    return rows.mapInArrow(cut, "id long, group string, dims int, nodes binary, copies binary, vecs binary, "
+                                "centre array<double>, reach double")
+
+
+def block_pairs(cut: DataFrame, cosine: float) -> DataFrame:
+    """(low, high): the pairs of blocks of a label, each with itself too, that may hold
+    vectors at ``cosine`` or more."""
+    side = lambda name, end: cut.select("group", "dims", F.col("id").alias(name), F.col("centre").alias(f"centre{end}"),
+                                        F.col("reach").alias(f"reach{end}"))
+    both = side("low", 1).join(side("high", 2), ["group", "dims"]).where("low <= high")
+    product = F.aggregate(F.zip_with("centre1", "centre2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), product)))
+    most = float(np.arccos(np.clip(cosine, -1, 1))) + 1e-6
+    return both.where((F.col("low") == F.col("high")) | (angle <= F.col("reach1") + F.col("reach2") + F.lit(most))) \
+        .select("low", "high")
+
+
+def near_in_blocks(cut: DataFrame, pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """(node, n, link): for each vector the copies of others at ``cosine`` or more in
+    one of its block pairs, and a vector of the same component or null; the links of
+    all block pairs give the components."""
+    sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("id"))
+    rows = sides.join(cut.select("id", "dims", "nodes", "copies", "vecs"), "id")
+    item = np.float32 if kind == "float" else np.float64
+
+    def compare(key, table):
+        part = {r["id"]: r for r in table.to_pylist()}
+        a = part[key[0].as_py()]
+        same, b = len(part) == 1, part[key[1].as_py()]
+        read = lambda r: np.frombuffer(r["vecs"], item).astype(np.float64).reshape(-1, r["dims"])
+        unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(read(a))
+        y = x if same else unit(read(b))
+        node, copies = (np.concatenate([np.frombuffer(r[c], np.int64) for r in ([a] if same else [a, b])])
+                        for c in ("nodes", "copies"))
+        off = 0 if same else len(x)
+        n, found, size = np.zeros(len(node), np.int64), [], 0
+        for at in range(0, len(x), STRIP):
+            here = slice(at, min(at + STRIP, len(x)))
+            skip = at if same else 0  # of a block with itself, pairs above the diagonal
+            near = x[here] @ y[skip:].T >= cosine
+            if same:
+                near = np.triu(near, 1)
+            i, j = np.nonzero(near)
+            if not len(i):
+                continue
+            i, j = i + at, j + off + skip
+            np.add.at(n, i, copies[j])
+            np.add.at(n, j, copies[i])
+            found.append((i, j))
+            size += len(i)
+            if size > 1 << 21:  # what was found becomes one link for each vector at most
+                found, size = [forest(len(node), found)], 0
+        link = np.full(len(node), -1)
+        i, j = forest(len(node), found)
+        link[i] = j
+        some = np.flatnonzero(n)
+        return pa.table({"node": pa.array(node[some]), "n": pa.array(n[some]),
+                         "link": pa.array(node[link[some]], mask=link[some] < 0)})
+
+    return rows.groupBy("low", "high").applyInArrow(compare, "node long, n long, link long")
 
 
 def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
-            cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW, block: int = BLOCK,
-            seed: int = SEED) -> DataFrame:
+            cosine: float = COSINE, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     nodes = materialize(entries(vectors, id_col, vector, label), "vectors")
-    parts = checkpointed(connected_components(checkpointed(passes_links(nodes, cosine, passes, window, seed))))
-    members = parts.join(nodes, "node").select("component", "node", "vec", "copies", "first")
-    counts = link_counts(members, cosine, block)
-    names = members.groupBy("component").agg(F.min("first").alias("component_id"))
-    linked = parts.join(names, "component").join(counts, "node").select("node", "component_id", "n_links")
+    cut = materialize(blocks(nodes, block, seed), "vector-blocks")
+    near = checkpointed(near_in_blocks(cut, block_pairs(cut, cosine), cosine, _kind(nodes, "vec")))
+    links = near.where("link is not null").select(F.col("node").alias("a"), F.col("link").alias("b")).distinct()
+    parts = checkpointed(connected_components(links))
+    counts = near.groupBy("node").agg(F.sum("n").alias("n"))
+    names = parts.join(nodes, "node").groupBy("component").agg(F.min("first").alias("component_id"))
+    linked = parts.join(names, "component").join(counts, "node").select("node", "component_id", "n")
     known = (nodes.join(linked, "node", "left")
              .select("node", F.coalesce("component_id", "first").alias("component_id"),
-                     (F.coalesce("n_links", "copies") - 1).alias("n_links")))
+                     (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     rows = vectors.select(F.col(id_col).alias("vec_id"),
                           F.xxhash64(F.col(label).cast("string"),
                                      _zeroless(F.col(vector), _kind(vectors, vector))).alias("node"),

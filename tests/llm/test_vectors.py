@@ -64,3 +64,41 @@ def test_double_vectors_stay_double(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.cluster(df).collect()}
     assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
+def noisy(rng, centre, cosine):
+    """A unit vector at exactly ``cosine`` to the unit vector ``centre``."""
+    away = rng.standard_normal(len(centre))
+    away -= (away @ centre) * centre
+    return cosine * centre + np.sqrt(1 - cosine ** 2) * away / np.linalg.norm(away)
+
+
+def test_star_group(spark):
+    """Copies near the original, not near each other: all reach its component."""
+    rng, n = np.random.default_rng(5), 2000
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    rows = [(0, centre.tolist(), 1, None)] + [(i, noisy(rng, centre, 0.983).tolist(), 1, None) for i in range(1, n + 1)]
+    got = {r.vec_id: r for r in vectors.cluster(embeddings(spark, rows)).collect()}
+    assert got[0].n_links == n and {r.component_id for r in got.values()} == {0}
+    assert min(r.n_links for r in got.values()) >= 1
+
+
+def test_concentrated_label(spark):
+    """One label whose vectors all lie close (cosine 0.9) and a few pairs are near."""
+    rng, rows = np.random.default_rng(6), []
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    for _ in range(1500):
+        v = noisy(rng, centre, 0.9 ** 0.5)
+        rows += [v, noisy(rng, v / np.linalg.norm(v), 0.9805)]
+    rows = [(i, v.tolist(), 1, None) for i, v in enumerate(rows)]
+    x = np.array([v for _, v, _, _ in rows], np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    for how in ({}, {"block": 200}):
+        got = vectors.cluster(embeddings(spark, rows), **how).collect()
+        assert {r.vec_id: r.n_links for r in got} == dict(enumerate(near.sum(0)))
+        i, j = np.nonzero(near)
+        assert {r.vec_id: r.component_id for r in got} == dict(enumerate(np.array(components(len(rows), list(zip(i, j))))))
