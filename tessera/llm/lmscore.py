@@ -1,16 +1,20 @@
 """Language-model scoring by cross-entropy difference.
 
 Method.  Two bigram models, one of the target documents and one of all documents
-(the background), share one vocabulary: words are hashed into ``2 ** WORD_BITS``
-cells and word pairs into ``2 ** PAIR_BITS``, the models' documented size.  They are
-matched: the same vocabulary, order and smoothing, and the background's counts are
-scaled to the target's number of tokens.  A token's loss under a model is
+(the background), hold the count of every word and of every pair of words, keyed by
+112-bit hashes (among 10^11 keys two collide with a chance of 10^-12).  They are matched: the same vocabulary, order and smoothing (``ADD``
+for each of ``2 ** WORD_BITS`` words), and the background's counts are scaled to the
+target's number of tokens.  A token's loss under a model is
 ``-log2(share * pair / word before + (1 - share) * smoothed word)``; a document's
 score is the mean over its tokens of the background's loss less the target's.  High
 scores are like the target.
 
-Counts are gathered over all documents and whole texts: each task adds up its
-cells, and sums of cells are shuffled, so what is gathered follows the input.  A
+Counts are gathered over all documents and whole texts.  Documents are dealt by a
+hash of id and text into batches of about ``BATCH_BYTES``.  A batch adds up its words
+and pairs and sends each key once, with its counts, to the key's bucket, so a common
+word costs as much as any other.  A bucket adds up the batches and answers each with
+the other batches' counts in the order of its keys; the keys do not travel back.  No
+task holds more than a batch or a bucket, and their numbers follow the input.  A
 document's own counts are taken off before it is scored (leave-one-out), else the
 target's documents would be scored by themselves.
 
@@ -30,55 +34,82 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import small_side
 
-WORD_BITS, PAIR_BITS, SHARE, ADD = 18, 20, 0.6, 0.1
+WORD_BITS, SHARE, ADD = 18, 0.6, 0.1
 BATCH_BYTES = 8 << 20
-CELLS = (1 << WORD_BITS) + (1 << PAIR_BITS)
+LOW_BYTES = 6  # of a key's lower half that are kept
+TOTALS = -1  # the bucket that adds up the batches' numbers of tokens
 
 
-def token_cells(texts: pa.Array):
-    """For runs of texts: (texts in the run, owner of each token, cell of its word,
-    cell of the word before or -1, cell of the pair)."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A permutation of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, all first bytes first (so zeros stand together),
+    compressed; their number stands before."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    planes = np.frombuffer(pa.decompress(b[8:], 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
+def _low_bytes(x: np.ndarray) -> bytes:
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES].tobytes()
+
+
+def _of_low_bytes(b: bytes) -> np.ndarray:
+    part = np.frombuffer(b, np.uint8).reshape(-1, LOW_BYTES)
+    return np.pad(part, ((0, 0), (0, 8 - LOW_BYTES))).view("<u8").ravel()
+
+
+def batch_tokens(texts: pa.Array) -> dict:
+    """The tokens of a batch of texts: ``owner`` and ``word`` of each, ``pair`` (-1 for
+    the first of a text); words and pairs are places in ``hi`` and ``lo``, the halves
+    of the batch's keys, which are distinct and sorted."""
     import xxhash
-    texts = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
-    size, begin = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
-    while begin < len(texts):
-        to = max(begin + 1, int(np.searchsorted(size, (size[begin - 1] if begin else 0) + BATCH_BYTES, "right")))
-        cut = pc.utf8_split_whitespace(texts.slice(begin, to - begin))
-        at = np.asarray(cut.offsets).astype(np.int64)
-        words = cut.flatten().dictionary_encode()
-        names = words.dictionary.cast(pa.large_binary()).to_pylist()
-        hashed = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in names), np.uint64, len(names))
-        index = np.asarray(words.indices)
-        owner = np.repeat(np.arange(to - begin), np.diff(at))
-        real = np.array([bool(w) for w in names], bool)[index]
-        h, owner = hashed[index[real]], owner[real]
-        before = np.r_[np.uint64(0), h[:-1]]
-        first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
-        before[:len(h)][first] = 0
-        before = before[:len(h)]
-        word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-        prior = np.where(first, -1, (before >> np.uint64(64 - WORD_BITS)).astype(np.int64))
-        mixed = (before * np.uint64(0x9E3779B97F4A7C15) ^ h) * np.uint64(0xC2B2AE3D27D4EB4F)
-        pair = (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-        yield to - begin, owner, word, prior, pair
-        begin = to
-
-
-def _count(batches):
-    sums = np.zeros((2, CELLS), np.int64)
-    for batch in batches:
-        row, target = 0, np.asarray(batch.column(1).fill_null(False)).astype(bool)
-        for n, owner, word, _, pair in token_cells(batch.column(0)):
-            mine = target[row:row + n][owner]
-            for m, pick in ((0, slice(None)), (1, mine)):
-                sums[m, :1 << WORD_BITS] += np.bincount(word[pick], minlength=1 << WORD_BITS)
-                sums[m, 1 << WORD_BITS:] += np.bincount(pair[pick], minlength=1 << PAIR_BITS)
-            row += n
-    cells = np.flatnonzero(sums[0])
-    for at in range(0, len(cells), 1 << 18):
-        c = cells[at:at + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(sums[0, c]), pa.array(sums[1, c])],
-                                         ["cell", "background", "target"])
+    cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    coded = cut.flatten().dictionary_encode()
+    names = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, names)), "<u8").reshape(-1, 2)
+    index = np.asarray(coded.indices).astype(np.int64)
+    real = np.array([bool(w) for w in names], bool)[index]
+    word, owner = index[real], np.repeat(np.arange(len(texts)), np.diff(np.asarray(cut.offsets)))[real]
+    first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
+    later, n = np.flatnonzero(~first), len(names)
+    codes, at = np.unique(word[later - 1] * n + word[later], return_inverse=True)
+    used = np.unique(word)
+    before, after = (both[x] for x in np.divmod(codes, max(n, 1)))
+    pairs = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + _mixed(after + np.uint64(0xC2B2AE3D27D4EB4F)))
+    hi, lo = (np.r_[both[used, k], pairs[:, k]] for k in (0, 1))
+    lo &= np.uint64((1 << 8 * LOW_BYTES) - 1)
+    order = np.lexsort((lo, hi))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    of_word = np.zeros(n, np.int64)
+    of_word[used] = place[:len(used)]
+    pair = np.full(len(word), -1)
+    pair[later] = place[len(used):][at]
+    return {"owner": owner, "word": of_word[word], "pair": pair, "hi": hi[order], "lo": lo[order]}
+
+
+def _sums(tokens: dict, target: np.ndarray) -> np.ndarray:
+    """Background and target counts of a batch's keys."""
+    n, mine = len(tokens["hi"]), target[tokens["owner"]]
+    has = tokens["pair"] >= 0
+    return np.stack([np.bincount(tokens["word"][pick], minlength=n) + np.bincount(tokens["pair"][pick & has], minlength=n)
+                     for pick in (np.ones(len(mine), bool), mine)])
+
+
+def _columns(table: pa.Table) -> tuple:
+    text = table.column("text").cast(pa.large_string()).combine_chunks()
+    return text, table.column("target").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
 
 
 def marked(docs: DataFrame, targets: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -90,73 +121,119 @@ def marked(docs: DataFrame, targets: DataFrame, id_col: str, text: str) -> DataF
             .join(small_side(ids.withColumn("target", F.lit(True))), "doc_id", "left"))
 
 
-def fit(rows: DataFrame) -> dict:
-    """Both models' counts over all of ``rows``: arrays of fixed size."""
-    sums = (rows.select("text", "target").mapInArrow(_count, "cell int, background long, target long")
-            .groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
-    got, counts = sums.toArrow(), np.zeros((2, CELLS), np.int64)
-    cell = np.asarray(got.column("cell").combine_chunks())
-    for m, name in enumerate(("background", "target")):
-        counts[m, cell] = np.asarray(got.column(name).combine_chunks())
-    return {"counts": counts.astype(np.int32 if counts.max(initial=0) < 2 ** 31 else np.int64),
-            "tokens": counts[:, :1 << WORD_BITS].sum(1)}
-
-
-def losses(owner, word, prior, pair, target, model: dict) -> np.ndarray:
+def in_batches(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with their ``batch``, and the number of bits that name a bucket."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches = 1 + size // BATCH_BYTES
+    batch = F.pmod(F.xxhash64(F.lit("batch"), "doc_id", "text"), F.lit(batches)).cast("int")
+    return rows.select("doc_id", "text", "target", batch.alias("batch")), (4 * batches - 1).bit_length()
+
+
+def requests(rows: DataFrame, bits: int) -> DataFrame:
+    """(bucket, batch, hi, lo, background, target): the keys of every batch and its
+    counts, packed; the bucket is the first ``bits`` bits of a key."""
+    def run(key, table):
+        text, target = _columns(table)
+        tokens = batch_tokens(text)
+        sums, hi = _sums(tokens, target), tokens["hi"]
+        bucket = (hi >> np.uint64(64 - bits)).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][:len(hi)])
+        owned = target[tokens["owner"]]
+        out = [(TOTALS, _packed(hi[:0]), b"", _packed(np.array([len(owned)])), _packed(np.array([owned.sum()])))]
+        for a, b in zip(starts, np.r_[starts[1:], len(hi)]):
+            out.append((int(bucket[a]), _packed(np.diff(hi[a:b], prepend=np.uint64(0))), _low_bytes(tokens["lo"][a:b]),
+                        _packed(sums[0, a:b]), _packed(sums[1, a:b])))
+        bucket, *rest = zip(*out)
+        return pa.table({"bucket": pa.array(bucket, pa.int32()), "batch": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                         **{c: pa.array(x, pa.binary()) for c, x in zip(("hi", "lo", "background", "target"), rest)}})
+
+    return rows.groupBy("batch").applyInArrow(
+        run, "bucket int, batch int, hi binary, lo binary, background binary, target binary")
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """(bucket, batch, background, target): the other batches' counts of a batch's
+    keys of a bucket, in the order asked."""
+    def run(key, table):
+        names = ("background", "target")
+        asked = {c: table.column(c).to_pylist() for c in ("hi", "lo", *names)}
+        sums = [[_unpacked(x).astype(np.int64) for x in asked[c]] for c in names]
+        ends = np.cumsum([len(x) for x in sums[0]])[:-1]
+        if key[0].as_py() == TOTALS:
+            place = np.zeros(len(sums[0]), np.int64)
+        else:
+            hi = np.concatenate([np.cumsum(_unpacked(x), dtype=np.uint64) for x in asked["hi"]])
+            lo = np.concatenate([_of_low_bytes(x) for x in asked["lo"]])
+            order = np.lexsort((lo, hi))
+            new = np.r_[False, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]
+            place = np.empty(len(order), np.int64)
+            place[order] = np.cumsum(new)
+        out = []
+        for parts in sums:
+            own = np.concatenate(parts)
+            total = np.zeros(place.max(initial=-1) + 1, np.int64)
+            np.add.at(total, place, own)
+            out.append([_packed(x) for x in np.split(total[place] - own, ends)])
+        return pa.table({"bucket": table.column("bucket"), "batch": table.column("batch"),
+                         **{c: pa.array(x, pa.binary()) for c, x in zip(names, out)}})
+
+    return asked.groupBy("bucket").applyInArrow(run, "bucket int, batch int, background binary, target binary")
+
+
+def losses(tokens: dict, target: np.ndarray, counts: np.ndarray, all_tokens: np.ndarray) -> np.ndarray:
     """Bits of every token under the background (row 0) and the target (row 1),
     each model without the counts of the token's own document."""
+    owner, word, pair = (tokens[c] for c in ("owner", "word", "pair"))
     words, size = 1 << WORD_BITS, np.bincount(owner, minlength=len(target))
 
-    def own(cells):
-        """How often a token's cell occurs in its document."""
-        keys, back, n = np.unique(owner * np.int64(CELLS + 1) + cells + 1, return_inverse=True, return_counts=True)
+    def own(keys):
+        """How often a token's key occurs in its document."""
+        _, back, n = np.unique(owner * np.int64(len(tokens["hi"]) + 1) + keys + 1, return_inverse=True, return_counts=True)
         return n[back]
 
     n_word, n_pair, out = own(word), own(pair), np.empty((2, len(word)))
-    n_prior = np.zeros(len(word), np.int64)  # of the word before: occurrences of its word in the document
-    has = prior >= 0
-    n_prior[has] = n_word[np.flatnonzero(has) - 1]
+    has = pair >= 0
+    prior = np.flatnonzero(has) - 1  # the token before
     mine = np.stack([np.ones(len(owner), np.int64), target[owner].astype(np.int64)])
-    total = np.maximum(model["tokens"][:, None] - mine * size[owner], 0)
+    total = np.maximum(all_tokens[:, None] - mine * size[owner], 0)
     scale = np.where(total[0] > 0, total[1] / np.maximum(total[0], 1), 1.0)  # the background at the target's size
     for m, by in ((0, scale), (1, 1.0)):
-        c = model["counts"][m]
-        uni = (c[word] - mine[m] * n_word) * by
-        joint = (c[words + pair] - mine[m] * n_pair) * by
-        before = np.where(has, c[np.maximum(prior, 0)] - mine[m] * n_prior, total[m]) * by
-        flat = (uni + ADD) / (total[m] * by + ADD * words)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = np.where(has & (before > 0), np.minimum(joint / np.maximum(before, 1e-9), 1.0), flat)
-        out[m] = -np.log2(SHARE * np.maximum(seen, 0) + (1 - SHARE) * np.maximum(flat, 1e-12))
+        uni = counts[m][word] - mine[m] * n_word
+        flat = (uni * by + ADD) / (total[m] * by + ADD * words)
+        seen, before = flat.copy(), uni[prior]
+        joint = (counts[m][pair] - mine[m] * n_pair)[has]
+        seen[has] = np.where(before > 0, joint / np.maximum(before, 1), flat[has])
+        out[m] = -np.log2(SHARE * seen + (1 - SHARE) * np.maximum(flat, 1e-12))
     return out
 
 
-def score(rows: DataFrame, model: dict) -> DataFrame:
+def score(rows: DataFrame, answered: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, background_loss, target_loss, score) of every row."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "n_tokens", "background_loss", "target_loss", "score"]
-
-    def run(batches):
-        m = shared.value
-        for batch in batches:
-            row, target = 0, np.asarray(batch.column(2).fill_null(False)).astype(bool)
-            for n, owner, word, prior, pair in token_cells(batch.column(1)):
-                bits = losses(owner, word, prior, pair, target[row:row + n], m)
-                size = np.bincount(owner, minlength=n)
-                mean = [np.bincount(owner, b, n) / np.maximum(size, 1) for b in bits]
-                known = (size > 0) & (m["tokens"][1] > 0)
-                loss = [pa.array(x, pa.float64(), mask=~known) for x in mean]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), pa.array(size.astype(np.int64)), *loss,
-                     pa.array(np.where(known, mean[0] - mean[1], 0.0))], names)
-                row += n
+    def run(key, table, got):
+        if not table.num_rows:
+            raise RuntimeError(f"counts without documents for batch {key[0].as_py()}")
+        text, target = _columns(table)
+        tokens = batch_tokens(text)
+        got = sorted(got.to_pylist(), key=lambda r: r["bucket"])  # the first is TOTALS
+        others = [np.stack([_unpacked(r[c]).astype(np.int64) for c in ("background", "target")]) for r in got]
+        counts = np.concatenate([np.zeros((2, 0), np.int64), *others[1:]], axis=1)
+        owned = target[tokens["owner"]]
+        all_tokens = others[0][:, 0] + [len(owned), owned.sum()]
+        bits = losses(tokens, target, counts + _sums(tokens, target), all_tokens)
+        size = np.bincount(tokens["owner"], minlength=len(target))
+        mean = [np.bincount(tokens["owner"], b, len(target)) / np.maximum(size, 1) for b in bits]
+        known = (size > 0) & (all_tokens[1] > 0)
+        loss = [pa.array(x, pa.float64(), mask=~known) for x in mean]
+        return pa.table([table.column("doc_id"), pa.array(size.astype(np.int64)), *loss,
+                         pa.array(np.where(known, mean[0] - mean[1], 0.0))],
+                        ["doc_id", "n_tokens", "background_loss", "target_loss", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "target").mapInArrow(
+    return rows.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
         run, f"doc_id {kind}, n_tokens long, background_loss double, target_loss double, score double")
 
 
 def score_documents(docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all documents against those whose ids ``targets`` holds."""
-    rows = marked(docs, targets, id_col, text)
-    return score(rows, fit(rows))
+    rows, bits = in_batches(marked(docs, targets, id_col, text))
+    return score(rows, answers(requests(rows, bits)))

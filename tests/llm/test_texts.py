@@ -256,6 +256,35 @@ def test_lm_losses_against_plain_counts(spark):
         assert abs(got[i].background_loss - total[0]) < 1e-6 and abs(got[i].target_loss - total[1]) < 1e-6
 
 
+@pytest.mark.parametrize("batch_bytes", [lmscore.BATCH_BYTES, 1 << 19])
+def test_lm_counts_of_many_words(spark, monkeypatch, batch_bytes):
+    """More distinct words than 2 ** 18 and pairs than 2 ** 20: none are merged."""
+    monkeypatch.setattr(lmscore, "BATCH_BYTES", batch_bytes)
+    rng = np.random.default_rng(8)
+    texts = [[f"w{x}" for x in rng.integers(0, 400_000, 15_000)] for _ in range(80)]
+    texts += [texts[k][:7000] + [f"w{x}" for x in rng.integers(0, 400_000, 500)] for k in range(4)]
+    target = set(range(0, 84, 2))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    got = {r.doc_id: r for r in lmscore.score_documents(docs, ids).collect()}
+    models = [(Counter(w for i in m for w in texts[i]), Counter(p for i in m for p in zip(texts[i], texts[i][1:])))
+              for m in (range(84), target)]
+    sizes = [sum(uni.values()) for uni, _ in models]
+    for i in (0, 1, 80, 81):
+        t, total = texts[i], []
+        uni_own, pair_own, totals = Counter(t), Counter(zip(t, t[1:])), [n - len(t) * (m == 0 or i in target)
+                                                                       for m, n in enumerate(sizes)]
+        for m, (uni, pairs) in enumerate(models):
+            mine, by, bits = int(m == 0 or i in target), totals[1] / totals[m], 0.0
+            for before, w in zip([None, *t], t):
+                flat = ((uni[w] - mine * uni_own[w]) * by + lmscore.ADD) / (totals[m] * by + lmscore.ADD * (1 << lmscore.WORD_BITS))
+                n = uni[before] - mine * uni_own[before] if before else 0
+                seen = (pairs[before, w] - mine * pair_own[before, w]) / n if n else flat
+                bits -= np.log2(lmscore.SHARE * seen + (1 - lmscore.SHARE) * flat)
+            total.append(bits / len(t))
+        assert abs(got[i].background_loss - total[0]) < 1e-6 and abs(got[i].target_loss - total[1]) < 1e-6
+
+
 # 7 and 9 --------------------------------------------------------------------
 def check_scores(got, docs, folds, held):
     assert Counter(r.doc_id for r in got) == Counter(i for i, in rows_of(docs, "doc_id"))
