@@ -59,13 +59,19 @@ def _zeroless(vector, kind: str):
     return F.transform(vector, lambda x: x.cast(kind) + F.lit(0).cast(kind))
 
 
+def _valid(vector: str, label: str):
+    """Whether a row can link: never null."""
+    v = F.col(vector)
+    fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))) \
+        & F.exists(v, lambda x: x != 0)
+    return F.coalesce(v.isNotNull() & F.col(label).isNotNull() & fine, F.lit(False))
+
+
 def entries(vectors: DataFrame, id_col: str, vector: str, label: str) -> DataFrame:
     """(node, group, size, vec, first, copies): every distinct valid vector of a
     label once; ``node`` is a hash of label and vector."""
     v = F.col(vector)
-    fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))) \
-        & F.exists(v, lambda x: x != 0)
-    return (vectors.where(v.isNotNull() & F.col(label).isNotNull() & fine)
+    return (vectors.where(_valid(vector, label))
             .select(F.col(id_col).alias("id"), F.col(label).cast("string").alias("group"),
                     _zeroless(v, _kind(vectors, vector)).alias("vec"))
             .withColumn("node", F.xxhash64("group", "vec"))
@@ -204,7 +210,7 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
     rows = vectors.select(F.col(id_col).alias("vec_id"),
                           F.xxhash64(F.col(label).cast("string"),
                                      _zeroless(F.col(vector), _kind(vectors, vector))).alias("node"),
-                          (F.col(label).isNotNull() & F.col(vector).isNotNull()).alias("may"))
+                          _valid(vector, label).alias("may"))
     joined = rows.select("vec_id", F.when(F.col("may"), F.col("node")).alias("node")).join(known, "node", "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

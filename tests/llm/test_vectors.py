@@ -55,6 +55,10 @@ def test_awkward_vectors(spark):
                   (14, [2.0, 4.0], 1, None), (15, [-0.0, 1.0, 0.0], 3, None), (16, [0.0, 1.0, 0.0], 3, None)])
 
 
+def test_invalid_vector_beside_its_valid_part(spark):
+    check(spark, [(1, [1.0, None, 3.0], 1, None), (2, [1.0, 3.0], 1, None), (3, [1.0, 3.0], 1, None)])
+
+
 def test_no_vectors(spark):
     check(spark, [])
 
