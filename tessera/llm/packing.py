@@ -1,8 +1,8 @@
 """Best-fit packing of documents into fixed-length training sequences.
 
 Method: bulk-synchronous best fit.  Documents become pieces of at most ``most``
-tokens; the data are range-sorted by length, so that a piece is named by its
-length and its rank among pieces of that length.  Pieces of one length are
+tokens, and a piece is named by its length and its rank among pieces of that length;
+the data are not sorted by length and no match is distributed.  Pieces of one length are
 interchangeable, and so are gaps of one size, so a round works on runs: for every
 length the number of pieces still unplaced, for every open gap the run of
 sequences that have it.  A round sweeps both from the longest to the shortest;
@@ -10,8 +10,8 @@ each run of pieces finds its successor, the smallest gap that still holds it, a
 gap takes pieces of one run in a round, and where several want the same gap the
 lower rank wins.  Then gaps are updated and the next round begins, until no piece
 is left; pieces that no gap can hold open sequences.  The sweep's state is a
-table over at most ``most`` lengths, whatever the corpus; its outcome, a list of
-rank intervals, is broadcast, and every piece finds its sequence from its rank.
+count for at most ``most`` lengths and the runs of gaps, whose number has no proven
+bound; it runs on the driver, and its outcome, a list of rank intervals, is broadcast, and every piece finds its sequence from its rank.
 
 Defined results.  Every row is packed, a null or empty text as its end token
 alone.  Only documents longer than ``most`` are cut, into full pieces behind a
