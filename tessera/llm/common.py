@@ -117,3 +117,17 @@ def small_side(df: DataFrame, limit_bytes: int = 16 << 20) -> DataFrame:
     rows = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     size = df.agg(F.sum(2 * rows + 64).alias("b")).first()["b"] or 0
     return F.broadcast(df) if size <= limit_bytes else df
+
+
+def byte_slices(texts, most: int = 12 << 20):
+    """(begin, end) of runs of an Arrow string array of about ``most`` bytes each; a
+    longer text is a run of its own.  Kernels then work on bounded input."""
+    import numpy as np
+    import pyarrow.compute as pc
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        have = int(ends[begin - 1]) if begin else 0
+        to = max(begin + 1, int(np.searchsorted(ends, have + most, "right")))
+        yield begin, to
+        begin = to

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, lmscore, packing, quality, secretscan, simhash, tokencount, tokenfiles, toxicity, vectors
+from tessera.llm import (decontaminate, lmscore, packing, periodic, quality, resample, secretscan, simhash, tokencount,
+                         tokenfiles, toxicity, vectors, warc)
 from tessera.llm.common import table, vocabulary_path
 from tessera.session import shared_dir
 
@@ -117,3 +118,101 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
     return lmscore.score_documents(table(spark, sf_dir, "documents"), good)
+
+
+@_query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC32 by its byte table: DuckDB has no such function
+ORACLE_SQL["op13_importance_resampling"] = r"""
+WITH byte_table AS (
+  SELECT list(list_reduce(list_concat([CAST(i AS BIGINT)], CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t
+  FROM range(256) r(i)),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+own AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM docs) GROUP BY ALL),
+words AS (SELECT DISTINCT word FROM (SELECT word FROM own UNION ALL SELECT word FROM items)),
+hashed AS (
+  SELECT word, xor(list_reduce(list_concat([4294967295],
+           list_transform(range(0, strlen(word)), lambda k: CAST('0x' || substr(hex(encode(word)), 2 * k + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM words, byte_table),
+corpus AS (SELECT bucket, sum(n) AS s FROM own JOIN hashed USING (word) GROUP BY 1),
+target AS (SELECT bucket, count(*) AS t FROM items JOIN hashed USING (word) GROUP BY 1),
+sizes AS (SELECT (SELECT coalesce(sum(s), 0) FROM corpus)::DOUBLE AS s_all, (SELECT coalesce(sum(t), 0) FROM target)::DOUBLE AS t_all),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000))
+                                 / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+  FROM corpus FULL JOIN target USING (bucket), sizes),
+sums AS (SELECT r, sum(n) AS n, sum(n * gain) AS total FROM own JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT docs.r, doc_id, coalesce(n, 0)::BIGINT AS n_features,
+         coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM docs LEFT JOIN sums ON docs.r = sums.r),
+final AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS able
+  FROM final WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= able * 10 // 100 THEN place END AS rank
+FROM final LEFT JOIN ranked USING (r)
+"""
+
+
+def _with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the repeats that the query's contract plants: of the rows
+    whose crc32(doc_id) ends in 0 the words from ``a`` on repeat with period ``p``."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    once = docs.select("doc_id", "text", F.inline(F.array(F.struct(
+        F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g")))))
+    n = F.size("w")
+    with_start = once.withColumn("n", n).withColumn("a", F.when(n > 0, F.col("g") % n))
+    p = F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1
+    planted = F.expr("""array_join(transform(sequence(0, n - 1), i ->
+        get(w, cast(if(i < a, i, a + (i - a) % p) as int))), ' ')""")
+    return with_start.withColumn("p", p).select(
+        "doc_id", F.when(F.coalesce(F.col("n") > 0, F.lit(False)), planted).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.detect(_with_planted_repeats(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n'))"), "")
+    best = found.withColumn("best", periodic.longest_by_exponent("runs"))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), shared_dir(spark, "warc")
+    warc.write(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    found = warc.read(spark, folder, payloads=False)
+    return found.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+ORACLE_SQL["op12_warc_zip"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN older THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN older THEN first END AS refers_to
+FROM (SELECT *, payload_bytes >= 1000 AND first IS NOT NULL AND (page_id IS NULL OR page_id < first) AS older FROM g)
+"""
