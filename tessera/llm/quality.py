@@ -95,25 +95,39 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", *, id_col: s
     model = {"prior": counts.get(1, 0) / total if total else 0.5, "refs": None}
     if len(counts) < 2:
         return model
-    # at most 2 * per_class ids, so this side is small by construction
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-            .join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
-            .mapInArrow(_feature_batches, "doc_id long, y int, cells binary")
-            .groupBy("doc_id", "y").agg(F.min("cells").alias("cells")).orderBy("doc_id").collect())
-    y = np.array([r["y"] for r in rows])
+    df, n = document_frequencies(docs, text)
+    idf = (np.log((1 + n) / (1 + df)) + 1e-3).astype(np.float32)
+    # at most 2 * per_class ids, so this side is small by construction, and so is the group
+    sample = (docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+              .join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
+              .mapInArrow(_feature_batches, f"doc_id {docs.schema[id_col].dataType.simpleString()}, y int, cells binary")
+              .groupBy("doc_id", "y").agg(F.min("cells").alias("cells")))
+    found = (sample.withColumn("one", F.lit(True)).groupBy("one")
+             .applyInArrow(lambda t: _decomposed(t, idf, rank), "y binary, basis binary, refs binary").first())
+    if found is None:
+        return model
+    y = np.frombuffer(found["y"], "<i4")
     if len(set(y.tolist())) < 2:
         return model
-    df, n = document_frequencies(docs, text)
-    model["idf"] = (np.log((1 + n) / (1 + df)) + 1e-3).astype(np.float32)
-    x = weighted(np.stack([np.frombuffer(r["cells"], "<f4") for r in rows]), model["idf"])
-    values, vectors = np.linalg.eigh(x.T.astype(np.float64) @ x)
-    model["basis"] = vectors[:, np.argsort(values)[::-1][:rank]].astype(np.float32)
-    model["refs"] = unit(x @ model["basis"])
+    model["idf"] = idf
+    model["basis"] = np.frombuffer(found["basis"], "<f4").reshape(DIMS, -1)
+    model["refs"] = np.frombuffer(found["refs"], "<f4").reshape(len(y), -1)
     share = {c: counts[c] / total / np.mean(y == c) for c in (0, 1)}
     model["y"], model["vote"] = y.astype(np.float32), np.array([share[c] for c in y], np.float32)
     return model
 
 
+def _decomposed(table: pa.Table, idf: np.ndarray, rank: int) -> pa.Table:
+    """One row: classes, projection and latent vectors of the sample, in order of the
+    ids.  Runs in a task; of the sample only these, under 2 MB, reach the driver."""
+    table = table.sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    x = weighted(np.stack([np.frombuffer(c, "<f4") for c in table.column("cells").to_pylist()]), idf)
+    values, vectors = np.linalg.eigh(x.T.astype(np.float64) @ x)
+    basis = np.ascontiguousarray(vectors[:, np.argsort(values)[::-1][:rank]], "<f4")
+    parts = (table.column("y").to_numpy().astype("<i4"), basis, unit(x @ basis).astype("<f4"))
+    return pa.table({c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(("y", "basis", "refs"), parts)})
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     size = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, size, out=np.zeros_like(x), where=size > 0)
