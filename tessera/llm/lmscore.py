@@ -2,9 +2,10 @@
 
 Method.  Two bigram models, one of the target documents and one of all documents
 (the background), hold the count of every word and of every pair of words, keyed by
-112-bit hashes (among 10^11 keys two collide with a chance of 10^-12).  They are matched: the same vocabulary, order and smoothing (``ADD``
-for each of ``2 ** WORD_BITS`` words), and the background's counts are scaled to the
-target's number of tokens.  A token's loss under a model is
+88-bit hashes (among 10^11 keys 2e-5 collisions are expected).  They are matched: one
+shared vocabulary, the distinct words of all documents, counted; the same order and
+smoothing (``ADD`` for each word of it); and the background's counts are scaled to
+the target's number of tokens.  A token's loss under a model is
 ``-log2(share * pair / word before + (1 - share) * smoothed word)``; a document's
 score is the mean over its tokens of the background's loss less the target's.  High
 scores are like the target.
@@ -14,7 +15,9 @@ hash of id and text into batches of about ``BATCH_BYTES``.  A batch adds up its
 and pairs and sends each key once, with its counts, to the key's bucket, so a common
 word costs as much as any other.  A bucket adds up the batches and answers each with
 the other batches' counts in the order of its keys; the keys do not travel back.  No
-task holds more than a batch or a bucket, and their numbers follow the input.  A
+task holds more than a batch or a bucket, and their numbers follow the input.  Rows
+that are equal in id, text and mark are put together where they are read, and are
+scored once; they would else fill one batch.  A
 document's own counts are taken off before it is scored (leave-one-out), else the
 target's documents would be scored by themselves.
 
@@ -32,12 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_side
+from tessera.llm.common import byte_slices, small_side
 
-WORD_BITS, SHARE, ADD = 18, 0.6, 0.1
+SHARE, ADD = 0.6, 0.1
 BATCH_BYTES = 8 << 20
-LOW_BYTES = 6  # of a key's lower half that are kept
-TOTALS = -1  # the bucket that adds up the batches' numbers of tokens
+LOW_BYTES = 3  # of a key's lower half that are kept
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -99,17 +101,34 @@ def batch_tokens(texts: pa.Array) -> dict:
     return {"owner": owner, "word": of_word[word], "pair": pair, "hi": hi[order], "lo": lo[order]}
 
 
-def _sums(tokens: dict, target: np.ndarray) -> np.ndarray:
+def _sums(tokens: dict, target: np.ndarray, copies: np.ndarray) -> np.ndarray:
     """Background and target counts of a batch's keys."""
-    n, mine = len(tokens["hi"]), target[tokens["owner"]]
-    has = tokens["pair"] >= 0
-    return np.stack([np.bincount(tokens["word"][pick], minlength=n) + np.bincount(tokens["pair"][pick & has], minlength=n)
-                     for pick in (np.ones(len(mine), bool), mine)])
+    n, has = len(tokens["hi"]), tokens["pair"] >= 0
+    out = []
+    for weight in (copies, copies * target):  # whole numbers, exact as doubles
+        each = weight[tokens["owner"]].astype(np.float64)
+        out.append(np.bincount(tokens["word"], each, n) + np.bincount(tokens["pair"][has], each[has], n))
+    return np.stack(out).astype(np.int64)
 
 
 def _columns(table: pa.Table) -> tuple:
     text = table.column("text").cast(pa.large_string()).combine_chunks()
-    return text, table.column("target").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+    return (text, table.column("target").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(bool),
+            table.column("copies").combine_chunks().to_numpy().astype(np.int64))
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: rows of one batch of a scan that are equal become one,
+    so that a row which a third of the table repeats is sent once for each such batch."""
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).group_by(["doc_id", "text", "target"], use_threads=False) \
+                .aggregate([([], "count_all")])
+            yield from table.select(["doc_id", "text", "target", "count_all"]).rename_columns(
+                ["doc_id", "text", "target", "copies"]).to_batches()
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, text string, target boolean, copies long")
 
 
 def marked(docs: DataFrame, targets: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -126,24 +145,23 @@ def in_batches(rows: DataFrame) -> tuple[DataFrame, int]:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = 1 + size // BATCH_BYTES
     batch = F.pmod(F.xxhash64(F.lit("batch"), "doc_id", "text"), F.lit(batches)).cast("int")
-    return rows.select("doc_id", "text", "target", batch.alias("batch")), (4 * batches - 1).bit_length()
+    return rows.withColumn("batch", batch), (4 * batches - 1).bit_length()
 
 
 def requests(rows: DataFrame, bits: int) -> DataFrame:
     """(bucket, batch, hi, lo, background, target): the keys of every batch and its
     counts, packed; the bucket is the first ``bits`` bits of a key."""
     def run(key, table):
-        text, target = _columns(table)
+        text, target, copies = _columns(table)
         tokens = batch_tokens(text)
-        sums, hi = _sums(tokens, target), tokens["hi"]
+        sums, hi = _sums(tokens, target, copies), tokens["hi"]
         bucket = (hi >> np.uint64(64 - bits)).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][:len(hi)])
-        owned = target[tokens["owner"]]
-        out = [(TOTALS, _packed(hi[:0]), b"", _packed(np.array([len(owned)])), _packed(np.array([owned.sum()])))]
+        out = []
         for a, b in zip(starts, np.r_[starts[1:], len(hi)]):
             out.append((int(bucket[a]), _packed(np.diff(hi[a:b], prepend=np.uint64(0))), _low_bytes(tokens["lo"][a:b]),
                         _packed(sums[0, a:b]), _packed(sums[1, a:b])))
-        bucket, *rest = zip(*out)
+        bucket, *rest = zip(*out) if out else [()] * 5
         return pa.table({"bucket": pa.array(bucket, pa.int32()), "batch": pa.array([key[0].as_py()] * len(out), pa.int32()),
                          **{c: pa.array(x, pa.binary()) for c, x in zip(("hi", "lo", "background", "target"), rest)}})
 
@@ -159,15 +177,12 @@ def answers(asked: DataFrame) -> DataFrame:
         asked = {c: table.column(c).to_pylist() for c in ("hi", "lo", *names)}
         sums = [[_unpacked(x).astype(np.int64) for x in asked[c]] for c in names]
         ends = np.cumsum([len(x) for x in sums[0]])[:-1]
-        if key[0].as_py() == TOTALS:
-            place = np.zeros(len(sums[0]), np.int64)
-        else:
-            hi = np.concatenate([np.cumsum(_unpacked(x), dtype=np.uint64) for x in asked["hi"]])
-            lo = np.concatenate([_of_low_bytes(x) for x in asked["lo"]])
-            order = np.lexsort((lo, hi))
-            new = np.r_[False, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]
-            place = np.empty(len(order), np.int64)
-            place[order] = np.cumsum(new)
+        hi = np.concatenate([np.cumsum(_unpacked(x), dtype=np.uint64) for x in asked["hi"]])
+        lo = np.concatenate([_of_low_bytes(x) for x in asked["lo"]])
+        order = np.lexsort((lo, hi))
+        new = np.r_[False, (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new)
         out = []
         for parts in sums:
             own = np.concatenate(parts)
@@ -180,11 +195,11 @@ def answers(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, "bucket int, batch int, background binary, target binary")
 
 
-def losses(tokens: dict, target: np.ndarray, counts: np.ndarray, all_tokens: np.ndarray) -> np.ndarray:
+def losses(tokens: dict, target: np.ndarray, counts: np.ndarray, all_tokens: np.ndarray, words: int) -> np.ndarray:
     """Bits of every token under the background (row 0) and the target (row 1),
     each model without the counts of the token's own document."""
     owner, word, pair = (tokens[c] for c in ("owner", "word", "pair"))
-    words, size = 1 << WORD_BITS, np.bincount(owner, minlength=len(target))
+    size = np.bincount(owner, minlength=len(target))
 
     def own(keys):
         """How often a token's key occurs in its document."""
@@ -207,33 +222,60 @@ def losses(tokens: dict, target: np.ndarray, counts: np.ndarray, all_tokens: np.
     return out
 
 
-def score(rows: DataFrame, answered: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, background_loss, target_loss, score) of every row."""
+def totals(rows: DataFrame) -> tuple[int, int, int]:
+    """Distinct words (by 64-bit hashes), tokens and target tokens of all documents: a
+    batch of a scan sends each of its words once, and one row of sums."""
+    import xxhash
+
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for a, b in byte_slices(batch.column("text")):
+                text, target, copies = _columns(table.slice(a, b - a))
+                cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(text, "")))
+                real = pc.not_equal(cut.flatten(), "").to_numpy(zero_copy_only=False)
+                size = np.bincount(np.repeat(np.arange(b - a), np.diff(np.asarray(cut.offsets)))[real], copies[
+                    np.repeat(np.arange(b - a), np.diff(np.asarray(cut.offsets)))[real]], b - a).astype(np.int64)
+                names = pc.unique(cut.flatten()).cast(pa.large_binary()).to_pylist()
+                words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names if w), np.uint64).view(np.int64)
+                zeros = [0] * len(words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*words.tolist(), None], pa.int64()), pa.array([*zeros, int(size.sum())], pa.int64()),
+                     pa.array([*zeros, int(size[target].sum())], pa.int64())], ["word", "n", "t"])
+
+    found = rows.select("text", "target", "copies").mapInArrow(run, "word long, n long, t long").agg(
+        F.countDistinct("word").alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+    return found["words"], found["n"] or 0, found["t"] or 0
+
+
+def score(rows: DataFrame, answered: DataFrame, words: int, all_tokens: np.ndarray) -> DataFrame:
+    """(doc_id, n_tokens, background_loss, target_loss, score, copies) of every row."""
     def run(key, table, got):
         if not table.num_rows:
             raise RuntimeError(f"counts without documents for batch {key[0].as_py()}")
-        text, target = _columns(table)
+        text, target, copies = _columns(table)
         tokens = batch_tokens(text)
-        got = sorted(got.to_pylist(), key=lambda r: r["bucket"])  # the first is TOTALS
+        got = sorted(got.to_pylist(), key=lambda r: r["bucket"])
         others = [np.stack([_unpacked(r[c]).astype(np.int64) for c in ("background", "target")]) for r in got]
-        counts = np.concatenate([np.zeros((2, 0), np.int64), *others[1:]], axis=1)
-        owned = target[tokens["owner"]]
-        all_tokens = others[0][:, 0] + [len(owned), owned.sum()]
-        bits = losses(tokens, target, counts + _sums(tokens, target), all_tokens)
+        counts = np.concatenate([np.zeros((2, 0), np.int64), *others], axis=1)
+        bits = losses(tokens, target, counts + _sums(tokens, target, copies), all_tokens, words)
         size = np.bincount(tokens["owner"], minlength=len(target))
         mean = [np.bincount(tokens["owner"], b, len(target)) / np.maximum(size, 1) for b in bits]
         known = (size > 0) & (all_tokens[1] > 0)
         loss = [pa.array(x, pa.float64(), mask=~known) for x in mean]
         return pa.table([table.column("doc_id"), pa.array(size.astype(np.int64)), *loss,
-                         pa.array(np.where(known, mean[0] - mean[1], 0.0))],
-                        ["doc_id", "n_tokens", "background_loss", "target_loss", "score"])
+                         pa.array(np.where(known, mean[0] - mean[1], 0.0)), pa.array(copies)],
+                        ["doc_id", "n_tokens", "background_loss", "target_loss", "score", "copies"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
-        run, f"doc_id {kind}, n_tokens long, background_loss double, target_loss double, score double")
+        run, f"doc_id {kind}, n_tokens long, background_loss double, target_loss double, score double, copies long")
 
 
 def score_documents(docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all documents against those whose ids ``targets`` holds."""
-    rows, bits = in_batches(marked(docs, targets, id_col, text))
-    return score(rows, answers(requests(rows, bits)))
+    rows, bits = in_batches(once(marked(docs, targets, id_col, text)))
+    words, *tokens = totals(rows)
+    found = score(rows, answers(requests(rows, bits)), max(words, 1), np.array(tokens, np.int64))
+    # a row stands for at most one batch of a scan
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "_copy")

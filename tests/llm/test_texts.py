@@ -234,7 +234,7 @@ def test_lm_losses_against_plain_counts(spark):
     target = {i for i in range(0, 30, 3)}
     ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
     got = {r.doc_id: r for r in lmscore.score_documents(docs, ids).collect()}
-    cells = 1 << lmscore.WORD_BITS
+    cells = len({w for _, t in rows for w in t.split()})  # the measured vocabulary
     for i, text in rows:
         losses = []
         for mine, members in (("background", range(30)), ("target", target)):
@@ -277,7 +277,7 @@ def test_lm_counts_of_many_words(spark, monkeypatch, batch_bytes):
         for m, (uni, pairs) in enumerate(models):
             mine, by, bits = int(m == 0 or i in target), totals[1] / totals[m], 0.0
             for before, w in zip([None, *t], t):
-                flat = ((uni[w] - mine * uni_own[w]) * by + lmscore.ADD) / (totals[m] * by + lmscore.ADD * (1 << lmscore.WORD_BITS))
+                flat = ((uni[w] - mine * uni_own[w]) * by + lmscore.ADD) / (totals[m] * by + lmscore.ADD * len(models[0][0]))
                 n = uni[before] - mine * uni_own[before] if before else 0
                 seen = (pairs[before, w] - mine * pair_own[before, w]) / n if n else flat
                 bits -= np.log2(lmscore.SHARE * seen + (1 - lmscore.SHARE) * flat)
@@ -285,6 +285,38 @@ def test_lm_counts_of_many_words(spark, monkeypatch, batch_bytes):
         assert abs(got[i].background_loss - total[0]) < 1e-6 and abs(got[i].target_loss - total[1]) < 1e-6
 
 
+def test_lm_rows_that_a_third_of_the_table_repeats(spark, monkeypatch):
+    """Equal rows are scored once, so they fill no batch, and count as often as they occur."""
+    monkeypatch.setattr(lmscore, "BATCH_BYTES", 1 << 16)
+    plain = [(i, words(40, i)) for i in range(60)]
+    docs = spark.createDataFrame(plain + [(99, words(400, 99))] * 1500, "doc_id long, text string").repartition(4, "doc_id")
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 2)] + [(99,)], "doc_id long")
+    rows, _ = lmscore.in_batches(lmscore.once(lmscore.marked(docs, ids, "doc_id", "text")))
+    size = rows.groupBy("batch").agg(F.sum(F.octet_length("text")).alias("b"), F.sum("copies").alias("n")).collect()
+    assert max(r.b for r in size) < 1 << 16 and sum(r.n for r in size) == 1560
+    assert lmscore.totals(rows) == (len({w for _, t in plain for w in t.split()} | set(words(400, 99).split())),
+                                    2400 + 600_000, 1200 + 600_000)
+    got = lmscore.score_documents(docs, ids).collect()
+    assert Counter(r.doc_id for r in got) == Counter({99: 1500, **{i: 1 for i in range(60)}})
+    assert len({(r.background_loss, r.target_loss) for r in got if r.doc_id == 99}) == 1
+    t, total = words(400, 99).split(), []
+    uni, pairs = Counter(t), Counter(zip(t, t[1:]))
+    cells = len({w for _, x in plain for w in x.split()} | set(t))
+    for m, members in enumerate((range(60), range(0, 60, 2))):
+        others = [plain[i][1].split() for i in members]
+        u, p = Counter(w for x in others for w in x), Counter(q for x in others for q in zip(x, x[1:]))
+        u.update({w: 1499 * n for w, n in uni.items()})
+        p.update({w: 1499 * n for w, n in pairs.items()})
+        total.append((u, p, sum(u.values())))
+    for (u, p, n), by, loss in zip(total, (total[1][2] / total[0][2], 1.0), ("background_loss", "target_loss")):
+        bits = 0.0
+        for before, w in zip([None, *t], t):
+            flat = (u[w] * by + lmscore.ADD) / (n * by + lmscore.ADD * cells)
+            seen = p[before, w] / u[before] if before else flat
+            bits -= np.log2(lmscore.SHARE * seen + (1 - lmscore.SHARE) * flat)
+        assert abs(next(r[loss] for r in got if r.doc_id == 99) - bits / len(t)) < 1e-6
+
+
 # 7 and 9 --------------------------------------------------------------------
 def check_scores(got, docs, folds, held):
     assert Counter(r.doc_id for r in got) == Counter(i for i, in rows_of(docs, "doc_id"))
