@@ -1,7 +1,9 @@
 """Rating statistics and ALS recommendations.
 
 Statistics are grouped aggregates (partial aggregation before the shuffle).
-ALS is Spark ML's distributed block solver; predictions come from
+A trained model is checked by the equations that its factors must solve
+(``normal_residuals``), and recommendations are made for all users at once from
+blocks of item factors (``recommend_users``).  ALS is Spark ML's distributed block solver; predictions come from
 ``ALSModel.transform`` with cold-start rows dropped.  Ids are 64-bit; those ALS
 cannot take are numbered densely in front of it.  Titles are joined without a broadcast hint: the title
 table grows with the catalogue, so AQE decides from its measured size.
@@ -12,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import broadcast_if_small, reliable_checkpoint
+
 # The reference's ALS settings.
 ALS_ITERATIONS = 5
 ALS_REG = 0.1
@@ -95,16 +99,31 @@ class Recommender:
     beyond them are numbered densely, by one small table for users and one for
     items; ids within them are used as they are."""
 
-    def __init__(self, model: ALSModel, users: DataFrame | None, items: DataFrame | None):
-        self.model, self.users, self.items = model, users, items
+    def __init__(self, model: ALSModel, users: DataFrame | None, items: DataFrame | None, reg: float = ALS_REG):
+        self.model, self.users, self.items, self.reg = model, users, items, reg
+
+    def user_factors(self) -> DataFrame:
+        """(user, factors) under the ids of the ratings."""
+        return self._named(self.model.userFactors, self.users, "user")
 
+    def item_factors(self) -> DataFrame:
+        """(item, factors) under the ids of the ratings."""
+        return self._named(self.model.itemFactors, self.items, "item")
+
+    @staticmethod
+    def _named(factors: DataFrame, table: DataFrame | None, col: str) -> DataFrame:
+        if table is None:
+            return factors.select(F.col("id").cast("bigint").alias(col), F.col("features").alias("factors"))
+        names = table.select(F.col("id").alias(col), F.col("number").alias("id"))
+        return factors.join(names, "id").select(col, F.col("features").alias("factors"))
 
-def _numbered(ratings: DataFrame, col: str) -> DataFrame | None:
-    """(id, number) of a column, or None where its ids are 32-bit numbers."""
+
+def _numbered(ratings: DataFrame, col: str, span) -> DataFrame | None:
+    """(id, number) of a column, or None where its ids, from ``lo_`` to ``hi_``, are
+    32-bit numbers."""
     from tessera.operators.relational import number_rows
-    from tessera.session import reliable_checkpoint
-    span = ratings.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if span["lo"] is None or -INT_MAX <= span["lo"] and span["hi"] <= INT_MAX:
+    low, high = span[f"lo_{col}"], span[f"hi_{col}"]
+    if low is None or -INT_MAX <= low and high <= INT_MAX:
         return None
     numbered = number_rows(ratings.select(F.col(col).alias("id")).distinct(), "id")
     return reliable_checkpoint(numbered.select("id", F.col("_rn").cast("int").alias("number")))
@@ -127,12 +146,24 @@ def als_blocks(spark, n: int, rows_per_block: int = 500_000) -> int:
 def train_als(train: DataFrame, rank: int, iterations: int = ALS_ITERATIONS,
               reg: float = ALS_REG, seed: int = ALS_SEED) -> Recommender:
     """Fit an explicit-feedback ALS model."""
-    users, items = _numbered(train, "user"), _numbered(train, "item")
-    blocks = als_blocks(train.sparkSession, train.count())
+    return _fit(*_prepared(train), rank, iterations, reg, seed)
+
+
+def _prepared(train: DataFrame) -> tuple:
+    """The ratings under 32-bit numbers, the numbering, and the blocks of the factor
+    tables: one look at the ratings serves every model trained on them."""
+    ends = [f(c).alias(f"{n}_{c}") for c in ("user", "item") for n, f in (("lo", F.min), ("hi", F.max))]
+    span = train.agg(F.count(F.lit(1)).alias("n"), *ends).first()
+    users, items = _numbered(train, "user", span), _numbered(train, "item", span)
+    return _as_numbers(train, users, items), users, items, als_blocks(train.sparkSession, span["n"])
+
+
+def _fit(rows: DataFrame, users: DataFrame | None, items: DataFrame | None, blocks: int, rank: int,
+         iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> Recommender:
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="als_user",
               itemCol="als_item", ratingCol="rating", coldStartStrategy="drop",
               numUserBlocks=blocks, numItemBlocks=blocks)
-    return Recommender(als.fit(_as_numbers(train, users, items)), users, items)
+    return Recommender(als.fit(rows), users, items, reg)
 
 
 def predict(model: Recommender, pairs: DataFrame) -> DataFrame:
@@ -149,9 +180,9 @@ def rank_search(train: DataFrame, validation: DataFrame, ranks=ALS_RANKS,
     ``parallelism`` driver threads at once (as Spark ML's tuning classes do);
     each fit is still seeded and distributed."""
     from concurrent.futures import ThreadPoolExecutor
-    ranks = list(ranks)
+    ranks, prepared = list(ranks), _prepared(train)
     with ThreadPoolExecutor(max_workers=parallelism or len(ranks)) as pool:
-        models = dict(zip(ranks, pool.map(lambda r: train_als(train, r), ranks)))
+        models = dict(zip(ranks, pool.map(lambda r: _fit(*prepared, r), ranks)))
     rows = None
     for r in ranks:
         e = rmse_of(predict(models[r], validation)).select(
@@ -182,12 +213,22 @@ def new_user_ratings(ratings: DataFrame, picks: DataFrame) -> DataFrame:
                     F.col("rating").cast("double").alias("rating")))
 
 
-def unrated_pairs(users: DataFrame, items: DataFrame, ratings: DataFrame) -> DataFrame:
+_DEALT = 64
+
+
+def unrated_pairs(users: DataFrame, items: DataFrame, ratings: DataFrame,
+                  max_bytes: int | None = None) -> DataFrame:
     """J5 on stored ratings: (user, item) of every item that each of ``users`` (a
     few, such as those to recommend to now) has not rated: each user's missing
-    items by one left anti join on (user, item)."""
-    asked = F.broadcast(users.select("user").distinct())
-    return (items.select("item").distinct().join(asked, F.lit(True))
+    items by one left anti join on (user, item).
+
+    Items are dealt over ``_DEALT`` keys and each user asked for stands under every
+    key, so the pairs come from an equi-join, by broadcast where the users are measured
+    to be few and by a shuffle that no key dominates otherwise."""
+    asked = users.select("user").distinct().select(
+        "user", F.explode(F.sequence(F.lit(0), F.lit(_DEALT - 1))).alias("_deal"))
+    dealt = items.select("item").distinct().withColumn("_deal", F.pmod(F.xxhash64("item"), F.lit(_DEALT)).cast("int"))
+    return (dealt.join(broadcast_if_small(asked, max_bytes), "_deal").select("user", "item")
             .join(ratings.select("user", "item"), ["user", "item"], "left_anti"))
 
 
@@ -197,6 +238,117 @@ def unrated_items(items: DataFrame, user_ratings: DataFrame) -> DataFrame:
                                                 "left_anti")
 
 
+def normal_residuals(model: Recommender, train: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """(user, n_ratings, residual) of every trained user: how far its factors are
+    from solving the equations that define them.
+
+    Training solves the users last, from the final item factors, so for a user with
+    n ratings (Σ v·vᵀ + λ·n·I)·u = Σ r·v over the items rated.  The difference of
+    both sides is Σ v·(v·u − r) + λ·n·u, one sum for each rank: a plain aggregate by user,
+    combined before its shuffle.  ``residual`` is its length over that of the terms
+    summed, Σ |r|·|v| + λ·n·|u|, so single-precision factors give some 1e-7."""
+    items, users = model.item_factors(), model.user_factors()
+    rank = model.model.rank
+    v, u = (lambda c: [F.col(c)[k].cast("double") for k in range(rank)])("v"), [F.col("u")[k].cast("double") for k in range(rank)]
+    dot = sum((a * b for a, b in zip(v, u)), F.lit(0.0))
+    length = lambda xs: F.sqrt(sum((x * x for x in xs), F.lit(0.0)))
+    rows = (train.select("user", "item", "rating")
+            .join(broadcast_if_small(items.withColumnRenamed("factors", "v"), max_bytes), "item")
+            .join(users.withColumnRenamed("factors", "u"), "user")
+            .withColumn("off", dot - F.col("rating")))
+    sums = rows.groupBy("user").agg(
+        F.count(F.lit(1)).alias("n_ratings"), F.first("u").alias("u"),
+        *[F.sum(x * F.col("off")).alias(f"s{k}") for k, x in enumerate(v)],
+        F.sum(F.abs("rating") * length(v)).alias("size"))
+    pull = model.reg * F.col("n_ratings")
+    left = [F.col(f"s{k}") + pull * x for k, x in enumerate(u)]
+    return sums.select("user", "n_ratings", F.try_divide(length(left), F.col("size") + pull * length(u)).alias("residual"))
+
+
+def residual_report(model: Recommender, train: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+    """One row: trained users, and how many miss the tolerance."""
+    off = F.coalesce(F.col("residual") > tolerance, F.lit(False)) | F.isnan("residual")
+    return normal_residuals(model, train).agg(
+        F.count(F.lit(1)).alias("n_users"), F.coalesce(F.sum(off.cast("bigint")), F.lit(0)).cast("bigint").alias("n_off"))
+
+
+BLOCK_BYTES = 32 << 20
+
+
+def item_blocks(items: DataFrame, rank: int, block_bytes: int = BLOCK_BYTES):
+    """The item factors cut into blocks of at most about ``block_bytes``, each (sorted
+    ids, matrix): what one broadcast holds, whatever the catalogue's size."""
+    import numpy as np
+    n = items.count()
+    cuts = max(1, -(-n * (8 + 4 * rank) // block_bytes))
+    block = F.pmod(F.xxhash64("item"), F.lit(cuts))
+    for b in range(cuts if n else 0):
+        part = (items if cuts == 1 else items.where(block == b)).toArrow().sort_by("item")
+        if part.num_rows:
+            yield (part.column("item").to_numpy(),
+                   np.array(part.column("factors").to_pylist(), np.float32).reshape(part.num_rows, rank))
+
+
+def _top_rows(scores, ids, most):
+    """Places of the ``most`` best scores, ties by id (``ids`` ascend)."""
+    import numpy as np
+    if most >= len(scores):
+        return np.argsort(-scores, kind="stable")
+    edge = -np.partition(-scores, most - 1)[most - 1]
+    near = np.flatnonzero(scores >= edge)
+    return near[np.argsort(-scores[near], kind="stable")][:most]
+
+
+def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataFrame | None = None,
+                    items: DataFrame | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """R13/R14 for many users: (user, item, prediction, place) of the ``n`` best items
+    that each user (of ``users``, or every trained one) has not rated, among
+    ``items`` or all trained ones; ties by item.
+
+    Item factors are broadcast block by block.  Users stay where they are: their factors
+    are multiplied with a block some thousand at a time, and of each user only
+    the best n and as many more as the user has rated leave the task, enough for n
+    whatever is rated.  So there is no row for each user and item.  What is rated goes
+    by an anti-join on (user, item), whose keys are unique, and the blocks' lists are
+    merged by a bounded window for each user."""
+    import pyarrow as pa
+    kept = model.item_factors()
+    if items is not None:
+        kept = kept.join(items.select("item").distinct(), "item", "leftsemi")
+    kept = reliable_checkpoint(kept)
+    rated = ratings.select("user", "item").distinct()
+    asked = model.user_factors() if users is None else model.user_factors().join(
+        users.select("user").distinct(), "user", "leftsemi")
+    # a user may have rated items that the model has no factors of; asking for more is harmless
+    counted = rated.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
+    asked = reliable_checkpoint(asked.join(counted, "user", "left").select(
+        "user", "factors", (F.coalesce("k", F.lit(0)) + n).alias("most")))
+    rank, spark = model.model.rank, ratings.sparkSession
+    schema = "user long, item long, prediction float"
+    found = spark.createDataFrame([], schema)
+    for block in item_blocks(kept, rank, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+
+        def best(batches, shared=shared):
+            import numpy as np
+            ids, matrix = shared.value
+            step = max(1, (16 << 20) // (4 * len(ids)))  # a product of 16 MB
+            for batch in batches:
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
+                    users = np.array(part.column(1).to_pylist(), np.float32).reshape(part.num_rows, rank)
+                    for user, most, scores in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), users @ matrix.T):
+                        top = _top_rows(scores, ids, most)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(top), user, np.int64)), pa.array(ids[top]), pa.array(scores[top])],
+                            ["user", "item", "prediction"])
+
+        found = found.unionByName(asked.mapInArrow(best, schema))
+    open_ = found.join(rated, ["user", "item"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("prediction"), "item"))
+    return open_.withColumn("place", place).where(F.col("place") <= n)
+
+
 def recommend_top_n(predictions: DataFrame, ratings: DataFrame, titles: DataFrame,
                     min_ratings: int = 75, n: int = 20) -> DataFrame:
     """The n best predictions among items with more than

@@ -106,6 +106,8 @@ PLACED = f"""placed AS (
   FROM (SELECT *, CAST('0x' || substr(md5('{SPLIT_SEED}:' || "user" || ':' || item), 1, 8) AS BIGINT) AS place
         FROM ratings))"""
 
+PICKED = "(" + ", ".join(str(i) for i, _ in K.NEW_USER_PICKS) + ")"
+
 # -- threshold sweep ---------------------------------------------------------
 SWEEP = f"""{TEXT},
 scored_gold AS (SELECT s.* FROM sims s JOIN gold USING (left_id, right_id)),
@@ -340,6 +342,26 @@ ORACLE_SQL: dict[str, str] = {
         FROM placed WHERE split = 'validation'
           AND "user" IN (SELECT "user" FROM placed WHERE split = 'train')
           AND item IN (SELECT item FROM placed WHERE split = 'train')""",
+    "als_normal_residual": _with(RATINGS, PLACED) + """, n AS (
+          SELECT count(DISTINCT "user") AS n FROM placed WHERE split = 'train')
+        SELECT unnest(['rank 4', 'rank 8', 'rank 12', 'new user']) AS model,
+               unnest([n, n, n, n + 1]) AS n_users, 0::BIGINT AS n_off FROM n""",
+    "als_new_user_pairs": _with(RATINGS, PLACED) + f"""SELECT "user", item, round(rating, 9) AS rating
+        FROM placed WHERE split = 'test' AND "user" IN (SELECT "user" FROM placed WHERE split = 'train')
+          AND (item IN (SELECT item FROM placed WHERE split = 'train') OR item IN {PICKED})""",
+    "recommend_unrated_pairs": _with(RATINGS, PLACED) + f"""
+        SELECT (SELECT max("user") + 1 FROM ratings) AS "user", item FROM (SELECT DISTINCT item FROM titles)
+        WHERE item NOT IN {PICKED} AND item IN (SELECT item FROM placed WHERE split = 'train')""",
+    "recommend_users": _with(RATINGS, PLACED) + f""", often AS (
+          SELECT item FROM stats WHERE n_ratings > {K.RECOMMEND_MIN_RATINGS}
+          INTERSECT SELECT item FROM placed WHERE split = 'train'),
+        open AS (
+          SELECT u."user", (SELECT count(*) FROM often) - count(o.item) AS n
+          FROM (SELECT DISTINCT "user" FROM placed WHERE split = 'train') u
+          JOIN ratings r ON r."user" = u."user" LEFT JOIN often o ON o.item = r.item GROUP BY 1)
+        SELECT "user", least(n, {K.RECOMMEND_N}) AS n_items, least(n, {K.RECOMMEND_N}) AS n_different,
+               0::BIGINT AS n_rated, 0::BIGINT AS n_rare, least(n, {K.RECOMMEND_N}) AS last_place
+        FROM open WHERE n > 0""",
     "mean_baseline_rmse": _with(RATINGS, PLACED) + """, m AS (
           SELECT avg(rating) AS train_mean FROM placed WHERE split = 'train')
         SELECT round(any_value(train_mean), 9) AS train_mean,

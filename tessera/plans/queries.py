@@ -785,3 +785,57 @@ def q_recommend_top_n(spark, sf):
     pred = R.predict(model, _unrated_pairs(spark, sf, mine))
     return R.recommend_top_n(pred, rt, titles(spark, sf), K.RECOMMEND_MIN_RATINGS,
                              K.RECOMMEND_N)
+
+
+def _one_of(df, **names):
+    return df.select(*[F.lit(v).alias(k) for k, v in names.items()], *df.columns)
+
+
+@query("als_normal_residual")
+def q_als_normal_residual(spark, sf):
+    """The three models of the rank search and the one with the new
+    user: their trained users, and how many do not solve their normal equations."""
+    rt = _ratings_fixed(spark, sf)
+    train, val, _ = R.split_ratings(rt)
+    _, models = R.rank_search(train, val)
+    out = None
+    for rank, model in models.items():
+        row = _one_of(R.residual_report(model, train), model=f"rank {rank}")
+        out = row if out is None else out.unionByName(row)
+    more = reliable_checkpoint(train.unionByName(R.new_user_ratings(rt, new_user_picks(spark))))
+    return out.unionByName(_one_of(R.residual_report(R.train_als(more, K.ALS_RANK), more), model="new user"))
+
+
+@query("als_new_user_pairs")
+def q_als_new_user_pairs(spark, sf):
+    """R11, R12 as far as SQL knows them: the test pairs that the model with the new
+    user predicts."""
+    rt = _ratings_fixed(spark, sf)
+    train, _, test = R.split_ratings(rt)
+    more = train.unionByName(R.new_user_ratings(rt, new_user_picks(spark)))
+    p = R.predict(R.train_als(more, K.ALS_RANK, iterations=1), test)
+    return p.where(F.col("prediction").isNotNull()).select("user", "item", r9("rating").alias("rating"))
+
+
+@query("recommend_unrated_pairs")
+def q_recommend_unrated_pairs(spark, sf):
+    """R13 as far as SQL knows it: the (user, item) pairs scored for the new user."""
+    _, _, mine, model = _with_new_user(spark, sf)
+    return R.predict(model, _unrated_pairs(spark, sf, mine)).select("user", "item")
+
+
+@query("recommend_users")
+def q_recommend_users(spark, sf):
+    """R13, R14 for every user at once: of the recommendations of each trained user,
+    how many there are, how many of them are different items, how many the user has
+    rated, and how many have too few ratings."""
+    rt = _ratings_fixed(spark, sf)
+    train, _, _ = R.split_ratings(rt)
+    counts = rt.groupBy("item").agg(F.count(F.lit(1)).alias("n_ratings"))
+    often = counts.where(F.col("n_ratings") > K.RECOMMEND_MIN_RATINGS)
+    got = R.recommend_users(R.train_als(train, K.ALS_RANK), rt, K.RECOMMEND_N, items=often)
+    seen = got.join(rt.select("user", "item", F.lit(1).alias("rated")), ["user", "item"], "left").join(counts, "item", "left")
+    return seen.groupBy("user").agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("item").alias("n_different"), F.count("rated").alias("n_rated"),
+        F.count(F.when(F.coalesce("n_ratings", F.lit(0)) <= K.RECOMMEND_MIN_RATINGS, 1)).alias("n_rare"),
+        F.max("place").cast("bigint").alias("last_place"))

@@ -2,6 +2,9 @@
 
 import math
 
+import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
@@ -73,3 +76,73 @@ def test_unrated_pairs_brute_force(spark):
     want = {(u["user"], i["item"]) for u in users.collect() for i in items.collect()} - rated
     got = [(r["user"], r["item"]) for r in R.unrated_pairs(users, items, rt).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def _factors(df, col):
+    return {r[col]: np.array(r["factors"], float) for r in df.collect()}
+
+
+def test_normal_residuals_against_solving(spark):
+    rt = ratings(spark, SF_SMALL).limit(2_000).cache()
+    model = R.train_als(rt, 4)
+    u, v = _factors(model.user_factors(), "user"), _factors(model.item_factors(), "item")
+    by_user = {}
+    for r in rt.collect():
+        by_user.setdefault(r["user"], []).append((v[r["item"]], r["rating"]))
+    for bound in (None, 0):  # item factors by broadcast, and by a shuffle join
+        got = {r["user"]: r for r in R.normal_residuals(model, rt, max_bytes=bound).collect()}
+        assert got.keys() == by_user.keys() == u.keys()
+        for user, rows in by_user.items():
+            a = sum(np.outer(x, x) for x, _ in rows) + R.ALS_REG * len(rows) * np.eye(4)
+            assert np.allclose(np.linalg.solve(a, sum(x * y for x, y in rows)), u[user], rtol=1e-3, atol=1e-4)
+            assert got[user]["n_ratings"] == len(rows) and got[user]["residual"] < 1e-5
+    report = R.residual_report(model, rt).first()
+    assert tuple(report) == (len(u), 0)
+    model.reg = 0.2  # not what it was trained with
+    assert R.residual_report(model, rt).first()["n_off"] > 0.9 * len(u)
+    model.reg = R.ALS_REG
+    assert R.residual_report(model, rt.withColumn("rating", F.col("rating") + 0.01)).first()["n_off"] > 0.9 * len(u)
+
+
+@pytest.mark.parametrize("block_bytes", [R.BLOCK_BYTES, 700])
+def test_recommendations_for_many_users(spark, block_bytes):
+    rt = ratings(spark, SF_SMALL).limit(3_000).cache()
+    hot = rt.select("item").distinct().selectExpr("77777 AS user", "item", "3.0 AS rating").where("item % 3 > 0")
+    rt = rt.unionByName(hot).cache()   # one user has rated most items
+    model = R.train_als(rt, 4, iterations=2)
+    u, v = _factors(model.user_factors(), "user"), _factors(model.item_factors(), "item")
+    rated = {(r["user"], r["item"]) for r in rt.collect()}
+    for items in (None, set(sorted(v)[::3])):
+        some = None if items is None else spark.createDataFrame([(i,) for i in items], "item long")
+        got = {}
+        found = R.recommend_users(model, rt, 7, items=some, block_bytes=block_bytes)
+        for r in found.collect():
+            got.setdefault(r["user"], []).append((r["place"], r["item"], r["prediction"]))
+        for user, x in u.items():
+            free = [i for i in v if (user, i) not in rated and (items is None or i in items)]
+            mine = sorted(got.get(user, []))
+            assert [p for p, _, _ in mine] == list(range(1, min(7, len(free)) + 1))
+            assert all(i in free and abs(p - x @ v[i]) < 1e-5 for _, i, p in mine)
+            best = sorted((-(x @ v[i]) for i in free))[:7]
+            assert np.allclose([-p for _, _, p in mine], best, atol=1e-5)
+        assert set(got) <= set(u)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    few = R.recommend_users(model, rt, 2, users=spark.createDataFrame([(77777,), (-1,)], "user long"))
+    assert {r["user"] for r in few.collect()} == {77777}
+
+
+def test_ties_and_exact_ends_of_the_bounded_list():
+    ids = np.array([2, 3, 5, 8, 9])
+    scores = np.array([1, 4, 4, 4, 0], np.float32)
+    assert [ids[R._top_rows(scores, ids, m)].tolist() for m in (1, 2, 3, 4, 9)] == [
+        [3], [3, 5], [3, 5, 8], [3, 5, 8, 2], [3, 5, 8, 2, 9]]
+
+
+def test_factors_under_large_ids(spark):
+    rt = ratings(spark, SF_SMALL).limit(500).cache()
+    big = rt.select((F.col("user") + 3_000_000_000).alias("user"), "item", "rating").cache()
+    model = R.train_als(big, 3, iterations=2)
+    assert {r["user"] for r in model.user_factors().collect()} == {r["user"] for r in big.collect()}
+    assert R.residual_report(model, big).first()["n_off"] == 0
+    assert min(r["user"] for r in R.recommend_users(model, big, 1).collect()) >= 3_000_000_000
