@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import broadcast_if_small, fits_broadcast, reliable_checkpoint
+from tessera.operators.text import pair_products
+from tessera.session import broadcast_if_small, broadcast_stored, fits_broadcast, reliable_checkpoint
 
 NTHRESHOLDS = 100
 
@@ -46,20 +47,41 @@ def containment_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id:
         F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda t: t != ""))
     lt = reliable_checkpoint(lt.withColumn("keys", interior))
     tokens = F.array_distinct(F.filter(_raw_split("rtext"), lambda t: t != ""))
-    found = _candidates(lt.where(F.size("keys") > 0), rt, tokens, max_bytes)
-    loose = lt.where((F.size("keys") == 0) & (F.length("ltext") > 0))
-    for k in [r["k"] for r in loose.select(F.least(F.length("ltext"), F.lit(3)).alias("k")).distinct().collect()]:
-        some = loose.where(F.least(F.length("ltext"), F.lit(3)) == k).withColumn("keys", _grams("ltext", k))
-        found = found.unionByName(_candidates(some, rt, _grams("rtext", k), max_bytes))
-    texts = broadcast_if_small(lt.select("left_id", "ltext"), max_bytes)
+    found = candidate_keys(lt.where(F.size("keys") > 0), rt, tokens, max_bytes)
+    facts = lt.agg(F.count(F.when(F.length("ltext") == 0, 1)).alias("empty"),
+                   F.collect_set(F.when(F.size("keys") == 0, loose_size("ltext"))).alias("sizes")).first()
+    for more in loose_candidates(lt.where(F.size("keys") == 0), rt, facts["sizes"], max_bytes):
+        found = found.unionByName(more)
+    return verified_pairs(lt, rt, found, facts["empty"] > 0, max_bytes)
+
+
+def loose_size(text_col: str):
+    """The length of the character runs by which a text without interior tokens is
+    searched: three, or what it has; null for an empty text."""
+    return F.when(F.length(text_col) > 0, F.least(F.length(text_col), F.lit(3)))
+
+
+def loose_candidates(loose: DataFrame, rt: DataFrame, sizes: list[int], max_bytes: int | None = None):
+    """Candidates of left texts without an interior token, by their character runs, a
+    table for each of the ``sizes`` (at most three) that occur."""
+    for k in sizes:
+        some = loose.where(loose_size("ltext") == k).withColumn("keys", _grams("ltext", k))
+        yield candidate_keys(some, rt, _grams("rtext", k), max_bytes)
+
+
+def verified_pairs(lt: DataFrame, rt: DataFrame, found: DataFrame, empty: bool,
+                   max_bytes: int | None = None) -> DataFrame:
+    """The candidates whose right text contains the left text, and, if there are ``empty``
+    left texts, all their pairs, which are dealt over ``_SALTS`` keys.  ``lt`` is stored."""
+    texts = broadcast_stored(lt.select("left_id", "ltext"), max_bytes)
     with_right = rt.join(broadcast_if_small(found, max_bytes), "right_id")
     pairs = with_right.join(texts, "left_id").where(F.instr("rtext", F.col("ltext")) > 0).select("left_id", "right_id")
-    empty = lt.where(F.length("ltext") == 0).select(
-        "left_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    if empty.isEmpty():
+    if not empty:
         return pairs
+    salted = lt.where(F.length("ltext") == 0).select(
+        "left_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
     dealt = rt.select("right_id", F.pmod(F.xxhash64("right_id"), F.lit(_SALTS)).cast("int").alias("salt"))
-    return pairs.unionByName(dealt.join(empty, "salt").select("left_id", "right_id"))
+    return pairs.unionByName(dealt.join(salted, "salt").select("left_id", "right_id"))
 
 
 _SALTS = 256
@@ -73,7 +95,7 @@ def _grams(text_col: str, k: int):
         .otherwise(F.array().cast("array<string>"))
 
 
-def _candidates(lt: DataFrame, rt: DataFrame, right_keys, max_bytes: int) -> DataFrame:
+def candidate_keys(lt: DataFrame, rt: DataFrame, right_keys, max_bytes: int) -> DataFrame:
     """(left_id, right_id) where the right record holds the left record's rarest key."""
     wanted = broadcast_if_small(lt.select(F.explode("keys").alias("key")).distinct(), max_bytes)
     posting = reliable_checkpoint(rt.select("right_id", F.explode(right_keys).alias("key")).join(wanted, "key"))
@@ -118,11 +140,7 @@ def _labelled(sims: DataFrame, gold: DataFrame, max_bytes: int):
 def gold_cosines(unit: DataFrame, gold: DataFrame) -> DataFrame:
     """(left_id, right_id, cosine) of the gold pairs that share a token, from
     gold ⋈ left postings ⋈ right postings: no other pair is scored."""
-    side = lambda s, key, v: unit.where(F.col("side") == s).select(
-        F.col("id").alias(key), "token", F.col("u").alias(v))
-    return (gold.select("left_id", "right_id").join(side("L", "left_id", "a"), "left_id")
-            .join(side("R", "right_id", "b"), ["right_id", "token"])
-            .groupBy("left_id", "right_id").agg(F.sum(F.col("a") * F.col("b")).alias("cosine")))
+    return pair_products(unit, gold, "u").select("left_id", "right_id", F.col("dot").alias("cosine"))
 
 
 def gold_scores(sims: DataFrame, gold: DataFrame) -> DataFrame:
@@ -140,7 +158,7 @@ def gold_evaluation(unit: DataFrame, gold: DataFrame, n_left: DataFrame, n_right
     Σ_token (Σ_left u)(Σ_right u), so it is that sum less the gold pairs' over
     |left|·|right| − |gold|.  ``n_left`` and ``n_right`` are one-row counts ``n``."""
     k = F.lit(1).alias("_k")
-    per_token = unit.groupBy("token").agg(F.sum(F.when(F.col("side") == "L", F.col("u"))).alias("l"),
+    per_token = unit.groupBy("tid" if "tid" in unit.columns else "token").agg(F.sum(F.when(F.col("side") == "L", F.col("u"))).alias("l"),
                                           F.sum(F.when(F.col("side") == "R", F.col("u"))).alias("r"))
     total = per_token.agg(F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0.0)).alias("total")).select("*", k)
     own = gold_scores(gold_cosines(unit, gold), gold).agg(

@@ -8,12 +8,15 @@ collected and broadcast from the driver:
 * ``term_counts``     sort each record's tokens and count runs inside the row
                       (no shuffle); TF = count / record length
 * ``idf_weights``     distinct tokens per record, partial count per token
-* ``tfidf``           postings joined with IDF on token (IDF checkpointed,
-                      counted, broadcast only under a bound)
+* ``tfidf``           term counts, written once, joined with IDF on token (measured,
+                      broadcast only under a bound)
 * ``unit_weights``    weight / norm, the norm a window over one document
 * ``cosine_inverted`` exact similarity join at a threshold, on rare-token prefixes
 * ``pair_products``   the products of given pairs only
 
+``postings.TextIndex`` keeps all of this for two record tables that are tokenized
+once, with tokens as numbers.
+
 Frequent tokens carry little weight, so they fall out of the prefixes: the join
 needs no salting, and nothing grows with the product of both tables.
 """
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import simple_tokenize, tokenize
-from tessera.session import broadcast_if_small, broadcast_limit, fits_broadcast, reliable_checkpoint
+from tessera.session import broadcast_if_small, broadcast_limit, fits_broadcast, reliable_checkpoint, stored
 
 LEFT, RIGHT = "L", "R"
 
@@ -92,10 +95,14 @@ def idf_weights(tokens: DataFrame) -> DataFrame:
     """(token, n_docs, idf) with idf = N / n(t), no logarithm.  N counts
     every record, including records without tokens.  N is a one-row
     aggregate joined on a constant key (a broadcast of exactly one row)."""
-    keys = _keys(tokens)
-    per_doc = tokens.select(*keys, F.explode(F.array_distinct("tokens")).alias("token"))
+    per_doc = tokens.select(F.explode(F.array_distinct("tokens")).alias("token"))
+    return idf_of(per_doc, tokens)
+
+
+def idf_of(per_doc: DataFrame, records: DataFrame) -> DataFrame:
+    """(token, n_docs, idf) from the distinct tokens of each record and the records."""
     df_t = per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
-    n = tokens.agg(F.count(F.lit(1)).alias("n_records")).withColumn("_k", F.lit(1))
+    n = records.agg(F.count(F.lit(1)).alias("n_records")).withColumn("_k", F.lit(1))
     return (df_t.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
             .select("token", "n_docs",
                     (F.col("n_records").cast("double") / F.col("n_docs")).alias("idf")))
@@ -108,13 +115,17 @@ def lowest_idf_tokens(idf: DataFrame, n: int = 11) -> DataFrame:
 
 def idf_histogram(idf: DataFrame, bins: int = 50) -> DataFrame:
     """Equal-width histogram of IDF values over [min, max] with the
-    maximum closed into the last bin.  Bounds are a one-row broadcast."""
-    bounds = (idf.agg(F.min("idf").alias("lo"), F.max("idf").alias("hi"))
-              .withColumn("_k", F.lit(1)))
+    maximum closed into the last bin.
+
+    Tokens of one document frequency have one IDF, so they are counted together
+    first.  There are at most √(2 × postings) different frequencies; bounds and
+    bins are taken over these few rows, and the corpus is read once."""
+    few = idf.groupBy("n_docs").agg(F.first("idf").alias("idf"), F.count(F.lit(1)).alias("n"))
+    everything = Window.partitionBy()
+    with_ends = few.select("n", "idf", F.min("idf").over(everything).alias("lo"), F.max("idf").over(everything).alias("hi"))
     b = F.floor(F.try_divide(F.col("idf") - F.col("lo"), F.col("hi") - F.col("lo")) * bins) + 1
     bucket = F.least(F.coalesce(b, F.lit(1)), F.lit(bins)).cast("bigint")
-    return (idf.withColumn("_k", F.lit(1)).join(F.broadcast(bounds), "_k")
-            .groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    return with_ends.groupBy(bucket.alias("bin")).agg(F.sum("n").alias("n"))
 
 
 def tfidf(tokens: DataFrame, idf: DataFrame | None = None,
@@ -122,39 +133,46 @@ def tfidf(tokens: DataFrame, idf: DataFrame | None = None,
     """(…, id, token, w = tf * idf, n_docs).  ``idf`` defaults to the IDF
     of ``tokens`` itself; a token outside the IDF table is dropped.
 
-    The IDF table (one row per distinct token) is written once to the shared
-    folder and measured.  Within ``max_bytes`` it is broadcast and the postings are
-    joined where they are, with no shuffle.
-
-    A larger vocabulary is split by document frequency.  With P postings in all
-    (the sum of ``n_docs``), R rows that fit and h = ceil(P / R), fewer than R
-    tokens can have more than h postings; those hot tokens are broadcast (measured
-    again).  Every other token has at most h postings, so the shuffle join on them
-    cannot be skewed.  Hot rows are sent to that shuffle under a unique key that
-    matches nothing, so they spread evenly too: one pass, exact."""
+    Term counts are written once to the shared folder, so texts are tokenized once;
+    IDF comes from them."""
+    counts = stored(term_counts(tokens), "term-counts")
     if idf is None:
-        idf = reliable_checkpoint(idf_weights(tokens))
-    tf = term_frequency(tokens)
-    keys = _keys(tokens)
-    if fits_broadcast(idf, max_bytes):
-        return (tf.join(F.broadcast(idf), "token")
-                .select(*keys, "token", (F.col("tf") * F.col("idf")).alias("w"), "n_docs"))
-    total = idf.agg(F.sum("n_docs")).first()[0]
-    h = -(-total // max(1, broadcast_limit(idf, max_bytes) // 128))
-    hot = idf.where(F.col("n_docs") > h).select(
-        "token", F.col("n_docs").alias("_hn"), F.col("idf").alias("_hidf"))
-    cold = idf.where(F.col("n_docs") <= h).select(
-        F.col("token").alias("_key"), F.col("n_docs").alias("_cn"), F.col("idf").alias("_cidf"))
+        idf = reliable_checkpoint(idf_of(counts.select("token"), tokens))
+    return weigh(counts, idf, max_bytes)
+
+
+def weigh(counts: DataFrame, idf: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """(…, id, token, w = tf * idf, n_docs) of term counts."""
+    joined = join_tokens(counts, idf, max_bytes)
+    return joined.select(*_keys(counts), "token", (F.col("n") / F.col("doc_len") * F.col("idf")).alias("w"), "n_docs")
+
+
+def join_tokens(postings: DataFrame, table: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``postings`` with the columns of ``table``, one stored row per ``token`` with its
+    ``n_docs``; postings of tokens outside the table are dropped.
+
+    The table is measured.  Within ``max_bytes`` it is broadcast and the postings are
+    joined where they are, with no shuffle.  A larger one is split by document
+    frequency.  With P postings in all (the sum of ``n_docs``), R rows that fit and
+    h = ceil(P / R), fewer than R tokens can have more than h postings; those hot tokens
+    are broadcast (measured again).  Every other token has at most h postings, so the
+    shuffle join on them cannot be skewed.  Hot rows are sent to that shuffle under a
+    unique key that matches nothing, so they spread evenly too: one pass, exact."""
+    if fits_broadcast(table, max_bytes):
+        return postings.join(F.broadcast(table), "token")
+    values = [c for c in table.columns if c != "token"]
+    total = table.agg(F.sum("n_docs")).first()[0]
+    h = -(-total // max(1, broadcast_limit(table, max_bytes) // 128))
+    hot = table.where(F.col("n_docs") > h).select("token", *[F.col(c).alias(f"_h_{c}") for c in values])
+    cold = table.where(F.col("n_docs") <= h).select(
+        F.col("token").alias("_key"), *[F.col(c).alias(f"_c_{c}") for c in values])
     # tokens are runs of word characters, so a key starting with \u0000 matches none
-    spread_key = F.concat(F.lit("\u0000"), *[F.col(k).cast("string") for k in keys], F.col("token"))
-    labelled = (tf.join(broadcast_if_small(hot, max_bytes), "token", "left")
-                .withColumn("_key", F.when(F.col("_hidf").isNull(), F.col("token"))
+    spread_key = F.concat(F.lit("\u0000"), *[F.col(k).cast("string") for k in _keys(postings)], F.col("token"))
+    labelled = (postings.join(broadcast_if_small(hot, max_bytes), "token", "left")
+                .withColumn("_key", F.when(F.col("_h_n_docs").isNull(), F.col("token"))
                             .otherwise(spread_key)))
-    joined = labelled.join(cold, "_key", "left")
-    idf_v = F.coalesce("_hidf", "_cidf")
-    return (joined.where(idf_v.isNotNull())
-            .select(*keys, "token", (F.col("tf") * idf_v).alias("w"),
-                    F.coalesce("_hn", "_cn").alias("n_docs")))
+    joined = labelled.join(cold, "_key", "left").where(F.coalesce("_h_n_docs", "_c_n_docs").isNotNull())
+    return joined.select(*postings.columns, *[F.coalesce(f"_h_{c}", f"_c_{c}").alias(c) for c in values])
 
 
 def vector_norms(weights: DataFrame) -> DataFrame:
@@ -176,40 +194,84 @@ def inverted_index(weights: DataFrame) -> DataFrame:
     return weights.select("token", *_keys(weights))
 
 
-def cosine_inverted(weights: DataFrame, min_similarity: float) -> DataFrame:
-    """Every left/right pair with cosine of ``min_similarity`` or more, exact.
+def _token_key(postings: DataFrame) -> tuple[str, list[str]]:
+    """The column that names a token, and those that order tokens from rare to
+    frequent."""
+    key = "tid" if "tid" in postings.columns else "token"
+    return key, ["n_docs", key]
+
+
+def shared_postings(unit: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """The postings of tokens that both sides hold, with ``top``, the token's
+    greatest unit weight on the other side.  Other tokens add nothing to any product."""
+    key, _ = _token_key(unit)
+    on = lambda s: F.max(F.when(F.col("side") == s, F.col("u")))
+    tops = unit.groupBy(key).agg(on(LEFT).alias("_l"), on(RIGHT).alias("_r")).where("_l is not null and _r is not null")
+    return (unit.join(broadcast_if_small(tops, max_bytes), key)
+            .withColumn("top", F.when(F.col("side") == LEFT, F.col("_r")).otherwise(F.col("_l"))).drop("_l", "_r"))
 
-    Tokens are ordered from rare to frequent.  Of a record only the prefix is
-    indexed: its tokens up to where what remains has a norm below the threshold.
-    If the first token that two records share lay behind either prefix, their
-    product would be at most that remainder's norm (Cauchy–Schwarz), so every pair
-    sought shares a prefix token.  Candidates from prefix ⋈ prefix are then scored
-    over all their tokens.  Frequent tokens carry little weight and fall out of the
-    prefixes, so the join neither is skewed by them nor grows with left × right."""
-    unit = reliable_checkpoint(unit_weights(weights).where("u is not null"))
-    rest = (Window.partitionBy(*_keys(unit)).orderBy(F.desc("n_docs"), F.desc("token"))
+
+def prefixes(shared: DataFrame, min_similarity: float) -> DataFrame:
+    """The postings to index: of each record its tokens from the rarest on, up to where no
+    record of the other side can reach ``min_similarity`` by the tokens that remain.
+    With these a record's product is at most Σ u·top, and at most the norm of its own
+    weights among them (Cauchy–Schwarz); the smaller of both bounds counts."""
+    _, order = _token_key(shared)
+    rest = (Window.partitionBy(*_keys(shared)).orderBy(*[F.desc(c) for c in order])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prefix = unit.withColumn("rest", F.sqrt(F.sum(F.col("u") * F.col("u")).over(rest))) \
-        .where(F.col("rest") >= min_similarity - 1e-9)
-    side = lambda df, s, key, *v: df.where(F.col("side") == s).select(F.col("id").alias(key), "token", *v)
-    found = side(prefix, LEFT, "left_id").join(side(prefix, RIGHT, "right_id"), "token") \
+    bound = F.least(F.sqrt(F.sum(F.col("u") * F.col("u")).over(rest)), F.sum(F.col("u") * F.col("top")).over(rest))
+    return shared.withColumn("rest", bound).where(F.col("rest") >= min_similarity - 1e-9)
+
+
+def cosine_inverted(weights: DataFrame, min_similarity: float, max_bytes: int | None = None) -> DataFrame:
+    """Every left/right pair with cosine of ``min_similarity`` or more, exact.
+
+    Tokens are ordered from rare to frequent, and of a record only its prefix is
+    indexed (``prefixes``).  If the first token that two records share lay behind
+    either prefix, their product would be below the threshold, so every pair sought shares a
+    prefix token.  Candidates, ids from prefix ⋈ prefix, are then scored over all tokens;
+    where they are measured to be few, only their records' postings leave the scan.  Frequent tokens carry little weight and fall out of the
+    prefixes, so the join neither is skewed by them nor grows with left × right.
+    ``weights`` are postings with ``w``, or with ``u``, stored, from ``TextIndex``."""
+    unit = weights if "u" in weights.columns else reliable_checkpoint(unit_weights(weights).where("u is not null"))
+    key, _ = _token_key(unit)
+    prefix = prefixes(shared_postings(unit, max_bytes), min_similarity)
+    side = lambda df, s, name, *v: df.where(F.col("side") == s).select(F.col("id").alias(name), key, *v)
+    found = side(prefix, LEFT, "left_id").join(side(prefix, RIGHT, "right_id"), key) \
         .select("left_id", "right_id").distinct()
-    scored = (found.join(side(unit, LEFT, "left_id", F.col("u").alias("a")), "left_id")
-              .join(side(unit, RIGHT, "right_id", F.col("u").alias("b")), ["right_id", "token"])
+    found = reliable_checkpoint(found)
+    few = fits_broadcast(found, max_bytes)
+    lefts, rights = (F.broadcast(found.select(c).distinct()) if few else None for c in ("left_id", "right_id"))
+    of = lambda rows, ids, name: rows.join(ids, name, "leftsemi") if few else rows
+    scored = (found.join(of(side(unit, LEFT, "left_id", F.col("u").alias("a")), lefts, "left_id"), "left_id")
+              .join(of(side(unit, RIGHT, "right_id", F.col("u").alias("b")), rights, "right_id"), ["right_id", key])
               .groupBy("left_id", "right_id").agg(F.sum(F.col("a") * F.col("b")).alias("cosine")))
     return scored.where(F.col("cosine") >= min_similarity)
 
 
 def pair_products(weights: DataFrame, pairs: DataFrame, value: str = "w") -> DataFrame:
-    """E7/J8/E12 for given pairs: (left_id, right_id, dot, n_shared,
-    shared_tokens) over the tokens that each pair shares."""
-    side = lambda s, key, v: weights.where(F.col("side") == s).select(
-        F.col("id").alias(key), "token", F.col(value).alias(v))
+    """E7/J8 for given pairs: (left_id, right_id, dot, n_shared) over the tokens that
+    each pair shares."""
+    return (_shared_of(weights, pairs, value).groupBy("left_id", "right_id")
+            .agg(F.sum(F.col("a") * F.col("b")).alias("dot"), F.count(F.lit(1)).alias("n_shared")))
+
+
+def _shared_of(weights: DataFrame, pairs: DataFrame, value: str) -> DataFrame:
+    key, _ = _token_key(weights)
+    side = lambda s, name, v: weights.where(F.col("side") == s).select(
+        F.col("id").alias(name), key, F.col(value).alias(v))
     return (pairs.select("left_id", "right_id").join(side(LEFT, "left_id", "a"), "left_id")
-            .join(side(RIGHT, "right_id", "b"), ["right_id", "token"])
-            .groupBy("left_id", "right_id").agg(
-                F.sum(F.col("a") * F.col("b")).alias("dot"), F.count(F.lit(1)).alias("n_shared"),
-                F.array_join(F.sort_array(F.collect_list("token")), " ").alias("shared_tokens")))
+            .join(side(RIGHT, "right_id", "b"), ["right_id", key]))
+
+
+def shared_tokens(weights: DataFrame, pairs: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """E12 for given pairs: (left_id, right_id, n_shared, shared_tokens), the tokens in
+    order; ``tokens`` names numbered ones.  A pair's list is bounded by its shorter record."""
+    rows = _shared_of(weights, pairs, "w")
+    if "tid" in weights.columns:
+        rows = rows.join(tokens.select("tid", "token"), "tid")
+    return rows.groupBy("left_id", "right_id").agg(
+        F.count(F.lit(1)).alias("n_shared"), F.array_join(F.sort_array(F.collect_list("token")), " ").alias("shared_tokens"))
 
 
 def text_weights(left: DataFrame, left_id: str, right: DataFrame, right_id: str

@@ -24,12 +24,13 @@ from tessera.operators import ratings as R
 from tessera.operators import relational as P
 from tessera.operators import resolution as ER
 from tessera.operators import text as E
+from tessera.operators.postings import TextIndex
 from tessera.plans import params as K
 from tessera.sources import textfiles
 from tessera.session import reliable_checkpoint
 from tessera.sources.tables import load_table, range_table, spread
 from tessera.sources.views import (
-    clf_lines_from, gold_lines, gold_pairs, product_lines, rating_lines, ratings,
+    clf_lines_from, gold_lines, product_lines, rating_lines, ratings,
     title_lines, titles,
 )
 
@@ -67,20 +68,13 @@ def corpus_tokens(spark, sf):
     return E.doc_tokens(E.corpus(b, "item_id", d, "doc_id"))
 
 
-def weights(spark, sf):
-    return E.tfidf(corpus_tokens(spark, sf))
-
-
-def sims(spark, sf):
-    return E.cosine_inverted(weights(spark, sf), K.MIN_SIMILARITY)
-
-
-def unit(spark, sf):
-    return E.unit_weights(weights(spark, sf))
+def text_index(spark, sf) -> TextIndex:
+    b, d = bench_docs(spark, sf)
+    return TextIndex(b, "item_id", d, "doc_id")
 
 
 def gold(spark, sf):
-    return gold_pairs(spark, sf)
+    return text_index(spark, sf).gold
 
 
 def doc_tokens_of(spark, sf, stopwords=True):
@@ -286,7 +280,7 @@ def q_rekey_pairs(spark, sf):
 
 @query("pair_lookup")
 def q_pair_lookup(spark, sf):
-    w = P.lookup(weights(spark, sf), side=E.LEFT, id=K.LOOKUP_ITEM)
+    w = P.lookup(text_index(spark, sf).weights(), side=E.LEFT, id=K.LOOKUP_ITEM)
     return w.select("token", r9("w").alias("w"))
 
 
@@ -302,20 +296,22 @@ def q_join_inner(spark, sf):
 
 @query("join_composite")
 def q_join_composite(spark, sf):
-    s = ER.gold_cosines(unit(spark, sf), gold(spark, sf))
+    index = text_index(spark, sf).prepare()
+    s = ER.gold_cosines(index.numbered, index.gold)
     return s.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
 @query("join_left_default")
 def q_join_left_default(spark, sf):
-    pairs = reliable_checkpoint(gold(spark, sf))
-    g = ER.gold_scores(ER.gold_cosines(unit(spark, sf), pairs), pairs)
+    index = text_index(spark, sf).prepare()
+    g = ER.gold_scores(ER.gold_cosines(index.numbered, index.gold), index.gold)
     return g.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
 @query("join_anti")
 def q_join_anti(spark, sf):
-    s = sims(spark, sf).join(gold(spark, sf), ["left_id", "right_id"], "left_anti")
+    index = text_index(spark, sf).prepare()
+    s = index.similar(K.MIN_SIMILARITY).join(index.gold, ["left_id", "right_id"], "left_anti")
     return s.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
@@ -334,7 +330,7 @@ def q_unrated_items(spark, sf):
 
 @query("join_broadcast")
 def q_join_broadcast(spark, sf):
-    w = weights(spark, sf)
+    w = text_index(spark, sf).weights()
     norms = E.vector_norms(w)
     out = P.join_checked_broadcast(w, norms, ["side", "id"])
     return out.select("side", "id", "token", r9(F.col("w") / F.col("norm")).alias("unit_w"))
@@ -342,7 +338,8 @@ def q_join_broadcast(spark, sf):
 
 @query("shared_token_pairs")
 def q_shared_token_pairs(spark, sf):
-    return E.pair_products(weights(spark, sf), sims(spark, sf)).select("left_id", "right_id", "n_shared")
+    index = text_index(spark, sf)
+    return E.pair_products(index.numbered, index.similar(K.MIN_SIMILARITY)).select("left_id", "right_id", "n_shared")
 
 
 @query("join_chain")
@@ -445,7 +442,8 @@ def q_idf_histogram(spark, sf):
 
 @query("similarity_bins")
 def q_similarity_bins(spark, sf):
-    return ER.similarity_bins(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY)
+    index = text_index(spark, sf).prepare()
+    return ER.similarity_bins(index.similar(K.MIN_SIMILARITY), index.gold, K.MIN_SIMILARITY)
 
 
 # ---------------------------------------------------------------- O: order
@@ -628,24 +626,25 @@ def q_lowest_idf_tokens(spark, sf):
 
 @query("tfidf_weights")
 def q_tfidf_weights(spark, sf):
-    return weights(spark, sf).select("side", "id", "token", r9("w").alias("w"))
+    return text_index(spark, sf).weights().select("side", "id", "token", r9("w").alias("w"))
 
 
 @query("sparse_dot")
 def q_sparse_dot(spark, sf):
-    d = E.pair_products(weights(spark, sf), gold(spark, sf))
+    index = text_index(spark, sf).prepare()
+    d = E.pair_products(index.numbered, index.gold)
     return d.select("left_id", "right_id", r9("dot").alias("dot"))
 
 
 @query("vector_norms")
 def q_vector_norms(spark, sf):
-    n = E.vector_norms(weights(spark, sf))
+    n = E.vector_norms(text_index(spark, sf).weights())
     return n.select("side", "id", r9("norm").alias("norm"))
 
 
 @query("cosine_pair")
 def q_cosine_pair(spark, sf):
-    w = weights(spark, sf)
+    w = text_index(spark, sf).weights()
     a = P.lookup(w, side=E.LEFT, id=K.COSINE_LEFT)
     b = P.lookup(w, side=E.RIGHT, id=K.COSINE_RIGHT)
     return E.cosine_of(a, b).select(r9("cosine").alias("cosine"))
@@ -653,37 +652,43 @@ def q_cosine_pair(spark, sf):
 
 @query("inverted_index")
 def q_inverted_index(spark, sf):
-    return E.inverted_index(weights(spark, sf))
+    return E.inverted_index(text_index(spark, sf).weights())
 
 
 @query("shared_tokens")
 def q_shared_tokens(spark, sf):
-    return E.pair_products(weights(spark, sf), gold(spark, sf)).select(
-        "left_id", "right_id", "n_shared", "shared_tokens")
+    index = text_index(spark, sf).prepare()
+    return E.shared_tokens(index.numbered, index.gold, index.tokens)
 
 
 @query("cosine_inverted")
 def q_cosine_inverted(spark, sf):
-    return sims(spark, sf).select("left_id", "right_id", r9("cosine").alias("cosine"))
+    found = text_index(spark, sf).similar(K.MIN_SIMILARITY)
+    return found.select("left_id", "right_id", r9("cosine").alias("cosine"))
 
 
 @query("gold_evaluation")
 def q_gold_evaluation(spark, sf):
     count = lambda t: load_table(spark, sf, t).agg(F.count(F.lit(1)).alias("n"))
-    g = ER.gold_evaluation(reliable_checkpoint(unit(spark, sf)), reliable_checkpoint(gold(spark, sf)),
-                           count("benchmark"), count("documents"))
+    index = text_index(spark, sf).prepare()
+    g = ER.gold_evaluation(index.numbered, index.gold, count("benchmark"), count("documents"))
     return g.select("true_dups", r9("avg_sim_dups").alias("avg_sim_dups"),
                     r9("avg_sim_non_dups").alias("avg_sim_non_dups"))
 
 
+def _threshold_counts(spark, sf):
+    index = text_index(spark, sf).prepare()
+    return ER.threshold_counts(index.similar(K.MIN_SIMILARITY), index.gold, K.MIN_SIMILARITY)
+
+
 @query("threshold_counts")
 def q_threshold_counts(spark, sf):
-    return ER.threshold_counts(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY)
+    return _threshold_counts(spark, sf)
 
 
 @query("threshold_prf")
 def q_threshold_prf(spark, sf):
-    p = ER.threshold_prf(ER.threshold_counts(sims(spark, sf), gold(spark, sf), K.MIN_SIMILARITY))
+    p = ER.threshold_prf(_threshold_counts(spark, sf))
     return p.select("threshold", r9("precision").alias("precision"),
                     r9("recall").alias("recall"), r9("f_measure").alias("f_measure"))
 

@@ -88,6 +88,14 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, purpose: str):
+    """Write ``df`` once as Parquet into the shared folder and read it back: lineage is
+    cut as by a checkpoint, and readers take only the columns they need."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 MAX_BROADCAST_BYTES = 32 << 20
 
 
@@ -116,10 +124,14 @@ def fits_broadcast(df, max_bytes: int | None = None) -> bool:
     return measured_bytes(df) <= broadcast_limit(df, max_bytes)
 
 
+def broadcast_stored(df, max_bytes: int | None = None):
+    """``broadcast_if_small`` for rows that are stored already."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
 def broadcast_if_small(df, max_bytes: int | None = None):
     """The one rule for broadcasts: ``df`` is written to the shared folder, its
     bytes are counted, and only within the limit is it marked for broadcast;
     otherwise the join stays a shuffle join."""
-    from pyspark.sql import functions as F
-    df = reliable_checkpoint(df)
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+    return broadcast_stored(reliable_checkpoint(df), max_bytes)
