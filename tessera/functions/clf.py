@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.once import groups, once
+
 # The access-log pattern (the final, blank-tolerant form) and
 # the English month abbreviations of the log's time field.
 LOG_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] '
@@ -20,8 +22,6 @@ LOG_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] '
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun",
           "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
-_SEP = "\u0001"
-_REWRITE = _SEP.join(f"${i}" for i in range(1, 10))
 CLF_FIELDS = ("host", "client_identd", "user_id", "date_time", "method", "endpoint",
               "protocol", "response_code", "content_size")
 
@@ -37,35 +37,15 @@ def clf_time(text: Column) -> Column:
         F.when(F.substring(text, 19, 2) < "60", F.substring(text, 19, 2)).try_cast("decimal(8,6)"))
 
 
-def _groups(v: Column) -> Column:
-    """The nine groups as an array, NULL when the line does not match.
-
-    Lines without the separator character (all real logs) take one regex
-    pass: the rewrite of a matching line splits into exactly nine parts, a
-    non-matching line comes back unchanged as one part.  A line that itself
-    contains the separator falls back to one extraction per group."""
-    parts = F.split(F.regexp_replace(v, LOG_PATTERN + r"(?s:.*)", _REWRITE), _SEP)
-    exact = F.array(*[F.regexp_extract(v, LOG_PATTERN, i) for i in range(1, 10)])
-    return (F.when(F.instr(v, _SEP) == 0, F.when(F.size(parts) == 9, parts))
-            .when(v.rlike(LOG_PATTERN), exact))
-
-
-def _once(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
-    """Evaluate ``cols`` exactly once per row.  They are produced by a
-    one-element ``inline`` generator, so a later filter on them cannot be
-    pushed below and re-evaluate the expressions it references."""
-    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
-
-
 def parse_clf(lines: DataFrame, col: str = "value", keep_line: bool = True) -> DataFrame:
     """Lines → ``parse_status`` ('parsed' / 'failed') plus the nine typed
     fields (NULL on failed rows).  Filter on ``parse_status`` to split."""
     keep = ["line"] if keep_line else []
-    staged = _once(lines.select(F.col(col).alias("line")), keep, _p=_groups(F.col("line")))
+    staged = once(lines.select(F.col(col).alias("line")), keep, _p=groups(F.col("line"), LOG_PATTERN, 9))
     p = F.col("_p")
     size_text = p.getItem(8)
     size = F.when(size_text == "-", F.lit(0).cast("bigint")).otherwise(size_text.try_cast("bigint"))
-    typed = _once(
+    typed = once(
         staged, keep,
         host=p.getItem(0), client_identd=p.getItem(1), user_id=p.getItem(2),
         date_time=clf_time(p.getItem(3)), method=p.getItem(4), endpoint=p.getItem(5),

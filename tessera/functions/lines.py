@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.once import groups, once
+
 # The product-line and gold-line patterns and the header ids.  An
 # input whose gold header has another first field names it by ``header_id``.
 PRODUCT_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
@@ -13,34 +15,37 @@ PRODUCT_HEADER_ID = '"id"'
 GOLD_HEADER_ID = '"idAmazon"'
 
 
-def _status(matched, is_header):
-    return (F.when(~matched, F.lit("failed")).when(is_header, F.lit("header"))
+def _grouped(lines: DataFrame, col: str, pattern: str, n: int) -> DataFrame:
+    """(_p, line): the pattern's groups, in one pass for each line; null if it does not match."""
+    return once(lines.select(F.col(col).alias("line")), ["line"], _p=groups(F.col("line"), pattern, n))
+
+
+def _status(is_header):
+    return (F.when(F.col("_p").isNull(), F.lit("failed")).when(is_header, F.lit("header"))
             .otherwise(F.lit("parsed")))
 
 
+def _unquoted(c):
+    return F.replace(c, F.lit('"'), F.lit(""))
+
+
 def parse_product_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """``(id, product, parse_status)``: product is title, description and
     manufacturer joined by blanks; quotes are stripped from the id only."""
-    v = F.col(col)
-    g = lambda i: F.regexp_extract(v, PRODUCT_PATTERN, i)
-    matched = v.rlike(PRODUCT_PATTERN)
-    return lines.select(
-        F.when(matched, F.replace(g(1), F.lit('"'), F.lit(""))).alias("id"),
-        F.when(matched, F.concat_ws(" ", g(2), g(3), g(4))).alias("product"),
-        _status(matched, g(1) == PRODUCT_HEADER_ID).alias("parse_status"))
+    p = F.col("_p")
+    return _grouped(lines, col, PRODUCT_PATTERN, 5).select(
+        _unquoted(p[0]).alias("id"), F.when(p.isNotNull(), F.concat_ws(" ", p[1], p[2], p[3])).alias("product"),
+        _status(p[0] == PRODUCT_HEADER_ID).alias("parse_status"))
 
 
 def parse_gold_lines(lines: DataFrame, col: str = "value",
                      header_id: str = GOLD_HEADER_ID) -> DataFrame:
     """``(left_id, right_id, parse_status)`` with quotes removed; a line whose
     first field is ``header_id`` is the header."""
-    v = F.col(col)
-    g = lambda i: F.regexp_extract(v, GOLD_PATTERN, i)
-    matched = v.rlike(GOLD_PATTERN)
-    return lines.select(
-        F.when(matched, F.replace(g(1), F.lit('"'), F.lit(""))).alias("left_id"),
-        F.when(matched, F.replace(g(2), F.lit('"'), F.lit(""))).alias("right_id"),
-        _status(matched, g(1) == F.lit(header_id)).alias("parse_status"))
+    p = F.col("_p")
+    return _grouped(lines, col, GOLD_PATTERN, 2).select(
+        _unquoted(p[0]).alias("left_id"), _unquoted(p[1]).alias("right_id"),
+        _status(p[0] == F.lit(header_id)).alias("parse_status"))
 
 
 def parse_rating_lines(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -8,10 +8,11 @@ as TakeOrderedAndProject (a bounded per-partition heap); ties break by key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.clf import parse_clf, parsed_logs
+from tessera.functions.clf import CLF_FIELDS, parse_clf, parsed_logs
+from tessera.session import shared_dir
 from tessera.sources.views import clf_lines_from
 
 
@@ -26,6 +27,24 @@ def read_report(lines: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_lines")))
 
 
+def load_with_report(lines: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """S4 and S5 in one pass: (parsed records, failed lines, counts).
+
+    Every line is parsed once.  Records and failed lines are written together, in a folder
+    of the shared location for each status, and the counts (``read``, ``parsed``, ``failed``) are
+    metrics observed on the rows as they are written.  Both tables are then read from what was
+    stored.  A metric counts a row of a repeated task once, as its writer commits it once."""
+    spark, path, seen = lines.sparkSession, shared_dir(lines.sparkSession, "load"), Observation("load")
+    failed = F.col("parse_status") == "failed"
+    rows = parse_clf(lines).withColumn("line", F.when(failed, F.col("line")))
+    schema = rows.schema
+    rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count(F.when(~failed, 1)).alias("parsed"),
+                 F.count(F.when(failed, 1)).alias("failed")).write.partitionBy("parse_status").parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    return (back.where(F.col("parse_status") == "parsed").select(*CLF_FIELDS),
+            back.where(failed).select("line"), {k: int(v) for k, v in seen.get.items()})
+
+
 def failed_lines(lines: DataFrame) -> DataFrame:
     """The quarantined raw lines (the reference prints a sample of them)."""
     return parse_clf(lines).where(F.col("parse_status") == "failed").select("line")

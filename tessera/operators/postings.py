@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
 from tessera.operators import text as E
+from tessera.operators.relational import collect_chunks
 from tessera.operators.resolution import loose_candidates, loose_size, verified_pairs
 from tessera.session import broadcast_if_small, reliable_checkpoint, stored
 
@@ -121,3 +122,40 @@ def _without_ends(text):
     """A text without its first and last run of word characters: what is left holds
     its interior tokens whole."""
     return F.regexp_replace(F.regexp_replace(text, r"^\w*", ""), r"\w*\z", "")
+
+
+# Small row groups in key order, so a lookup by key reads few of them; delta pages for sorted
+# ids and tokens (which Parquet uses where it keeps no dictionary); a Bloom filter on the key.
+STORE = {"parquet.block.size": str(1 << 20), "parquet.page.size": str(64 << 10), "parquet.writer.version": "PARQUET_2_0",
+         "parquet.page.row.count.limit": "1000", "parquet.enable.dictionary": "false"}
+LIST_BLOCK = 1024
+
+
+def _write_sorted(rows: DataFrame, order: list[str], key: str, folder: str) -> DataFrame:
+    """``rows`` in one order over all files of ``folder``, and the table that reads them."""
+    (rows.repartitionByRange(*order).sortWithinPartitions(*order).write.options(**STORE)
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(folder))
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def write_inverted(postings: DataFrame, folder: str, block: int = LIST_BLOCK) -> DataFrame:
+    """The stored inverted index (token, side, chunk, place, ids): posting lists in order of
+    the token, each list's ids ascending, long lists in numbered blocks of at most ``block`` ids.
+
+    Lists are cut by ``relational.collect_chunks``, so a token that is in every
+    record is no hot key.  A filter on ``token`` reaches the scan."""
+    rows = postings.select(F.struct("token", "side").alias("key"), "id")
+    lists = collect_chunks(rows, "key", "id", block)
+    flat = lists.select("key.token", "key.side", "chunk", "place", F.col("values").alias("ids"))
+    return _write_sorted(flat, ["token", "side", "chunk"], "token", folder)
+
+
+def postings_of(lists: DataFrame) -> DataFrame:
+    """(token, side, id) rows of stored lists."""
+    return lists.select("token", "side", F.explode("ids").alias("id"))
+
+
+def write_records(weights: DataFrame, folder: str) -> DataFrame:
+    """The weights in order of the record (side, id, token): a record's vector is one short read."""
+    rows = weights.select("side", "id", "token", "w", "n_docs")
+    return _write_sorted(rows, ["side", "id", "token"], "id", folder)

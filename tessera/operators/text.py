@@ -23,9 +23,10 @@ needs no salting, and nothing grows with the product of both tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.once import once
 from tessera.functions.text import simple_tokenize, tokenize
 from tessera.session import broadcast_if_small, broadcast_limit, fits_broadcast, reliable_checkpoint, stored
 
@@ -59,23 +60,16 @@ def _keys(df: DataFrame) -> list[str]:
     return [c for c in ("side", "id") if c in df.columns]
 
 
-def _materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
-    """Compute ``cols`` once per row behind a one-element ``inline``
-    generator, so later lambdas that read them many times read a value
-    rather than re-evaluating the expression."""
-    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
-
-
 def term_counts(tokens: DataFrame) -> DataFrame:
     """(…, id, doc_len, token, n): one row per distinct token of a record,
     counted inside the row (sort, find where runs start, take run lengths),
     so counting needs no shuffle."""
     keys = _keys(tokens)
-    sorted_ = _materialize(tokens, keys, s=F.array_sort("tokens"))
+    sorted_ = once(tokens, keys, s=F.array_sort("tokens"))
     s, n = F.col("s"), F.size("s")
     starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
                                     lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
-    with_starts = _materialize(sorted_, keys + ["s"], starts=starts)
+    with_starts = once(sorted_, keys + ["s"], starts=starts)
     st_col = F.col("starts")
     runs = F.transform(st_col, lambda st, j: F.struct(
         F.get(s, st).alias("token"),
@@ -190,7 +184,8 @@ def unit_weights(weights: DataFrame) -> DataFrame:
 
 
 def inverted_index(weights: DataFrame) -> DataFrame:
-    """(token, …, id) rows: the weight table keyed by token."""
+    """(token, …, id) rows: the weight table keyed by token, as
+    ``postings.write_inverted`` stores it."""
     return weights.select("token", *_keys(weights))
 
 

@@ -145,15 +145,24 @@ ORACLE_SQL: dict[str, str] = {
     "stopword_table_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens
         FROM ({DOCS_STOP})""",
     "product_read_report": """SELECT 'header' AS parse_status, 1::BIGINT AS n_lines
-        UNION ALL SELECT 'parsed', count(*) FROM part""",
+        UNION ALL SELECT 'parsed', count(*) FROM part
+        UNION ALL SELECT 'failed', count(*) FROM part WHERE p_partkey % 50 = 49""",
     "gold_read_report": _with(TEXT) + """SELECT 'header' AS parse_status, 1::BIGINT AS n_lines
-        UNION ALL SELECT 'parsed', count(*) FROM gold""",
+        UNION ALL SELECT 'parsed', count(*) FROM gold
+        UNION ALL SELECT 'failed', count(*) FROM gold WHERE right_id % 3 = 0 HAVING count(*) > 0""",
     "text_scan": _with(LINES) + "SELECT value FROM lines",
     "gzip_scan": _with(LINES) + "SELECT value FROM lines",
     "clf_parse": _with(LOGS) + "SELECT * FROM logs",
     "clf_read_report": _with(EV) + """
         SELECT CASE WHEN event_id % 500 IN (249, 499) THEN 'failed' ELSE 'parsed' END
                AS parse_status, count(*) AS n_lines FROM ev GROUP BY 1""",
+    "clf_load_report": _with(EV) + """
+        SELECT CASE WHEN event_id % 500 IN (249, 499) THEN 'failed' ELSE 'parsed' END
+               AS parse_status, count(*) AS n_lines, count(*) AS n_stored FROM ev GROUP BY 1""",
+    "clf_load_parsed": _with(LOGS) + "SELECT * FROM logs",
+    "text_scan_bytes": """SELECT lower(hex(encode(event_id || ' ' || event_type))) ||
+               CASE WHEN event_id % 7 = 0 THEN 'ff' ELSE '' END AS hex,
+               CASE WHEN event_id % 7 = 0 THEN 'failed' ELSE 'parsed' END AS parse_status FROM events""",
     "clf_failed_lines": _with(LINES.replace(
         "SELECT CASE WHEN event_id % 500 = 499", "SELECT event_id, CASE WHEN event_id % 500 = 499"))
         + "SELECT value FROM lines WHERE event_id % 500 IN (249, 499)",
@@ -164,8 +173,9 @@ ORACLE_SQL: dict[str, str] = {
     "ratings_parse": _with(RATINGS) + """SELECT "user", item, round(rating, 9) AS rating
         FROM ratings""",
     "ratings_read_report": _with(RATINGS) + """SELECT 'parsed' AS parse_status, count(*) AS n_lines
-        FROM ratings""",
-    "titles_read_report": "SELECT 'parsed' AS parse_status, count(*) AS n_lines FROM part",
+        FROM ratings UNION ALL SELECT 'failed', count(*) FROM ratings WHERE ("user" + item) % 500 = 0""",
+    "titles_read_report": """SELECT 'parsed' AS parse_status, count(*) AS n_lines FROM part
+        UNION ALL SELECT 'failed', count(*) FROM part WHERE p_partkey % 50 = 49""",
     "titles_parse": "SELECT p_partkey AS item, p_name AS title FROM part",
     "stopword_remove": f"""SELECT doc_id, len(tokens)::BIGINT AS n_tokens,
         array_to_string(tokens, ' ') AS tokens FROM ({DOCS_STOP})""",
@@ -184,6 +194,8 @@ ORACLE_SQL: dict[str, str] = {
     "partition_concat": "SELECT o_orderkey FROM orders",
     "partition_rows": """SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS total, 0::BIGINT AS repeated
         FROM orders""",
+    "partition_flat": "SELECT o_orderkey FROM orders",
+    "partition_chunks": "SELECT count(*) AS n, 0::BIGINT AS n_long, 0::BIGINT AS n_gaps FROM orders",
     "map_values": "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders",
     "rekey_pairs": _with(TEXT) + "SELECT right_id AS doc_id, left_id AS item_id FROM gold",
     "pair_lookup": _with(TEXT) + f"""SELECT token, round(w, 9) AS w FROM w
@@ -223,6 +235,18 @@ ORACLE_SQL: dict[str, str] = {
     "collect_by_key": """SELECT l_orderkey,
         array_to_string(list_sort(list(l_linenumber)), ',') AS lines
         FROM lineitem GROUP BY 1""",
+    "collect_by_key_chunks": """SELECT l_orderkey,
+        array_to_string(list_sort(list(l_linenumber)), ',') AS lines
+        FROM lineitem GROUP BY 1""",
+    "collect_chunks": f"""WITH placed AS (
+          SELECT event_type, event_id, row_number() OVER (ORDER BY event_type, event_id) - 1 AS rn,
+                 row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS place FROM events),
+        blocks AS (
+          SELECT event_type, rn // {K.COLLECT_CHUNK} AS block, min(place) AS place, count(*) AS n,
+                 md5(array_to_string(list(event_id ORDER BY event_id), ',')) AS digest
+          FROM placed GROUP BY 1, 2)
+        SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY block) - 1 AS chunk,
+               place, n, digest FROM blocks""",
     "count_by_value": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "distinct_rows": "SELECT DISTINCT user_id, event_type FROM events",
     "unique_hosts": _with(LOGS) + "SELECT count(DISTINCT host) AS n_hosts FROM logs",
@@ -245,6 +269,14 @@ ORACLE_SQL: dict[str, str] = {
     # O
     "take_any": f"""SELECT least(count(*), {K.SMALL_N}) AS n, least(count(*), {K.SMALL_N}) AS n_known
         FROM events""",
+    "sample_rows": f"""WITH numbered AS (
+          SELECT event_id, event_type,
+                 row_number() OVER (ORDER BY md5('{K.SAMPLE_SEED}:' || event_id), event_id) AS rn FROM events),
+        draws AS (
+          SELECT floor(CAST('0x' || substr(md5('{K.SAMPLE_SEED}:draw:' || range), 1, 8) AS BIGINT)::DOUBLE
+                       * (SELECT count(*) FROM events) / 4294967296.0::DOUBLE)::BIGINT + 1 AS rn
+          FROM range({K.SAMPLE_N}))
+        SELECT event_id, event_type FROM numbered JOIN draws USING (rn)""",
     "sample_without_replacement": f"""SELECT event_id, event_type FROM events
         ORDER BY md5('{K.SAMPLE_SEED}:' || event_id), event_id LIMIT {K.SAMPLE_N}""",
     "split_train_test": _with(RATINGS, PLACED) + """SELECT split, count(*) AS n FROM placed GROUP BY 1""",
@@ -256,6 +288,10 @@ ORACLE_SQL: dict[str, str] = {
     "largest_n": _top("SELECT o_orderkey, o_totalprice FROM orders",
                       "o_totalprice DESC, o_orderkey DESC", K.SMALL_N),
     "sort_by_key": "SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY 1",
+    "sort_positions": """SELECT user_id, count(*) AS n, row_number() OVER (ORDER BY user_id) AS position
+        FROM events GROUP BY 1""",
+    "local_rows": f"""SELECT item, rating, p_name AS title
+        FROM (VALUES {", ".join(map(str, K.NEW_USER_PICKS))}) v(item, rating) JOIN part ON p_partkey = item""",
     "sort_total_order": _with(RATINGS) + """SELECT s.item, round(s.avg_rating, 9) AS avg_rating,
         t.title, s.n_ratings FROM stats s JOIN titles t USING (item)
         ORDER BY round_even(s.avg_rating, 3) DESC, t.title DESC, s.item DESC""",
@@ -312,6 +348,8 @@ ORACLE_SQL: dict[str, str] = {
              * (SELECT norm FROM norms WHERE side = 'R' AND id = {K.COSINE_RIGHT})), 9)
         AS cosine""",
     "inverted_index": _with(TEXT) + "SELECT token, side, id FROM w",
+    "token_lookup": _with(TEXT) + f"""SELECT token, side, id FROM w
+        WHERE token IN (SELECT token FROM w WHERE side = 'L' AND id = {K.LOOKUP_ITEM})""",
     "shared_tokens": _with(TEXT) + """SELECT left_id, right_id, n_shared, shared_tokens
         FROM pairs JOIN gold USING (left_id, right_id)""",
     "cosine_inverted": _with(TEXT) + """SELECT left_id, right_id, round(cosine, 9) AS cosine

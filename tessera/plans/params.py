@@ -15,6 +15,8 @@ RECOMMEND_N = 20
 SAMPLE_N = 50
 SAMPLE_SEED = 42
 SMALL_N = 10
+LIST_CHUNK = 100              # P7: values in a list
+COLLECT_CHUNK = 64            # A6: values in a chunk
 MIN_SIMILARITY = 0.02         # E13: pairs at or above it are joined; the sweep starts there
 USERS_ASKED = 5               # J5: the most active users, ties by id
 LOOKUP_ITEM = 1               # P10: one benchmark record

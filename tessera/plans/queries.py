@@ -24,11 +24,11 @@ from tessera.operators import ratings as R
 from tessera.operators import relational as P
 from tessera.operators import resolution as ER
 from tessera.operators import text as E
-from tessera.operators.postings import TextIndex
+from tessera.operators.postings import TextIndex, postings_of, write_inverted, write_records
 from tessera.plans import params as K
 from tessera.sources import textfiles
-from tessera.session import reliable_checkpoint
-from tessera.sources.tables import load_table, range_table, spread
+from tessera.session import broadcast_if_small, reliable_checkpoint, shared_dir
+from tessera.sources.tables import load_table, range_table, rows_table, spread
 from tessera.sources.views import (
     clf_lines_from, gold_lines, product_lines, rating_lines, ratings,
     title_lines, titles,
@@ -99,6 +99,13 @@ def q_range_source(spark, sf):
                     F.count("o_orderkey").alias("n_orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
 
 
+@query("local_rows")
+def q_local_rows(spark, sf):
+    """S1, local rows: a handful of (item, rating) rows and their titles."""
+    picks = rows_table(spark, K.NEW_USER_PICKS, "item bigint, rating double")
+    return titles(spark, sf).join(broadcast_if_small(picks), "item").select("item", "rating", "title")
+
+
 @query("stopword_table_remove")
 def q_stopword_table_remove(spark, sf):
     """S10/F2 for a word list kept as a file: the list is written to the
@@ -138,6 +145,35 @@ def q_clf_read_report(spark, sf):
     return L.read_report(clf_lines_from(spark, sf))
 
 
+@query("clf_load_report")
+def q_clf_load_report(spark, sf):
+    """The counts observed while the load wrote its records and failed lines,
+    beside the rows that it stored."""
+    parsed, failed, seen = L.load_with_report(clf_lines_from(spark, sf))
+    rows = rows_table(spark, [(k, seen[k]) for k in ("parsed", "failed")], "parse_status string, n_lines bigint")
+    stored = parsed.agg(F.count(F.lit(1)).alias("n_stored")).select(F.lit("parsed").alias("parse_status"), "n_stored") \
+        .unionByName(failed.agg(F.count(F.lit(1)).alias("n_stored")).select(F.lit("failed").alias("parse_status"), "n_stored"))
+    return rows.join(stored, "parse_status").select("parse_status", "n_lines", "n_stored")
+
+
+@query("clf_load_parsed")
+def q_clf_load_parsed(spark, sf):
+    """S4 from what the same load stored."""
+    return L.load_with_report(clf_lines_from(spark, sf))[0]
+
+
+@query("text_scan_bytes")
+def q_text_scan_bytes(spark, sf):
+    """S2 without decoding: the lines' bytes, read in at least 16 splits, where
+    every 7th line by event id ends with a byte that is no UTF-8."""
+    ev = load_table(spark, sf, "events", ["event_id", "event_type"])
+    body = F.concat(F.col("event_id").cast("string"), F.lit(" "), "event_type").cast("binary")
+    bad = F.when(F.col("event_id") % 7 == 0, F.concat(body, F.unhex(F.lit("FF")))).otherwise(body)
+    path = textfiles.write_lines(spark, ev.select(bad.cast("string").alias("value")), "bytes")
+    return textfiles.read_lines(spark, path, min_partitions=16, decode=False).select(
+        F.lower(F.hex("value")).alias("hex"), "parse_status")
+
+
 @query("clf_failed_lines")
 def q_clf_failed_lines(spark, sf):
     """The quarantined raw lines (all of them, not a sample)."""
@@ -266,6 +302,25 @@ def q_partition_rows(spark, sf):
                  (F.count(F.lit(1)) - F.countDistinct("partition")).alias("repeated"))
 
 
+@query("partition_flat")
+def q_partition_flat(spark, sf):
+    """The lists of all partitions, flattened."""
+    od = load_table(spark, sf, "orders", ["o_orderkey"])
+    return P.partition_lists(od, "o_orderkey", K.LIST_CHUNK).select(F.explode("values").alias("o_orderkey"))
+
+
+@query("partition_chunks")
+def q_partition_chunks(spark, sf):
+    """Over all partitions, values in lists, lists that are too long, and numbers
+    missing among a partition's lists."""
+    od = load_table(spark, sf, "orders", ["o_orderkey"])
+    lists = P.partition_lists(od, "o_orderkey", K.LIST_CHUNK)
+    per = lists.groupBy("partition").agg(
+        F.sum(F.size("values")).alias("n"), F.sum((F.size("values") > K.LIST_CHUNK).cast("bigint")).alias("long"),
+        (F.max("chunk") + 1 - F.countDistinct("chunk")).alias("gaps"))
+    return per.agg(F.sum("n").alias("n"), F.sum("long").alias("n_long"), F.sum("gaps").alias("n_gaps"))
+
+
 @query("map_values")
 def q_map_values(spark, sf):
     od = load_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
@@ -280,8 +335,8 @@ def q_rekey_pairs(spark, sf):
 
 @query("pair_lookup")
 def q_pair_lookup(spark, sf):
-    w = P.lookup(text_index(spark, sf).weights(), side=E.LEFT, id=K.LOOKUP_ITEM)
-    return w.select("token", r9("w").alias("w"))
+    records = write_records(text_index(spark, sf).weights(), shared_dir(spark, "records"))
+    return P.lookup(records, side=E.LEFT, id=K.LOOKUP_ITEM).select("token", r9("w").alias("w"))
 
 
 # ---------------------------------------------------------------- J: joins
@@ -387,6 +442,26 @@ def q_collect_by_key(spark, sf):
     return out.select("l_orderkey", F.array_join("lines", ",").alias("lines"))
 
 
+@query("collect_chunks")
+def q_collect_chunks(spark, sf):
+    """A6 for keys of any size: each key's values joined from its chunks; the event types
+    are few and hot."""
+    ev = load_table(spark, sf, "events", ["event_type", "event_id"])
+    chunks = P.collect_chunks(ev, "event_type", "event_id", K.COLLECT_CHUNK)
+    text = F.array_join(F.transform("values", lambda v: v.cast("string")), ",")
+    return chunks.select("event_type", "chunk", "place", F.size("values").cast("bigint").alias("n"), F.md5(text).alias("digest"))
+
+
+@query("collect_by_key_chunks")
+def q_collect_by_key_chunks(spark, sf):
+    """As ``collect_by_key``, the lists put together from chunks of two."""
+    li = lineitem(spark, sf, "l_orderkey", "l_linenumber")
+    chunks = P.collect_chunks(li, "l_orderkey", "l_linenumber", 2)
+    whole = chunks.groupBy("l_orderkey").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("chunk", "values"))), lambda c: c["values"])).alias("lines"))
+    return whole.select("l_orderkey", F.array_join("lines", ",").alias("lines"))
+
+
 @query("count_by_value")
 def q_count_by_value(spark, sf):
     return P.count_by_value(load_table(spark, sf, "events", ["event_type"]), "event_type")
@@ -480,6 +555,14 @@ def q_sort_by_key(spark, sf):
     return P.count_by_value(ev, "user_id").orderBy("user_id")
 
 
+@query("sort_positions")
+def q_sort_positions(spark, sf):
+    """Each row of the full sort with its place in it."""
+    ev = load_table(spark, sf, "events", ["user_id"])
+    placed = P.number_rows(P.count_by_value(ev, "user_id"), "user_id")
+    return placed.select("user_id", "n", F.col("_rn").alias("position")).orderBy("position")
+
+
 @query("sort_total_order")
 def q_sort_total_order(spark, sf):
     s = R.item_rating_titles(ratings(spark, sf), titles(spark, sf))
@@ -493,7 +576,7 @@ def q_longest_record(spark, sf):
     return out.select(F.col("id").alias("doc_id"), "n_tokens")
 
 
-@query("sample_rows", rows_only=True)
+@query("sample_rows")
 def q_sample_rows(spark, sf):
     ev = load_table(spark, sf, "events", ["event_id", "event_type"])
     return P.sample_rows(ev, K.SAMPLE_N, True, K.SAMPLE_SEED, "event_id")
@@ -652,7 +735,17 @@ def q_cosine_pair(spark, sf):
 
 @query("inverted_index")
 def q_inverted_index(spark, sf):
-    return E.inverted_index(text_index(spark, sf).weights())
+    lists = write_inverted(text_index(spark, sf).weights(), shared_dir(spark, "inverted"))
+    return postings_of(lists)
+
+
+@query("token_lookup")
+def q_token_lookup(spark, sf):
+    """The postings of one record's tokens, from the stored lists."""
+    weights = text_index(spark, sf).weights()
+    lists = write_inverted(weights, shared_dir(spark, "inverted"))
+    tokens = [r["token"] for r in P.lookup(weights, side=E.LEFT, id=K.LOOKUP_ITEM).select("token").collect()]
+    return postings_of(lists.where(F.col("token").isin(tokens)))  # one record's tokens
 
 
 @query("shared_tokens")

@@ -18,6 +18,11 @@ The log rule (``clf_lines``), one line per ``events`` row:
 * size ``floor(value * 100)``; ``-`` for 304, 404, 500 or a missing value
 * malformed: ``event_id % 500 = 249`` carries month ``Foo``;
   ``event_id % 500 = 499`` is cut after the endpoint
+
+The other line formats hold malformed lines beside the good ones: a product and a title
+line that break off, for parts whose key modulo 50 is 49; a gold line of one field, for pairs
+whose right id is a multiple of 3; a rating line without a number, where user + item is a
+multiple of 500.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ ENDPOINT_MODULUS = 97
 BAD_MONTH_ID = 249
 CUT_LINE_ID = 499
 MALFORMED_PERIOD = 500
+CUT_PERIOD = 50
 
 
 def log_response_code(event_id: Column, event_type: Column) -> Column:
@@ -103,6 +109,9 @@ def product_lines(spark: SparkSession, part: DataFrame) -> DataFrame:
         ",", _quoted(F.col("p_partkey").cast("string")), _quoted(F.col("p_name")),
         _quoted(F.col("p_type")), _quoted(F.col("p_brand")),
         _quoted(F.col("p_retailprice").cast("string"))).alias("value"))
+    cut = part.where(F.col("p_partkey") % CUT_PERIOD == CUT_PERIOD - 1).select(
+        F.concat(_quoted(F.col("p_partkey").cast("string")), F.lit(","), F.col("p_name")).alias("value"))
+    body = body.unionByName(cut)
     header = spark.range(1).select(F.lit(PRODUCT_HEADER).alias("value"))
     return header.unionByName(body)
 
@@ -115,7 +124,8 @@ def gold_lines(spark: SparkSession, pairs: DataFrame) -> DataFrame:
     body = pairs.select(F.concat_ws(",", _quoted(F.col("left_id").cast("string")),
                                     _quoted(F.col("right_id").cast("string"))).alias("value"))
     header = spark.range(1).select(F.lit(GOLD_HEADER).alias("value"))
-    return header.unionByName(body)
+    half = pairs.where(F.col("right_id") % 3 == 0).select(_quoted(F.col("left_id").cast("string")).alias("value"))
+    return header.unionByName(body).unionByName(half)
 
 
 def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,10 +159,10 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user::item::rating::yyyymmdd`` lines (the last field is dropped on read)."""
     agg = (_rating_rows(spark, sf_dir).groupBy("user", "item")
            .agg(F.avg("rating").alias("rating"), F.max("o_orderdate").alias("d")))
-    return agg.select(F.concat_ws("::", F.col("user").cast("string"),
-                                  F.col("item").cast("string"),
-                                  F.col("rating").cast("string"),
-                                  F.date_format("d", "yyyyMMdd")).alias("value"))
+    user, item = F.col("user").cast("string"), F.col("item").cast("string")
+    good = F.concat_ws("::", user, item, F.col("rating").cast("string"), F.date_format("d", "yyyyMMdd"))
+    bad = F.when((F.col("user") + F.col("item")) % 500 == 0, F.concat_ws("::", user, item, F.lit("none")))
+    return agg.select(F.explode(F.array_compact(F.array(good, bad))).alias("value"))
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,5 +174,6 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``item::title::genres`` lines; the part type stands in for genres."""
     part = load_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type"])
-    return part.select(F.concat_ws("::", F.col("p_partkey").cast("string"), "p_name",
-                                   "p_type").alias("value"))
+    good = F.concat_ws("::", F.col("p_partkey").cast("string"), "p_name", "p_type")
+    bad = F.when(F.col("p_partkey") % CUT_PERIOD == CUT_PERIOD - 1, F.col("p_partkey").cast("string"))
+    return part.select(F.explode(F.array_compact(F.array(good, bad))).alias("value"))
