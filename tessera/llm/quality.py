@@ -10,7 +10,7 @@ documents.  A bounded, stratified sample of labelled training rows
 truncated SVD, and its latent vectors are broadcast; their size is
 ``2 * per_class * rank`` floats whatever the corpus.  Every document is folded
 in, its cosine to every reference is computed exactly in blocks, and its ``k``
-nearest vote with weight ``similarity ** sharpness``.  Votes are re-weighted by
+nearest, ties (to six decimals) by the reference's id, vote with weight ``similarity ** sharpness``.  Votes are re-weighted by
 class share over sample share, so stratifying does not shift the scores.
 
 Defined results.  Null and empty texts are scored like any other: all-zero
@@ -140,8 +140,11 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def vote(x: np.ndarray, model: dict, k: int = NEIGHBOURS) -> np.ndarray:
     """Scores of a block of weighted rows: exact cosines to every reference."""
     sim = unit(x @ model["basis"]) @ model["refs"].T
-    k = min(k, sim.shape[1])
-    near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+    sim = np.rint(sim * 1e6).astype(np.int64)  # ties are ties whatever block a row is in
+    k, size = min(k, sim.shape[1]), sim.shape[1]
+    near = np.argpartition(np.arange(size) - sim * size, k - 1, axis=1)[:, :k]
+    near.sort(axis=1)
+    sim = sim / 1e6
     w = np.clip(np.take_along_axis(sim, near, 1), 0, 1) ** SHARPNESS * model["vote"][near]
     size = w.sum(1)
     won = (w * model["y"][near]).sum(1)

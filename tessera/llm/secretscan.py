@@ -2,9 +2,10 @@
 
 Method.  Every version of every path is content-addressed: its blob is the SHA-256
 of its text.  The ledger, a folder of Parquet files, records for each blob the rule
-versions it was scanned with and the spans they found.  A scan asks the ledger
+versions it was scanned with and the spans that each of them found.  A scan asks the ledger
 what it knows, scans each blob once with the rule versions it has not seen, appends
-what it found, and joins the findings of all blobs back to all paths.  Copies,
+what it found, and joins the findings of exactly the rule
+versions asked for back to all paths.  Copies,
 unchanged files and unchanged rules cost no scan; a new rule, or a new version of
 one, costs only its own.
 
@@ -55,15 +56,16 @@ BASE = (
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),  # runs are maximal, so this is [0-9a-f]+ of 24 or more
 )
 MORE = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]|-(?!----END))*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
-         0, 1, 0, ("-----begin ",)),
+    # a key up to its end; without an end, before the next key, the header and the base64 lines behind it
+    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----(?:END|BEGIN)))*+-----END [A-Z ]*PRIVATE KEY-----"
+         r"|(?:\r?\n[A-Za-z0-9+/=]{16,}(?=\r?\n|\Z))*)", 0, 1, 0, ("-----begin ",)),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, 0, ("eyj",)),
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, 0, ("eyj",)),
 )
 RULES = BASE + MORE
 SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("start", IntegerType()),
-                              StructField("end", IntegerType())]))
-_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+                              StructField("end", IntegerType()), StructField("rule", StringType())]))
+_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("rule", pa.string())]))
 
 
 def find(text: str, rules) -> list[dict]:
@@ -74,7 +76,7 @@ def find(text: str, rules) -> list[dict]:
             continue
         for m in re.compile(rule.pattern, rule.flags).finditer(text):
             if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                out.append((m.start(), place, {"kind": rule.kind, "start": m.start(), "end": m.end()}))
+                out.append((m.start(), place, {"kind": rule.kind, "start": m.start(), "end": m.end(), "rule": rule.name}))
     return [x[2] for x in sorted(out, key=lambda x: x[:2])]
 
 
@@ -131,14 +133,12 @@ def findings(versions: DataFrame, ledger: str, *, id_col: str = "doc_id", text:
     body = F.coalesce(F.col(text), F.lit(""))
     rows = versions.select(F.col(id_col).alias("id"), F.unhex(F.sha2(body, 256)).alias("blob"),
                            *[F.col(c).alias(f"kept_{c}") for c in keep])
-    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
+    order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     names = F.array(*[F.lit(r.name) for r in rules])
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
     hits = (read_ledger(versions.sparkSession, ledger).where("size(spans) > 0")
-            .where(F.arrays_overlap("scanned", names)).select("blob", F.explode("spans").alias("s"))
-            .where(F.array_contains(kinds, F.col("s.kind")))
+            .select("blob", F.explode("spans").alias("s")).where(F.array_contains(names, F.col("s.rule")))
             .groupBy("blob").agg(F.array_sort(F.collect_set(
-                F.struct("s.start", order[F.col("s.kind")].alias("place"), "s.end", "s.kind"))).alias("hits")))
+                F.struct("s.start", order[F.col("s.rule")].alias("place"), "s.end", "s.kind"))).alias("hits")))
     spans = F.transform(F.coalesce("hits", F.array().cast(hits.schema["hits"].dataType)),
                         lambda h: F.struct(h["kind"].alias("kind"), h["start"].alias("start"), h["end"].alias("end")))
     joined = rows.join(small_side(hits), "blob", "left")

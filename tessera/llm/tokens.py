@@ -6,8 +6,9 @@ word of a batch is looked up once in a bounded cache that lives as long as the P
 worker, and the ids are put together by array gathers.  A run of Latin letters
 is handed to the file's BPE model directly, and so is punctuation behind it; any
 other word, and any text whose white space is not a single space or line break
-between words, goes through the whole tokenizer.  The ids are those of encoding
-the text whole (``tests/llm`` compares them).
+between words, goes through the whole tokenizer.  So does, whole, any text that
+holds one of the file's added tokens, such as an end mark, in any case.  The ids
+are those of encoding the text whole (``tests/llm`` compares them).
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.space_joins, self.bare, self.batch = space_joins, {}, 0
         # The cache, all of it arrays: words, whether they are runs of letters, the
         # batch they were last used in, and their ids one behind another.
@@ -207,6 +208,20 @@ class WordEncoder:
         end = np.r_[0, np.cumsum(n)]
         return _gather(pool, (np.cumsum(size) - size)[place], n), np.diff(end[at])
 
+    def _with_marks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``_some``, but texts that hold an added token are encoded whole."""
+        low, held = pc.utf8_lower(texts), np.zeros(len(texts), bool)
+        for mark in self.marks:
+            held |= pc.match_substring(low, mark).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return self._some(texts)
+        pool, n = self._some(pc.if_else(pa.array(held), pa.scalar("", texts.type), texts))
+        wholes = [np.frombuffer(self._whole(t), "<u4") for t in texts.filter(pa.array(held)).to_pylist()]
+        begin, n = np.cumsum(n) - n, n.copy()
+        n[held] = [len(w) for w in wholes]
+        begin[held] = len(pool) + np.cumsum(n[held]) - n[held]
+        return _gather(np.concatenate([pool, *wholes]), begin, n), n
+
     def encode(self, texts: pa.Array):
         """(ids, ids of each text) for runs of texts, together all of ``texts``."""
         texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -216,7 +231,7 @@ class WordEncoder:
             to = max(begin + 1, int(np.searchsorted(size, done + BATCH_BYTES, "right")))
             gc.disable()  # nothing here is cyclic, and many small objects live long
             try:
-                some = self._some(texts.slice(begin, to - begin))
+                some = self._with_marks(texts.slice(begin, to - begin))
             finally:
                 gc.enable()
             yield some

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold, labelled_sample
+from tessera.llm.common import fold, labelled_sample, materialize
 
 PER_CLASS, FEATURES, ROUNDS = 2500, 1024, 400
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -72,9 +72,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, id_col: str
         return model
     bags = (docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
             .join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
-            .mapInArrow(_bag_batches, "doc_id long, y int, bag array<array<string>>")
-            .groupBy("doc_id", "y").agg(F.min("bag").alias("bag"))
-            .select("doc_id", "y", F.posexplode_outer("bag").alias("s", "words")))
+            .mapInArrow(_bag_batches, f"doc_id {docs.schema[id_col].dataType.simpleString()}, y int, bag array<array<string>>")
+            .groupBy("doc_id", "y").agg(F.min("bag").alias("bag")))
+    bags = materialize(bags, "bags").select("doc_id", "y", F.posexplode_outer("bag").alias("s", "words"))
     # Words are chosen by their document frequency in either class of the sample.
     held = (bags.select("doc_id", "y", F.explode("words").alias("w")).distinct()
             .groupBy("w").agg(F.sum(F.col("y")).alias("n1"), F.sum(1 - F.col("y")).alias("n0")))
