@@ -103,11 +103,13 @@ def ranks(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
 
     keyed = materialize(nodes.select("group", "dims", "node", "vec").mapInArrow(
         keys, "group string, dims int, node long, " + ", ".join(f"key{p} long" for p in range(passes))), "vector-keys")
-    out = nodes.select("node", "group", "dims", "copies", "vec")
+    places = None
     for p in range(passes):
-        order = keyed.select("node", F.struct("group", "dims", f"key{p}", "node").alias("order"))
-        out = out.join(number_rows(order, "order").select("node", F.col("_rn").alias(f"rank{p}")), "node")
-    return out.select("node", "group", "dims", "copies", "vec", F.array(*[f"rank{p}" for p in range(passes)]).alias("ranks"))
+        order = keyed.select(F.struct("group", "dims", f"key{p}", "node").alias("order"))
+        one = number_rows(order, "order").select("order.node", F.lit(p).alias("pass"), F.col("_rn").alias("rank"))
+        places = one if places is None else places.unionByName(one)
+    of = places.groupBy("node").agg(F.array(*[F.max(F.when(F.col("pass") == p, F.col("rank"))) for p in range(passes)]).alias("ranks"))
+    return nodes.select("node", "group", "dims", "copies", "vec").join(of, "node")
 
 
 _FOUND = "node long, n long, link long"
