@@ -88,7 +88,8 @@ def entries(vectors: DataFrame, id_col: str, vector: str, label: str) -> DataFra
 def ranks(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
     """(node, group, dims, copies, vec, ranks): for each pass the place of every vector in
     the order of (label, size, hash): the signs of 64 random projections, joined to one number.
-    Each order is a range sort of short rows."""
+    One range sort of short rows serves all passes: pass p begins behind p times the
+    number of vectors."""
     def keys(batches):
         for batch in batches:
             dims, out = np.asarray(batch.column(1)), np.empty((passes, batch.num_rows), np.int64)
@@ -98,17 +99,17 @@ def ranks(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
                 for p in range(passes):
                     bits = np.packbits(x @ planes(int(d), seed + p) > 0, axis=1)
                     out[p, here] = bits.view(">u8").ravel().astype(np.uint64).view(np.int64) ^ np.int64(-(1 << 63))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, out)],
-                                             ["group", "dims", "node", *(f"key{p}" for p in range(passes))])
-
-    keyed = materialize(nodes.select("group", "dims", "node", "vec").mapInArrow(
-        keys, "group string, dims int, node long, " + ", ".join(f"key{p} long" for p in range(passes))), "vector-keys")
-    places = None
-    for p in range(passes):
-        order = keyed.select(F.struct("group", "dims", f"key{p}", "node").alias("order"))
-        one = number_rows(order, "order").select("order.node", F.lit(p).alias("pass"), F.col("_rn").alias("rank"))
-        places = one if places is None else places.unionByName(one)
-    of = places.groupBy("node").agg(F.array(*[F.max(F.when(F.col("pass") == p, F.col("rank"))) for p in range(passes)]).alias("ranks"))
+            for p in range(passes):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, p, np.int32)), *batch.columns[:3], pa.array(out[p])],
+                    ["pass", "group", "dims", "node", "key"])
+
+    keyed = nodes.select("group", "dims", "node", "vec").mapInArrow(
+        keys, "pass int, group string, dims int, node long, key long")
+    placed = number_rows(keyed.select(F.struct("pass", "group", "dims", "key", "node").alias("order")), "order")
+    rank = F.col("_rn") - F.col("order.pass") * F.lit(nodes.count())
+    of = placed.select("order.node", "order.pass", rank.alias("rank")).groupBy("node").agg(
+        F.array(*[F.max(F.when(F.col("pass") == p, F.col("rank"))) for p in range(passes)]).alias("ranks"))
     return nodes.select("node", "group", "dims", "copies", "vec").join(of, "node")
 
 
