@@ -289,14 +289,18 @@ def item_blocks(items: DataFrame, rank: int, block_bytes: int = BLOCK_BYTES):
                    np.array(part.column("factors").to_pylist(), np.float32).reshape(part.num_rows, rank))
 
 
-def _top_rows(scores, ids, most):
-    """Places of the ``most`` best scores, ties by id (``ids`` ascend)."""
-    import numpy as np
-    if most >= len(scores):
-        return np.argsort(-scores, kind="stable")
-    edge = -np.partition(-scores, most - 1)[most - 1]
-    near = np.flatnonzero(scores >= edge)
-    return near[np.argsort(-scores[near], kind="stable")][:most]
+def top_places():
+    """A function of scores, in order of their ids, and a number: the places of that many best
+    scores, ties by id.  (Made here, so that it travels to executors by value.)"""
+    def top(scores, most):
+        import numpy as np
+        if most >= len(scores):
+            return np.argsort(-scores, kind="stable")
+        edge = -np.partition(-scores, most - 1)[most - 1]
+        near = np.flatnonzero(scores >= edge)
+        return near[np.argsort(-scores[near], kind="stable")][:most]
+
+    return top
 
 
 def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataFrame | None = None,
@@ -323,7 +327,7 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
     counted = rated.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
     asked = reliable_checkpoint(asked.join(counted, "user", "left").select(
         "user", "factors", (F.coalesce("k", F.lit(0)) + n).alias("most")))
-    rank, spark = model.model.rank, ratings.sparkSession
+    rank, spark, top_of = model.model.rank, ratings.sparkSession, top_places()
     schema = "user long, item long, prediction float"
     found = spark.createDataFrame([], schema)
     for block in item_blocks(kept, rank, block_bytes):
@@ -338,7 +342,7 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
                     part = batch.slice(at, step)
                     users = np.array(part.column(1).to_pylist(), np.float32).reshape(part.num_rows, rank)
                     for user, most, scores in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), users @ matrix.T):
-                        top = _top_rows(scores, ids, most)
+                        top = top_of(scores, most)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(top), user, np.int64)), pa.array(ids[top]), pa.array(scores[top])],
                             ["user", "item", "prediction"])

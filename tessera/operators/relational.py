@@ -71,6 +71,14 @@ def partition_lists(df: DataFrame, col: str, chunk: int = 1024) -> DataFrame:
     whole partition would grow with it.  Nulls are kept."""
     import pyarrow as pa
 
+    def chunks(index, number, values):
+        import numpy as np
+        ends = np.append(np.arange(0, len(values), chunk), len(values)).astype(np.int32)
+        n = len(ends) - 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, index, np.int32)), pa.array(np.arange(number, number + n)),
+             pa.ListArray.from_arrays(pa.array(ends), values)], ["partition", "chunk", "values"])
+
     def lists(index, batches):
         held, number = None, 0
         for batch in batches:
@@ -78,25 +86,15 @@ def partition_lists(df: DataFrame, col: str, chunk: int = 1024) -> DataFrame:
             held = values if held is None else pa.concat_arrays([held, values])
             whole = len(held) // chunk
             if whole:
-                yield _chunks(index, number, held.slice(0, whole * chunk), chunk)
+                yield chunks(index, number, held.slice(0, whole * chunk))
                 held, number = held.slice(whole * chunk), number + whole
         if held is not None and len(held):
-            yield _chunks(index, number, held, chunk)
+            yield chunks(index, number, held)
 
     kind = df.schema[col].dataType.simpleString()
     return map_partitions(df.select(col), lists, f"partition int, chunk long, values array<{kind}>")
 
 
-def _chunks(index: int, number: int, values, chunk: int):
-    import numpy as np
-    import pyarrow as pa
-    ends = np.append(np.arange(0, len(values), chunk), len(values)).astype(np.int32)
-    n = len(ends) - 1
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, index, np.int32)), pa.array(np.arange(number, number + n)),
-         pa.ListArray.from_arrays(pa.array(ends), values)], ["partition", "chunk", "values"])
-
-
 def partition_summary(df: DataFrame, col: str) -> DataFrame:
     """(partition, n, total) of every partition: a function of a partition that is given its
     index and adds up its batches."""

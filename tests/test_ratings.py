@@ -135,7 +135,7 @@ def test_recommendations_for_many_users(spark, block_bytes):
 def test_ties_and_exact_ends_of_the_bounded_list():
     ids = np.array([2, 3, 5, 8, 9])
     scores = np.array([1, 4, 4, 4, 0], np.float32)
-    assert [ids[R._top_rows(scores, ids, m)].tolist() for m in (1, 2, 3, 4, 9)] == [
+    assert [ids[R.top_places()(scores, m)].tolist() for m in (1, 2, 3, 4, 9)] == [
         [3], [3, 5], [3, 5, 8], [3, 5, 8, 2], [3, 5, 8, 2, 9]]
 
 
