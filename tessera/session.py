@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -73,7 +74,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-{purpose}-{uuid.uuid4().hex}"
+    path = f"{base}/tessera-{purpose}-{uuid.uuid4().hex}"
+    for names in _open:
+        names.append(path)
+    return path
+
+
+_open: list[list[str]] = []  # the folders named inside each open ``dropping``
+
+
+@contextmanager
+def dropping(spark: SparkSession):
+    """Remove, at the end, the folders that what runs inside has written to the shared
+    location: tables stored on the way, ledgers, archives, token files.  Results have to be
+    written elsewhere before that.  Gives the list of the folders."""
+    names: list[str] = []
+    _open.append(names)
+    try:
+        yield names
+    finally:
+        _open[:] = [other for other in _open if other is not names]
+        for name in names:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -197,6 +197,21 @@ def test_load_reports_on_what_it_stored(spark):
     assert L.load_with_report(lines.limit(0))[2] == {"read": 0, "parsed": 0, "failed": 0}
 
 
+def test_what_a_run_stored_is_dropped(spark):
+    from tessera.plans import QUERIES
+    from tessera.session import dropping
+
+    def there(path):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+    outside = textfiles.write_lines(spark, spark.range(3).selectExpr("cast(id AS string)"), "kept")
+    with dropping(spark) as names:
+        n = QUERIES["inverted_index"](spark, SF_SMALL).count()
+        assert n > 0 and names and all(map(there, names))
+    assert not any(map(there, names)) and there(outside)
+
+
 def test_one_regex_pass_keeps_every_group(spark):
     lines = ['"a","t","d","m","1"', '"id","title","description","manufacturer","price"', "no match", 'x,"","',
              '"b","quoted ""x"", y","","",', '"c\u0001","t\u0001","d","m","1"', ',"t",,,', None]
