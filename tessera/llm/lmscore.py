@@ -23,8 +23,8 @@ target's documents would be scored by themselves.
 
 Defined results.  A text without words, null included, has score 0 and no loss.
 With no target document every score is 0.  A document is a target if a label row of
-its id says so (null ids never are); repeated rows are counted and scored each.
-Other columns are ignored.
+its id says so (null ids never are); repeated rows count and are returned each.  A very
+long text is one row of one batch.  An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations

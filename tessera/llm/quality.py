@@ -17,7 +17,8 @@ Defined results.  Null and empty texts are scored like any other: all-zero
 vector, no neighbour is near, and the score is the class-1 share of the training
 labels.  With no training row of one of the classes every score is that share
 (0.5 without any label).  Null ids are scored and are never held out; repeated
-rows give repeated rows.  Other columns of the input are ignored.
+rows give repeated rows, an empty table an empty result.  Of texts that share a labelled id the one whose
+counts come first as bytes is learnt.  Other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ spread, and only chosen rows are scanned.
 
 Defined results.  A null text is the empty blob, which holds nothing.  Repeated
 rows of a path each get the findings.  Rules that are not in the ledger's rows are
-scanned anew; an empty table scans nothing.  Other columns are ignored.
+scanned anew; an empty table scans nothing.  Very long texts are scanned
+whole, in time proportional to their length.  Other columns are ignored.
 Positions are code points, ends exclusive.
 """
 

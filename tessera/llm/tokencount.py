@@ -10,7 +10,8 @@ a batch step through the automaton together.
 
 Defined results.  A null or empty text has no token.  A word that the vocabulary
 cannot spell counts as one unknown token (a vocabulary that holds every byte spells
-all).  Repeated rows give repeated rows; other columns are ignored.
+all).  Very long texts are read whole.  Repeated rows give repeated rows, an empty table
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ the text's hash and the row's place, so that one id may hold a third of the rows
 Every task encodes and writes its range; nothing passes through the driver.
 
 Defined results.  A null or empty text has its end id alone.  Null ids come first;
-rows with equal ids are all kept, in an arbitrary but fixed order.  Other columns
-are ignored; an empty table gives files without rows.
+rows with equal ids are all kept, in an arbitrary but fixed order.  Very long texts are
+one row.  Other columns are ignored; an empty table gives files without rows.
 """
 
 from __future__ import annotations

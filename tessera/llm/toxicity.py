@@ -8,14 +8,16 @@ given; the gradient of the document's loss is shared among its sentences, so the
 sentences that explain the label get the weight.  Training uses a bounded,
 stratified sample of labelled rows (``per_class`` of each class, the one
 documented bound here); rows are re-weighted to the classes' true shares.  The
-model is a table of at most ``FEATURES`` terms.  Every sentence of every whole
+model is a table of at most ``FEATURES`` terms, those of the sample that tell its classes
+apart best: weights for all of them would learn single documents (README has the figures).  Every sentence of every whole
 text is scored, and sentences above ``threshold`` are returned with their code
 point spans.
 
 Defined results.  A null or empty text has no sentence and scores 0.  With no
 training row of one of the classes every score is the class-1 share of the
 labels (0 without any label).  Null ids are scored and never held out; repeated
-rows give repeated rows.  Other columns of the input are ignored.
+rows give repeated rows, an empty table an empty result.  Of texts that share a labelled id the one whose
+bag comes first is learnt.  Other columns of the input are ignored.
 """
 
 from __future__ import annotations

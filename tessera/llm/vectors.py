@@ -24,7 +24,8 @@ found, so their recall can be read from the result.
 Defined results.  Vectors that are null, of length zero or hold null or non-finite
 components, and rows with a null label, link with nothing.  Vectors of different
 sizes are not compared.  Repeated ids are rows of their own; a null id names a
-component only if it has no other.  Other columns are ignored.
+component only if it has no other.  An empty table gives an empty result.  Other
+columns are ignored.
 """
 
 from __future__ import annotations

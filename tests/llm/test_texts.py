@@ -595,5 +595,42 @@ def test_digest_queries_have_their_columns(spark):
                 assert r.base_sha256 == hashlib.sha256(s.encode()).hexdigest()
 
 
+def test_clashing_names_in_labels_and_items(spark):
+    docs, known = awkward_docs(spark), labels(spark)
+    more = known
+    for c in ("text", "y", "score", "one", "cells", "bag", "target", "n", "copies", "word", "lang"):
+        more = more.withColumn(c, F.lit("clash"))
+    for m in (quality, toxicity):
+        how = {"rounds": 20} if m is toxicity else {}
+        assert sorted(map(str, m.score(docs, m.fit(docs, more, **how)).collect())) == sorted(
+            map(str, m.score(docs, m.fit(docs, known, **how)).collect()))
+    items = table(spark, SF, "benchmark")
+    extra = items
+    for c in ("doc_id", "k1", "k2", "words", "n", "win", "bucket", "copies", "rank", "item"):
+        extra = extra.withColumn(c, F.lit("clash"))
+    pick = lambda df: sorted(map(str, df.select("doc_id", "n_words", "n_hit", "items").collect()))
+    assert pick(decontaminate.decontaminate(docs, extra)) == pick(decontaminate.decontaminate(docs, items))
+    from tessera.llm import resample
+    assert sorted(map(str, resample.resample(docs, extra).collect())) == sorted(map(str, resample.resample(docs, items).collect()))
+
+
+def test_token_files_hold_delta_pages_and_indexes(spark):
+    import pyarrow.parquet as pq
+    path = shared_dir(spark, "token-files")
+    tokenfiles.write(table(spark, SF, "documents"), path, WORD)
+    files = [re.sub("^file:/*", "/", f) for f in spark.read.parquet(path).inputFiles()]
+    seen = 0
+    for name in files:
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            cols = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c) for c in range(meta.num_columns)}
+            assert "DELTA_BINARY_PACKED" in cols["n_tokens"].encodings
+            ids = next(c for n, c in cols.items() if n.startswith("ids"))
+            assert any("DICTIONARY" in e for e in ids.encodings)
+            assert cols["doc_id"].has_column_index and cols["doc_id"].has_offset_index
+            seen += 1
+    assert seen
+
+
 def test_long_text_is_read_whole():
     assert len(LONG) > 150_000 and simhash.fingerprint(LONG) == plain_fingerprint(LONG)
