@@ -1,39 +1,53 @@
 """Best-fit packing of documents into fixed-length training sequences.
 
 Method: bulk-synchronous best fit.  Documents become pieces of at most ``most``
-tokens, and a piece is named by its length and its rank among pieces of that length;
-the data are not sorted by length and no match is distributed.  Pieces of one length are
-interchangeable, and so are gaps of one size, so a round works on runs: for every
-length the number of pieces still unplaced, for every open gap the run of
-sequences that have it.  A round sweeps both from the longest to the shortest;
-each run of pieces finds its successor, the smallest gap that still holds it, a
-gap takes pieces of one run in a round, and where several want the same gap the
-lower rank wins.  Then gaps are updated and the next round begins, until no piece
-is left; pieces that no gap can hold open sequences.  The sweep's state is a
-count for at most ``most`` lengths and the runs of gaps, whose number has no proven
-bound; it runs on the driver, and its outcome, a list of rank intervals, is broadcast, and every piece finds its sequence from its rank.
+tokens, and a piece is named by its length and its rank among pieces of that length.
+Pieces of one length are interchangeable, and so are gaps of one size, so the rounds
+work on runs: for every length the ranks still unplaced, for every open gap the
+sequences that have it.  A round is one Spark job.  Lengths and gaps are dealt to
+ranges of sizes; a run of pieces goes to the range of its successor, the first range
+upwards with a gap that holds it.  Every range sorts and sweeps its runs on its own,
+longest pieces first, each into the smallest gap that holds it; where several want
+one gap the lower rank has it.  What is left of a gap is used again while it lies in
+the range, and moves to its own range for the next round.  Pieces that no gap
+anywhere holds open sequences, but only full ones, and no length does that a longer one
+leaves room for.  The rounds end when what is left of each length would not fill
+one sequence, at most about ``most`` * ln(``most``) pieces whatever the input; these are put
+into the smallest gaps by one last sweep, which may open sequences.
+
+Scale.  The driver sees the greatest gap of every range and the number of sequences,
+nothing else; runs are written by each round and read by the next.  There is one run of
+pieces for each length, and a round cuts at most two runs of gaps for each, so runs grow
+with rounds and not with documents.  Outcomes are intervals of ranks, sent to all tasks in
+blocks of at most ``BLOCK_ROWS``; every piece finds its sequence from its rank, in place.
 
 Defined results.  Every row is packed, a null or empty text as its end token
 alone.  Only documents longer than ``most`` are cut, into full pieces behind a
 first one that holds the rest.  Rows with equal or null ids are packed one by one.
-Other columns are ignored; an empty table gives an empty result.
+Very long texts are many pieces of one row.  Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
 from tessera.llm.tokens import WordEncoder
+from tessera.operators.relational import number_rows
+from tessera.session import shared_dir
 
 MOST, END = 2048, 0
+RANGES = 16
+BLOCK_ROWS = 1 << 19  # of 48 bytes each
+OPEN, LAST = -1, -2  # keys beside those of the ranges
+STATE = "kind string, size long, first long, n long, each long, offset long, sequence long"
 
 
 def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text: str = "text",
@@ -79,62 +93,162 @@ def ranked(cut: DataFrame) -> DataFrame:
     return cut.join(base, ["task", "length"]).withColumn("rank", F.col("base") + F.col("nth")).drop("base")
 
 
-def plan(counts: dict[int, int], most: int = MOST) -> list[tuple[int, int, int, int, int, int]]:
-    """Best fit over runs: (length, first rank, pieces, first sequence, pieces in
-    each sequence, offset there) for every run of pieces; sequences are numbered
-    without gaps."""
-    left = {n: c for n, c in counts.items() if c}
-    placed = {n: 0 for n in left}
-    gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> runs of sequences (first, how many)
-    out, opened = [], 0
-
-    def put(n, first, sequences, gap, after):
-        """A run of pieces into a run of equal gaps, as many in each as fit."""
-        each = gap // n
-        whole, rest = divmod(min(left[n], sequences * each), each)
-        for count, k in ((whole, each), (1, rest)):
-            if count and k:
-                out.append((n, placed[n], count * k, first, k, most - gap))
-                placed[n] += count * k
-                left[n] -= count * k
-                if gap - k * n:
-                    after.setdefault(gap - k * n, []).append((first, count))
-                first += count
-        return whole + bool(rest)
-
-    while any(left.values()):
-        after: dict[int, list[tuple[int, int]]] = {}  # what gaps become after this round
-        sizes = sorted(gaps)
-        for n in sorted((n for n, c in left.items() if c), reverse=True):
-            at = bisect_left(sizes, n)
-            while left[n] and at < len(sizes):  # the successor: the smallest gap that holds n
-                runs = gaps[sizes[at]]
-                while left[n] and runs:
-                    first, many = runs.pop()
-                    used = put(n, first, many, sizes[at], after)
-                    if used < many:
-                        runs.append((first + used, many - used))
-                if not runs:
-                    del gaps[sizes.pop(at)]
-            if left[n] and not any(g >= n for g in after):  # no gap now or next round: open
-                need = -(-left[n] // (most // n))
-                put(n, opened, need, most, after)
-                opened += need
-        for gap, runs in after.items():
-            gaps.setdefault(gap, []).extend(runs)
-    return out
+class Sweep:
+    """The gaps of one range of sizes from ``low`` on, and what becomes of them.  ``out``
+    has rows of the state: 'run' for pieces placed (length, first rank, pieces, pieces in
+    each sequence, offset there, first sequence), 'gap' for gaps below the range."""
+
+    def __init__(self, most: int, low: int, gaps=()):
+        self.most, self.low, self.out = most, low, []
+        self.gaps: dict[int, list[tuple[int, int]]] = {}
+        self.sizes: list[int] = []
+        for gap, first, n in sorted(gaps):
+            self._add(gap, first, n)
+
+    def _add(self, gap, first, n):
+        if gap < self.low:
+            if gap:
+                self.out.append(("gap", gap, first, n, 0, 0, 0))
+            return
+        if gap not in self.gaps:
+            self.gaps[gap] = []
+            insort(self.sizes, gap)
+        self.gaps[gap].append((first, n))
+
+    def put(self, length, rank, n, gap, first) -> int:
+        """``n`` pieces into sequences of one gap, as many in each as fit; returns the
+        number of sequences used."""
+        each, used = gap // length, 0
+        whole, rest = divmod(n, each)
+        for count, k in ((whole, each), (int(rest > 0), rest)):
+            if count:
+                self.out.append(("run", length, rank, count * k, k, self.most - gap, first + used))
+                self._add(gap - k * length, first + used, count)
+                rank, used = rank + count * k, used + count
+        return used
+
+    def place(self, length, rank, n) -> tuple[int, int]:
+        """Best fit of a run of pieces; the rank and number of those that found no gap."""
+        while n:
+            at = bisect_left(self.sizes, length)
+            if at == len(self.sizes):
+                break
+            gap = self.sizes[at]
+            runs = self.gaps[gap]
+            first, many = runs.pop()
+            if not runs:
+                del self.gaps[self.sizes.pop(at)]
+            took = min(n, many * (gap // length))
+            used = self.put(length, rank, took, gap, first)
+            if used < many:
+                self._add(gap, first + used, many - used)
+            rank, n = rank + took, n - took
+        return rank, n
+
+    def rows(self) -> list[tuple]:
+        return self.out + [("gap", gap, first, n, 0, 0, 0) for gap, runs in self.gaps.items() for first, n in runs]
+
+
+def sweep(key: int, pieces: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]], low: int, opened: int,
+          most: int) -> list[tuple]:
+    """One range of a round.  ``pieces`` are (length, first rank, number), ``gaps`` (size,
+    first sequence, number).  Key OPEN has the pieces that no gap holds, key LAST what
+    the rounds leave; others place what their gaps hold."""
+    now = Sweep(most, 1 if key == LAST else most + 1 if key == OPEN else low, gaps)
+    room = 0  # the greatest gap that lengths before have opened
+    for length, rank, n in sorted(pieces, reverse=True):
+        if key != OPEN:
+            rank, n = now.place(length, rank, n)
+        each = most // length
+        open_ = n if key == LAST else n - n % each if key == OPEN and room < length else 0
+        if open_:
+            opened += now.put(length, rank, open_, most, opened)
+            rank, n, room = rank + open_, n - open_, max(room, most - each * length)
+        if n:
+            now.out.append(("piece", length, rank, n, 0, 0, 0))
+    return now.rows()
+
+
+def _home(tops: list[int], width: int) -> Column:
+    """The range of a gap, or of the first gap upwards that may hold a run of pieces."""
+    own = F.floor((F.col("size") - 1) / width)
+    holds = [F.when((own <= b) & (F.col("size") <= top), b) for b, top in enumerate(tops) if top]
+    return F.when(F.col("kind") == "gap", own).otherwise(F.coalesce(*holds, F.lit(OPEN))).cast("int")
+
+
+def _round(opened: int, width: int, most: int):
+    """A function of one range's rows of the state that sweeps them."""
+    def run(key, table):
+        key, given = key[0].as_py(), {"piece": [], "gap": []}
+        for kind, *row in zip(*(table.column(c).to_pylist() for c in ("kind", "size", "first", "n"))):
+            given[kind].append(tuple(row))
+        rows = sweep(key, given["piece"], given["gap"], key * width + 1, opened, most)
+        kind, *numbers = zip(*rows) if rows else [()] * 7
+        return pa.table([pa.array(kind, pa.string()), *[pa.array(c, pa.int64()) for c in numbers]],
+                        ["kind", "size", "first", "n", "each", "offset", "sequence"])
+    return run
+
+
+def runs_of(counts: DataFrame, most: int = MOST, ranges: int = RANGES) -> DataFrame:
+    """(size, first, n, each, offset, sequence): of ``counts`` (length, n) every run of
+    pieces of a length, by first rank, with the pieces in each sequence, their offset
+    there and the first sequence; sequences are numbered without gaps.  Each round is
+    a job that writes its state."""
+    spark, width, paths = counts.sparkSession, -(-most // ranges), []
+    state = counts.select(F.lit("piece").alias("kind"), F.col("length").alias("size"), F.lit(0).cast("long").alias("first"),
+                          F.col("n").cast("long").alias("n"))
+    tops, opened, last = [0] * ranges, 0, False
+    while True:
+        key = F.lit(LAST) if last else _home(tops, width)
+        piece, run, seen = F.col("kind") == "piece", F.col("kind") == "run", Observation()
+        after = (state.groupBy(key.alias("range")).applyInArrow(_round(opened, width, most), STATE).observe(
+            seen, F.max(F.when(piece, 1)).alias("left"),
+            F.max(F.when(piece, F.col("n") >= F.floor(F.lit(most) / F.col("size")))).alias("full"),
+            F.max(F.when(run & (F.col("offset") == 0), F.col("sequence") + F.ceil(F.col("n") / F.col("each")))).alias("opened"),
+            *[F.max(F.when((F.col("kind") == "gap") & (F.floor((F.col("size") - 1) / width) == b), F.col("size"))).alias(f"r{b}")
+              for b in range(ranges)]))
+        paths.append(shared_dir(spark, "packing-round"))
+        after.write.parquet(paths[-1])
+        found = seen.get
+        if not found.get("left"):
+            return spark.read.schema(STATE).parquet(*paths).where("kind = 'run'").drop("kind")
+        tops, opened, last = [found[f"r{b}"] or 0 for b in range(ranges)], max(opened, found["opened"] or 0), not found["full"]
+        state = spark.read.schema(STATE).parquet(paths[-1]).where("kind <> 'run'")
 
 
 def pack(cut: DataFrame, most: int = MOST) -> DataFrame:
     """``cut`` with sequence_id and offset.  ``cut`` has to be stored: it is read
     for the counts and for the result."""
-    spark = cut.sparkSession
-    lengths = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    runs = spark.sparkContext.broadcast(_by_length(plan(lengths, most)))
+    runs = runs_of(cut.groupBy("length").agg(F.count("*").alias("n")), most)
     kept = [f for f in cut.schema.fields if f.name not in ("task", "nth")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
+    # one block but for inputs whose runs are many; a block begins at a length and rank
+    blocks = -(-runs.count() // BLOCK_ROWS)
+    if blocks <= 1:
+        return ranked(cut).mapInArrow(_lookup(runs, [f.name for f in kept]), schema)
+    named = ranked(cut).withColumn("at", F.struct("length", "rank"))
+    numbered = number_rows(runs.withColumn("at", F.struct(F.col("size").alias("length"), F.col("first").alias("rank"))), "at")
+    numbered = materialize(numbered, "packing-runs")
+    starts = [r["at"] for r in numbered.where((F.col("_rn") - 1) % BLOCK_ROWS == 0).orderBy("_rn").select("at").collect()]
+    out = None
+    for a, b in zip(starts, [*starts[1:], None]):
+        def inside(c, a=a, b=b):
+            edge = lambda r: F.struct(F.lit(r[0]).cast("long").alias("length"), F.lit(r[1]).cast("long").alias("rank"))
+            return (c >= edge(a)) & (c < edge(b)) if b else c >= edge(a)
+        part = named.where(inside(F.col("at"))).drop("at").mapInArrow(
+            _lookup(numbered.where(inside(F.col("at"))), [f.name for f in kept]), schema)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _lookup(runs: DataFrame, kept: list[str]):
+    """A function of batches that gives pieces their sequence and offset by a bounded
+    block of ``runs``, which is broadcast."""
+    rows = runs.select("size", "first", "sequence", "each", "offset").collect()
+    known = runs.sparkSession.sparkContext.broadcast(_by_length(rows))
 
     def run(batches):
-        table = runs.value
+        table = known.value
         for batch in batches:
             length, rank = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("length", "rank"))
             sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
@@ -146,17 +260,15 @@ def pack(cut: DataFrame, most: int = MOST) -> DataFrame:
                 sequence[here] = first_sequence[i] + inside // each[i]
                 offset[here] = base[i] + inside % each[i] * n
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(batch.schema.get_field_index(f.name)) for f in kept], pa.array(sequence), pa.array(offset)],
-                [*[f.name for f in kept], "sequence_id", "offset"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
-    return ranked(cut).mapInArrow(run, schema)
+                [*[batch.column(batch.schema.get_field_index(c)) for c in kept], pa.array(sequence), pa.array(offset)],
+                [*kept, "sequence_id", "offset"])
+    return run
 
 
 def _by_length(runs) -> dict[int, tuple[np.ndarray, ...]]:
     out: dict[int, list] = {}
-    for n, rank, _, first, each, offset in sorted(runs):
-        out.setdefault(n, []).append((rank, first, each, offset))
+    for n, *row in sorted(map(tuple, runs)):
+        out.setdefault(n, []).append(row)
     return {n: tuple(np.array(c, np.int64) for c in zip(*rows)) for n, rows in out.items()}
 
 

@@ -2,8 +2,11 @@
 rows, and on empty tables."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -145,25 +148,59 @@ def test_packing(docs):
     assert used <= least * 1.02 + 1
 
 
-def test_packing_plan_is_complete():
-    import random
-    r = random.Random(5)
-    for _ in range(60):
-        most = r.choice([1, 2, 7, 64])
-        counts = Counter(r.randint(1, most) for _ in range(r.randint(0, 200)))
-        seen, rooms = Counter(), defaultdict(list)
-        for n, rank, k, first, each, offset in packing.plan(counts, most):
-            assert rank == seen[n] and k % each == 0
-            seen[n] += k
-            for i in range(k):
-                rooms[first + i // each].append((offset + i % each * n, n))
-        assert seen == counts and sorted(rooms) == list(range(len(rooms)))
-        for parts in rooms.values():
-            end = 0
-            for offset, n in sorted(parts):
-                assert offset == end
-                end += n
-            assert end <= most
+def best_fit(counts, most):
+    """Sequences that best fit needs for pieces one by one, longest first."""
+    gaps = []
+    for n in sorted(Counter(counts).elements(), reverse=True):
+        at = bisect_left(gaps, n)
+        gap = gaps.pop(at) if at < len(gaps) else most
+        insort(gaps, gap - n)
+    return len(gaps)
+
+
+def packed(spark, counts, most, **how):
+    """Sequences used; every piece has one place, without gaps or overlaps."""
+    rows = spark.createDataFrame(list(counts.items()), "length long, n long")
+    seen, rooms = defaultdict(list), defaultdict(list)
+    for r in packing.runs_of(rows, most, **how).collect():
+        assert r.each > 0 and r.n % r.each == 0
+        seen[r.size].append((r["first"], r.n))
+        for i in range(r.n):
+            rooms[r.sequence + i // r.each].append((r.offset + i % r.each * r.size, r.size))
+    for n, runs in seen.items():
+        end = 0
+        for first, many in sorted(runs):
+            assert first == end
+            end += many
+        assert end == counts[n]
+    assert set(seen) == {n for n, c in counts.items() if c} and sorted(rooms) == list(range(len(rooms)))
+    for parts in rooms.values():
+        end = 0
+        for offset, n in sorted(parts):
+            assert offset == end
+            end += n
+        assert end <= most
+    return len(rooms)
+
+
+@pytest.mark.parametrize("most, n, ranges", [(1, 5, 16), (2, 9, 16), (7, 200, 3), (64, 150, 16), (64, 900, 4), (2048, 1500, 16), (64, 0, 16)])
+def test_packing_rounds(spark, most, n, ranges):
+    r = random.Random(most + n)
+    counts = Counter(min(most, 1 + int(r.lognormvariate(math.log(most + 1) / 2, 1))) for _ in range(n))
+    used, least = packed(spark, counts, most, ranges=ranges), best_fit(counts, most)
+    assert least <= used * 1.02 + 1 and used <= least * 1.02 + 1
+
+
+@pytest.mark.parametrize("counts", [{40: 500}, {64: 3, 33: 40, 32: 41, 31: 7, 1: 90}, {22: 1, 21: 700}, {1: 1000, 2: 77, 3: 100},
+                                    {n: 20 for n in range(1, 65)}])
+def test_packing_of_ties(spark, counts):
+    assert packed(spark, counts, 64) <= best_fit(counts, 64) * 1.02 + 1
+
+
+def test_packing_in_blocks_of_runs(docs, monkeypatch):
+    whole = packing.pack_documents(docs, BYTE)
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 7)
+    assert check_packing(packing.pack_documents(docs, BYTE), docs) == check_packing(whole, docs)
 
 
 # 4 -------------------------------------------------------------------------
