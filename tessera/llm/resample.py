@@ -47,7 +47,8 @@ def _crc(strings: pa.Array, buckets: int) -> np.ndarray:
 
 def hashed_ngrams(texts: pa.Array, order: int, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For n = 1 to ``order``: (text number, bucket) of every n-gram, texts in order."""
-    low = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    # lowered before the cast: of a slice the cast keeps offsets that do not begin at 0, which ascii_lower misreads
+    low = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string())
     cut = pc.split_pattern_regex(low, SEPARATOR)
     words, owner = pc.list_flatten(cut), pc.list_parent_indices(cut)
     real = pc.not_equal(words, "")

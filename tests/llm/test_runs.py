@@ -335,6 +335,26 @@ def test_resampling_without_target_and_equal_rows(spark):
     assert Counter((r.doc_id, r.score) for r in got.collect() if r.rank) == Counter((r[0], r[4]) for r in drawn)
 
 
+def test_ngrams_of_a_part_of_a_batch():
+    import pyarrow as pa
+    texts = [words(k % 40, k) + " One TWO É" for k in range(200)] + [""]
+    for kind in (pa.string(), pa.large_string()):
+        for at in (0, 70, 199):
+            for n, (owner, bucket) in enumerate(resample.hashed_ngrams(pa.array(texts, kind).slice(at), 2, 10_000), 1):
+                want = [(k, b) for k, t in enumerate(texts[at:]) for b in plain_features(t, n)[1][-max(plain_features(t, n)[0] - n + 1, 0):]
+                        if plain_features(t, n)[0] >= n]
+                assert list(zip(owner.tolist(), bucket.tolist())) == want
+
+
+def test_resampling_of_batches_beyond_a_slice(spark):
+    rows = [(k, words(30, k) + " A" * 1_200_000) for k in range(12)] + [(k, words(40, k)) for k in range(12, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = resample.resample(docs, docs.where("doc_id > 50"), percent=40).collect()
+    want, drawn = plain_draw(rows, [t for k, t in rows if k > 50], percent=40)
+    assert Counter((r.doc_id, r.n_words, r.n_features, r.weight, r.score) for r in got) == Counter(want)
+    assert [r.doc_id for r in sorted((r for r in got if r.rank), key=lambda r: r.rank)] == [r[0] for r in drawn]
+
+
 def test_resampling_query(spark):
     want, drawn = plain_draw(rows_of(table(spark, SF, "documents"), "doc_id", "text"),
                              [r.text for r in table(spark, SF, "benchmark").collect()])
