@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import broadcast_if_small, reliable_checkpoint
+from tessera.session import broadcast_if_small, release, reliable_checkpoint
 
 # The reference's ALS settings.
 ALS_ITERATIONS = 5
@@ -138,8 +138,13 @@ def _as_numbers(rows: DataFrame, users: DataFrame | None, items: DataFrame | Non
     return rows
 
 
-def als_blocks(spark, n: int, rows_per_block: int = 500_000) -> int:
-    """Blocks of the factor tables: enough for every core, and for the ratings."""
+ROWS_PER_BLOCK = 4_000_000
+
+
+def als_blocks(spark, n: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    """Blocks of the factor tables: enough for every core, and for the ratings.  A factor
+    is sent to each block that holds one of its ratings, so few large blocks shuffle less;
+    4 million ratings and the factors they need stay below some 400 MB."""
     return max(10, spark.sparkContext.defaultParallelism, -(-n // rows_per_block))
 
 
@@ -160,10 +165,14 @@ def _prepared(train: DataFrame) -> tuple:
 
 def _fit(rows: DataFrame, users: DataFrame | None, items: DataFrame | None, blocks: int, rank: int,
          iterations: int = ALS_ITERATIONS, reg: float = ALS_REG, seed: int = ALS_SEED) -> Recommender:
+    """Item factors are checkpointed in each iteration, by which ALS removes the shuffles
+    behind them; else those of all iterations stay on disk until the model is trained."""
     als = ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="als_user",
               itemCol="als_item", ratingCol="rating", coldStartStrategy="drop",
-              numUserBlocks=blocks, numItemBlocks=blocks)
-    return Recommender(als.fit(rows), users, items, reg)
+              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1)
+    model = als.fit(rows)
+    release(rows.sparkSession)
+    return Recommender(model, users, items, reg)
 
 
 def predict(model: Recommender, pairs: DataFrame) -> DataFrame:

@@ -146,3 +146,16 @@ def test_factors_under_large_ids(spark):
     assert {r["user"] for r in model.user_factors().collect()} == {r["user"] for r in big.collect()}
     assert R.residual_report(model, big).first()["n_off"] == 0
     assert min(r["user"] for r in R.recommend_users(model, big, 1).collect()) >= 3_000_000_000
+
+
+def test_training_drops_each_iterations_shuffles(spark, monkeypatch):
+    made = []
+    als = R.ALS
+    monkeypatch.setattr(R, "ALS", lambda **k: made.append(k) or als(**k))
+    rows = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(30) for i in range(12) if (u + i) % 3],
+                                 "user long, item long, rating double")
+    model = R.train_als(rows, 2)
+    assert made[0]["checkpointInterval"] == 1  # ALS then removes an iteration's shuffles with its checkpoint
+    few = R.als_blocks(spark, 21_600_000)
+    assert few == max(10, spark.sparkContext.defaultParallelism)
+    assert R.residual_report(model, rows).collect()[0].n_off == 0
