@@ -12,7 +12,7 @@ from tessera.operators import logs as L
 from tessera.operators import relational as P
 from tessera.operators import text as E
 from tessera.operators.postings import TextIndex, postings_of, write_inverted, write_records
-from tessera.session import shared_dir
+from tessera.session import fits_broadcast, shared_dir, stored
 from tessera.sources import textfiles
 from tessera.sources.tables import load_table
 from tessera.sources.views import clf_lines_from
@@ -228,3 +228,25 @@ def test_one_regex_pass_keeps_every_group(spark):
     gold = spark.createDataFrame([('"a","b"',), ("one",), ('"idAmazon","x"',), ("a,b,c",)], "value string")
     assert [tuple(r) for r in parse_gold_lines(gold).collect()] == [
         ("a", "b", "parsed"), (None, None, "failed"), ("idAmazon", "x", "header"), ("a,b", "c", "parsed")]
+
+
+def test_only_rare_tokens_postings_are_shuffled(spark):
+    rows = [("L" if k % 2 else "R", k, 10, t, 1 + k % 3) for k in range(400) for t in ("all", f"pair{k // 2}", f"own{k}", "gone")]
+    postings = stored(spark.createDataFrame(rows, "side string, id long, doc_len int, token string, n long"), "test-postings")
+    table = stored(postings.where("token <> 'gone'").groupBy("token").agg(F.count("*").alias("n_docs")), "test-tokens")
+    got = E.join_tokens(postings, table, 20_000)
+    assert not fits_broadcast(table, 20_000)
+    plan = got._jdf.queryExecution().toString()
+    assert "LeftAnti" in plan  # what is broadcast does not reach the shuffle join
+    assert sorted(map(tuple, got.collect())) == sorted(
+        (*r, {"a": 400, "p": 2, "o": 1}[r[3][0]]) for r in rows if r[3] != "gone")
+
+
+def test_numbered_weights_need_no_window_over_postings(spark):
+    left = spark.createDataFrame([(1, "red apple tree"), (2, "tree house"), (3, None), (4, "")], "item_id long, text string")
+    right = spark.createDataFrame([(k, f"red tree number{k} house") for k in range(50)], "doc_id long, text string")
+    index = TextIndex(left, "item_id", right, "doc_id", max_bytes=0)
+    norms = {(r.side, r.id): r.norm for r in E.vector_norms(index.weights()).collect()}
+    assert norms == pytest.approx({(r.side, r.id): r.norm for r in index.norms.collect()}) and len(norms) == 52
+    rows = index.numbered.collect()
+    assert len(rows) == 2 + 2 + 50 * 3 and all(r.u == pytest.approx(r.w / norms[r.side, r.id]) for r in rows)
