@@ -39,6 +39,8 @@ from tessera.llm.common import byte_slices, small_side
 
 SHARE, ADD = 0.6, 0.1
 BATCH_BYTES = 8 << 20
+CHUNK = 1 << 15  # words or pairs of a batch that are worked on at a time
+PIECE_BYTES = 2 << 20  # of texts that are split into words at a time where words are counted
 LOW_BYTES = 3  # of a key's lower half that are kept
 
 
@@ -62,6 +64,16 @@ def _unpacked(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
 
 
+def _pair_keys(key: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """The keys of pairs, coded as first word * ``n`` + second, from those of their words."""
+    out = np.empty(len(codes), np.uint64)
+    for at in range(0, len(codes), CHUNK):
+        before, after = np.divmod(codes[at:at + CHUNK], max(n, 1))
+        out[at:at + CHUNK] = _mixed(key[before] * np.uint64(0x9E3779B97F4A7C15)
+                                    + _mixed(key[after] + np.uint64(0xC2B2AE3D27D4EB4F)))
+    return out
+
+
 def _low_bytes(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES].tobytes()
 
@@ -77,19 +89,27 @@ def batch_tokens(texts: pa.Array) -> dict:
     of the batch's keys, which are distinct and sorted."""
     import xxhash
     cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    coded = cut.flatten().dictionary_encode()
-    names = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, names)), "<u8").reshape(-1, 2)
-    index = np.asarray(coded.indices).astype(np.int64)
-    real = np.array([bool(w) for w in names], bool)[index]
-    word, owner = index[real], np.repeat(np.arange(len(texts)), np.diff(np.asarray(cut.offsets)))[real]
+    sizes, coded = np.diff(np.asarray(cut.offsets)), cut.flatten().dictionary_encode()
+    del cut
+    names, index = coded.dictionary.cast(pa.large_binary()), np.array(coded.indices)
+    del coded
+    n = len(names)
+    both, real = np.empty((n, 2), np.uint64), np.empty(n, bool)
+    for at in range(0, n, CHUNK):  # few words are Python objects at a time
+        some = names.slice(at, CHUNK).to_pylist()
+        both[at:at + CHUNK] = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, some)), "<u8").reshape(-1, 2)
+        real[at:at + CHUNK] = [bool(w) for w in some]
+    del names
+    pa.default_memory_pool().release_unused()  # what the kernels took, before numpy takes as much
+    real = real[index]
+    word, owner = index[real].astype(np.int64), np.repeat(np.arange(len(texts)), sizes)[real]
+    del index, real
     first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
-    later, n = np.flatnonzero(~first), len(names)
+    later = np.flatnonzero(~first)
     codes, at = np.unique(word[later - 1] * n + word[later], return_inverse=True)
     used = np.unique(word)
-    before, after = (both[x] for x in np.divmod(codes, max(n, 1)))
-    pairs = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + _mixed(after + np.uint64(0xC2B2AE3D27D4EB4F)))
-    hi, lo = (np.r_[both[used, k], pairs[:, k]] for k in (0, 1))
+    hi, lo = (np.r_[both[used, k], _pair_keys(both[:, k], codes, n)] for k in (0, 1))
+    del both, codes
     lo &= np.uint64((1 << 8 * LOW_BYTES) - 1)
     order = np.lexsort((lo, hi))
     place = np.empty(len(order), np.int64)
@@ -104,11 +124,12 @@ def batch_tokens(texts: pa.Array) -> dict:
 def _sums(tokens: dict, target: np.ndarray, copies: np.ndarray) -> np.ndarray:
     """Background and target counts of a batch's keys."""
     n, has = len(tokens["hi"]), tokens["pair"] >= 0
-    out = []
-    for weight in (copies, copies * target):  # whole numbers, exact as doubles
-        each = weight[tokens["owner"]].astype(np.float64)
-        out.append(np.bincount(tokens["word"], each, n) + np.bincount(tokens["pair"][has], each[has], n))
-    return np.stack(out).astype(np.int64)
+    pairs, out = tokens["pair"][has], np.empty((2, n), np.int64)
+    for k, weight in enumerate((copies, copies * target)):  # whole numbers, exact as doubles
+        each = weight.astype(np.float64)[tokens["owner"]]
+        out[k] = np.bincount(tokens["word"], each, n)
+        out[k] += np.bincount(pairs, each[has], n).astype(np.int64)
+    return out
 
 
 def _columns(table: pa.Table) -> tuple:
@@ -154,12 +175,13 @@ def requests(rows: DataFrame, bits: int) -> DataFrame:
     def run(key, table):
         text, target, copies = _columns(table)
         tokens = batch_tokens(text)
-        sums, hi = _sums(tokens, target, copies), tokens["hi"]
+        sums, hi, lo = _sums(tokens, target, copies), tokens["hi"], tokens["lo"]
+        del tokens, text, table
         bucket = (hi >> np.uint64(64 - bits)).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][:len(hi)])
         out = []
         for a, b in zip(starts, np.r_[starts[1:], len(hi)]):
-            out.append((int(bucket[a]), _packed(np.diff(hi[a:b], prepend=np.uint64(0))), _low_bytes(tokens["lo"][a:b]),
+            out.append((int(bucket[a]), _packed(np.diff(hi[a:b], prepend=np.uint64(0))), _low_bytes(lo[a:b]),
                         _packed(sums[0, a:b]), _packed(sums[1, a:b])))
         bucket, *rest = zip(*out) if out else [()] * 5
         return pa.table({"bucket": pa.array(bucket, pa.int32()), "batch": pa.array([key[0].as_py()] * len(out), pa.int32()),
@@ -230,18 +252,27 @@ def totals(rows: DataFrame) -> tuple[int, int, int]:
     def run(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            for a, b in byte_slices(batch.column("text")):
+            if not batch.num_rows:
+                continue
+            words, sums = [], np.zeros(2, np.int64)
+            for a, b in byte_slices(batch.column("text"), PIECE_BYTES):
                 text, target, copies = _columns(table.slice(a, b - a))
                 cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(text, "")))
-                real = pc.not_equal(cut.flatten(), "").to_numpy(zero_copy_only=False)
-                size = np.bincount(np.repeat(np.arange(b - a), np.diff(np.asarray(cut.offsets)))[real], copies[
-                    np.repeat(np.arange(b - a), np.diff(np.asarray(cut.offsets)))[real]], b - a).astype(np.int64)
-                names = pc.unique(cut.flatten()).cast(pa.large_binary()).to_pylist()
-                words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names if w), np.uint64).view(np.int64)
-                zeros = [0] * len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*words.tolist(), None], pa.int64()), pa.array([*zeros, int(size.sum())], pa.int64()),
-                     pa.array([*zeros, int(size[target].sum())], pa.int64())], ["word", "n", "t"])
+                flat, sizes = cut.flatten(), np.diff(np.asarray(cut.offsets))
+                real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+                size = np.bincount(np.repeat(np.arange(b - a), sizes)[real], minlength=b - a) * copies
+                sums += size.sum(), size[target].sum()
+                names = pc.unique(flat).cast(pa.large_binary())
+                for at in range(0, len(names), CHUNK):
+                    words.append(np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names.slice(at, CHUNK).to_pylist() if w), np.uint64))
+            del cut, flat, names
+            pa.default_memory_pool().release_unused()
+            distinct = np.unique(np.concatenate(words)).view(np.int64) if words else np.zeros(0, np.int64)
+            for at in range(0, len(distinct), CHUNK):
+                none = np.zeros(len(distinct[at:at + CHUNK]), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(distinct[at:at + CHUNK]), pa.array(none), pa.array(none)], ["word", "n", "t"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None], pa.int64()), *(pa.array([x], pa.int64()) for x in sums.tolist())], ["word", "n", "t"])
 
     found = rows.select("text", "target", "copies").mapInArrow(run, "word long, n long, t long").agg(
         F.countDistinct("word").alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t")).first()

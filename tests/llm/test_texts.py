@@ -10,6 +10,7 @@ from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -671,3 +672,17 @@ def test_token_files_hold_delta_pages_and_indexes(spark):
 
 def test_long_text_is_read_whole():
     assert len(LONG) > 150_000 and simhash.fingerprint(LONG) == plain_fingerprint(LONG)
+
+
+def test_a_batch_of_tokens_is_worked_on_in_pieces():
+    """Numpy and Python memory of ``batch_tokens``, in 8 bytes for each token."""
+    import random
+    import tracemalloc
+    rng = random.Random(1)
+    texts = pa.array([" ".join(f"w{int(rng.paretovariate(0.6)) % 200000}" for _ in range(300)) for _ in range(1000)])
+    lmscore.batch_tokens(texts.slice(0, 3))
+    tracemalloc.start()
+    found = lmscore.batch_tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found["word"]) == 300_000 and peak < 10 * 8 * len(found["word"])
