@@ -234,5 +234,6 @@ class WordEncoder:
                 some = self._with_marks(texts.slice(begin, to - begin))
             finally:
                 gc.enable()
+            pa.default_memory_pool().release_unused()  # what the kernels took for these texts
             yield some
             begin = to
