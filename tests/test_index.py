@@ -250,3 +250,30 @@ def test_numbered_weights_need_no_window_over_postings(spark):
     assert norms == pytest.approx({(r.side, r.id): r.norm for r in index.norms.collect()}) and len(norms) == 52
     rows = index.numbered.collect()
     assert len(rows) == 2 + 2 + 50 * 3 and all(r.u == pytest.approx(r.w / norms[r.side, r.id]) for r in rows)
+
+
+def test_lists_are_sorted_once_and_numbered_over_partitions(spark, monkeypatch):
+    monkeypatch.setattr(P, "number_rows", None)  # neither postings nor lists are numbered by a sort of their own
+    rows = [(t, s, i) for i in range(3_000) for t, s in (("hot", "L"), ("hot", "R"), (f"t{i % 7}", "L"), (f"own{i}", "R"))]
+    postings = spark.createDataFrame(rows, "token string, side string, id long").repartition(6)
+    batch, fit = (spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "150")  # lists go on over batches and partitions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for block in (1, 64, 100_000):
+            lists = write_inverted(postings, shared_dir(spark, "inverted"), block)
+            got = defaultdict(list)
+            for r in sorted(lists.collect(), key=lambda r: (r["token"], r["side"], r["chunk"])):
+                seen = got[r["token"], r["side"]]
+                assert 0 < len(r["ids"]) <= block and r["place"] == sum(map(len, seen))
+                assert r["chunk"] == len(seen)
+                seen.append(r["ids"])
+            want = defaultdict(list)
+            for t, s, i in rows:
+                want[t, s].append(i)
+            assert {k: sum(v, []) for k, v in got.items()} == want
+        assert sum(map(len, got.values())) < len(got) + 8  # a list is cut by blocks and by partitions only
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", fit)
+    assert write_inverted(postings.limit(0), shared_dir(spark, "inverted")).count() == 0
