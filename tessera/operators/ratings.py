@@ -300,18 +300,27 @@ def item_blocks(items: DataFrame, rank: int, block_bytes: int = BLOCK_BYTES):
 
 def top_places():
     """A function of scores, in order of their ids, and a number: the places of that many best
-    scores, ties by id.  (Made here, so that it travels to executors by value.)"""
+    scores, ties by id.  (Made here, so that it travels to executors by value.)
+
+    The last of that many best of some scores, every k-th, is at most the last of the best of all,
+    so only scores from it on are compared further: one look at most of them, whatever they are."""
     def top(scores, most):
         import numpy as np
         if most >= len(scores):
             return np.argsort(-scores, kind="stable")
-        edge = -np.partition(-scores, most - 1)[most - 1]
-        near = np.flatnonzero(scores >= edge)
+        least = lambda of: -np.partition(-of, most - 1)[most - 1]
+        near, some = np.arange(len(scores)), scores[::int((len(scores) / most) ** 0.5)]
+        if most < len(some) < len(scores):
+            near = np.flatnonzero(scores >= least(some))
+        near = near[scores[near] >= least(scores[near])] if len(near) > most else near
         return near[np.argsort(-scores[near], kind="stable")][:most]
 
     return top
 
 
+PRODUCT = 1 << 20
+
+
 def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataFrame | None = None,
                     items: DataFrame | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """R13/R14 for many users: (user, item, prediction, place) of the ``n`` best items
@@ -334,8 +343,10 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
         users.select("user").distinct(), "user", "leftsemi")
     # a user may have rated items that the model has no factors of; asking for more is harmless
     counted = rated.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
+    # the work on a user grows with the items, not with the user's few bytes: dealt over all cores
     asked = reliable_checkpoint(asked.join(counted, "user", "left").select(
-        "user", "factors", (F.coalesce("k", F.lit(0)) + n).alias("most")))
+        "user", "factors", (F.coalesce("k", F.lit(0)) + n).alias("most"))
+        .repartition(4 * ratings.sparkSession.sparkContext.defaultParallelism, "user"))
     rank, spark, top_of = model.model.rank, ratings.sparkSession, top_places()
     schema = "user long, item long, prediction float"
     found = spark.createDataFrame([], schema)
@@ -345,16 +356,18 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
         def best(batches, shared=shared):
             import numpy as np
             ids, matrix = shared.value
-            step = max(1, (16 << 20) // (4 * len(ids)))  # a product of 16 MB
+            step = max(1, PRODUCT // len(ids))  # a product of 4 MB, or one user's
             for batch in batches:
                 for at in range(0, batch.num_rows, step):
                     part = batch.slice(at, step)
                     users = np.array(part.column(1).to_pylist(), np.float32).reshape(part.num_rows, rank)
-                    for user, most, scores in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), users @ matrix.T):
-                        top = top_of(scores, most)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(top), user, np.int64)), pa.array(ids[top]), pa.array(scores[top])],
-                            ["user", "item", "prediction"])
+                    scores, mosts = users @ matrix.T, part.column(2).to_pylist()
+                    tops = [top_of(row, most) for row, most in zip(scores, mosts)]
+                    sizes, tops = [len(top) for top in tops], np.concatenate(tops)
+                    owners = np.repeat(np.arange(part.num_rows), sizes)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part.column(0).to_numpy()[owners]), pa.array(ids[tops]), pa.array(scores[owners, tops])],
+                        ["user", "item", "prediction"])
 
         found = found.unionByName(asked.mapInArrow(best, schema))
     open_ = found.join(rated, ["user", "item"], "left_anti")

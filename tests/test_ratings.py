@@ -139,6 +139,30 @@ def test_ties_and_exact_ends_of_the_bounded_list():
         [3], [3, 5], [3, 5, 8], [3, 5, 8, 2], [3, 5, 8, 2, 9]]
 
 
+def test_the_best_of_many_scores_are_found_from_a_few(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, k: sizes.append(len(a)) or partition(a, k))
+    for scores in (rng.normal(size=50_000), np.arange(50_000.0), -np.arange(50_000.0), rng.integers(0, 9, 50_000) * 1.0,
+                   np.zeros(50_000), np.where(np.arange(50_000) % 28, 1.0, 0.0)):
+        scores = scores.astype(np.float32)
+        for most in (1, 60, 20_000, 49_999, 50_000):
+            want = np.argsort(-scores, kind="stable")[:most]
+            assert R.top_places()(scores, most).tolist() == want.tolist()
+    sizes.clear()
+    R.top_places()(rng.normal(size=200_000).astype(np.float32), 60)
+    assert sum(sizes) < 20_000  # of 200,000
+
+
+def test_users_are_dealt_over_all_cores(spark, monkeypatch):
+    rt = ratings(spark, SF_SMALL).limit(2_000).cache()
+    model, parts = R.train_als(rt, 2, iterations=1), []
+    keep = R.reliable_checkpoint
+    monkeypatch.setattr(R, "reliable_checkpoint", lambda df: parts.append((df.columns, keep(df))) or parts[-1][1])
+    R.recommend_users(model, rt, 3)
+    assert [df.rdd.getNumPartitions() for c, df in parts if c[0] == "user"] == [4 * spark.sparkContext.defaultParallelism]
+
+
 def test_factors_under_large_ids(spark):
     rt = ratings(spark, SF_SMALL).limit(500).cache()
     big = rt.select((F.col("user") + 3_000_000_000).alias("user"), "item", "rating").cache()
