@@ -327,8 +327,8 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
     that each user (of ``users``, or every trained one) has not rated, among
     ``items`` or all trained ones; ties by item.
 
-    Item factors are broadcast block by block.  Users stay where they are: their factors
-    are multiplied with a block some thousand at a time, and of each user only
+    Item factors are broadcast block by block.  Users are dealt over all cores once: their factors
+    are multiplied with a block in products of at most 4 MB (or one user's), and of each user only
     the best n and as many more as the user has rated leave the task, enough for n
     whatever is rated.  So there is no row for each user and item.  What is rated goes
     by an anti-join on (user, item), whose keys are unique, and the blocks' lists are
