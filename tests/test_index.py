@@ -277,3 +277,21 @@ def test_lists_are_sorted_once_and_numbered_over_partitions(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", fit)
     assert write_inverted(postings.limit(0), shared_dir(spark, "inverted")).count() == 0
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_gold_weights_hold_the_records_of_gold_pairs_only(spark, max_bytes):
+    left = spark.createDataFrame([(1, "red apple tree"), (2, "tree house"), (3, None), (4, "!"), (5, "no such")], "item_id long, text string")
+    right = spark.createDataFrame([(k, f"a red apple tree number{k} house") for k in range(3)] + [(k, f"red tree {k}!") for k in range(3, 50)],
+                                  "doc_id long, text string")
+    index = TextIndex(left, "item_id", right, "doc_id", max_bytes=max_bytes).prepare_gold()
+    assert "numbered" not in vars(index) and "norms" not in vars(index)
+    ids = {("L", r.left_id) for r in index.gold.collect()} | {("R", r.right_id) for r in index.gold.collect()}
+    assert ids == {("L", 1), ("L", 4)} | {("R", k) for k in range(50)}  # "!" is in the texts from 3 on
+    full = {(r.side, r.id, r.token): (r.w, r.n_docs) for r in index.weights().collect() if (r.side, r.id) in ids}
+    assert {(r.side, r.id, r.token): (r.w, r.n_docs) for r in index.gold_weights.collect()} == full
+    got, want = ({(r.left_id, r.right_id): r.dot for r in E.pair_products(x, index.gold, "u").collect()}
+                 for x in (E.unit_weights(index.gold_weights), index.numbered))
+    assert got == pytest.approx(want) and set(got) == {(1, 0), (1, 1), (1, 2)}
+    shared = {(r.left_id, r.right_id): (r.n_shared, r.shared_tokens) for r in E.shared_tokens(index.gold_weights, index.gold).collect()}
+    assert shared == {(1, k): (3, "apple red tree") for k in range(3)}
