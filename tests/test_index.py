@@ -295,3 +295,19 @@ def test_gold_weights_hold_the_records_of_gold_pairs_only(spark, max_bytes):
     assert got == pytest.approx(want) and set(got) == {(1, 0), (1, 1), (1, 2)}
     shared = {(r.left_id, r.right_id): (r.n_shared, r.shared_tokens) for r in E.shared_tokens(index.gold_weights, index.gold).collect()}
     assert shared == {(1, k): (3, "apple red tree") for k in range(3)}
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_only_records_that_can_reach_the_threshold_are_sent_to_the_window(spark, max_bytes):
+    from pyspark.sql import Window
+    rows = [(s, k, t, 2, u) for s in "LR" for k in range(60) for t, u in ((1, 0.001), (2, 0.9 if k < 3 else 0.01))]
+    shared = E.shared_postings(spark.createDataFrame(rows, "side string, id long, tid long, n_docs long, u double"), max_bytes)
+    shared = shared.withColumn("top", F.when(F.col("id") < 3, F.col("top")).otherwise(F.lit(0.02)))
+    got = E.prefixes(shared, 0.5, max_bytes)
+    assert ("LeftSemi" in got._jdf.queryExecution().toString()) == (max_bytes is None)
+    upto = Window.partitionBy("side", "id").orderBy(F.desc("n_docs"), F.desc("tid")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rest = F.least(F.sqrt(F.sum(F.col("u") * F.col("u")).over(upto)), F.sum(F.col("u") * F.col("top")).over(upto))
+    for t in (0.0, 0.5, 0.81, 0.9):
+        want = shared.withColumn("rest", rest).where(F.col("rest") >= t - 1e-9).select("side", "id", "tid")
+        assert sorted(map(tuple, E.prefixes(shared, t, max_bytes).select("side", "id", "tid").collect())) == sorted(map(tuple, want.collect()))
+    assert {(r.side, r.id) for r in got.collect()} == {(s, k) for s in "LR" for k in range(3)}
