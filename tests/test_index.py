@@ -311,3 +311,14 @@ def test_only_records_that_can_reach_the_threshold_are_sent_to_the_window(spark,
         want = shared.withColumn("rest", rest).where(F.col("rest") >= t - 1e-9).select("side", "id", "tid")
         assert sorted(map(tuple, E.prefixes(shared, t, max_bytes).select("side", "id", "tid").collect())) == sorted(map(tuple, want.collect()))
     assert {(r.side, r.id) for r in got.collect()} == {(s, k) for s in "LR" for k in range(3)}
+
+
+def test_gold_evaluation_needs_no_stored_postings(spark):
+    from tessera.operators import resolution as ER
+    b, d = given(spark)
+    index = TextIndex(b, "item_id", d, "doc_id").prepare_gold()
+    gold = index.gold.unionByName(spark.createDataFrame([(index.gold.first()["left_id"], -1)], index.gold.schema))
+    n = [x.agg(F.count(F.lit(1)).alias("n")) for x in (b, d)]
+    got = ER.gold_evaluation(index.unit_postings(), gold, *n, E.unit_weights(index.gold_weights)).first()
+    assert "numbered" not in vars(index)
+    assert tuple(got) == pytest.approx(tuple(ER.gold_evaluation(index.numbered, gold, *n).first())) and got["avg_sim_dups"] > 0
