@@ -322,3 +322,20 @@ def test_gold_evaluation_needs_no_stored_postings(spark):
     got = ER.gold_evaluation(index.unit_postings(), gold, *n, E.unit_weights(index.gold_weights)).first()
     assert "numbered" not in vars(index)
     assert tuple(got) == pytest.approx(tuple(ER.gold_evaluation(index.numbered, gold, *n).first())) and got["avg_sim_dups"] > 0
+
+
+@pytest.mark.parametrize("max_bytes, larger", [(None, "R"), (0, "L")])
+def test_similar_weighs_only_records_that_can_reach_the_threshold(spark, max_bytes, larger):
+    few = [(k, f"red apple tree number{k}") for k in range(4)] + [(4, None), (5, "!"), (6, "alone")]
+    many = [(k, "red apple tree" + "".join(f" own{k}x{j}" for j in range(0 if k < 3 else 40))) for k in range(80)] + [(80, None), (81, "")]
+    few, many = (spark.createDataFrame(x, "id long, text string").coalesce(1) for x in (few, many))
+    sides = (few, many) if larger == "R" else (many, few)
+    index = TextIndex(sides[0], "id", sides[1], "id", max_bytes=max_bytes)
+    got = {(r.left_id, r.right_id): r.cosine for r in index.similar(0.01).collect()}
+    assert "numbered" not in vars(index) and "norms" not in vars(index)  # no other record's weights are stored
+    units = {(r.side, r.id, r.tid): r.u for r in index.reaching(0.01).collect()}
+    assert {k[:2] for k in units} == {(larger, k) for k in range(3)} | {("LR"[larger == "L"], k) for k in range(4)}
+    all_units = {(r.side, r.id, r.tid): r.u for r in index.numbered.collect()}
+    assert units == pytest.approx({k: all_units[k] for k in units}) and len(all_units) > 200
+    want = {(r.left_id, r.right_id): r.cosine for r in E.cosine_inverted(index.numbered, 0.01, max_bytes).collect()}
+    assert got == pytest.approx(want) and len(got) == 12
