@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import broadcast_if_small, release, reliable_checkpoint
+from tessera.session import broadcast_if_small, broadcast_stored, release, reliable_checkpoint
 
 # The reference's ALS settings.
 ALS_ITERATIONS = 5
@@ -60,22 +60,23 @@ def split_ratings(ratings: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
                   seed: int = SPLIT_SEED) -> list[DataFrame]:
     """Weighted split (train, validation, test).
 
-    A row's place is the md5 of seed, user and item, read as a number in [0, 1):
-    the same rows on every run, layout and engine, in one narrow pass."""
+    A row's place is the first 32 bits of the md5 of seed, user and item: the same rows on every
+    run, layout and engine, in one narrow pass.  Digests of lower-case hex digits stand in
+    the order of the numbers, so they are compared as they are, once for each end that is not the first or last."""
     place = split_place(seed)
     ends, total, out, low = [], float(sum(weights)), [], 0
     for w in weights:
         ends.append(round((sum(weights[:len(ends)]) + w) / total * 2 ** 32))
     for high in ends:
-        out.append(ratings.where((place >= low) & (place < high)))
+        rows = ratings if low <= 0 else ratings.where(place >= f"{low:08x}" if low < 2 ** 32 else F.lit(False))
+        out.append(rows if high >= 2 ** 32 else rows.where(place < f"{max(0, high):08x}"))
         low = high
     return out
 
 
 def split_place(seed: int):
-    """The first 32 bits of md5('seed:user:item')."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user").cast("string"), F.col("item").cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    """md5('seed:user:item') in hex digits."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user").cast("string"), F.col("item").cast("string")))
 
 
 def rmse_of(rows: DataFrame, pred_col: str = "prediction", actual_col: str = "rating") -> DataFrame:
@@ -281,7 +282,7 @@ def residual_report(model: Recommender, train: DataFrame, tolerance: float = 1e-
         F.count(F.lit(1)).alias("n_users"), F.coalesce(F.sum(off.cast("bigint")), F.lit(0)).cast("bigint").alias("n_off"))
 
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 
 
 def item_blocks(items: DataFrame, rank: int, block_bytes: int = BLOCK_BYTES):
@@ -295,7 +296,17 @@ def item_blocks(items: DataFrame, rank: int, block_bytes: int = BLOCK_BYTES):
         part = (items if cuts == 1 else items.where(block == b)).toArrow().sort_by("item")
         if part.num_rows:
             yield (part.column("item").to_numpy(),
-                   np.array(part.column("factors").to_pylist(), np.float32).reshape(part.num_rows, rank))
+                   np.asarray(part.column("factors").combine_chunks().flatten(), np.float32).reshape(part.num_rows, rank))
+
+
+def by_direction(users: DataFrame, rank: int) -> DataFrame:
+    """``users`` with the cell of their factors' direction: one bit for each of up to ten
+    coordinates, whether it is above the median."""
+    length = F.sqrt(sum((F.col("factors")[k].cast("double") * F.col("factors")[k] for k in range(rank)), F.lit(0.0)))
+    turns = [F.try_divide(F.col("factors")[k].cast("double"), length) for k in range(min(rank, 10))]
+    middles = users.agg(*[F.percentile_approx(t, 0.5).alias(f"m{k}") for k, t in enumerate(turns)]).first()
+    bits = [F.when(t > F.lit(m).cast("double"), 1 << k).otherwise(0) for k, (t, m) in enumerate(zip(turns, middles))]
+    return users.withColumn("cell", sum(bits, F.lit(0)))
 
 
 def top_places():
@@ -318,7 +329,7 @@ def top_places():
     return top
 
 
-PRODUCT = 1 << 20
+RATED_HELD = 1 << 22   # rated items of the users that a task searches for together
 
 
 def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataFrame | None = None,
@@ -327,52 +338,86 @@ def recommend_users(model: Recommender, ratings: DataFrame, n: int, users: DataF
     that each user (of ``users``, or every trained one) has not rated, among
     ``items`` or all trained ones; ties by item.
 
-    Item factors are broadcast block by block.  Users are dealt over all cores once: their factors
-    are multiplied with a block in products of at most 4 MB (or one user's), and of each user only
-    the best n and as many more as the user has rated leave the task, enough for n
-    whatever is rated.  So there is no row for each user and item.  What is rated goes
-    by an anti-join on (user, item), whose keys are unique, and the blocks' lists are
-    merged by a bounded window for each user."""
+    Item factors are broadcast block by block.  Users, each with the list of what they have rated, are
+    dealt over all cores once, those of like directions together: a task then proves for
+    most items that they are none of the best of some users (``bestscores``) and multiplies the others with their factors,
+    in products of at most 4 MB (or one user's).  Of each user n items leave the task,
+    with what is rated left out; only if there is more than one block are the blocks' lists merged
+    by a bounded window for each user.  So there is no row for each user and item."""
     import pyarrow as pa
+    from tessera.operators.bestscores import CHUNK, best_unrated
     kept = model.item_factors()
     if items is not None:
         kept = kept.join(items.select("item").distinct(), "item", "leftsemi")
     kept = reliable_checkpoint(kept)
-    rated = ratings.select("user", "item").distinct()
-    asked = model.user_factors() if users is None else model.user_factors().join(
-        users.select("user").distinct(), "user", "leftsemi")
-    # a user may have rated items that the model has no factors of; asking for more is harmless
-    counted = rated.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
+    rated = ratings.select("user", "item")
+    if items is not None:  # of what is rated, only these items could be found
+        rated = rated.join(broadcast_stored(kept.select("item")), "item", "leftsemi")
+    lists = rated.groupBy("user").agg(F.collect_list("item").alias("rated"))
+    rank, spark, held_rows, held_rated = model.model.rank, ratings.sparkSession, CHUNK, RATED_HELD
+    asked = by_direction(model.user_factors(), rank)
+    if users is not None:
+        asked = asked.join(users.select("user").distinct(), "user", "leftsemi")
     # the work on a user grows with the items, not with the user's few bytes: dealt over all cores
-    asked = reliable_checkpoint(asked.join(counted, "user", "left").select(
-        "user", "factors", (F.coalesce("k", F.lit(0)) + n).alias("most"))
-        .repartition(4 * ratings.sparkSession.sparkContext.defaultParallelism, "user"))
-    rank, spark, top_of = model.model.rank, ratings.sparkSession, top_places()
-    schema = "user long, item long, prediction float"
-    found = spark.createDataFrame([], schema)
+    asked = reliable_checkpoint(asked.join(lists, "user", "left").select(
+        "user", "factors", F.coalesce("rated", F.array().cast("array<bigint>")).alias("rated"), "cell")
+        .repartitionByRange(4 * spark.sparkContext.defaultParallelism, "cell", "user")
+        .sortWithinPartitions("cell", "user").drop("cell"))
+    search = best_unrated(top_places())
+    schema = "user long, item long, prediction float, place int"
+    found = []
     for block in item_blocks(kept, rank, block_bytes):
         shared = spark.sparkContext.broadcast(block)
 
         def best(batches, shared=shared):
             import numpy as np
             ids, matrix = shared.value
-            step = max(1, PRODUCT // len(ids))  # a product of 4 MB, or one user's
-            for batch in batches:
-                for at in range(0, batch.num_rows, step):
-                    part = batch.slice(at, step)
-                    users = np.array(part.column(1).to_pylist(), np.float32).reshape(part.num_rows, rank)
-                    scores, mosts = users @ matrix.T, part.column(2).to_pylist()
-                    tops = [top_of(row, most) for row, most in zip(scores, mosts)]
-                    sizes, tops = [len(top) for top in tops], np.concatenate(tops)
-                    owners = np.repeat(np.arange(part.num_rows), sizes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part.column(0).to_numpy()[owners]), pa.array(ids[tops]), pa.array(scores[owners, tops])],
-                        ["user", "item", "prediction"])
-
-        found = found.unionByName(asked.mapInArrow(best, schema))
-    open_ = found.join(rated, ["user", "item"], "left_anti")
+            best_of = search(matrix)
+
+            def of(held):
+                table = pa.Table.from_batches(held)
+                users, (factors, rated) = table.column(0).to_numpy(), (table.column(k).combine_chunks() for k in (1, 2))
+                factors = np.asarray(factors.flatten(), np.float32).reshape(len(users), rank)
+                owners = np.repeat(np.arange(len(users)), rated.value_lengths().to_numpy())
+                items = rated.flatten().to_numpy()
+                places = np.minimum(np.searchsorted(ids, items), len(ids) - 1)
+                known = ids[places] == items
+                rated = np.unique(owners[known] * len(ids) + places[known])
+                made, rows = [], 0
+
+                def batch():
+                    who, what, scores, ranks = (np.concatenate(x) for x in zip(*made))
+                    return pa.RecordBatch.from_arrays(
+                        [pa.array(users[who]), pa.array(ids[what]), pa.array(scores), pa.array(ranks.astype(np.int32))],
+                        ["user", "item", "prediction", "place"])
+
+                for some in best_of(factors, n, rated):
+                    made.append(some)
+                    rows += len(some[0])
+                    if rows >= 1 << 16:
+                        yield batch()
+                        made, rows = [], 0
+                if made:
+                    yield batch()
+
+            held, rows, values = [], 0, 0
+            for part in batches:
+                held.append(part)
+                rows, values = rows + part.num_rows, values + len(part.column(2).flatten())
+                if rows >= held_rows or values >= held_rated:
+                    yield from of(held)
+                    held, rows, values = [], 0, 0
+            if rows:
+                yield from of(held)
+
+        found.append(asked.mapInArrow(best, schema))
+    if len(found) < 2:
+        return found[0] if found else spark.createDataFrame([], schema)
+    lists = found[0]
+    for more in found[1:]:
+        lists = lists.unionByName(more)
     place = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("prediction"), "item"))
-    return open_.withColumn("place", place).where(F.col("place") <= n)
+    return lists.withColumn("place", place).where(F.col("place") <= n)
 
 
 def recommend_top_n(predictions: DataFrame, ratings: DataFrame, titles: DataFrame,

@@ -1,5 +1,6 @@
 """Properties of the trained and random rating queries (no exact oracle)."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from tessera.operators import ratings as R
+from tessera.operators.bestscores import best_unrated
 from tessera.plans import params as K
 from tessera.sources.views import ratings
 
@@ -183,3 +185,79 @@ def test_training_drops_each_iterations_shuffles(spark, monkeypatch):
     few = R.als_blocks(spark, 21_600_000)
     assert few == max(10, spark.sparkContext.defaultParallelism)
     assert R.residual_report(model, rows).collect()[0].n_off == 0
+
+
+def _best(factors, matrix, n, rated=(), **sizes):
+    """What ``best_unrated`` finds, by user: items, scores, and the numbers of products made at once."""
+    made, flat = [], np.flatnonzero
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(np, "flatnonzero", lambda a: made.append(np.size(a) if np.ndim(a) == 2 else 0) or flat(a))
+        parts = list(best_unrated(R.top_places(), **sizes)(matrix)(factors, n, np.array(sorted(rated), np.int64)))
+    got = {}
+    for users, items, scores, places in parts:
+        for user, item, score, place in zip(users, items, scores, places):
+            got.setdefault(user, []).append((place, item, score))
+    assert all([p for p, _, _ in sorted(rows)] == list(range(1, len(rows) + 1)) for rows in got.values())
+    return {user: ([i for _, i, _ in sorted(rows)], [s for _, _, s in sorted(rows)]) for user, rows in got.items()}, made
+
+
+@pytest.mark.parametrize("kind", ["round", "one way", "copies", "equal", "few items", "wide"])
+def test_the_best_unrated_are_found_without_most_products(kind):
+    rng = np.random.default_rng(7)
+    matrix = rng.normal(size=(90 if kind == "few items" else 12_000, 4)).astype(np.float32)
+    factors = rng.normal(size=(1_500, 4)).astype(np.float32)
+    if kind == "one way":
+        matrix, factors = np.abs(matrix) + 1, np.abs(factors) + 5
+    if kind == "copies":
+        matrix = matrix[np.arange(12_000) // 3]
+    if kind == "equal":
+        matrix, factors = np.repeat(matrix[:1], 600, 0), factors[:70]
+    if kind == "wide":
+        matrix[::1000] *= 100
+    factors[5], factors[6] = 0, 1e-20
+    size = len(matrix)
+    rated = {int(u * size + i) for u in range(len(factors)) for i in rng.integers(0, size, 9)}
+    best = np.argsort(-(factors[9] @ matrix.T), kind="stable")
+    rated |= {int(9 * size + i) for i in best[:size * 2 // 3]}          # one user has rated most items, the best of them
+    rated |= {int(11 * size + i) for i in range(size)}                  # and one all
+    got, made = _best(factors, matrix, 7, rated)
+    assert 11 not in got and len(got) == len(factors) - 1
+    scores = factors @ matrix.T
+    for pair in rated:
+        scores[pair // size, pair % size] = -np.inf
+    for user, (items, found) in got.items():
+        assert len(items) == len(set(items)) == 7 and np.isfinite(scores[user, items]).all()
+        assert np.allclose(found, np.sort(scores[user])[::-1][:7], rtol=1e-4, atol=1e-5)
+        assert np.allclose(found, scores[user, items], rtol=1e-4, atol=1e-5)
+    assert got[5][0] == np.flatnonzero(np.isfinite(scores[5]))[:7].tolist()  # all at 0: ties by item
+    if kind in ("round", "one way", "copies", "wide"):
+        assert 0 < sum(made) < len(factors) * size // 2
+        assert _best(factors, matrix, 7, rated, product=5_000)[0].keys() == got.keys()
+    if kind == "round":
+        assert max(_best(factors, matrix, 7, rated, product=5_000)[1]) <= size  # one user's, where 5,000 are fewer
+
+
+def test_what_is_rated_is_left_out_where_products_are_made(spark):
+    rt = ratings(spark, SF_SMALL).limit(2_000).cache()
+    model = R.train_als(rt, 3, iterations=1)
+    found = R.recommend_users(model, rt.unionByName(rt), 4)  # rated twice counts once
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "Window" not in plan
+    rows = found.collect()
+    assert rows and not {(r["user"], r["item"]) for r in rows} & {(r["user"], r["item"]) for r in rt.collect()}
+    assert [f.name for f in found.schema] == ["user", "item", "prediction", "place"]
+
+
+def test_splits_are_the_numbers_of_the_digests(spark):
+    rows = spark.range(3_000).selectExpr("id % 61 AS user", "id AS item", "1.0 AS rating").cache()
+
+    def number(r):
+        return int(hashlib.md5(f"0:{r['user']}:{r['item']}".encode()).hexdigest()[:8], 16)
+
+    for weights in ((6.0, 2.0, 2.0), (1.0, 0.0), (0.0, 1.0), (1.0,)):
+        parts, low = R.split_ratings(rows, weights), 0
+        for k, part in enumerate(parts):
+            high = round(sum(weights[:k + 1]) / sum(weights) * 2 ** 32)
+            assert {r["item"] for r in part.collect()} == {r["item"] for r in rows.collect() if low <= number(r) < high}
+            low = high
+        assert "conv(" not in parts[0]._jdf.queryExecution().optimizedPlan().toString()
